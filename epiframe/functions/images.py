@@ -45,7 +45,7 @@ def _binary(values: np.ndarray, lengths: np.ndarray, nulls: pa.Array) -> pa.Arra
     return pa.compute.if_else(nulls.is_null(), pa.scalar(None, pa.binary()), packed)
 
 
-@F.arrow_udf("binary")
+@F.arrow_udf(T.BinaryType())
 def quantize_u8(image: pa.Array) -> pa.Array:
     """Normalised float image to one byte per value: scale, clamp, drop the fraction."""
     values, lengths = _lists(image)
@@ -53,7 +53,7 @@ def quantize_u8(image: pa.Array) -> pa.Array:
     return _binary(np.clip(scaled, 0, U8_MAX).astype(np.uint8), lengths, image)
 
 
-@F.arrow_udf("array<float>")
+@F.arrow_udf(T.ArrayType(T.FloatType()))
 def dequantize_u8(image: pa.Array) -> pa.Array:
     """Bytes back to floats in [0, 1]; off by less than 1/255 from the original."""
     values, lengths = _bytes_of(image)
@@ -91,7 +91,7 @@ def hwc_to_chw(image: Column, h: int, w: int, c: int) -> Column:
 def hwc_to_chw_bytes(image: Column, h: int, w: int, c: int) -> Column:
     """Reorder byte images to channel-first; every row of the column has the same shape."""
 
-    @F.arrow_udf("binary")
+    @F.arrow_udf(T.BinaryType())
     def reorder(batch: pa.Array) -> pa.Array:
         values, lengths = _bytes_of(batch)
         moved = values.reshape(-1, h, w, c).transpose(0, 3, 1, 2)
@@ -108,7 +108,7 @@ def resize_bytes(image: Column, h: int, w: int, c: int, out_h: int, out_w: int)
     rows = np.arange(out_h) * h // out_h
     cols = np.arange(out_w) * w // out_w
 
-    @F.arrow_udf("binary")
+    @F.arrow_udf(T.BinaryType())
     def resize(batch: pa.Array) -> pa.Array:
         values, lengths = _bytes_of(batch)
         picked = values.reshape(-1, h, w, c)[:, rows][:, :, cols]

@@ -1,8 +1,9 @@
 """Text form of training metrics: formatting and parsing as column expressions."""
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Fixed values of the metric line format. Letters and digits of any script count as
 # word characters, and so do Unicode spaces, hence the explicit classes.
@@ -22,9 +23,9 @@ PRIMARY_METRICS = [
 ]
 
 
-@F.pandas_udf("string")
-def _exact_general(values: pd.Series) -> pd.Series:
-    return values.map(lambda v: format(v, ".6g"), na_action="ignore")
+@F.arrow_udf(T.StringType())
+def _exact_general(values: pa.Array) -> pa.Array:
+    return pa.array([None if v is None else format(v, ".6g") for v in values.to_pylist()], pa.string())
 
 
 def format_value(value: Column, exact: bool = True) -> Column:

@@ -12,7 +12,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
+from pyspark.sql import types as T
 
 from epiframe.operators.chunked import CHUNK, chunk_window, drop_halo, join_by_chunk, with_halo
 from epiframe.operators.episodes import episode_lengths
@@ -46,7 +46,7 @@ def _arc_length(magnitude: np.ndarray) -> np.ndarray:
 
 
 def _sal_udf(dims: int, fps: float):
-    @F.arrow_udf("double")
+    @F.arrow_udf(T.DoubleType())
     def sal_of(actions: pa.Array) -> pa.Array:
         sizes = actions.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64) // dims
         points = actions.flatten().to_numpy(zero_copy_only=False).reshape(-1, dims)

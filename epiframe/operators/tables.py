@@ -110,10 +110,10 @@ def size_budget(
     limit = int(max_gb * 1e9)
     sized = df.select(F.col(index), row_bytes(df).alias("_bytes")).withColumn("_chunk", F.floor(F.col(index) / F.lit(chunk)))
     chunks = sized.groupBy("_chunk").agg(F.count("*").alias("_n"), F.sum("_bytes").alias("_bytes"))
-    running = running_total(chunks, "_chunk", "_bytes", "_before", rows_per_class)
+    running = running_total(chunks, "_chunk", "_bytes", "_bytes_before", rows_per_class)
     running = running_total(running, "_chunk", "_n", "_rows_before", rows_per_class)
-    crossing = (F.col("_before") <= limit) & (F.col("_before") + F.col("_bytes") > limit)
-    start = F.struct("_chunk", "_before", "_rows_before")
+    crossing = (F.col("_bytes_before") <= limit) & (F.col("_bytes_before") + F.col("_bytes") > limit)
+    start = F.struct("_chunk", "_bytes_before", "_rows_before")
     total = running.agg(
         F.coalesce(F.sum("_n"), F.lit(0)).alias("n_rows"),
         F.coalesce(F.sum("_bytes"), F.lit(0)).alias("total_bytes"),
@@ -125,7 +125,7 @@ def size_budget(
         F.row_number().over(W.partitionBy("_chunk").orderBy(index)).alias("_at"),
         F.sum("_bytes").over(inside).alias("_sum"),
     )
-    base = running.where(crossing).agg(F.min("_before")).scalar()
+    base = running.where(crossing).agg(F.min("_bytes_before")).scalar()
     first = steps.where(F.col("_sum") + base > limit).agg(F.min(F.struct("_at", "_sum")).alias("_f"))
     return total.withColumn("_f", first.scalar()).select(
         "n_rows",
@@ -133,7 +133,7 @@ def size_budget(
         F.lit(limit).cast("long").alias("limit_bytes"),
         (F.col("total_bytes") > limit).alias("over_budget"),
         (F.col("_hit._rows_before") + F.col("_f._at")).alias("first_over_sample"),
-        (F.col("_hit._before") + F.col("_f._sum")).alias("bytes_at_sample"),
+        (F.col("_hit._bytes_before") + F.col("_f._sum")).alias("bytes_at_sample"),
     )
 
 

@@ -4,12 +4,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from epiframe.registry import episode_queries, episode_sql
+from epiframe.registry import episode_queries, episode_sql, table_queries, table_sql
 
 
 def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {**episode_queries.QUERIES}
+    return {**episode_queries.QUERIES, **table_queries.QUERIES}
 
 
 def oracle_queries() -> dict[str, str]:
-    return {**episode_sql.SQL}
+    return {**episode_sql.SQL, **table_sql.SQL}

@@ -41,7 +41,7 @@ class _RepeatCounter(StatefulProcessor):
             self.seen.clear()
         else:
             self.seen.update((actions[-1].tolist(), int(repeats)))
-        hits = batch[(counts == self.warn_steps) & ~batch["_halo"].to_numpy(dtype=bool)]
+        hits = batch[(counts == self.warn_steps) & ~batch["from_neighbour"].to_numpy(dtype=bool)]
         yield hits[[*self.names, self.pos]].assign(repeat_count=self.warn_steps, **{self.action: hits[self.action]})
 
     def close(self) -> None:
@@ -67,7 +67,10 @@ def stream_stuck_actions(
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
     narrow = frames.select(*keys, pos, frames[action].cast("array<double>").alias(action))
     size = max(chunk, warn_steps + 1)
-    placed = with_halo(narrow, keys, pos, size, before=warn_steps + 1)
+    # Names that start with an underscore do not reach the state processor.
+    placed = with_halo(narrow, keys, pos, size, before=warn_steps + 1).withColumnsRenamed(
+        {"_chunk": "chunk_id", "_halo": "from_neighbour"}
+    )
     out = T.StructType(
         [
             *[narrow.schema[k] for k in (*keys, pos)],
@@ -75,7 +78,7 @@ def stream_stuck_actions(
             T.StructField(action, T.ArrayType(T.DoubleType())),
         ]
     )
-    return placed.groupBy(*keys, "_chunk").transformWithStateInPandas(
+    return placed.groupBy(*keys, "chunk_id").transformWithStateInPandas(
         statefulProcessor=_RepeatCounter(keys, pos, action, eps, warn_steps, size),
         outputStructType=out,
         outputMode="Append",
