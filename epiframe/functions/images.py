@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from epiframe.schema import named
+
 # Fixed values of the quantisation rule and of image detection.
 U8_MAX = 255.0
 NORMALIZED_MAX = 1.5
@@ -146,7 +148,7 @@ def row_bytes(df: DataFrame) -> Column:
     """Bytes held by the tensor columns of a row; scalars and strings count nothing."""
     total = F.lit(0).cast("long")
     for f in df.schema.fields:
-        column = F.col(f"`{f.name}`")
+        column = named(f.name)
         if isinstance(f.dataType, T.BinaryType):
             total = total + F.coalesce(F.octet_length(column), F.lit(0))
         elif isinstance(f.dataType, T.ArrayType):
@@ -168,7 +170,7 @@ def image_report(df: DataFrame) -> DataFrame:
         if not isinstance(f.dataType, T.ArrayType | T.BinaryType):
             continue
         shape = (f.metadata or {}).get("shape") or []
-        column = F.col(f"`{f.name}`")
+        column = named(f.name)
         if shape:
             values = F.lit(int(np.prod(shape))).cast("long")
         elif isinstance(f.dataType, T.BinaryType):
@@ -176,8 +178,8 @@ def image_report(df: DataFrame) -> DataFrame:
         else:
             values = F.max(F.size(column)).cast("long")
         shaped = len(shape) in (3, 4) and IMAGE_CHANNELS in shape
-        named = any(word in f.name.lower() for word in IMAGE_WORDS)
-        rows.append((f.name, values, shaped or named))
+        by_name = any(word in f.name.lower() for word in IMAGE_WORDS)
+        rows.append((f.name, values, shaped or by_name))
     entries = [
         F.struct(
             F.lit(name).alias("column_name"),
@@ -200,7 +202,7 @@ def normalized_report(df: DataFrame, column: str) -> DataFrame:
     The whole column is tested: one bright row decides, wherever it is.
     """
     dtype = df.schema[column].dataType
-    values = F.col(f"`{column}`")
+    values = named(column)
     if not isinstance(dtype, T.ArrayType):
         return df.agg(F.lit(None).cast("double").alias("max_value"), F.lit(False).alias("is_normalized"))
     floating = isinstance(dtype.elementType, T.FloatType | T.DoubleType)

@@ -6,11 +6,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Fixed values of the metric line format. Letters and digits of any script count as
-# word characters, and so do Unicode spaces, hence the explicit classes.
-NAME_PATTERN = r"^(?=.*[\p{L}\p{N}])[\p{L}\p{N}_]+$"
-LINE_PATTERN = r"(?U)([\p{L}\p{N}_]+)[=:\s\x1c-\x1f]+([0-9.eE+-]+)"
+# word characters and all Unicode spaces as spaces, hence the explicit classes.
+WORD = r"[\p{L}\p{N}_]"
+GAP = r"[=:\s\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+NUMBER = r"[0-9.eE+-]"
+NAME_PATTERN = rf"^(?=.*[\p{{L}}\p{{N}}]){WORD}+$"
 STEP_PATTERN = r"#\s*step=(\d+)"
-VALUE_AFTER = r"(?U){}[=:\s\x1c-\x1f]+([0-9.eE+-]+)"
+# A match starts at the start of a word and never gives back a character it took, so
+# neither the lookbehind nor the possessive quantifiers change what is found.
+LINE_PATTERN = rf"(?<!{WORD})({WORD}++){GAP}++({NUMBER}+)"
+VALUE_AFTER = rf"{GAP}++({NUMBER}+)"
 
 # Primary metric of each training target and the text its log shows.
 # (target, metric, name in the log, better direction)
@@ -23,6 +28,10 @@ PRIMARY_METRICS = [
 ]
 
 
+#: Below this a double may not hold six digits.
+TINY = 1e-300
+
+
 @F.arrow_udf(T.StringType())
 def _exact_general(values: pa.Array) -> pa.Array:
     return pa.array([None if v is None else format(v, ".6g") for v in values.to_pylist()], pa.string())
@@ -32,7 +41,8 @@ def format_value(value: Column, exact: bool = True) -> Column:
     """Six significant digits without trailing zeros, as C's ``%.6g``.
 
     The JVM rounds the shortest decimal form of a double. That differs from C only
-    where the seventh and last digit is a 5, so only those values are sent to Python.
+    where the seventh and last digit is a 5, and for doubles too small to have six exact
+    digits, so only those values are sent to Python.
     """
     padded = F.format_string("%.6g", value)
     short = F.regexp_replace(padded, r"(\.\d*?)0+(e|$)", "$1$2")
@@ -46,9 +56,10 @@ def format_value(value: Column, exact: bool = True) -> Column:
     if not exact:
         return text
     mantissa = F.regexp_replace(F.regexp_replace(value.cast("string"), r"E.*$", ""), r"[-.]", "")
-    digits = F.regexp_replace(mantissa, r"^0+", "")
-    tie = F.length(digits).eqNullSafe(7) & digits.endswith("5")
-    return F.coalesce(_exact_general(F.when(tie, value)), text)
+    digits = F.regexp_replace(mantissa, r"^0+|0+$", "")
+    tie = (F.length(digits) == 7) & digits.endswith("5")
+    tiny = (F.abs(value) < TINY) & (value != 0)
+    return F.coalesce(_exact_general(F.when(tie | tiny, value)), text)
 
 
 def is_metric_name(name: Column) -> Column:
@@ -71,8 +82,9 @@ def format_metric(
 
 def parse_metric(line: Column) -> Column:
     """First ``name=value`` of a line as struct(name, value); null unless value is a number."""
-    name = F.regexp_extract(line, LINE_PATTERN, 1)
-    value = F.regexp_extract(line, LINE_PATTERN, 2).try_cast("double")
+    found = F.regexp_extract(line, LINE_PATTERN, 0)
+    name = F.regexp_extract(found, LINE_PATTERN, 1)
+    value = F.regexp_extract(found, LINE_PATTERN, 2).try_cast("double")
     return F.when(value.isNotNull(), F.struct(name.alias("name"), value.alias("value")))
 
 
@@ -83,7 +95,7 @@ def parse_arch_metric(line: Column, arch: Column) -> Column:
     for shown in dict.fromkeys(m[2] for m in PRIMARY_METRICS):
         archs = [m[0] for m in PRIMARY_METRICS if m[2] == shown]
         metric = next(m[1] for m in PRIMARY_METRICS if m[2] == shown)
-        value = F.when(arch.isin(archs), F.regexp_extract(line, VALUE_AFTER.format(shown), 1)).otherwise(value)
+        value = F.when(arch.isin(archs), F.regexp_extract(line, shown + VALUE_AFTER, 1)).otherwise(value)
         name = F.when(arch.isin(archs), F.lit(metric)).otherwise(name)
     number = value.try_cast("double")
     return F.when(number.isNotNull(), F.struct(name.alias("name"), number.alias("value")))

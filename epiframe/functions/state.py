@@ -5,6 +5,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from epiframe.schema import named
+
 # Layout of the flat observation vector (first position, length).
 JOINT_POS = (0, 6)
 JOINT_VEL = (6, 6)
@@ -60,26 +62,22 @@ def motor_columns(df: DataFrame) -> list[str]:
     return sorted(c for c in df.columns if c.endswith(MOTOR_SUFFIX))
 
 
-def _named(column: str) -> Column:
-    return F.col(f"`{column}`")
-
-
 def motors_to_state(df: DataFrame, out: str = "observation.state") -> DataFrame:
     """Gather all motor position columns into one vector, in the order of their names."""
     motors = motor_columns(df)
-    vector = F.array(*[_named(c).cast("float") for c in motors])
-    return df.select(*[_named(c) for c in df.columns if c not in motors], vector.alias(out))
+    vector = F.array(*[named(c).cast("float") for c in motors])
+    return df.select(*[named(c) for c in df.columns if c not in motors], vector.alias(out))
 
 
 def action_to_columns(df: DataFrame, motor_names: Sequence[str], action: str = "action") -> DataFrame:
     """Spread an action vector over named motor columns, in the given order."""
     n = len(motor_names)
-    vector = _named(action)
+    vector = named(action)
     wrong = F.raise_error(
         F.concat(F.lit("action has "), F.size(vector).cast("string"), F.lit(f" values for {n} motors"))
     )
     checked = F.when(F.size(vector) == n, vector).otherwise(wrong.cast("array<double>"))
-    kept = [_named(c) for c in df.columns if c != action]
+    kept = [named(c) for c in df.columns if c != action]
     spread = [checked[i].cast("double").alias(f"{m}{MOTOR_SUFFIX}") for i, m in enumerate(motor_names)]
     return df.select(*kept, *spread)
 
@@ -88,7 +86,7 @@ def rename_image_columns(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Prefix every column that is neither a motor position nor listed in ``keep``."""
     return df.select(
         *[
-            _named(c) if c.endswith(MOTOR_SUFFIX) or c in keep else _named(c).alias(IMAGE_PREFIX + c)
+            named(c) if c.endswith(MOTOR_SUFFIX) or c in keep else named(c).alias(IMAGE_PREFIX + c)
             for c in df.columns
         ]
     )

@@ -13,9 +13,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from epiframe.schema import EPISODE, POSITION
+from epiframe.schema import EPISODE, POSITION, named
 
 CHUNK = 4096
+#: Most rows of a one-row-per-key table that are broadcast.
+BROADCAST_KEYS = 1_000_000
 
 
 def chunk_of(pos: str, chunk: int = CHUNK) -> Column:
@@ -51,7 +53,7 @@ def with_halo(
     if len(places) == 1:
         return df.withColumns({"_chunk": home, "_halo": F.lit(False)})
     placed = df.withColumn("_place", F.explode(F.array_compact(F.array(*places))))
-    return placed.select(*df.columns, "_place._chunk", "_place._halo")
+    return placed.select(*[named(c) for c in df.columns], "_place._chunk", "_place._halo")
 
 
 def chunk_window(keys: Sequence[str] = EPISODE, pos: str = POSITION):
@@ -70,12 +72,17 @@ def join_by_chunk(
     pos: str = POSITION,
     chunk: int = CHUNK,
     how: str = "inner",
+    keyed_rows: int | None = None,
 ) -> DataFrame:
     """Join rows to a one-row-per-key table without gathering a key in one task.
 
     ``keyed[length]`` is the number of positions of the key; its row is repeated
-    once per chunk, and the join runs on (key, chunk).
+    once per chunk, and the join runs on (key, chunk). A caller that has counted
+    ``keyed`` passes its size, and a table small enough is broadcast instead.
     """
+    if keyed_rows is not None and keyed_rows <= BROADCAST_KEYS:
+        small = keyed.select(*keys) if how in ("left_semi", "left_anti") else keyed
+        return rows.join(F.broadcast(small), list(keys), how)
     last = F.floor((F.col(length) - 1) / F.lit(chunk))
     spread = keyed.withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("long"), last)))
     if how in ("left_semi", "left_anti"):

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from epiframe.functions.randomness import random_vector
 from epiframe.operators.chunked import CHUNK, chunk_window, drop_halo, with_halo
-from epiframe.schema import EPISODE, POSITION
+from epiframe.schema import EPISODE, POSITION, named
 
 # Defaults of the control loop.
 STUCK_EPS = 1e-4
@@ -42,19 +42,19 @@ def stuck_actions(
     them does not. Only ``warn_steps + 1`` earlier rows matter, so chunks with a halo
     replace a running count over the episode.
     """
-    placed = with_halo(frames.select(*keys, pos, action), keys, pos, max(chunk, warn_steps + 1), before=warn_steps + 1)
+    placed = with_halo(frames.select(*keys, pos, named(action)), keys, pos, max(chunk, warn_steps + 1), before=warn_steps + 1)
     w = chunk_window(keys, pos)
-    same = placed.withColumn("_same", same_action(F.col(action), F.lag(action).over(w), eps))
+    same = placed.withColumn("_same", same_action(named(action), F.lag(named(action)).over(w), eps))
     repeats = F.sum(F.col("_same").cast("int")).over(w.rowsBetween(1 - warn_steps, 0))
     longer = F.coalesce(F.lag("_same", warn_steps).over(w), F.lit(False))
     flagged = same.withColumns({"_repeats": repeats, "_longer": longer})
     hits = flagged.where((F.col("_repeats") == warn_steps) & ~F.col("_longer"))
-    return drop_halo(hits).select(*keys, pos, F.lit(warn_steps).cast("long").alias("repeat_count"), action)
+    return drop_halo(hits).select(*keys, pos, F.lit(warn_steps).cast("long").alias("repeat_count"), named(action))
 
 
 def nan_actions(frames: DataFrame, action: str = "action", keys: Sequence[str] = EPISODE) -> DataFrame:
     """Frames per episode whose action holds a NaN, which the stuck check never reports."""
-    bad = F.exists(action, lambda x: F.isnan(x.cast("double")))
+    bad = F.exists(named(action), lambda x: F.isnan(x.cast("double")))
     return frames.groupBy(*keys).agg(F.count_if(bad).alias("nan_frames"))
 
 
@@ -62,7 +62,7 @@ def relative_target_check(
     frames: DataFrame, max_delta: float = MAX_RELATIVE_TARGET, action: str = "action", state: str = "state"
 ) -> DataFrame:
     """Add the number of joints asked to move too far and the action clipped to the limit."""
-    a, s = F.col(action), F.col(state)
+    a, s = named(action), named(state)
     over = F.zip_with(a, s, lambda x, y: F.abs(x - y) > max_delta)
     clipped = F.zip_with(a, s, lambda x, y: F.greatest(y - max_delta, F.least(y + max_delta, x)))
     return frames.withColumns({"n_over": F.size(F.filter(over, lambda c: c)), "clipped": clipped})
@@ -126,7 +126,7 @@ def score_policy(
     """
     if load_policy is None:
         return random_actions(frames, dim=out_dim, seed=seed, keys=keys, pos=pos, out=out).select(*keys, pos, out)
-    narrow = frames.select(*keys, pos, *[F.col(f"`{c}`") for c in observations])
+    narrow = frames.select(*keys, pos, *[named(c) for c in observations])
     kept = [narrow.schema[c] for c in (*keys, pos)]
     schema = T.StructType([*kept, T.StructField(out, T.ArrayType(T.DoubleType()))])
 

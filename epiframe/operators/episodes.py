@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from epiframe.operators.chunked import CHUNK, chunk_of, chunk_window, drop_halo, join_by_chunk, with_halo
-from epiframe.schema import EPISODE, FPS, POSITION
+from epiframe.schema import EPISODE, FPS, POSITION, named
 
 # Defaults of the episode filters.
 MIN_EPISODE_LENGTH = 50
@@ -45,7 +45,7 @@ def feature_stats(frames: DataFrame, dims: Mapping[str, int]) -> DataFrame:
     aggs, rows = [], []
     for feature, n in dims.items():
         for i in range(n):
-            x = F.col(f"`{feature}`")[i].cast("double")
+            x = named(feature)[i].cast("double")
             p = f"_{len(rows)}"
             aggs += [
                 F.count(x).alias(f"{p}n"), F.min(x).alias(f"{p}lo"), F.max(x).alias(f"{p}hi"),
@@ -67,7 +67,7 @@ def normalize_actions(frames: DataFrame, dims: int, action: str = "action", boun
     The method is ours. ``bounds`` is a one-row table (low array, high array); by
     default it is taken from the frames and enters the plan as a scalar subquery.
     """
-    a = F.col(f"`{action}`")
+    a = named(action)
     if bounds is None:
         values = [a[i].cast("double") for i in range(dims)]
         bounds = frames.agg(
@@ -112,8 +112,8 @@ def align_obs_action(
     the last step is not used.
     """
     placed = with_halo(steps, keys, pos, chunk, before=1)
-    seen = F.lag(next_obs).over(chunk_window(keys, pos))
-    seen = F.when(F.col(pos) == 0, F.col(reset_obs)).otherwise(seen)
+    seen = F.lag(named(next_obs)).over(chunk_window(keys, pos))
+    seen = F.when(F.col(pos) == 0, named(reset_obs)).otherwise(seen)
     return drop_halo(placed.withColumn(out, seen)).drop(reset_obs, next_obs)
 
 
@@ -156,7 +156,7 @@ def assign_episode_ids(
     position = F.col("_base") + F.col("_i")
     last_end = F.coalesce(F.col("_base") + F.col("_last_end"), F.col("_end_at"), F.lit(-1))
     return joined.select(
-        *steps.columns,
+        *[named(c) for c in steps.columns],
         (F.col("_episodes") + F.col("_ended")).cast("long").alias("episode_index"),
         (position - last_end - 1).cast("long").alias("frame_index"),
     )

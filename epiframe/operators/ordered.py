@@ -68,11 +68,11 @@ def _with_offset(df: DataFrame, classes: Classes, total: Column) -> DataFrame:
 
 
 def running_total(
-    df: DataFrame, order: str, amount: str, out: str, rows_per_class: int = ROWS_PER_CLASS
+    df: DataFrame, order: str, amount: str, out: str, rows: int, rows_per_class: int = ROWS_PER_CLASS
 ) -> DataFrame:
     """Exclusive running sum of the integer column ``amount`` in the order of a unique key."""
     df = df.withColumn("_order", F.col(order).cast("double"))
-    classes = classes_of(df, "_order", df.count(), rows_per_class)
+    classes = classes_of(df, "_order", rows, rows_per_class)
     placed = _with_offset(classes.assign(df), classes, F.sum(amount))
     before = W.partitionBy("_class").orderBy(order).rowsBetween(W.unboundedPreceding, -1)
     inside = F.coalesce(F.sum(amount).over(before), F.lit(0))

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from epiframe.operators.chunked import CHUNK, chunk_window, drop_halo, join_by_chunk, with_halo
 from epiframe.operators.episodes import episode_lengths
-from epiframe.schema import EPISODE, FPS, POSITION
+from epiframe.schema import EPISODE, FPS, POSITION, named
 from epiframe.storage import pin
 
 # Parameters of the spectral arc length as published.
@@ -77,7 +77,7 @@ def _sal_udf(dims: int, fps: float):
 
 def _sal_whole(frames: DataFrame, dims: int, action: str, keys: Sequence[str], pos: str, fps: float) -> DataFrame:
     """One row per episode, scored in Arrow batches; for episodes of bounded length."""
-    step = F.struct(F.col(pos).alias("i"), F.col(action).cast("array<double>").alias("a"))
+    step = F.struct(F.col(pos).alias("i"), named(action).cast("array<double>").alias("a"))
     gathered = frames.groupBy(*keys).agg(F.sort_array(F.collect_list(step)).alias("_steps"))
     flat = F.flatten(F.transform("_steps", lambda s: s["a"]))
     return gathered.select(*keys, _sal_udf(dims, fps)(flat).alias("sal"))
@@ -88,10 +88,10 @@ def step_speed(
     chunk: int = CHUNK,
 ) -> DataFrame:
     """Distance from each frame's action to the next one in its episode."""
-    placed = with_halo(frames.select(*keys, pos, action), keys, pos, chunk, after=1)
-    follows = placed.withColumn("_next", F.lead(action).over(chunk_window(keys, pos)))
+    placed = with_halo(frames.select(*keys, pos, named(action)), keys, pos, chunk, after=1)
+    follows = placed.withColumn("_next", F.lead(named(action)).over(chunk_window(keys, pos)))
     moved = drop_halo(follows).where(F.col("_next").isNotNull())
-    squares = [F.pow(F.col("_next")[i].cast("double") - F.col(action)[i].cast("double"), F.lit(2.0)) for i in range(dims)]
+    squares = [F.pow(F.col("_next")[i].cast("double") - named(action)[i].cast("double"), F.lit(2.0)) for i in range(dims)]
     return moved.select(*keys, pos, F.sqrt(sum(squares[1:], squares[0])).alias("speed"))
 
 
@@ -159,10 +159,17 @@ def sal(
     pos: str = POSITION,
     fps: float = FPS,
     whole_episode: int = WHOLE_EPISODE,
+    longest: int | None = None,
 ) -> DataFrame:
-    """Spectral arc length per episode; 0 for fewer than two steps or no motion."""
-    narrow = frames.select(*keys, pos, action)
-    if narrow.where(F.col(pos) >= whole_episode).isEmpty():
+    """Spectral arc length per episode; 0 for fewer than two steps or no motion.
+
+    ``longest`` is the length of the longest episode, if known; otherwise the frames
+    are searched for a position beyond ``whole_episode``.
+    """
+    narrow = frames.select(*keys, pos, named(action))
+    if longest is None:
+        longest = 0 if narrow.where(F.col(pos) >= whole_episode).isEmpty() else whole_episode + 1
+    if longest <= whole_episode:
         return _sal_whole(narrow, dims, action, keys, pos, fps)
     sized = join_by_chunk(narrow, episode_lengths(narrow, keys), "length", keys, pos)
     short = sized.where(F.col("length") <= whole_episode).drop("length")
@@ -172,7 +179,7 @@ def sal(
 
 
 def _cohort(frames: DataFrame, dims: int, action: str, pos: str) -> DataFrame:
-    values = [F.col(action)[i].cast("double") for i in range(dims)]
+    values = [named(action)[i].cast("double") for i in range(dims)]
     return frames.groupBy(pos).agg(
         F.array(*[F.avg(v) for v in values]).alias("_mu"), F.array(*[F.stddev_pop(v) for v in values]).alias("_sd")
     )
@@ -185,23 +192,28 @@ def ted(
     keys: Sequence[str] = EPISODE,
     pos: str = POSITION,
     broadcast_rows: int = BROADCAST_ROWS,
+    longest: int | None = None,
 ) -> DataFrame:
     """Mean over an episode's frames of the root mean squared z-score against the cohort.
 
     The cohort table has one row per frame index. It is broadcast while it has at
     most ``broadcast_rows`` rows; a longer one is joined on a salted frame index, as
-    the first indices are shared by every episode.
+    the first indices are shared by every episode. ``longest`` is the length of the
+    longest episode, if known.
     """
-    narrow = frames.select(*keys, pos, action)
-    cohort = pin(_cohort(narrow, dims, action, pos))
-    if cohort.count() <= broadcast_rows:
+    narrow = frames.select(*keys, pos, named(action))
+    cohort = _cohort(narrow, dims, action, pos)
+    if longest is None:
+        cohort = pin(cohort)
+        longest = cohort.count()
+    if longest <= broadcast_rows:
         joined = narrow.join(F.broadcast(cohort), pos)
     else:
         salts = F.explode(F.sequence(F.lit(0), F.lit(COHORT_SALTS - 1)))
         salted = cohort.withColumn("_salt", salts)
         salt = F.pmod(F.xxhash64(*keys), F.lit(COHORT_SALTS)).cast("int")
         joined = narrow.withColumn("_salt", salt).join(salted, [pos, "_salt"])
-    return joined.groupBy(*keys).agg(F.avg(_deviation(F.col(action), F.col("_mu"), F.col("_sd"), dims)).alias("ted"))
+    return joined.groupBy(*keys).agg(F.avg(_deviation(named(action), F.col("_mu"), F.col("_sd"), dims)).alias("ted"))
 
 
 def _deviation(action: Column, mean: Column, spread: Column, dims: int) -> Column:

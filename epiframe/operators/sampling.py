@@ -11,6 +11,7 @@ from epiframe.operators.chunked import join_by_chunk
 from epiframe.operators.ordered import ROWS_PER_CLASS, running_total
 from epiframe.operators.windows import STRIDE
 from epiframe.schema import EPISODE
+from epiframe.storage import pin
 
 HASH_DIGITS = 15
 #: Leading hex digits of the shuffle key that name a bucket: 65536 buckets.
@@ -31,11 +32,17 @@ def number_windows(
     A window's place within its episode is start / stride, so only the number of
     windows of earlier episodes is needed: a running total with one row per episode.
     """
-    counts = windows.groupBy(key).agg(F.count("*").alias("_n"))
-    offsets = running_total(counts, key, "_n", "_offset", rows_per_class)
+    return _numbered(windows, stride, key, out, rows_per_class)[0]
+
+
+def _numbered(windows: DataFrame, stride: int, key: str, out: str, rows_per_class: int) -> tuple[DataFrame, int]:
+    """The numbered windows and how many there are."""
+    counts = pin(windows.groupBy(key).agg(F.count("*").alias("_n")))
+    episodes, total = counts.agg(F.count("*"), F.coalesce(F.sum("_n"), F.lit(0))).first()
+    offsets = running_total(counts, key, "_n", "_offset", episodes, rows_per_class)
     placed = windows.withColumn("_ordinal", F.floor(F.col("start") / F.lit(stride)))
-    joined = join_by_chunk(placed, offsets, "_n", [key], "_ordinal")
-    return joined.withColumn(out, F.col("_offset") + F.col("_ordinal")).drop("_offset", "_ordinal", "_n")
+    joined = join_by_chunk(placed, offsets, "_n", [key], "_ordinal", keyed_rows=episodes)
+    return joined.withColumn(out, F.col("_offset") + F.col("_ordinal")).drop("_offset", "_ordinal", "_n"), total
 
 
 def epoch_batches(
@@ -89,8 +96,8 @@ def sample_windows(
     A draw is a hash of (seed, draw) modulo the number of windows, joined on the dense
     window number: both sides of the join are spread evenly.
     """
-    numbered = number_windows(windows, stride, key)
-    total = windows.agg(F.count("*")).scalar()
-    draws = windows.sparkSession.range(n).withColumnRenamed("id", "draw")
-    picked = draws.withColumn("window_id", F.pmod(hash_int(seed, F.col("draw"), digits=HASH_DIGITS), total))
+    numbered, total = _numbered(windows, stride, key, "window_id", ROWS_PER_CLASS)
+    draws = windows.sparkSession.range(n if total else 0).withColumnRenamed("id", "draw")
+    drawn = F.pmod(hash_int(seed, F.col("draw"), digits=HASH_DIGITS), F.lit(max(total, 1)))
+    picked = draws.withColumn("window_id", drawn)
     return picked.join(numbered, "window_id")

@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from epiframe.functions.images import row_bytes
 from epiframe.functions.metrics import PRIMARY_METRICS
 from epiframe.operators.ordered import ROWS_PER_CLASS, running_total
+from epiframe.storage import pin
 
 #: Longest index list that is sent to every executor.
 BROADCAST_INDICES = 1_000_000
@@ -54,12 +55,12 @@ def renumber_episodes(
 
     Returns the map (source, episode_index, merged_index).
     """
-    episodes = frames.select(tag, key).distinct()
+    episodes = pin(frames.select(tag, key).distinct())
     sources = episodes.groupBy(tag).count().collect()
     parts, before = [], 0
     for name, count in sorted((r[tag], r["count"]) for r in sources):
         one = episodes.where(F.col(tag) == name).withColumn("_one", F.lit(1).cast("long"))
-        numbered = running_total(one, key, "_one", "_at", rows_per_class)
+        numbered = running_total(one, key, "_one", "_at", count, rows_per_class)
         parts.append(numbered.select(tag, key, (F.col("_at") + before).alias("merged_index")))
         before += count
     merged = parts[0]
@@ -109,9 +110,10 @@ def size_budget(
     """
     limit = int(max_gb * 1e9)
     sized = df.select(F.col(index), row_bytes(df).alias("_bytes")).withColumn("_chunk", F.floor(F.col(index) / F.lit(chunk)))
-    chunks = sized.groupBy("_chunk").agg(F.count("*").alias("_n"), F.sum("_bytes").alias("_bytes"))
-    running = running_total(chunks, "_chunk", "_bytes", "_bytes_before", rows_per_class)
-    running = running_total(running, "_chunk", "_n", "_rows_before", rows_per_class)
+    chunks = pin(sized.groupBy("_chunk").agg(F.count("*").alias("_n"), F.sum("_bytes").alias("_bytes")))
+    n_chunks = chunks.count()
+    running = running_total(chunks, "_chunk", "_bytes", "_bytes_before", n_chunks, rows_per_class)
+    running = running_total(running, "_chunk", "_n", "_rows_before", n_chunks, rows_per_class)
     crossing = (F.col("_bytes_before") <= limit) & (F.col("_bytes_before") + F.col("_bytes") > limit)
     start = F.struct("_chunk", "_bytes_before", "_rows_before")
     total = running.agg(

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from epiframe.operators.chunked import CHUNK, chunk_window, drop_halo, with_halo
-from epiframe.schema import EPISODE, POSITION
+from epiframe.schema import EPISODE, POSITION, named
 
 # Window length, distance between starts, and head-window length.
 WINDOW_SIZE = 16
@@ -30,8 +30,8 @@ def sliding_windows(
     """
     chunk = max(stride, size, chunk - chunk % stride)
     chunk += -chunk % stride
-    placed = with_halo(frames.select(*keys, pos, *columns), keys, pos, chunk, after=max(size - stride, 0))
-    step = F.struct(F.col(pos), *[F.col(f"`{c}`") for c in columns])
+    placed = with_halo(frames.select(*keys, pos, *[named(c) for c in columns]), keys, pos, chunk, after=max(size - stride, 0))
+    step = F.struct(F.col(pos), *[named(c) for c in columns])
     gathered = placed.groupBy(*keys, "_chunk").agg(F.sort_array(F.collect_list(step)).alias("_steps"))
     count = F.size("_steps")
     last = F.least(count - size, F.lit(chunk - stride))
@@ -57,7 +57,7 @@ def head_truncate(
     """
     head = frames.where(F.col(pos) < cap)
     common = head.groupBy(*keys).agg(F.count("*").alias("_n")).agg(F.min("_n").alias("_n")).scalar()
-    step = F.struct(F.col(pos), *[F.col(f"`{c}`") for c in columns])
+    step = F.struct(F.col(pos), *[named(c) for c in columns])
     kept = head.where(F.col(pos) < common)
     return kept.groupBy(*keys).agg(F.sort_array(F.collect_list(step)).alias("steps")).select(
         *keys, F.lit(0).cast("long").alias("start"), "steps"
@@ -104,8 +104,8 @@ def transitions(
     chunk: int = CHUNK,
 ) -> DataFrame:
     """(state, action, next state) for every frame that has a successor in its episode."""
-    placed = with_halo(frames.select(*keys, pos, state, action), keys, pos, chunk, after=1)
-    follows = F.lead(state).over(chunk_window(keys, pos))
+    placed = with_halo(frames.select(*keys, pos, named(state), named(action)), keys, pos, chunk, after=1)
+    follows = F.lead(named(state)).over(chunk_window(keys, pos))
     return drop_halo(placed.withColumn("next_state", follows)).where(F.col("next_state").isNotNull())
 
 
@@ -124,7 +124,7 @@ def window_transitions(windows: DataFrame, state: str = "state", action: str = "
 
 def transition_mse(df: DataFrame, pred: str, target: str) -> DataFrame:
     """Mean squared error over all rows and dimensions, as one row ``mse``."""
-    p, t = F.col(f"`{pred}`"), F.col(f"`{target}`")
+    p, t = named(pred), named(target)
     squares = F.zip_with(p, t, lambda a, b: (a.cast("double") - b.cast("double")) * (a.cast("double") - b.cast("double")))
     error = F.aggregate(squares, F.lit(0.0), lambda acc, x: acc + x)
     return df.agg((F.sum(error) / F.sum(F.size(t))).alias("mse"), F.sum(F.size(t)).alias("n_values"))

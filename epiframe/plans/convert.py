@@ -3,12 +3,11 @@
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from epiframe.functions.images import resize_bytes
 from epiframe.operators.episodes import normalize_actions
 from epiframe.operators.windows import STRIDE, WINDOW_SIZE, sliding_windows
-from epiframe.schema import EPISODE
+from epiframe.schema import EPISODE, named
 from epiframe.storage import is_complete
 
 # Image size per training target.
@@ -17,7 +16,7 @@ IMAGE_SIZES = {"dreamerv3": (64, 64), "le_world_model": (96, 96)}
 
 def resize_frames(frames: DataFrame, shapes: Mapping[str, Sequence[int]], size: tuple[int, int]) -> DataFrame:
     """Resize every image column named in ``shapes`` (column: height, width, channels)."""
-    resized = {c: resize_bytes(F.col(f"`{c}`"), *shape, *size) for c, shape in shapes.items()}
+    resized = {c: resize_bytes(named(c), *shape, *size) for c, shape in shapes.items()}
     return frames.withColumns(resized)
 
 

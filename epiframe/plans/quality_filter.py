@@ -7,10 +7,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from epiframe.operators.chunked import join_by_chunk
-from epiframe.operators.episodes import MIN_EPISODE_LENGTH, episode_lengths, filter_min_length
+from epiframe.operators.episodes import MIN_EPISODE_LENGTH, episode_lengths
 from epiframe.operators.ordered import ROWS_PER_CLASS, percentile_of, rank_below
 from epiframe.operators.quality import sal, ted
-from epiframe.schema import EPISODE, FPS, POSITION
+from epiframe.schema import EPISODE, FPS, POSITION, named
 from epiframe.sources.frames import DatasetNotFound, read_frames, write_frames
 from epiframe.storage import exists, pin
 
@@ -21,7 +21,9 @@ SCORE_DECIMALS = 9
 STRATEGIES = ("composite", "sal", "ted")
 
 
-def badness(scores: DataFrame, strategy: str, keys: Sequence[str], rows_per_class: int = ROWS_PER_CLASS) -> DataFrame:
+def badness(
+    scores: DataFrame, strategy: str, keys: Sequence[str], rows: int, rows_per_class: int = ROWS_PER_CLASS
+) -> DataFrame:
     """Add a rank in [0, 1] per episode, 1 being the worst (the composite is ours).
 
     Scores are compared to nine decimals, so that the last bits of a sum do not
@@ -29,7 +31,6 @@ def badness(scores: DataFrame, strategy: str, keys: Sequence[str], rows_per_clas
     """
     if strategy not in STRATEGIES:
         raise ValueError(f"strategy is one of {STRATEGIES}, not {strategy!r}")
-    rows = scores.count()
     ranked = scores.withColumn("_sal", -F.round("sal", SCORE_DECIMALS)).withColumn("_ted", F.round("ted", SCORE_DECIMALS))
     used = {"composite": ["_sal", "_ted"], "sal": ["_sal"], "ted": ["_ted"]}[strategy]
     for name in used:
@@ -50,23 +51,27 @@ def judge_episodes(
     pos: str = POSITION,
     fps: float = FPS,
     rows_per_class: int = ROWS_PER_CLASS,
+    lengths: DataFrame | None = None,
 ) -> DataFrame:
     """One row per episode of sufficient length: scores, badness, and whether it is kept.
 
     Scores are pinned, as ranks, the cut and the result must all see the same values.
+    ``lengths`` is the table of episode lengths, if it has been computed and pinned.
     """
-    scored = filter_min_length(frames.select(*keys, pos, action), min_episode_length, keys, pos)
-    lengths = episode_lengths(scored, keys)
-    scores = pin(
-        sal(scored, dims, action, keys, pos, fps)
-        .join(ted(scored, dims, action, keys, pos), list(keys))
-        .join(lengths, list(keys))
-    )
-    ranked = pin(badness(scores, strategy, keys, rows_per_class))
+    if lengths is None:
+        lengths = pin(episode_lengths(frames, keys))
+    long_enough = lengths.where(F.col("length") >= min_episode_length)
+    rows, longest = long_enough.agg(F.count("*"), F.coalesce(F.max("length"), F.lit(0))).first()
+    narrow = frames.select(*keys, pos, named(action))
+    scored = join_by_chunk(narrow, long_enough, "length", keys, pos, how="left_semi", keyed_rows=rows)
+    smoothness = sal(scored, dims, action, keys, pos, fps, longest=longest)
+    deviation = ted(scored, dims, action, keys, pos, longest=longest)
+    scores = pin(smoothness.join(deviation, list(keys)).join(long_enough, list(keys)))
+    ranked = pin(badness(scores, strategy, keys, rows, rows_per_class))
     percent = int(sal_threshold * 100)
     kept = F.col("ted") <= ted_threshold
     if percent > 0:
-        cut = percentile_of(ranked, "badness", 1 - percent / 100, ranked.count(), rows_per_class)
+        cut = percentile_of(ranked, "badness", 1 - percent / 100, rows, rows_per_class)
         if cut is not None:
             kept = kept & (F.col("badness") <= F.lit(cut))
     return ranked.withColumn("kept", kept)
@@ -83,11 +88,11 @@ def quality_filter(frames: DataFrame, dims: int, **options) -> tuple[DataFrame,
     """Frames of the kept episodes, and a one-row report (kept, removed)."""
     keys = options.get("keys", EPISODE)
     pos = options.get("pos", POSITION)
-    judged = pin(judge_episodes(frames, dims, **options))
-    kept = judged.where("kept")
-    total = episode_lengths(frames, keys).agg(F.count("*")).scalar()
-    report = kept.agg(F.count("*").alias("kept")).withColumn("removed", total - F.col("kept"))
-    return join_by_chunk(frames, kept, "length", keys, pos, how="left_semi"), report
+    lengths = pin(episode_lengths(frames, keys))
+    kept = judge_episodes(frames, dims, lengths=lengths, **options).where("kept")
+    episodes = lengths.count()
+    report = kept.agg(F.count("*").alias("kept")).withColumn("removed", F.lit(episodes) - F.col("kept"))
+    return join_by_chunk(frames, kept, "length", keys, pos, how="left_semi", keyed_rows=episodes), report
 
 
 def filter_dataset(

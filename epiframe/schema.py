@@ -1,5 +1,7 @@
 """The frame table and the fixed values its format prescribes."""
 
+from pyspark.sql import Column
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Fixed values of the recording format.
@@ -15,6 +17,11 @@ EPISODE = ("episode_index",)
 POSITION = "frame_index"
 
 
+def named(column: str) -> Column:
+    """A column by its whole name; dots in it are part of the name."""
+    return F.col(f"`{column}`")
+
+
 def _field(name, dtype, shape=None, names=None):
     meta = {}
     if shape is not None:

@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from epiframe.operators.chunked import CHUNK, with_halo
 from epiframe.operators.control import STUCK_EPS, STUCK_STEPS
-from epiframe.schema import EPISODE, POSITION
+from epiframe.schema import EPISODE, POSITION, named
 
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -65,7 +65,7 @@ def stream_stuck_actions(
     """
     spark = frames.sparkSession
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
-    narrow = frames.select(*keys, pos, frames[action].cast("array<double>").alias(action))
+    narrow = frames.select(*keys, pos, named(action).cast("array<double>").alias(action))
     size = max(chunk, warn_steps + 1)
     # Names that start with an underscore do not reach the state processor.
     placed = with_halo(narrow, keys, pos, size, before=warn_steps + 1).withColumnsRenamed(
