@@ -6,16 +6,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Fixed values of the metric line format. Letters and digits of any script count as
-# word characters and all Unicode spaces as spaces, hence the explicit classes.
+# word characters, and (?U) makes all Unicode spaces count as spaces.
 WORD = r"[\p{L}\p{N}_]"
-GAP = r"[=:\s\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+GAP = r"[=:\s\x1c-\x1f]"
 NUMBER = r"[0-9.eE+-]"
-NAME_PATTERN = rf"^(?=.*[\p{{L}}\p{{N}}]){WORD}+$"
+NAME_PATTERN = rf"\A(?=_*[\p{{L}}\p{{N}}]){WORD}+\z"
 STEP_PATTERN = r"#\s*step=(\d+)"
 # A match starts at the start of a word and never gives back a character it took, so
 # neither the lookbehind nor the possessive quantifiers change what is found.
-LINE_PATTERN = rf"(?<!{WORD})({WORD}++){GAP}++({NUMBER}+)"
-VALUE_AFTER = rf"{GAP}++({NUMBER}+)"
+LINE_PATTERN = rf"(?U)(?<!{WORD})({WORD}++){GAP}++({NUMBER}+)"
+VALUE_AFTER = rf"(?U){GAP}++({NUMBER}+)"
 
 # Primary metric of each training target and the text its log shows.
 # (target, metric, name in the log, better direction)
@@ -82,9 +82,8 @@ def format_metric(
 
 def parse_metric(line: Column) -> Column:
     """First ``name=value`` of a line as struct(name, value); null unless value is a number."""
-    found = F.regexp_extract(line, LINE_PATTERN, 0)
-    name = F.regexp_extract(found, LINE_PATTERN, 1)
-    value = F.regexp_extract(found, LINE_PATTERN, 2).try_cast("double")
+    name = F.regexp_extract(line, LINE_PATTERN, 1)
+    value = F.regexp_extract(line, LINE_PATTERN, 2).try_cast("double")
     return F.when(value.isNotNull(), F.struct(name.alias("name"), value.alias("value")))
 
 

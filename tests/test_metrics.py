@@ -41,7 +41,7 @@ def test_format_value_equals_python_on_many(spark):
     "name,valid",
     [
         ("pc_success", True), ("pc_success_v2", True), ("été", True), ("bad name", False), ("bad-name", False), ("bad.name", False),
-        ("___", False), ("", False), ("_a", True),
+        ("___", False), ("", False), ("_a", True), ("a\n", False), ("a__", True),
     ],
 )
 def test_names(spark, name, valid):
