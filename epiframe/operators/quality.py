@@ -26,9 +26,12 @@ PAD_LEVEL = 4
 
 #: Longest episode whose spectrum is computed in one piece; longer ones are split.
 WHOLE_EPISODE = 1 << 15
+#: Values in a block of a split spectrum.
+SPLIT_VALUES = 1 << 20
 #: Most rows of the cohort table that are broadcast.
 BROADCAST_ROWS = 100_000
-COHORT_SALTS = 64
+#: Episodes per salt of a frame index that is too long to broadcast.
+EPISODES_PER_SALT = 1 << 16
 
 
 def _padded(n) -> np.ndarray:
@@ -95,62 +98,95 @@ def step_speed(
     return moved.select(*keys, pos, F.sqrt(sum(squares[1:], squares[0])).alias("speed"))
 
 
-def _sal_split(speeds: DataFrame, keys: Sequence[str], pos: str, fps: float) -> DataFrame:
+def _sal_split(speeds: DataFrame, keys: Sequence[str], pos: str, fps: float, cell: int) -> DataFrame:
     """Spectral arc length of very long episodes, with no episode in one task.
 
-    The transform of length m = n1 * n2 is done in two rounds of short transforms
-    (Cooley-Tukey): every n2-th sample forms one group, then every output residue
-    forms one. Groups hold about sqrt(m) values.
+    The transform of length m = p * q is done in two rounds of short transforms
+    (Cooley-Tukey). The first takes samples q apart, the second one output residue
+    each; both work on blocks of about ``cell`` values, which are also the rows that
+    are shuffled. A block of residues carries the one before it, so that steps
+    between neighbouring frequencies stay inside a row.
     """
     totals = speeds.groupBy(*keys).agg(F.count("*").alias("_n"), F.sum("speed").alias("_total"))
     bits = F.ceil(F.log2(F.col("_n"))).cast("int") + PAD_LEVEL
     totals = totals.withColumn("_m", F.pow(F.lit(2.0), bits).cast("long"))
-    totals = totals.withColumn("_n2", F.pow(F.lit(2.0), F.floor(bits / 2)).cast("long"))
+    totals = totals.withColumn("_q", F.pow(F.lit(2.0), F.floor(bits / 2)).cast("long"))
     totals = pin(totals.withColumn("_last", F.floor(F.lit(CUTOFF_HZ) * F.col("_m") / F.lit(float(fps)))))
-    sized = join_by_chunk(speeds, totals.where("_n >= 2 AND _total > 0"), "_n", keys, pos)
-    residues = sized.withColumn("_r", F.pmod(F.col(pos), F.col("_n2")))
-    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in speeds.select(*keys).schema.fields)
+    episodes = totals.count()
+    moving = totals.where("_n >= 2 AND _total > 0")
+    sized = join_by_chunk(speeds, moving, "_n", keys, pos, keyed_rows=episodes)
+    together = F.greatest(F.lit(1), F.least(F.col("_q"), F.floor(F.lit(cell) * F.col("_q") / F.col("_m"))))
+    grouped = sized.withColumn("_part", F.floor(F.pmod(F.col(pos), F.col("_q")) / together))
+
     names = list(keys)
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in speeds.select(*keys).schema.fields)
+    carried = {"_q": "long", "_m": "long", "_last": "long", "_total": "double"}
+
+    def sizes(first: pd.Series) -> tuple[int, int, int, int]:
+        q, m = int(first["_q"]), int(first["_m"])
+        p = m // q
+        return p, q, max(1, min(q, cell // p)), max(1, min(p, cell // q))
 
-    def columns(pdf: pd.DataFrame) -> pd.DataFrame:
+    def strided(pdf: pd.DataFrame) -> pd.DataFrame:
         first = pdf.iloc[0]
-        n2, m, r = int(first["_n2"]), int(first["_m"]), int(first["_r"])
-        samples = np.zeros(m // n2)
-        samples[pdf[pos].to_numpy() // n2] = pdf["speed"].to_numpy()
-        k1 = np.arange(m // n2)
-        found = np.fft.fft(samples) * np.exp(-2j * np.pi * ((r * k1) % m) / m)
-        out = pd.DataFrame({"_k1": k1, "_r": r, "_re": found.real, "_im": found.imag})
-        for c in (*names, "_n2", "_m", "_last", "_total"):
-            out[c] = first[c]
-        return out
-
-    def rows(pdf: pd.DataFrame) -> pd.DataFrame:
+        p, q, depth, width = sizes(first)
+        r0 = int(first["_part"]) * depth
+        at = pdf[pos].to_numpy()
+        samples = np.zeros((depth, p))
+        samples[at % q - r0, at // q] = pdf["speed"].to_numpy()
+        turns = np.outer(r0 + np.arange(depth), np.arange(p)) % (p * q)
+        found = np.fft.fft(samples, axis=1) * np.exp(-2j * np.pi * turns / (p * q))
+        blocks = range(p // width)
+        pieces = [found[:, np.arange(b * width - 1, (b + 1) * width) % p].reshape(-1) for b in blocks]
+        out = pd.DataFrame({"_block": list(blocks), "_part": int(first["_part"])})
+        out["_re"], out["_im"] = [z.real for z in pieces], [z.imag for z in pieces]
+        return out.assign(**{c: first[c] for c in (*names, *carried)})
+
+    def residues(pdf: pd.DataFrame) -> pd.DataFrame:
         first = pdf.iloc[0]
-        n2, n1 = int(first["_n2"]), int(first["_m"]) // int(first["_n2"])
-        values = np.zeros(n2, dtype=complex)
-        values[pdf["_r"].to_numpy()] = pdf["_re"].to_numpy() + 1j * pdf["_im"].to_numpy()
-        k = int(first["_k1"]) + n1 * np.arange(n2)
-        keep = k <= int(first["_last"])
-        out = pd.DataFrame({"_k": k[keep], "_mag": np.abs(np.fft.fft(values))[keep] / first["_total"]})
-        for c in names:
-            out[c] = first[c]
-        return out
-
-    carried = "_n2 long, _m long, _last long, _total double"
-    half = residues.groupBy(*keys, "_r").applyInPandas(columns, f"_k1 long, _r long, _re double, _im double, {kinds}, {carried}")
-    spectrum = half.groupBy(*keys, "_k1").applyInPandas(rows, f"_k long, _mag double, {kinds}")
+        p, q, depth, width = sizes(first)
+        block, last = int(first["_block"]), int(first["_last"])
+        values = np.zeros((q, width + 1), dtype=complex)
+        for part, re, im in zip(pdf["_part"], pdf["_re"], pdf["_im"]):
+            values[part * depth : (part + 1) * depth] = (np.asarray(re) + 1j * np.asarray(im)).reshape(depth, -1)
+        magnitude = np.abs(np.fft.fft(values, axis=0)) / float(first["_total"])
+        if block == 0:  # the residue before 0 is the last one of the previous round
+            magnitude[:, 0] = np.concatenate([[np.nan], magnitude[:-1, 0]])
+        starts = p * np.arange(q) + block * width
+        magnitude, starts = magnitude[starts <= last], starts[starts <= last]
+        k = starts[:, None] + np.arange(width)
+        above = np.where((magnitude[:, 1:] >= AMPLITUDE_FLOOR) & (k <= last), k, -1).max(axis=1, initial=-1)
+        out = pd.DataFrame({"_k": starts, "_edge": above})
+        out["_mags"] = list(magnitude)
+        return out.assign(**{c: first[c] for c in names})
+
+    carry = ", ".join(f"{c} {t}" for c, t in carried.items())
+    half = grouped.groupBy(*keys, "_part").applyInPandas(
+        strided, f"_block long, _part long, _re array<double>, _im array<double>, {kinds}, {carry}"
+    )
+    spectrum = half.groupBy(*keys, "_block").applyInPandas(residues, f"_k long, _edge long, _mags array<double>, {kinds}")
     spectrum = pin(spectrum)
-    edges = spectrum.where(F.col("_mag") >= AMPLITUDE_FLOOR).groupBy(*keys).agg(F.max("_k").alias("_edge"))
-    placed = with_halo(spectrum, keys, "_k", CHUNK, before=1)
-    steps = drop_halo(placed.withColumn("_step", F.col("_mag") - F.lag("_mag").over(chunk_window(keys, "_k"))))
-    inside = join_by_chunk(
-        steps.where("_k >= 1"), edges.withColumn("_bins", F.col("_edge") + 1), "_bins", keys, "_k"
-    ).where(F.col("_k") <= F.col("_edge"))
-    arc = F.sum(F.sqrt(F.pow(1.0 / F.col("_edge"), F.lit(2.0)) + F.pow(F.col("_step"), F.lit(2.0))))
-    lengths = inside.groupBy(*keys).agg((-arc).alias("sal"))
+    edges = spectrum.groupBy(*keys).agg(F.max("_edge").alias("_cut")).withColumn("_bins", F.col("_cut") + 1)
+    inside = join_by_chunk(spectrum, edges, "_bins", keys, "_k", keyed_rows=episodes).where(F.col("_k") <= F.col("_cut"))
+    lengths = inside.groupBy(*keys).agg((-F.sum(_run_length("_mags", "_k", "_cut"))).alias("sal"))
     return totals.select(*keys).join(lengths, list(keys), "left").select(*keys, F.coalesce("sal", F.lit(0.0)).alias("sal"))
 
 
+@F.arrow_udf(T.DoubleType())
+def _run_length(magnitudes: pa.Array, start: pa.Array, cut: pa.Array) -> pa.Array:
+    """Arc length of runs of neighbouring frequencies; the first value precedes ``start``."""
+    lengths = magnitudes.value_lengths().to_numpy(zero_copy_only=False)
+    values = magnitudes.flatten().to_numpy(zero_copy_only=False)
+    row = np.repeat(np.arange(len(lengths)), lengths)
+    place = np.arange(len(values)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    cuts = cut.to_numpy(zero_copy_only=False)[row]
+    k = start.to_numpy(zero_copy_only=False)[row] + place - 1
+    step = np.diff(values, prepend=np.nan)
+    used = (place >= 1) & (k >= 1) & (k <= cuts)
+    arcs = np.sqrt((1.0 / np.maximum(cuts, 1)) ** 2 + np.where(used, step, 0.0) ** 2)
+    return pa.array(np.bincount(row, np.where(used, arcs, 0.0), minlength=len(lengths)))
+
+
 def sal(
     frames: DataFrame,
     dims: int,
@@ -160,6 +196,7 @@ def sal(
     fps: float = FPS,
     whole_episode: int = WHOLE_EPISODE,
     longest: int | None = None,
+    cell: int = SPLIT_VALUES,
 ) -> DataFrame:
     """Spectral arc length per episode; 0 for fewer than two steps or no motion.
 
@@ -174,14 +211,16 @@ def sal(
     sized = join_by_chunk(narrow, episode_lengths(narrow, keys), "length", keys, pos)
     short = sized.where(F.col("length") <= whole_episode).drop("length")
     long = sized.where(F.col("length") > whole_episode).drop("length")
-    split = _sal_split(step_speed(long, dims, action, keys, pos), keys, pos, fps)
+    split = _sal_split(step_speed(long, dims, action, keys, pos), keys, pos, fps, cell)
     return _sal_whole(short, dims, action, keys, pos, fps).unionByName(split)
 
 
 def _cohort(frames: DataFrame, dims: int, action: str, pos: str) -> DataFrame:
     values = [named(action)[i].cast("double") for i in range(dims)]
     return frames.groupBy(pos).agg(
-        F.array(*[F.avg(v) for v in values]).alias("_mu"), F.array(*[F.stddev_pop(v) for v in values]).alias("_sd")
+        F.count("*").alias("_episodes"),
+        F.array(*[F.avg(v) for v in values]).alias("_mu"),
+        F.array(*[F.stddev_pop(v) for v in values]).alias("_sd"),
     )
 
 
@@ -193,13 +232,14 @@ def ted(
     pos: str = POSITION,
     broadcast_rows: int = BROADCAST_ROWS,
     longest: int | None = None,
+    episodes_per_salt: int = EPISODES_PER_SALT,
 ) -> DataFrame:
     """Mean over an episode's frames of the root mean squared z-score against the cohort.
 
-    The cohort table has one row per frame index. It is broadcast while it has at
-    most ``broadcast_rows`` rows; a longer one is joined on a salted frame index, as
-    the first indices are shared by every episode. ``longest`` is the length of the
-    longest episode, if known.
+    The cohort table has one row per frame index. Its first ``broadcast_rows`` rows are
+    broadcast: they are shared by the most episodes. Rows beyond, if any, are joined
+    on the frame index, salted as the most shared of them requires. ``longest`` is the
+    length of the longest episode, if known.
     """
     narrow = frames.select(*keys, pos, named(action))
     cohort = _cohort(narrow, dims, action, pos)
@@ -209,11 +249,16 @@ def ted(
     if longest <= broadcast_rows:
         joined = narrow.join(F.broadcast(cohort), pos)
     else:
-        salts = F.explode(F.sequence(F.lit(0), F.lit(COHORT_SALTS - 1)))
-        salted = cohort.withColumn("_salt", salts)
-        salt = F.pmod(F.xxhash64(*keys), F.lit(COHORT_SALTS)).cast("int")
-        joined = narrow.withColumn("_salt", salt).join(salted, [pos, "_salt"])
-    return joined.groupBy(*keys).agg(F.avg(_deviation(named(action), F.col("_mu"), F.col("_sd"), dims)).alias("ted"))
+        cohort = pin(cohort)
+        far = F.col(pos) >= broadcast_rows
+        shared = cohort.where(far).agg(F.max("_episodes")).first()[0]
+        salts = -(-shared // episodes_per_salt)
+        tail = cohort.where(far).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        salt = F.pmod(F.xxhash64(*keys), F.lit(salts)).cast("int")
+        near = narrow.where(~far).join(F.broadcast(cohort.where(~far)), pos)
+        joined = near.unionByName(narrow.where(far).withColumn("_salt", salt).join(tail, [pos, "_salt"]).drop("_salt"))
+    score = _deviation(named(action), F.col("_mu"), F.col("_sd"), dims)
+    return joined.groupBy(*keys).agg(F.avg(score).alias("ted"))
 
 
 def _deviation(action: Column, mean: Column, spread: Column, dims: int) -> Column:

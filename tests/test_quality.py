@@ -45,11 +45,11 @@ def test_sal(make_frames, episodes):
     assert got[22] < got[0] and got[21] == 0 and got[27] == 0
 
 
-@pytest.mark.parametrize("limit", [10, 55, 70])
-def test_split_spectrum_equals_whole(make_frames, episodes, limit):
+@pytest.mark.parametrize("limit,cell", [(10, 1 << 20), (10, 1), (55, 1 << 9), (70, 1 << 6)])
+def test_split_spectrum_equals_whole(make_frames, episodes, limit, cell):
     rng = np.random.default_rng(1)
     longer = {**episodes, 30: rng.normal(size=(700, 2)).tolist(), 31: [[1.0, 1.0]] * 300}
-    got = {r["episode_index"]: r["sal"] for r in sal(make_frames(longer), 2, whole_episode=limit).collect()}
+    got = {r["episode_index"]: r["sal"] for r in sal(make_frames(longer), 2, whole_episode=limit, cell=cell).collect()}
     assert got == {e: pytest.approx(sal_reference(a), abs=1e-9) for e, a in longer.items()}
 
 
@@ -66,9 +66,10 @@ def ted_reference(episodes):
     return out
 
 
-@pytest.mark.parametrize("broadcast_rows", [0, 1000])
-def test_ted(make_frames, episodes, broadcast_rows):
-    got = {r["episode_index"]: r["ted"] for r in ted(make_frames(episodes), 2, broadcast_rows=broadcast_rows).collect()}
+@pytest.mark.parametrize("broadcast_rows,per_salt", [(0, 3), (30, 1), (70, 1 << 16), (1000, 1 << 16)])
+def test_ted(make_frames, episodes, broadcast_rows, per_salt):
+    scores = ted(make_frames(episodes), 2, broadcast_rows=broadcast_rows, episodes_per_salt=per_salt)
+    got = {r["episode_index"]: r["ted"] for r in scores.collect()}
     assert got == {e: pytest.approx(v, abs=1e-9) for e, v in ted_reference(episodes).items()}
     assert max(got, key=got.get) in (25, 26, 27)
 
