@@ -79,8 +79,10 @@ def dequantize_array(image: Column) -> Column:
     return F.transform(image, lambda x: (x.cast("float") / F.lit(U8_MAX).cast("float")).cast("float"))
 
 
-def hwc_to_chw(image: Column, h: int, w: int, c: int) -> Column:
-    """Reorder an array image to channel-first when it has 1 or 3 channels."""
+def hwc_to_chw(image: Column, h: int, w: int, c: int, scale: bool = False) -> Column:
+    """Reorder an array image to channel-first when it has 1 or 3 channels; divide by 255 on request."""
+    if scale:
+        image = dequantize_array(image)
     if c not in (1, 3):
         return image
     area = h * w

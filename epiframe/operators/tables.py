@@ -8,7 +8,10 @@ from pyspark.sql import Window as W
 
 from epiframe.functions.images import row_bytes
 from epiframe.functions.metrics import PRIMARY_METRICS
-from epiframe.operators.ordered import ROWS_PER_CLASS, running_total
+from epiframe.operators.chunked import join_by_chunk
+from epiframe.operators.episodes import episode_lengths
+from epiframe.operators.ordered import ROWS_PER_CLASS, dense_index, running_total
+from epiframe.schema import POSITION
 from epiframe.storage import pin
 
 #: Longest index list that is sent to every executor.
@@ -48,25 +51,26 @@ def merge_sources(sources: dict[str, DataFrame], tag: str = "source") -> DataFra
     return merged
 
 
-def renumber_episodes(
-    frames: DataFrame, tag: str = "source", key: str = "episode_index", rows_per_class: int = ROWS_PER_CLASS
+def episode_numbers(
+    frames: DataFrame, keys: Sequence[str] = ("source", "episode_index"), out: str = "merged_index"
 ) -> DataFrame:
-    """Dense numbers over (source, episode), one row per episode (the numbering is ours).
+    """Dense numbers of all episodes in the order of their keys (the numbering is ours).
 
-    Returns the map (source, episode_index, merged_index).
+    One row per episode: the keys, ``length`` and the number.
     """
-    episodes = pin(frames.select(tag, key).distinct())
-    sources = episodes.groupBy(tag).count().collect()
-    parts, before = [], 0
-    for name, count in sorted((r[tag], r["count"]) for r in sources):
-        one = episodes.where(F.col(tag) == name).withColumn("_one", F.lit(1).cast("long"))
-        numbered = running_total(one, key, "_one", "_at", count, rows_per_class)
-        parts.append(numbered.select(tag, key, (F.col("_at") + before).alias("merged_index")))
-        before += count
-    merged = parts[0]
-    for part in parts[1:]:
-        merged = merged.unionByName(part)
-    return merged
+    return dense_index(episode_lengths(frames, keys), keys, out)
+
+
+def renumber_episodes(
+    frames: DataFrame,
+    keys: Sequence[str] = ("source", "episode_index"),
+    pos: str = POSITION,
+    out: str = "merged_index",
+) -> DataFrame:
+    """Add the dense episode number to every frame of a merged table."""
+    numbers = episode_numbers(frames, keys, out)
+    joined = join_by_chunk(frames, numbers, "length", keys, pos, keyed_rows=numbers.count())
+    return joined.drop("length")
 
 
 def thin_log(metrics: DataFrame, every: int = LOG_EVERY, total: int | None = None, step: str = "step") -> DataFrame:

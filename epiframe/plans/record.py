@@ -1,12 +1,14 @@
 """From a log of environment steps to a frame table."""
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from epiframe.operators.episodes import add_timestamp, align_obs_action, assign_episode_ids
+from epiframe.operators.tables import renumber_episodes
 from epiframe.schema import FPS
+from epiframe.sources.frames import read_frames, write_dataset_meta, write_frames
 
 
 def frames_from_steps(
@@ -21,3 +23,21 @@ def frames_from_steps(
     numbered = assign_episode_ids(steps, stream, seq, done)
     aligned = align_obs_action(numbered, [*stream, "episode_index"], "frame_index", out="state")
     return add_timestamp(aligned, fps).select(*stream, "episode_index", "frame_index", "timestamp", "state", "action")
+
+
+def record_dataset(
+    steps: DataFrame,
+    path: str,
+    dims: Mapping[str, int],
+    stream: Sequence[str] = ("stream_id",),
+    seq: str = "seq",
+    fps: float = FPS,
+) -> DataFrame:
+    """Write the episodes of all streams as one dataset, numbered densely, with its side tables."""
+    frames = frames_from_steps(steps, stream, seq, fps)
+    numbered = renumber_episodes(frames, [*stream, "episode_index"], out="_number")
+    stored = numbered.withColumn("episode_index", F.col("_number")).drop("_number", *stream)
+    write_frames(stored, path)
+    written = read_frames(steps.sparkSession, path, schema=None)
+    write_dataset_meta(written, path, dims, fps)
+    return written

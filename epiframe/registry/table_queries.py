@@ -10,6 +10,7 @@ from epiframe.operators.ordered import index_in_group
 from epiframe.operators.sampling import restore_order
 from epiframe.operators.windows import sliding_windows
 from epiframe.plans.convert import convert_to_windows, resize_frames
+from epiframe.plans.record import record_dataset as store_recording
 from epiframe.registry import views
 from epiframe.registry.episode_queries import stuck_frames
 from epiframe.schema import EPISODE
@@ -142,9 +143,8 @@ def dataset_meta(spark, sf):
     base = scratch_dir(spark)
     narrow = add_timestamp(views.frames(spark, sf)).select("episode_index", "frame_index", "timestamp", "action")
     frame_store.write_dataset_meta(narrow, base, {"action": 2}, 30)
-    return spark.read.parquet(f"{base}/info").crossJoin(
-        F.broadcast(spark.read.parquet(f"{base}/stats").agg(F.round(F.max("max"), 4).alias("largest_action")))
-    )
+    largest = spark.read.parquet(f"{base}/stats").agg(F.round(F.max("max"), 4)).scalar()
+    return spark.read.parquet(f"{base}/info").withColumn("largest_action", largest)
 
 
 def _facts(windows):
@@ -207,25 +207,25 @@ def dequantize_u8(spark, sf):
 
 
 def hwc_to_chw(spark, sf):
-    moved = images.hwc_to_chw(F.col("image"), 4, 4, 3)
+    moved = images.hwc_to_chw(F.col("image"), 8, 8, 3)
     out = views.images(spark, sf).select("row_index", F.posexplode(moved).alias("pos", "x"))
     return out.select("row_index", F.col("pos").cast("long").alias("pos"), F.round(F.col("x").cast("double"), 6).alias("x"))
 
 
 def hwc_to_chw_bytes(spark, sf):
-    return _bytes(spark, sf).select("row_index", F.hex(images.hwc_to_chw_bytes(F.col("image"), 4, 4, 3)).alias("pixels"))
+    return _bytes(spark, sf).select("row_index", F.hex(images.hwc_to_chw_bytes(F.col("image"), 8, 8, 3)).alias("pixels"))
 
 
 def resize_images(spark, sf):
-    small = resize_frames(_bytes(spark, sf), {"image": (4, 4, 3)}, (2, 2))
+    small = resize_frames(_bytes(spark, sf), {"image": (8, 8, 3)}, (4, 4))
     return small.select("row_index", F.hex("image").alias("pixels"))
 
 
 def coerce_image(spark, sf):
     """Shapes by label: channel-last, channel-first, batched, wrong and missing."""
     kind = F.pmod(F.col("label"), F.lit(5))
-    shape = F.when(kind == 0, F.lit([4, 4, 3])).when(kind == 1, F.lit([3, 4, 4])).when(kind == 2, F.lit([1, 4, 4, 3])).when(kind == 3, F.lit([4, 3, 4]))
-    out = images.coerce_image(F.col("image"), shape, 4)
+    shape = F.when(kind == 0, F.lit([8, 8, 3])).when(kind == 1, F.lit([3, 8, 8])).when(kind == 2, F.lit([1, 8, 8, 3])).when(kind == 3, F.lit([8, 3, 8]))
+    out = images.coerce_image(F.col("image"), shape, 8)
     return _bytes(spark, sf).select("row_index", F.hex(out).alias("pixels"))
 
 
@@ -236,7 +236,7 @@ def row_bytes(spark, sf):
 
 def image_columns(spark, sf):
     """Only the wide column is an image: the other has too few values."""
-    tiled = views.images(spark, sf).withColumn("front_rgb", F.flatten(F.array_repeat("image", 64)))
+    tiled = views.images(spark, sf).withColumn("front_rgb", F.flatten(F.array_repeat("image", 16)))
     return images.image_report(tiled)
 
 
@@ -250,7 +250,7 @@ def normalized_columns(spark, sf):
 
 def size_budget(spark, sf):
     """A ceiling of 64 kB, crossed in the middle of the table."""
-    return tables.size_budget(views.images(spark, sf).select("row_index", "image"), max_gb=6.4e-5, chunk=128)
+    return tables.size_budget(views.images(spark, sf).select("row_index", "image"), max_gb=6.4e-5, chunk=64)
 
 
 # -- state and action vectors --------------------------------------------------------
@@ -351,9 +351,29 @@ def merge_sources(spark, sf):
 
 
 def renumber_episodes(spark, sf):
-    narrow = views.table(spark, sf, "events").select(F.col("user_id").alias("episode_index"))
-    odd = narrow.where(F.col("episode_index") % 2 == 1)
-    return tables.renumber_episodes(tables.merge_sources({"real": narrow, tables.RECORDED_SOURCE: odd}))
+    """Events and conversations, merged as two sources of episodes."""
+    real = views.frames(spark, sf).select("episode_index", "frame_index")
+    turns = views.table(spark, sf, "conversations").select(F.col("conv_id").alias("episode_index"), F.col("turn").alias("frame_index"))
+    return tables.renumber_episodes(tables.merge_sources({"real": real, tables.RECORDED_SOURCE: turns}))
+
+
+def record_dataset(spark, sf):
+    """The step logs of all users, stored as one dataset."""
+    stored = store_recording(views.steps(spark, sf), scratch_dir(spark), {"state": 1, "action": 1})
+    return stored.select(
+        "episode_index", "frame_index", F.round(F.col("timestamp").cast("double"), 5).alias("timestamp"),
+        F.round(F.col("state")[0], 6).alias("s0"), F.col("action")[0].alias("a0"),
+    )
+
+
+def shape_report(spark, sf):
+    """Vectors that should hold 64 values, and some that do not."""
+    declared = {"metadata": {"shape": [64]}}
+    data = views.table(spark, sf, "embeddings").select(
+        F.col("embedding").alias("whole", **declared),
+        F.when(F.col("label") == 3, F.slice("embedding", 1, 63)).otherwise(F.col("embedding")).alias("cut", **declared),
+    )
+    return frame_store.shape_report(data)
 
 
 def snapshot_windows(spark, sf):
@@ -391,6 +411,6 @@ QUERIES = {
         hwc_to_chw_bytes, resize_images, coerce_image, row_bytes, image_columns, normalized_columns, size_budget,
         split_state, split_state_with_pose, assemble_state_terms, object_pose, motors_to_state, action_to_columns,
         rename_image_columns, signature, dataset_id, recording_id, select_rows, restored_order, merge_sources,
-        renumber_episodes, snapshot_windows, persisted_frames, converted_windows,
+        renumber_episodes, record_dataset, shape_report, snapshot_windows, persisted_frames, converted_windows,
     )
 }

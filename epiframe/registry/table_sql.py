@@ -1,6 +1,7 @@
 """The same queries as SQL, for a second engine."""
 
-from epiframe.registry.episode_sql import FRAMES, SQL as EPISODE_SQL, WINDOW_FACTS, WINDOWS
+from epiframe.registry.episode_sql import FRAMES, STEPS, WINDOW_FACTS, WINDOWS
+from epiframe.registry.episode_sql import SQL as EPISODE_SQL
 
 LINES = """lines AS (
   SELECT user_id AS run_id, event_id AS line_no, event_type || '=' || value || '  # step=' || event_id AS line FROM events)"""
@@ -14,9 +15,9 @@ PRIMARY = f"""primary_metrics AS (
   FROM events)"""
 
 PIXELS = """pixels AS (
-  SELECT vec_id AS row_index, label, i - 1 AS pos, embedding[i] AS x,
-         CAST(trunc(greatest(0::FLOAT, least(255::FLOAT, embedding[i] * 255::FLOAT))) AS BIGINT) AS q
-  FROM embeddings, (SELECT unnest(range(1, 49)) AS i))"""
+  SELECT vec_id AS row_index, label, i AS pos, embedding[i % 64 + 1] AS x,
+         CAST(trunc(greatest(0::FLOAT, least(255::FLOAT, embedding[i % 64 + 1] * 255::FLOAT))) AS BIGINT) AS q
+  FROM embeddings, (SELECT unnest(range(192)) AS i))"""
 
 HEX = "string_agg(printf('%02X', q), '' ORDER BY {order}) AS pixels"
 
@@ -67,21 +68,21 @@ FROM customer LEFT JOIN (SELECT run_id, min(value) AS lo, max(value) AS hi FROM
     "quantize_u8": f"WITH {PIXELS} SELECT row_index, {HEX.format(order='pos')} FROM pixels GROUP BY 1",
     "quantize_array": f"WITH {PIXELS} SELECT row_index, pos, q FROM pixels",
     "dequantize_u8": f"WITH {PIXELS} SELECT row_index, pos, {_dequantized('q')} AS x FROM pixels",
-    "hwc_to_chw": f"WITH {PIXELS} SELECT row_index, (pos % 3) * 16 + pos // 3 AS pos, round(CAST(x AS DOUBLE), 6) AS x FROM pixels",
+    "hwc_to_chw": f"WITH {PIXELS} SELECT row_index, (pos % 3) * 64 + pos // 3 AS pos, round(CAST(x AS DOUBLE), 6) AS x FROM pixels",
     "hwc_to_chw_bytes": f"WITH {PIXELS} SELECT row_index, {HEX.format(order='pos % 3, pos // 3')} FROM pixels GROUP BY 1",
     "resize_images": f"""WITH {PIXELS} SELECT row_index, {HEX.format(order='pos')} FROM pixels
-WHERE (pos // 12) % 2 = 0 AND (pos // 3) % 4 % 2 = 0 GROUP BY 1""",
+WHERE (pos // 24) % 2 = 0 AND (pos // 3) % 8 % 2 = 0 GROUP BY 1""",
     "coerce_image": f"""WITH {PIXELS}
 SELECT row_index, CASE WHEN any_value(label) % 5 IN (0, 2) THEN string_agg(printf('%02X', q), '' ORDER BY pos % 3, pos // 3)
-  WHEN any_value(label) % 5 = 1 THEN string_agg(printf('%02X', q), '' ORDER BY pos) ELSE repeat('00', 48) END AS pixels FROM pixels GROUP BY 1""",
-    "row_bytes": "SELECT vec_id AS row_index, CAST(48 * 4 + 48 AS BIGINT) AS n_bytes FROM embeddings",
-    "image_columns": """SELECT 'image' AS column_name, max(least(len(embedding), 48)) AS n_values, max(least(len(embedding), 48)) > 1024 AS is_image FROM embeddings
-UNION ALL SELECT 'front_rgb', 64 * max(least(len(embedding), 48)), 64 * max(least(len(embedding), 48)) > 1024 FROM embeddings""",
+  WHEN any_value(label) % 5 = 1 THEN string_agg(printf('%02X', q), '' ORDER BY pos) ELSE repeat('00', 192) END AS pixels FROM pixels GROUP BY 1""",
+    "row_bytes": "SELECT vec_id AS row_index, CAST(192 * 4 + 192 AS BIGINT) AS n_bytes FROM embeddings",
+    "image_columns": """SELECT 'image' AS column_name, 3 * max(len(embedding)) AS n_values, 3 * max(len(embedding)) > 1024 AS is_image FROM embeddings
+UNION ALL SELECT 'front_rgb', 48 * max(len(embedding)), 48 * max(len(embedding)) > 1024 FROM embeddings""",
     "normalized_columns": f"""WITH {PIXELS}
 SELECT 'image' AS column_name, round(CAST(max(x) AS DOUBLE), 4) AS max_value, max(x) <= 1.5 AS is_normalized FROM pixels
 UNION ALL SELECT 'bright', round(CAST(max(x * 255::FLOAT) AS DOUBLE), 4), max(x * 255::FLOAT) <= 1.5 FROM pixels""",
     "size_budget": """WITH running AS (
-  SELECT row_number() OVER (ORDER BY vec_id) AS place, sum(4 * 48) OVER (ORDER BY vec_id) AS so_far FROM embeddings)
+  SELECT row_number() OVER (ORDER BY vec_id) AS place, sum(4 * 192) OVER (ORDER BY vec_id) AS so_far FROM embeddings)
 SELECT count(*) AS n_rows, CAST(max(so_far) AS BIGINT) AS total_bytes, CAST(64000 AS BIGINT) AS limit_bytes, max(so_far) > 64000 AS over_budget,
        min(place) FILTER (so_far > 64000) AS first_over_sample, CAST(min(so_far) FILTER (so_far > 64000) AS BIGINT) AS bytes_at_sample FROM running""",
     "split_state": f"""WITH {FLAT}
@@ -110,9 +111,16 @@ SELECT 2 * i + j AS pos, doc_id AS row_index, n_chars FROM listed JOIN documents
     "restored_order": "SELECT doc_id AS row_index, n_chars FROM documents ORDER BY doc_id",
     "merge_sources": f"""WITH {FRAMES} SELECT 'real' AS source, episode_index, frame_index, round(value, 4) AS value FROM frames
 UNION ALL SELECT 'dr', episode_index, frame_index, round(value * 2, 4) FROM frames""",
-    "renumber_episodes": """WITH episodes AS (
-  SELECT DISTINCT 'real' AS source, user_id AS episode_index FROM events UNION ALL SELECT DISTINCT 'dr', user_id FROM events WHERE user_id % 2 = 1)
-SELECT source, episode_index, row_number() OVER (ORDER BY source, episode_index) - 1 AS merged_index FROM episodes""",
+    "renumber_episodes": f"""WITH {FRAMES}, merged AS (
+  SELECT 'real' AS source, episode_index, frame_index FROM frames UNION ALL SELECT 'dr', conv_id, turn FROM conversations)
+SELECT source, episode_index, frame_index, dense_rank() OVER (ORDER BY source, episode_index) - 1 AS merged_index FROM merged""",
+    "record_dataset": f"""WITH {STEPS}
+SELECT dense_rank() OVER (ORDER BY stream_id, episode_index) - 1 AS episode_index, frame_index,
+       round(CAST(CAST(frame_index / 30.0 AS FLOAT) AS DOUBLE), 5) AS timestamp,
+       round(coalesce(lag(value) OVER (PARTITION BY stream_id, episode_index ORDER BY frame_index), -1.0), 6) AS s0, len AS a0
+FROM recorded""",
+    "shape_report": """SELECT 'whole' AS column_name, CAST(64 AS BIGINT) AS expected, count(*) AS n_rows, count(*) FILTER (len(embedding) <> 64) AS n_wrong FROM embeddings
+UNION ALL SELECT 'cut', 64, count(*), count(*) FILTER (label = 3) FROM embeddings""",
     "snapshot_windows": f"WITH {WINDOWS} {WINDOW_FACTS} FROM win GROUP BY 1, 2",
     "persisted_frames": "SELECT user_id AS episode_index, count(*) - 1 AS last_frame, round(sum(value), 3) AS sum_value FROM events GROUP BY 1",
     "converted_windows": f"""WITH {WINDOWS}, lim AS (SELECT min(value) AS v0, max(value) AS v1 FROM frames)

@@ -1,16 +1,22 @@
 """Reading and writing frame tables and their side tables."""
 
 from collections.abc import Mapping
+from math import prod
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from epiframe.operators.episodes import episode_summary, feature_stats
-from epiframe.schema import FRAME_SCHEMA
+from epiframe.schema import FRAME_SCHEMA, named
 from epiframe.storage import exists
 
 
+class ShapeMismatch(ValueError):
+    """Vectors or images whose length is not the one their column declares."""
+
+
 class DatasetNotFound(FileNotFoundError):
     """A dataset folder that is not there, with what to try next."""
 
@@ -28,6 +34,36 @@ def read_frames(spark: SparkSession, path: str, schema: T.StructType | None = FR
     return reader.parquet(frames)
 
 
+def shape_report(frames: DataFrame) -> DataFrame:
+    """One row per column that declares a shape: expected number of values, rows, and rows that differ."""
+    rows = []
+    for f in frames.schema.fields:
+        shape = (f.metadata or {}).get("shape")
+        if not shape:
+            continue
+        values = F.octet_length(named(f.name)) if isinstance(f.dataType, T.BinaryType) else F.size(named(f.name))
+        expected = prod(shape)
+        rows.append(
+            F.struct(
+                F.lit(f.name).alias("column_name"),
+                F.lit(expected).cast("long").alias("expected"),
+                F.count(named(f.name)).alias("n_rows"),
+                F.count_if(named(f.name).isNotNull() & (values != expected)).alias("n_wrong"),
+            )
+        )
+    if not rows:
+        raise ValueError("no column declares a shape")
+    return frames.agg(F.array(*rows).alias("_r")).select(F.inline("_r"))
+
+
+def check_shapes(frames: DataFrame) -> DataFrame:
+    """The frames, if every vector and image has its declared length."""
+    wrong = shape_report(frames).where("n_wrong > 0").collect()
+    if wrong:
+        raise ShapeMismatch("; ".join(f"{r['column_name']}: {r['n_wrong']} rows without {r['expected']} values" for r in wrong))
+    return frames
+
+
 def write_frames(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Write frames sorted by episode and position.
 

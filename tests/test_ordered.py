@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from epiframe.operators import sampling, tables, windows
-from epiframe.operators.ordered import classes_of, index_in_group, percentile_of, rank_below, running_total
+from epiframe.operators.ordered import classes_of, dense_index, index_in_group, percentile_of, rank_below, running_total
 
 
 def values(n, seed):
@@ -140,6 +140,21 @@ def test_select_rows(spark):
 
 
 def test_renumbering_is_dense_over_sources(spark):
-    df = spark.createDataFrame([("b", 7), ("a", 3), ("a", 9), ("a", 3), ("b", 1)], "source string, episode_index long")
-    got = {(r["source"], r["episode_index"]): r["merged_index"] for r in tables.renumber_episodes(df, rows_per_class=1).collect()}
+    rows = [("b", 7, 0), ("a", 3, 0), ("a", 9, 0), ("a", 3, 1), ("b", 1, 0)]
+    df = spark.createDataFrame(rows, "source string, episode_index long, frame_index long")
+    got = {(r["source"], r["episode_index"]): r["merged_index"] for r in tables.renumber_episodes(df).collect()}
     assert got == {("a", 3): 0, ("a", 9): 1, ("b", 1): 2, ("b", 7): 3}
+    assert tables.renumber_episodes(df).count() == 5
+
+
+@pytest.mark.parametrize("parts", [1, 4, 17])
+def test_dense_index_over_any_type(spark, parts):
+    rng = random.Random(parts)
+    rows = list({(rng.choice("abc"), rng.randrange(10**12)) for _ in range(300)})
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = dense_index(spark.createDataFrame(rows, "k string, n long").repartition(parts), ["k", "n"], "i").collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert [(r["k"], r["n"]) for r in sorted(got, key=lambda r: r["i"])] == sorted(rows)
+    assert sorted(r["i"] for r in got) == list(range(len(rows)))

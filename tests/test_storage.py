@@ -9,10 +9,10 @@ from epiframe.functions.ids import dataset_id, recording_id
 from epiframe.operators.tables import select_rows
 from epiframe.operators.windows import sliding_windows
 from epiframe.plans.convert import convert_to_windows
-from epiframe.plans.record import frames_from_steps
+from epiframe.plans.record import frames_from_steps, record_dataset
 from epiframe.schema import FRAME_SCHEMA
 from epiframe.sources import snapshot
-from epiframe.sources.frames import DatasetNotFound, read_frames, write_dataset_meta, write_frames
+from epiframe.sources.frames import DatasetNotFound, ShapeMismatch, check_shapes, read_frames, write_dataset_meta, write_frames
 from epiframe.sources.logs import read_train_log, write_metric_lines
 from epiframe.sources.windows import read_windows
 
@@ -206,3 +206,20 @@ def test_recording_from_steps(spark):
 def test_subset_of_a_table(spark):
     df = spark.range(8).withColumnRenamed("id", "row_index")
     assert select_rows(df, [0, 2, 4]).count() == 3
+
+
+def test_a_recording_is_one_dataset(spark, tmp_path):
+    rows = [(s, i, [9.0], [float(i)], [float(i)], i in (2, 5), False) for s in ("x", "y") for i in range(8)]
+    steps = spark.createDataFrame(rows, "stream_id string, seq long, reset_obs array<double>, next_obs array<double>, action array<double>, terminated boolean, truncated boolean")
+    stored = record_dataset(steps, str(tmp_path / "d"), {"action": 1, "state": 1})
+    lengths = {r[0]: r[1] for r in stored.groupBy("episode_index").count().collect()}
+    assert lengths == {0: 3, 1: 3, 2: 2, 3: 3, 4: 3, 5: 2}
+    assert spark.read.parquet(str(tmp_path / "d/info")).first()["total_episodes"] == 6
+
+
+def test_shapes_are_checked(spark):
+    df = frames(spark, {0: 3}).drop("observation.images.wrist", "observation.images.overhead")
+    assert check_shapes(df) is df
+    shorter = df.withMetadata("action", {"shape": [7]})
+    with pytest.raises(ShapeMismatch, match="action: 3 rows without 7 values"):
+        check_shapes(shorter)
