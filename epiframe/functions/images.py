@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from epiframe.schema import named
+from epiframe.schema import VALUE_BYTES, named
 
 # Fixed values of the quantisation rule and of image detection.
 U8_MAX = 255.0
@@ -139,13 +139,6 @@ def coerce_image(data: Column, shape: Column, size: int) -> Column:
     return F.when(F.coalesce(last, F.lit(False)), reordered).when(first, data).otherwise(zeros)
 
 
-# Bytes per element of the tensor types.
-ELEMENT_BYTES = {
-    T.ByteType: 1, T.BooleanType: 1, T.ShortType: 2, T.IntegerType: 4,
-    T.FloatType: 4, T.LongType: 8, T.DoubleType: 8,
-}
-
-
 def row_bytes(df: DataFrame) -> Column:
     """Bytes held by the tensor columns of a row; scalars and strings count nothing."""
     total = F.lit(0).cast("long")
@@ -154,7 +147,7 @@ def row_bytes(df: DataFrame) -> Column:
         if isinstance(f.dataType, T.BinaryType):
             total = total + F.coalesce(F.octet_length(column), F.lit(0))
         elif isinstance(f.dataType, T.ArrayType):
-            width = ELEMENT_BYTES.get(type(f.dataType.elementType))
+            width = VALUE_BYTES.get(type(f.dataType.elementType))
             if width:
                 total = total + F.coalesce(F.size(column), F.lit(0)).cast("long") * width
     return total

@@ -13,16 +13,24 @@ which is also what bounds the totals brought to the driver.
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from math import prod
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
+from epiframe.schema import VALUE_BYTES
 from epiframe.storage import pin
 
 ROWS_PER_CLASS = 1 << 20
 MAX_CUTS = 10_000
+#: Bytes that one partition of an arranged table should hold.
+PART_BYTES = 256 << 20
+
+#: Values assumed in a vector whose column declares no shape.
+UNDECLARED_VALUES = 64
 
 
 @dataclass
@@ -179,3 +187,31 @@ def dense_index(df: DataFrame, order: Sequence[str], out: str) -> DataFrame:
     offsets = df.sparkSession.createDataFrame(rows, "_part int, _before long")
     numbered = placed.join(F.broadcast(offsets), "_part")
     return numbered.withColumn(out, F.col("_before") + F.col("_place")).drop("_part", "_place", "_before")
+
+
+def row_width(schema: T.StructType) -> int:
+    """Bytes of a row as its schema declares them."""
+    width = 0
+    for f in schema.fields:
+        if isinstance(f.dataType, T.ArrayType | T.BinaryType):
+            value = f.dataType.elementType if isinstance(f.dataType, T.ArrayType) else f.dataType
+            shape = (f.metadata or {}).get("shape") or [UNDECLARED_VALUES]
+            width += prod(shape) * VALUE_BYTES.get(type(value), 8)
+        else:
+            width += 8
+    return max(width, 1)
+
+
+def arrange(
+    df: DataFrame, position: str, total: int, order: Sequence[str], part_bytes: int = PART_BYTES
+) -> DataFrame:
+    """Sort a table by the known position 0 .. total - 1 of its rows, in partitions of about ``part_bytes``.
+
+    The position says which partition a row belongs to. A sort by value would first read
+    the whole table, images included, to sample its key.
+    """
+    width = row_width(T.StructType([f for f in df.schema.fields if f.name != position or position in order]))
+    rows = max(1, part_bytes // width)
+    parts = max(1, -(-total // rows))
+    placed = df.withColumn("_part", F.floor(F.col(position) / F.lit(rows)).cast("int"))
+    return placed.repartitionById(parts, "_part").drop("_part").sortWithinPartitions(*order)

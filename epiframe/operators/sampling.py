@@ -8,19 +8,25 @@ from pyspark.sql import Window as W
 
 from epiframe.functions.randomness import hash_int
 from epiframe.operators.chunked import join_by_chunk
-from epiframe.operators.ordered import ROWS_PER_CLASS, running_total
+from epiframe.operators.ordered import PART_BYTES, ROWS_PER_CLASS, arrange, running_total
 from epiframe.operators.windows import STRIDE
 from epiframe.schema import EPISODE
 from epiframe.storage import pin
 
 HASH_DIGITS = 15
+#: Most windows that are found by a top-n rather than by number.
+TOP_KEYS = 100_000
 #: Leading hex digits of the shuffle key that name a bucket: 65536 buckets.
 BUCKET_DIGITS = 4
 
 
-def restore_order(df: DataFrame, index: str = "row_index") -> DataFrame:
-    """Rows in their original order, whatever order they were produced in."""
-    return df.orderBy(index)
+def restore_order(df: DataFrame, index: str = "row_index", part_bytes: int = PART_BYTES) -> DataFrame:
+    """Rows in their original order, whatever order they were produced in.
+
+    The index starts at 0, so it says where a row belongs; only the index is read to find its end.
+    """
+    last = df.agg(F.max(index)).first()[0]
+    return arrange(df, index, 0 if last is None else last + 1, [index], part_bytes)
 
 
 def number_windows(
@@ -45,6 +51,23 @@ def _numbered(windows: DataFrame, stride: int, key: str, out: str, rows_per_clas
     return joined.withColumn(out, F.col("_offset") + F.col("_ordinal")).drop("_offset", "_ordinal", "_n"), total
 
 
+def cap_windows(
+    windows: DataFrame, n: int | None, stride: int = STRIDE, key: str = "episode_index", top_keys: int = TOP_KEYS
+) -> DataFrame:
+    """The first ``n`` windows in stored order; all of them when n is None.
+
+    A small n is found by a top-n on the keys alone, a larger one by the window number,
+    which needs no sort; neither moves step arrays through one task.
+    """
+    if n is None:
+        return windows
+    if n > top_keys:
+        numbered = number_windows(windows, stride, key, "_number")
+        return numbered.where(F.col("_number") < n).drop("_number")
+    first = windows.select(key, "start").orderBy(key, "start").limit(n)
+    return windows.join(F.broadcast(first), [key, "start"], "left_semi")
+
+
 def epoch_batches(
     windows: DataFrame,
     batch_size: int,

@@ -10,7 +10,8 @@ from epiframe.functions.images import row_bytes
 from epiframe.functions.metrics import PRIMARY_METRICS
 from epiframe.operators.chunked import join_by_chunk
 from epiframe.operators.episodes import episode_lengths
-from epiframe.operators.ordered import ROWS_PER_CLASS, dense_index, running_total
+from epiframe.operators.ordered import ROWS_PER_CLASS, arrange, dense_index, running_total
+from epiframe.operators.sampling import restore_order
 from epiframe.schema import POSITION
 from epiframe.storage import pin
 
@@ -29,14 +30,15 @@ def select_rows(df: DataFrame, indices: Iterable[int] | DataFrame | None, index:
     fixed length; a table is joined as Spark sees fit.
     """
     if indices is None:
-        return df.orderBy(index)
+        return restore_order(df, index)
     if isinstance(indices, DataFrame):
-        return indices.join(df, index).orderBy("pos")
+        last = indices.agg(F.max("pos")).first()[0]
+        return arrange(indices.join(df, index), "pos", 0 if last is None else last + 1, ["pos"])
     listed = [(pos, int(i)) for pos, i in enumerate(indices)]
     wanted = df.sparkSession.createDataFrame(listed, f"pos long, {index} long")
     if len(listed) <= BROADCAST_INDICES:
         wanted = F.broadcast(wanted)
-    return df.join(wanted, index).orderBy("pos")
+    return arrange(df.join(wanted, index), "pos", len(listed), ["pos"])
 
 
 def merge_sources(sources: dict[str, DataFrame], tag: str = "source") -> DataFrame:

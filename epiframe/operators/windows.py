@@ -64,17 +64,6 @@ def head_truncate(
     )
 
 
-def cap_windows(windows: DataFrame, n: int | None, keys: Sequence[str] = EPISODE) -> DataFrame:
-    """The first ``n`` windows in stored order; all of them when n is None.
-
-    The first n are found on the keys alone, so step arrays are not sorted.
-    """
-    if n is None:
-        return windows
-    first = windows.select(*keys, "start").orderBy(*keys, "start").limit(n)
-    return windows.join(first, [*keys, "start"], "left_semi")
-
-
 def window_shapes(windows: DataFrame, action: str = "action") -> DataFrame:
     """One row: number of windows, shortest and longest length, fewest and most action values."""
     widths = F.transform("steps", lambda s: F.size(s[action]))

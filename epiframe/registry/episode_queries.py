@@ -54,7 +54,7 @@ def head_truncate(spark, sf):
 
 
 def cap_windows(spark, sf):
-    return _window_facts(windows.cap_windows(_all_windows(spark, sf), 100))
+    return _window_facts(sampling.cap_windows(_all_windows(spark, sf), 100))
 
 
 def window_shapes(spark, sf):

@@ -13,6 +13,12 @@ STATE = "observation.state"
 WRIST = "observation.images.wrist"
 OVERHEAD = "observation.images.overhead"
 
+# Bytes per value of the types that vectors are made of.
+VALUE_BYTES = {
+    T.ByteType: 1, T.BooleanType: 1, T.BinaryType: 1, T.ShortType: 2, T.IntegerType: 4,
+    T.FloatType: 4, T.LongType: 8, T.DoubleType: 8,
+}
+
 EPISODE = ("episode_index",)
 POSITION = "frame_index"
 

@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from epiframe.operators.episodes import episode_summary, feature_stats
+from epiframe.operators.chunked import BROADCAST_KEYS
+from epiframe.operators.episodes import episode_lengths, episode_summary, feature_stats
+from epiframe.operators.ordered import PART_BYTES, arrange, running_total
 from epiframe.schema import FRAME_SCHEMA, named
-from epiframe.storage import exists
+from epiframe.storage import exists, pin
 
 
 class ShapeMismatch(ValueError):
@@ -64,14 +66,25 @@ def check_shapes(frames: DataFrame) -> DataFrame:
     return frames
 
 
-def write_frames(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """Write frames sorted by episode and position.
+def write_frames(df: DataFrame, path: str, mode: str = "errorifexists", part_bytes: int = PART_BYTES) -> None:
+    """Write frames sorted by episode and position, in files of about ``part_bytes`` before encoding.
 
-    Ranges are cut on both columns, so a long episode fills several files, and the
-    row-group statistics let readers skip to an episode or a position.
+    Files are cut by the frame's place in the whole table, so a long episode fills
+    several of them, and row-group statistics let readers skip to an episode or a
+    position. The place follows from the episode lengths, which a narrow scan gives.
+    With too many episodes to broadcast their offsets, Spark samples the key instead.
     """
-    ordered = df.repartitionByRange("episode_index", "frame_index")
-    ordered.sortWithinPartitions("episode_index", "frame_index").write.mode(mode).parquet(f"{path.rstrip('/')}/frames")
+    order = ["episode_index", "frame_index"]
+    lengths = pin(episode_lengths(df))
+    episodes, total = lengths.agg(F.count("*"), F.coalesce(F.sum("length"), F.lit(0))).first()
+    if episodes <= BROADCAST_KEYS:
+        offsets = running_total(lengths, "episode_index", "length", "_offset", episodes).drop("length")
+        placed = df.join(F.broadcast(offsets), "episode_index")
+        placed = placed.withColumn("_position", F.col("_offset") + F.col("frame_index")).drop("_offset")
+        ordered = arrange(placed, "_position", total, order, part_bytes).select(*[named(c) for c in df.columns])
+    else:
+        ordered = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    ordered.write.mode(mode).parquet(f"{path.rstrip('/')}/frames")
 
 
 def write_dataset_meta(frames: DataFrame, path: str, dims: Mapping[str, int], fps: float, mode: str = "overwrite") -> None:

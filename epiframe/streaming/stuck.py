@@ -29,7 +29,7 @@ class _RepeatCounter(StatefulProcessor):
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         batch = pd.concat(list(rows)).sort_values(self.pos)
         actions = np.stack([np.asarray(a, dtype=np.float64) for a in batch[self.action]])
-        state = self.seen.get() if self.seen.exists() else None
+        state = self.seen.get()
         repeats = state[1] if state else 0
         before = np.asarray(state[0]) if state else np.full(actions.shape[1], np.nan)
         same = (np.abs(np.diff(np.vstack([before, actions]), axis=0)) < self.eps).all(axis=1)

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from epiframe.operators import control, episodes, windows
+from epiframe.operators import control, episodes, sampling, windows
 from epiframe.operators.chunked import join_by_chunk, with_halo
 
 
@@ -43,13 +43,14 @@ def test_head_windows_share_the_shortest_length(make_frames):
     assert {len(r["steps"]) for r in w.collect()} == {16}
 
 
-def test_cap_windows(make_frames):
+@pytest.mark.parametrize("top_keys", [0, 1000])
+def test_cap_windows(make_frames, top_keys):
     w = windows.sliding_windows(make_frames({0: actions(40), 1: actions(40)}))
-    assert [(r["episode_index"], r["start"]) for r in windows.cap_windows(w, 5).orderBy("episode_index", "start").collect()] == [
+    assert [(r["episode_index"], r["start"]) for r in sampling.cap_windows(w, 5, top_keys=top_keys).orderBy("episode_index", "start").collect()] == [
         (0, 0), (0, 8), (0, 16), (0, 24), (1, 0),
     ]
-    assert windows.cap_windows(w, None).count() == 8
-    assert windows.cap_windows(w, 100).count() == 8
+    assert sampling.cap_windows(w, None).count() == 8
+    assert sampling.cap_windows(w, 100, top_keys=top_keys).count() == 8
 
 
 def test_check_windows(make_frames):

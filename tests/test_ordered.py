@@ -132,6 +132,14 @@ def test_budget_is_exceeded_only_beyond_the_limit(spark):
         tables.check_budget(df, max_gb=15e-9)
 
 
+def test_order_is_restored_over_many_partitions(spark):
+    df = spark.range(1000).withColumnRenamed("id", "row_index").repartition(13)
+    back = sampling.restore_order(df, part_bytes=8 * 64)
+    assert back.rdd.getNumPartitions() == 16
+    assert [r[0] for r in back.collect()] == list(range(1000))
+    assert sampling.restore_order(df.limit(0)).count() == 0
+
+
 def test_select_rows(spark):
     df = spark.range(10).select(F.col("id").alias("row_index"), (F.col("id") * 2).alias("x"))
     assert [r["x"] for r in tables.select_rows(df, [4, 0, 4, 2]).collect()] == [8, 0, 8, 4]

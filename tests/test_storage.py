@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from epiframe.functions.ids import dataset_id, recording_id
 from epiframe.operators.tables import select_rows
 from epiframe.operators.windows import sliding_windows
+from epiframe.operators.ordered import row_width
 from epiframe.plans.convert import convert_to_windows
 from epiframe.plans.record import frames_from_steps, record_dataset
 from epiframe.schema import FRAME_SCHEMA
@@ -35,13 +36,13 @@ def test_frames_round_trip(spark, tmp_path):
 
 def test_a_long_episode_fills_several_files(spark, tmp_path):
     path = str(tmp_path / "data")
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # the table is tiny
-    try:
-        write_frames(frames(spark, {0: 900, 1: 10}).drop("observation.images.wrist", "observation.images.overhead"), path)
-    finally:
-        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
-    per_file = read_frames(spark, path, schema=None).where("episode_index = 0").groupBy(F.input_file_name()).count()
-    assert per_file.count() > 1
+    narrow = frames(spark, {0: 900, 1: 10, 2: 90}).drop("observation.images.wrist", "observation.images.overhead")
+    write_frames(narrow.repartition(7), path, part_bytes=100 * row_width(narrow.schema))
+    stored = read_frames(spark, path, schema=None)
+    assert stored.count() == 1000 and stored.columns == narrow.columns
+    per_file = stored.groupBy(F.input_file_name().alias("f")).agg(F.count("*").alias("n"), F.min("frame_index").alias("i")).orderBy("f").collect()
+    assert [r["n"] for r in per_file] == [100] * 10
+    assert [r["i"] for r in per_file] == [100 * i for i in range(9)] + [0]
 
 
 def test_side_tables(spark, tmp_path):
