@@ -73,6 +73,7 @@ def join_by_chunk(
     chunk: int = CHUNK,
     how: str = "inner",
     keyed_rows: int | None = None,
+    broadcast_keys: int = BROADCAST_KEYS,
 ) -> DataFrame:
     """Join rows to a one-row-per-key table without gathering a key in one task.
 
@@ -80,7 +81,7 @@ def join_by_chunk(
     once per chunk, and the join runs on (key, chunk). A caller that has counted
     ``keyed`` passes its size, and a table small enough is broadcast instead.
     """
-    if keyed_rows is not None and keyed_rows <= BROADCAST_KEYS:
+    if keyed_rows is not None and keyed_rows <= broadcast_keys:
         small = keyed.select(*keys) if how in ("left_semi", "left_anti") else keyed
         return rows.join(F.broadcast(small), list(keys), how)
     last = F.floor((F.col(length) - 1) / F.lit(chunk))

@@ -8,6 +8,7 @@ from pyspark.sql import Window as W
 
 from epiframe.operators.chunked import CHUNK, chunk_of, chunk_window, drop_halo, join_by_chunk, with_halo
 from epiframe.schema import EPISODE, FPS, POSITION, named
+from epiframe.storage import pin
 
 # Defaults of the episode filters.
 MIN_EPISODE_LENGTH = 50
@@ -31,9 +32,13 @@ def episode_summary(frames: DataFrame, keys: Sequence[str] = EPISODE, pos: str =
 def filter_min_length(
     frames: DataFrame, min_length: int = MIN_EPISODE_LENGTH, keys: Sequence[str] = EPISODE, pos: str = POSITION
 ) -> DataFrame:
-    """Drop the episodes with fewer than ``min_length`` frames."""
-    long_enough = episode_lengths(frames, keys).where(F.col("length") >= min_length)
-    return join_by_chunk(frames, long_enough, "length", keys, pos, how="left_semi")
+    """Drop the episodes with fewer than ``min_length`` frames.
+
+    Lengths come from a scan of the keys and are counted first: while they can be
+    broadcast, the frames, images included, are filtered where they are read.
+    """
+    long_enough = pin(episode_lengths(frames, keys)).where(F.col("length") >= min_length)
+    return join_by_chunk(frames, long_enough, "length", keys, pos, "left_semi", keyed_rows=long_enough.count())
 
 
 def feature_stats(frames: DataFrame, dims: Mapping[str, int]) -> DataFrame:
