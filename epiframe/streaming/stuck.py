@@ -61,7 +61,7 @@ def stream_stuck_actions(
 
     State is kept per (episode, chunk): the halo brings each chunk up to date, so a
     long episode is spread over tasks, and a chunk's state is dropped when its last
-    frame has passed.
+    frame has passed. Sets the session's state store to RocksDB, which this needs.
     """
     spark = frames.sparkSession
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
