@@ -4,8 +4,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from epiframe.llm import packing
+from epiframe.llm import packing, token_files
 from epiframe.llm.tables import documents
+from epiframe.storage import scratch_dir
+
+
+def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_dir(spark)
+    token_files.write(documents(spark, sf_dir), path)
+    return token_files.digests(spark, path)
 
 
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -13,6 +20,7 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_token_files": op1_token_files,
     "op8_best_fit_packing": op8_best_fit_packing,
 }
 
