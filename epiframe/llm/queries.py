@@ -3,9 +3,11 @@
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from epiframe.llm import packing, token_files
+from epiframe.llm import language, packing, token_files, toxicity
 from epiframe.llm.tables import documents
+from epiframe.llm.words import fold
 from epiframe.storage import scratch_dir
 
 
@@ -15,12 +17,27 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.digests(spark, path)
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = language.fit(language.training_rows(docs))
+    return language.predict(docs, model).select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score")
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    machine = toxicity.fit(docs, toxicity.training_labels(spark.read.parquet(f"{sf_dir}/labels.parquet")))
+    predicted = (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted")
+    return toxicity.score(docs, machine).select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "score", predicted)
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.cut(documents(spark, sf_dir)))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
+    "op6_language_id": op6_language_id,
+    "op7_toxicity": op7_toxicity,
     "op8_best_fit_packing": op8_best_fit_packing,
 }
 
