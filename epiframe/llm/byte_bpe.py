@@ -17,9 +17,9 @@ import pyarrow.compute as pc
 
 END_ID = 2
 #: Words that a worker remembers; beyond it the memory starts anew.
-REMEMBERED = 600_000
+REMEMBERED = 400_000
 #: Characters that are encoded together.
-SLICE_CHARS = 16_000_000
+SLICE_CHARS = 6_000_000
 #: The characters with Unicode's White_Space property.
 SPACES = " \t\n\x0b\x0c\r\x85\xa0  -     　"
 WORD = re.compile(f"[{SPACES}]*[^{SPACES}]+|[{SPACES}]+")

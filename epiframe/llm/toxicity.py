@@ -30,7 +30,7 @@ START_LETTERS = 4
 ASSOCIATED = 15.0
 #: Terms kept at most, strongest first.
 KEPT_TERMS = 20_000
-FACTORS, EPOCHS, RATE, DECAY = 4, 30, 0.1, 1e-4
+FACTORS, EPOCHS, RATE, DECAY = 4, 40, 0.3, 1e-5
 THRESHOLD = 0.7
 
 
@@ -84,7 +84,7 @@ def associated(rows: np.ndarray, terms: np.ndarray, labels: np.ndarray) -> np.nd
 
 
 def train(texts: pa.Array, labels: np.ndarray, seed: int = 7) -> Machine:
-    """Adaptive stochastic gradient descent on the logistic loss."""
+    """Adaptive stochastic gradient descent on the logistic loss, the rarer class weighing more."""
     n, toxic = len(labels), float(labels.sum())
     if not 0 < toxic < n:
         return Machine(np.zeros(0, np.int64), np.zeros(0), np.zeros((0, FACTORS)), 30.0 if n and toxic else -30.0)
@@ -96,6 +96,7 @@ def train(texts: pa.Array, labels: np.ndarray, seed: int = 7) -> Machine:
     known = kept[at] == terms
     rows, at = rows[known], at[known]
     bounds = np.searchsorted(rows, np.arange(n + 1))
+    balance = max(1.0, ((n - toxic) / toxic) ** 0.5)
     rng = np.random.default_rng(seed)
     weights, vectors, bias = np.zeros(len(kept)), rng.normal(0, 0.02, (len(kept), FACTORS)), 0.0
     gw, gv, gb = np.full(len(kept), 1e-6), np.full((len(kept), FACTORS), 1e-6), 1e-6
@@ -108,7 +109,7 @@ def train(texts: pa.Array, labels: np.ndarray, seed: int = 7) -> Machine:
             sums = np.stack([np.bincount(owner, v[:, k], len(batch)) for k in range(FACTORS)], 1)
             squares = np.bincount(owner, (v * v).sum(1), len(batch))
             total = bias + np.bincount(owner, weights[term], len(batch)) + 0.5 * ((sums**2).sum(1) - squares)
-            error = 1 / (1 + np.exp(-np.clip(total, -30, 30))) - labels[batch]
+            error = (1 / (1 + np.exp(-np.clip(total, -30, 30))) - labels[batch]) * np.where(labels[batch] > 0, balance, 1.0)
             dw = error[owner] + DECAY * weights[term]
             dv = error[owner, None] * (sums[owner] - v) + DECAY * v
             used = np.unique(term)
