@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from epiframe.llm import language, packing, token_files, toxicity
+from epiframe.llm import graph_search, language, packing, polytope, token_files, toxicity
 from epiframe.llm.tables import documents
 from epiframe.llm.words import fold
 from epiframe.storage import scratch_dir
@@ -17,6 +17,10 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.digests(spark, path)
 
 
+def op3_graph_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return graph_search.nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 20 == 0)
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     model = language.fit(language.training_rows(docs))
@@ -34,11 +38,17 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.cut(documents(spark, sf_dir)))
 
 
+def op9_polytope_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return polytope.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
+    "op3_graph_search": op3_graph_search,
     "op6_language_id": op6_language_id,
     "op7_toxicity": op7_toxicity,
     "op8_best_fit_packing": op8_best_fit_packing,
+    "op9_polytope_near_dedup": op9_polytope_near_dedup,
 }
 
 SQL: dict[str, str] = {}
