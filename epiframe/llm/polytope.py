@@ -77,11 +77,13 @@ def keys(x: np.ndarray, seed: int = 5) -> np.ndarray:
     return out
 
 
-def _meet(a: np.ndarray, b: np.ndarray, table: int) -> np.ndarray:
-    """For keys of paired rows, whether they meet in ``table`` and in none before it."""
-    base_a, base_b = a[:, : table + 1, :1], b[:, : table + 1, :1]
-    meets = (a[:, : table + 1] == base_b).any(2) | (b[:, : table + 1] == base_a).any(2)
-    return meets[:, table] & ~meets[:, :table].any(1)
+def _meet(a: np.ndarray, b: np.ndarray, table: int, bucket: int) -> np.ndarray:
+    """For keys of paired rows, whether this bucket of ``table`` is the first where they meet."""
+    base_a, base_b = a[:, : table + 1, 0], b[:, : table + 1, 0]
+    in_b, in_a = (b[:, : table + 1] == base_a[:, :, None]).any(2), (a[:, : table + 1] == base_b[:, :, None]).any(2)
+    before = (in_a | in_b)[:, :table].any(1)
+    places = np.stack([np.where(i[:, table], x[:, table], np.iinfo(np.int64).max) for i, x in ((in_b, base_a), (in_a, base_b))])
+    return ~before & (places.min(0) == bucket)
 
 
 def _forest(a: np.ndarray, b: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -101,7 +103,7 @@ def _forest(a: np.ndarray, b: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarra
 
 def _compare(least: float):
     def compare(key: tuple, rows: pa.Table) -> pa.Table:
-        table, side = key[1].as_py(), rows["side"].to_numpy()
+        table, bucket, side = key[1].as_py(), key[2].as_py(), rows["side"].to_numpy()
         ids, counts = rows["id"].to_numpy(), rows["copies"].to_numpy()
         x = vectors.matrix(rows["v"])
         x /= np.sqrt((x * x).sum(1))[:, None]
@@ -118,7 +120,7 @@ def _compare(least: float):
             i, j = i[once], j[once]
             near = (x[i] * x[j]).sum(1) >= least
             i, j = i[near], j[near]
-            mine = _meet(codes[i], codes[j], table)
+            mine = _meet(codes[i], codes[j], table, bucket)
             i, j = i[mine], j[mine]
             np.add.at(links, i, counts[j])
             np.add.at(links, j, counts[i])
