@@ -17,9 +17,9 @@ import pyarrow.compute as pc
 
 END_ID = 2
 #: Words that a worker remembers; beyond it the memory starts anew.
-REMEMBERED = 400_000
+REMEMBERED = 500_000
 #: Characters that are encoded together.
-SLICE_CHARS = 6_000_000
+SLICE_CHARS = 10_000_000
 #: The characters with Unicode's White_Space property.
 SPACES = " \t\n\x0b\x0c\r\x85\xa0  -     　"
 WORD = re.compile(f"[{SPACES}]*[^{SPACES}]+|[{SPACES}]+")
@@ -92,6 +92,8 @@ class WordIds(dict):
 
     def ids_of(self, key: str) -> list[int]:
         """Letters, with or without signs after them, go straight to the merges."""
+        if key.isalpha() and key.isascii():
+            return [t.id for t in self.model.tokenize(self.letters[32] + key)]
         before, word = ("", key[1:]) if key[:1] == HEAD else (" ", key)
         end = len(word)
         while end and not word[end - 1].isalnum():
@@ -145,7 +147,11 @@ class WordIds(dict):
 def spans(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The places start, start + 1, ... of every span, one span after the other."""
     ends = np.cumsum(lengths)
-    return np.repeat(starts - ends + lengths, lengths) + np.arange(ends[-1] if len(ends) else 0)
+    total = int(ends[-1]) if len(ends) else 0
+    kind = np.int32 if max(total, int(starts.max(initial=0))) < 1 << 30 else np.int64
+    out = np.repeat((starts - ends + lengths).astype(kind), lengths)
+    out += np.arange(total, dtype=kind)
+    return out
 
 
 _words: dict[str, WordIds] = {}

@@ -36,12 +36,12 @@ class Mixture:
     def __init__(self, vocabulary: int, lanes: int):
         self.vocabulary = vocabulary
         self.counts = np.ones(vocabulary, np.int64)
-        self.next1, self.sure1 = np.zeros(vocabulary + 1, np.int64), np.zeros(vocabulary + 1, np.int64)
-        self.next2, self.sure2 = np.zeros(1 << HASH_BITS, np.int32), np.zeros(1 << HASH_BITS, np.int8)
+        # an entry is the id last seen after its context, times 8, plus how often that was right in a row
+        self.after1, self.after2 = np.zeros(vocabulary + 1, np.int32), np.zeros(1 << HASH_BITS, np.int32)
         states = 2 * (STEADY + 1) ** 2
         self.right = np.full((states, 3), 2, np.int64)
-        self.before1 = np.full(lanes, vocabulary, np.int64)
-        self.before2 = np.full(lanes, vocabulary, np.int64)
+        self.before1 = np.full(lanes, vocabulary, np.int32)
+        self.before2 = np.full(lanes, vocabulary, np.int32)
         self.weigh()
 
     def weigh(self) -> None:
@@ -50,30 +50,30 @@ class Mixture:
         share = 1 + self.right * (CHOICES - 3) // total
         share[:, 2] = CHOICES - share[:, 0] - share[:, 1]
         self.share = share.astype(np.uint64)
-        self.below = np.zeros(self.vocabulary + 1, np.uint64)
-        np.cumsum(self.counts, out=self.below[1:], dtype=np.uint64)
-        self.total = self.below[-1]
+        self.starts = np.cumsum(self.share, axis=1) - self.share
+        self.below = np.zeros(self.vocabulary + 1, np.uint32)
+        np.cumsum(self.counts, out=self.below[1:], dtype=np.uint32)
+        self.total = np.uint64(self.below[-1])
 
     def predict(self, active: int) -> None:
-        self.one = self.before1[:active]
-        self.two = (self.before2[:active] * 40503 + self.one * 2654435761 >> 7) & ((1 << HASH_BITS) - 1)
-        self.guess2, self.guess1 = self.next2[self.two], self.next1[self.one]
-        self.hold2, self.hold1 = self.sure2[self.two].astype(np.int64), self.sure1[self.one]
-        agree = self.guess1 == self.guess2
-        self.state = (self.hold2 * (STEADY + 1) + self.hold1) * 2 + agree
-        self.weights = self.share[self.state]
+        self.one = self.before1[:active].copy()
+        two = self.before2[:active].astype(np.uint32) * np.uint32(40503) + self.one.astype(np.uint32) * np.uint32(2654435761)
+        self.two = two >> np.uint32(32 - HASH_BITS)
+        self.seen2, self.seen1 = self.after2[self.two], self.after1[self.one]
+        self.guess2, self.guess1 = self.seen2 >> 3, self.seen1 >> 3
+        self.state = ((self.seen2 & 7) * 8 + (self.seen1 & 7)) * 2 + (self.guess1 == self.guess2)
 
     def choice(self, ids: np.ndarray) -> np.ndarray:
         """Which prediction names the id: 0 order 2, 1 order 1, 2 the counts."""
-        return np.where(ids == self.guess2, 0, np.where(ids == self.guess1, 1, 2))
+        return np.where(ids == self.guess2, 0, 2 - (ids == self.guess1))
 
     def learn(self, ids: np.ndarray, choice: np.ndarray) -> None:
         self.right += np.bincount(self.state * 3 + choice, minlength=self.right.size).reshape(self.right.shape)
         self.counts += GAIN * np.bincount(ids, minlength=self.vocabulary)
-        for table, sure, place, guess, hold in ((self.next2, self.sure2, self.two, self.guess2, self.hold2), (self.next1, self.sure1, self.one, self.guess1, self.hold1)):
-            hit = guess == ids
-            table[place] = np.where(hit | (hold == 0), ids, guess)
-            sure[place] = np.where(hit, np.minimum(hold + 1, STEADY), np.maximum(hold - 1, 0))
+        fresh = ids << 3
+        for table, place, seen, guess in ((self.after2, self.two, self.seen2, self.guess2), (self.after1, self.one, self.seen1, self.guess1)):
+            sure = seen & 7
+            table[place] = np.where(guess == ids, seen + (sure < STEADY), np.where(sure == 0, fresh, seen - 1))
         self.before2[: len(ids)] = self.one
         self.before1[: len(ids)] = ids
         self.weigh()
@@ -124,19 +124,18 @@ def encode_block(lengths: np.ndarray, ids: np.ndarray) -> bytes:
     n = len(ids)
     lanes, steps = _lanes(n)
     vocabulary = int(ids.max()) + 1 if n else 1
-    values, places = ids.astype(np.int64), np.arange(lanes) * steps
+    values, places = ids.astype(np.int32), np.arange(lanes) * steps
     mixture, coder = Mixture(vocabulary, lanes), Encoder(lanes)
     for step in range(steps):
         active = min(lanes, -(-(n - step) // steps))
         now = values[places[:active] + step]
         mixture.predict(active)
         choice = mixture.choice(now)
-        row = np.arange(active)
-        weights = mixture.weights
-        start = np.where(choice == 0, 0, weights[:, 0]) + np.where(choice == 2, weights[:, 1], 0).astype(np.uint64)
-        coder.put(row, start.astype(np.uint64), weights[row, choice], np.uint64(CHOICES))
+        case = mixture.state * 3 + choice
+        coder.put(np.arange(active), mixture.starts.take(case), mixture.share.take(case), np.uint64(CHOICES))
         rest = np.flatnonzero(choice == 2)
-        coder.put(rest, mixture.below[now[rest]], mixture.counts[now[rest]].astype(np.uint64), mixture.total)
+        plain = now[rest]
+        coder.put(rest, mixture.below[plain].astype(np.uint64), mixture.counts[plain].astype(np.uint64), mixture.total)
         mixture.learn(now, choice)
     digits, per_lane = coder.finish()
     body = np.asarray(lengths).astype("<u4").tobytes() + per_lane.tobytes() + digits.tobytes()
@@ -190,16 +189,16 @@ def decode_block(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     for step in range(steps):
         active = min(lanes, -(-(n - step) // steps))
         mixture.predict(active)
-        row, weights = np.arange(active), mixture.weights
+        row = np.arange(active)
         value = coder.value(row, np.uint64(CHOICES))
-        choice = (value >= weights[:, 0]).astype(np.int64) + (value >= weights[:, 0] + weights[:, 1])
-        start = np.where(choice == 0, 0, weights[:, 0]) + np.where(choice == 2, weights[:, 1], 0).astype(np.uint64)
-        coder.narrow(row, start.astype(np.uint64), weights[row, choice])
-        now = np.where(choice == 0, mixture.guess2, mixture.guess1).astype(np.int64)
+        first = mixture.state * 3
+        choice = (value >= mixture.starts.take(first + 1)).astype(np.int64) + (value >= mixture.starts.take(first + 2))
+        coder.narrow(row, mixture.starts.take(first + choice), mixture.share.take(first + choice))
+        now = np.where(choice == 0, mixture.guess2, mixture.guess1)
         rest = np.flatnonzero(choice == 2)
         value = coder.value(rest, mixture.total)
-        now[rest] = found = np.searchsorted(mixture.below, value, side="right") - 1
-        coder.narrow(rest, mixture.below[found], mixture.counts[found].astype(np.uint64))
+        now[rest] = found = np.searchsorted(mixture.below, value.astype(np.uint32), side="right") - 1
+        coder.narrow(rest, mixture.below[found].astype(np.uint64), mixture.counts[found].astype(np.uint64))
         out[places[:active] + step] = now
         mixture.learn(now, choice)
     if zlib.crc32(out.astype("<u4", copy=False)) != check:
