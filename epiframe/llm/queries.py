@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from epiframe.llm import graph_search, language, packing, polytope, token_files, toxicity
+from epiframe.llm import graph_search, jaccard, language, packing, polytope, token_files, toxicity
 from epiframe.llm.tables import documents
 from epiframe.llm.words import fold
 from epiframe.storage import scratch_dir
@@ -17,6 +17,10 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.digests(spark, path)
 
 
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(documents(spark, sf_dir))
+
+
 def op3_graph_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph_search.nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 20 == 0)
 
@@ -44,6 +48,7 @@ def op9_polytope_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
+    "op2_jaccard_join": op2_jaccard_join,
     "op3_graph_search": op3_graph_search,
     "op6_language_id": op6_language_id,
     "op7_toxicity": op7_toxicity,
@@ -51,4 +56,22 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_polytope_near_dedup": op9_polytope_near_dedup,
 }
 
-SQL: dict[str, str] = {}
+#: Shingle sets by string functions, links by counting common shingles, components by transitive closure.
+JACCARD_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents
+), sets AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS s
+  FROM words
+), grams AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets),
+links AS (
+  SELECT x.doc_id AS a, y.doc_id AS b FROM grams x JOIN grams y ON x.g = y.g AND x.doc_id <> y.doc_id
+  GROUP BY x.doc_id, y.doc_id HAVING 100 * count(*) >= 90 * (any_value(x.n) + any_value(y.n) - count(*))
+), reach AS (SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)
+SELECT doc_id, len(s) AS n_shingles, least(doc_id, coalesce((SELECT min(b) FROM reach WHERE a = doc_id), doc_id)) AS component_id
+FROM sets
+"""
+
+SQL: dict[str, str] = {"op2_jaccard_join": JACCARD_SQL}
