@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from epiframe.llm.components import components
 from epiframe.llm.tables import store, texts
-from epiframe.llm.words import slices
+from epiframe.llm.words import ODD, chained, mixed, slices, word_hashes
 
 NGRAM, SIMILARITY = 3, 90
 LIST_COST = 4
@@ -48,38 +48,17 @@ SHORT_LIST = 32
 GROUP_SHINGLES = 2_000_000
 #: Rows of three numbers that may be broadcast.
 BROADCAST_ROWS = 1_000_000
-REMEMBERED = 500_000
-ODD = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
-
-
-class WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        self[word] = value = xxhash.xxh3_64_intdigest(word)
-        return value
-
-
-_hashes = WordHashes()
-
-
-def mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * ODD[1]
-    x = (x ^ (x >> np.uint64(27))) * ODD[2]
-    return x ^ (x >> np.uint64(31))
 
 
 def shingles(text: str | None, n: int = NGRAM) -> np.ndarray:
     """Sorted distinct hashes of the n-word shingles; of the whole sequence if it is shorter."""
-    # bytes.lower and bytes.split know ASCII alone: A-Z, and space, tab to carriage return
-    words = (text or "").encode().lower().split()
-    if not words:
-        return np.zeros(0, np.uint64)
-    if len(_hashes) > REMEMBERED:
-        _hashes.clear()
-    values = np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
-    size = min(n, len(words))
-    out = np.full(len(words) - size + 1, size, np.uint64)
+    values = word_hashes(text, lower=True)
+    if not len(values):
+        return values
+    size = min(n, len(values))
+    out = np.full(len(values) - size + 1, size, np.uint64)
     for k in range(size):
-        out = mixed(out * ODD[0] + values[k : len(values) - size + 1 + k])
+        out = chained(out, values[k : len(values) - size + 1 + k])
     return np.unique(out)
 
 
@@ -296,3 +275,14 @@ def join(docs: DataFrame, n: int = NGRAM, t: int = SIMILARITY) -> DataFrame:
     copies = some.join(same, ["n", "d1", "d2"]).filter("doc_id != first").select(F.col("doc_id").alias("a"), F.col("first").alias("b"))
     roots = components(links.unionByName(copies))
     return found.select("doc_id", F.col("n").alias("n_shingles")).join(roots.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("root", "doc_id").alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, n: int = NGRAM, t: int = SIMILARITY) -> DataFrame:
+    """``docs`` without the near copies of a document with a smaller doc_id, and without rows that repeat one."""
+    found = store(join(docs, n, t).select("doc_id", "component_id"))
+    gone = found.filter("doc_id != component_id").select("doc_id").distinct()
+    few = gone.count() <= BROADCAST_ROWS
+    kept = docs.join(F.broadcast(gone) if few else gone, "doc_id", "left_anti")
+    if found.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").isEmpty():
+        return kept
+    return kept.filter("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(kept.filter("doc_id is null"))

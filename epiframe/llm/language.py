@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from epiframe.llm.words import fold, letter_words, slices
 
@@ -134,17 +135,15 @@ def fit(docs: DataFrame, per_language: int = FIT_DOCUMENTS) -> Model:
 
 
 def predict(docs: DataFrame, model: Model, columns: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``columns`` of every row, the predicted language of its text, and the score."""
-    kept = [*columns, "text"]
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(model)  # bounded by the kept words and n-grams of every language
-    source = docs.select(*columns, F.col("text").cast("string").alias("text"))
-    schema = ", ".join(f"`{n}` {k}" for n, k in source.dtypes if n != "text") + ", lang_pred string, score double"
+    """``columns`` of every row, the predicted language of its text (lang_pred), and the score."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the kept words and n-grams of every language
+    source = docs.select(*columns, F.col("text").cast("string").alias("_text"))
+    schema = StructType([*source.schema.fields[:-1], StructField("lang_pred", StringType()), StructField("score", DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
-            langs, score = shared.value.predict(batch["text"])
-            yield pa.RecordBatch.from_arrays([*(batch[c] for c in kept[:-1]), pa.array(langs, pa.string()), pa.array(score)], names=[*columns, "lang_pred", "score"])
+        for batch in slices(batches, "_text"):
+            langs, score = shared.value.predict(batch["_text"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(langs, pa.string()), pa.array(score)], names=schema.names)
 
     return source.mapInArrow(run, schema)
 

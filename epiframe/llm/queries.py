@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from epiframe.llm import graph_search, jaccard, language, packing, polytope, token_files, toxicity
+from epiframe.llm import graph_search, jaccard, kneser_ney, language, packing, polytope, token_files, toxicity
 from epiframe.llm.tables import documents
 from epiframe.llm.words import fold
 from epiframe.storage import scratch_dir
@@ -46,6 +46,11 @@ def op9_polytope_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return polytope.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
+def op10_kneser_ney_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return kneser_ney.scored(documents(spark, sf_dir), labels).select("doc_id", "words", "perplexity", "threshold", "keep")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
     "op2_jaccard_join": op2_jaccard_join,
@@ -54,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_toxicity": op7_toxicity,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_polytope_near_dedup": op9_polytope_near_dedup,
+    "op10_kneser_ney_quality": op10_kneser_ney_quality,
 }
 
 #: Shingle sets by string functions, links by counting common shingles, components by transitive closure.

@@ -5,6 +5,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -38,3 +39,39 @@ def letter_words(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
     if "" in (empty := {w: n for n, w in enumerate(distinct) if not w}):
         row, number = row[number != empty[""]], number[number != empty[""]]
     return distinct, number.astype(np.int64), row
+
+
+#: Words whose hashes a Python worker remembers.
+REMEMBERED = 500_000
+#: Odd multipliers of well-known 64-bit mixing functions.
+ODD = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
+
+
+class WordHashes(dict):
+    def __missing__(self, word: bytes) -> int:
+        self[word] = value = xxhash.xxh3_64_intdigest(word)
+        return value
+
+
+_hashes = WordHashes()
+
+
+def word_hashes(text: str | None, lower: bool = False) -> np.ndarray:
+    """64-bit hashes of the words of a text, cut at space and tab to carriage return; ``lower`` folds A-Z."""
+    # bytes.lower and bytes.split know ASCII alone
+    data = (text or "").encode()
+    words = (data.lower() if lower else data).split()
+    if len(_hashes) > REMEMBERED:
+        _hashes.clear()
+    return np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * ODD[1]
+    x = (x ^ (x >> np.uint64(27))) * ODD[2]
+    return x ^ (x >> np.uint64(31))
+
+
+def chained(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Hashes of sequences from those of their heads and of their last words."""
+    return mixed(x * ODD[0] + y)
