@@ -48,29 +48,31 @@ def plain(text: str) -> bool:
     return text.isascii() and not any(x in text for x in RARE_ASCII) or not any(x in text for x in RARE)
 
 
-class WordIds(dict):
+class WordMemory(dict):
     """Numbers of words; ``ids``, cut by ``starts`` and ``lengths``, has the ids of each.
 
     A key is a word without the blank before it, or, after ``HEAD``, a part as it stands.
     """
 
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
-        from tokenizers.pre_tokenizers import ByteLevel
+    #: What stands before the first word of a text.
+    first = HEAD
 
+    def __init__(self):
         super().__init__()
-        self.encoder = Tokenizer.from_file(path)
-        self.encoder.encode_special_tokens = True
-        self.model = self.encoder.model
-        alphabet = sorted(ByteLevel.alphabet())
-        own = [c for c in alphabet if ord(c) < 256]
-        rest = iter(c for c in alphabet if ord(c) >= 256)
-        self.letters = {b: chr(b) if chr(b) in own else next(rest) for b in range(256)}
-        self.signs: dict[str, list[int]] = {"": []}
         self.starts, self.lengths, self.used = (np.zeros(0, np.int64) for _ in range(3))
         self.ids = np.zeros(0, np.uint32)
         self.fresh: list[str] = []
 
+    def easy(self, text: str) -> bool:
+        return plain(text)
+
+    def parts(self, text: str) -> list[str]:
+        return words_of(text)
+
+    def encoded(self) -> list[list[int]]:
+        """The ids of the fresh words."""
+        raise NotImplementedError
+
     def __missing__(self, word: str) -> int:
         self[word] = number = len(self)
         self.fresh.append(word)
@@ -86,27 +88,8 @@ class WordIds(dict):
         self.lengths, self.used = self.lengths[keep], self.used[keep] // 2
         self.starts = np.cumsum(self.lengths) - self.lengths
 
-    def merged(self, part: str) -> list[int]:
-        """Ids of one part that the splitting pattern leaves whole."""
-        return [t.id for t in self.model.tokenize(part.encode().decode("latin-1").translate(self.letters))]
-
-    def ids_of(self, key: str) -> list[int]:
-        """Letters, with or without signs after them, go straight to the merges."""
-        if key.isalpha() and key.isascii():
-            return [t.id for t in self.model.tokenize(self.letters[32] + key)]
-        before, word = ("", key[1:]) if key[:1] == HEAD else (" ", key)
-        end = len(word)
-        while end and not word[end - 1].isalnum():
-            end -= 1
-        body, tail = word[:end], word[end:]
-        if tail not in self.signs and tail.isascii() and tail.isprintable() and " " not in tail:
-            self.signs[tail] = self.merged(tail)
-        if not body.isalpha() or tail not in self.signs:
-            return self.encoder.encode(before + word, add_special_tokens=False).ids
-        return self.merged(before + body) + self.signs[tail]
-
     def learn(self) -> None:
-        found = [self.ids_of(w) for w in self.fresh]
+        found = self.encoded()
         lengths = np.fromiter(map(len, found), np.int64, len(found))
         flat = np.fromiter(chain.from_iterable(found), np.uint32, int(lengths.sum()))
         self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(lengths) - lengths])
@@ -114,19 +97,15 @@ class WordIds(dict):
         self.used = np.concatenate([self.used, np.zeros(len(found), np.int64)])
         self.ids = np.concatenate([self.ids, flat])
         self.fresh = []
-        if len(self.signs) > 1000:
-            self.signs = {"": []}
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, one after the other, and how many each text has."""
         if len(self) > REMEMBERED:
             self.forget()
-        easy = np.fromiter(map(plain, texts), bool, len(texts))
-        lines = pc.replace_substring(pa.array([HEAD + t for t, e in zip(texts, easy) if e], pa.string()), "\n", f" {HEAD}\n {HEAD}")
-        # the first line feed is the head itself
-        lines = pc.utf8_slice_codeunits(lines, len(f" {HEAD}\n "))
-        cut = pc.split_pattern(lines, " ")
-        hard = [[HEAD + w for w in words_of(t)] for t, e in zip(texts, easy) if not e]
+        easy = np.fromiter(map(self.easy, texts), bool, len(texts))
+        lines = pc.replace_substring(pa.array([t for t, e in zip(texts, easy) if e], pa.string()), "\n", f" {HEAD}\n {HEAD}")
+        cut = pc.split_pattern(pc.binary_join_element_wise(self.first, lines, "") if self.first else lines, " ")
+        hard = [[HEAD + w for w in self.parts(t)] for t, e in zip(texts, easy) if not e]
         keys = pa.concat_arrays([cut.flatten(), pa.array(list(chain.from_iterable(hard)), pa.string())]).dictionary_encode()
         known = np.fromiter(map(self.__getitem__, keys.dictionary.to_pylist()), np.int64, len(keys.dictionary))
         if self.fresh:
@@ -143,6 +122,47 @@ class WordIds(dict):
         ends = np.concatenate([[0], np.cumsum(lengths)])
         return self.ids[spans(self.starts[numbers], lengths)], np.diff(ends[np.concatenate([[0], np.cumsum(counts)])])
 
+class WordIds(WordMemory):
+    """Byte-pair ids of words."""
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
+
+        super().__init__()
+        self.encoder = Tokenizer.from_file(path)
+        self.encoder.encode_special_tokens = True
+        self.model = self.encoder.model
+        alphabet = sorted(ByteLevel.alphabet())
+        own = [c for c in alphabet if ord(c) < 256]
+        rest = iter(c for c in alphabet if ord(c) >= 256)
+        self.letters = {b: chr(b) if chr(b) in own else next(rest) for b in range(256)}
+        self.signs: dict[str, list[int]] = {"": []}
+
+    def merged(self, part: str) -> list[int]:
+        """Ids of one part that the splitting pattern leaves whole."""
+        return [t.id for t in self.model.tokenize(part.encode().decode("latin-1").translate(self.letters))]
+
+    def ids_of(self, key: str) -> list[int]:
+        """Letters, with or without signs after them, go straight to the merges."""
+        if key.isalpha() and key.isascii():
+            return [t.id for t in self.model.tokenize(self.letters[32] + key)]
+        before, word = ("", key[1:]) if key[:1] == HEAD else (" ", key)
+        end = len(word)
+        while end and not word[end - 1].isalnum():
+            end -= 1
+        body, tail = word[:end], word[end:]
+        if tail not in self.signs and tail.isascii() and tail.isprintable() and " " not in tail:
+            self.signs[tail] = self.merged(tail)
+        if not body.isalpha() or tail not in self.signs:
+            return self.encoder.encode(before + word, add_special_tokens=False).ids
+        return self.merged(before + body) + self.signs[tail]
+
+    def encoded(self) -> list[list[int]]:
+        if len(self.signs) > 1000:
+            self.signs = {"": []}
+        return [self.ids_of(w) for w in self.fresh]
+
 
 def spans(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The places start, start + 1, ... of every span, one span after the other."""
@@ -157,21 +177,26 @@ def spans(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 _words: dict[str, WordIds] = {}
 
 
-def encode_texts(texts: list[str | None], path: str) -> Iterator[np.ndarray]:
-    """The ids of each text, without an end id; null is as empty."""
-    if path not in _words:
-        _words[path] = WordIds(path)
+def encode_slices(texts: list[str | None], words: WordMemory) -> Iterator[np.ndarray]:
+    """The ids of each text; null is as empty."""
     at = 0
     while at < len(texts):
         end, size = at, 0
         while end < len(texts) and (end == at or size + len(texts[end] or "") <= SLICE_CHARS):
             size += len(texts[end] or "")
             end += 1
-        ids, lengths = _words[path].encode([t or "" for t in texts[at:end]])
+        ids, lengths = words.encode([t or "" for t in texts[at:end]])
         yield from np.split(ids, np.cumsum(lengths)[:-1])
         at = end
 
 
+def encode_texts(texts: list[str | None], path: str) -> Iterator[np.ndarray]:
+    """The ids of each text, without an end id."""
+    if path not in _words:
+        _words[path] = WordIds(path)
+    yield from encode_slices(texts, _words[path])
+
+
 def with_end(ids: np.ndarray, end_id: int = END_ID) -> np.ndarray:
     return np.append(ids, np.uint32(end_id))
 

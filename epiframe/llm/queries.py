@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from epiframe.llm import graph_search, jaccard, kneser_ney, language, packing, polytope, stupid_backoff, token_files, toxicity
+from epiframe.llm import graph_search, jaccard, kneser_ney, language, packing, pieces, polytope, stupid_backoff, token_files, toxicity
 from epiframe.llm.tables import documents
 from epiframe.llm.words import fold
 from epiframe.storage import scratch_dir
@@ -29,6 +29,10 @@ def op4_stupid_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stupid_backoff.scored(documents(spark, sf_dir))
 
 
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.round_trips(documents(spark, sf_dir))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     model = language.fit(language.training_rows(docs))
@@ -60,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_jaccard_join": op2_jaccard_join,
     "op3_graph_search": op3_graph_search,
     "op4_stupid_backoff": op4_stupid_backoff,
+    "op5_sentencepiece": op5_sentencepiece,
     "op6_language_id": op6_language_id,
     "op7_toxicity": op7_toxicity,
     "op8_best_fit_packing": op8_best_fit_packing,
