@@ -18,11 +18,11 @@ def fold(doc_id: str, parts: int) -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % parts, F.lit(0))
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
-    """The batches cut so that a slice has about ``SLICE_CHARS`` bytes of text."""
+def slices(batches: Iterator[pa.RecordBatch], column: str, chars: int = SLICE_CHARS) -> Iterator[pa.RecordBatch]:
+    """The batches cut so that a slice has about ``chars`` bytes of text."""
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch[column]), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-        part = np.cumsum(sizes) // SLICE_CHARS
+        part = np.cumsum(sizes) // chars
         bounds = [0, *(np.flatnonzero(np.diff(part)) + 1), batch.num_rows] if batch.num_rows else [0, 0]
         for a, b in zip(bounds, bounds[1:]):
             yield batch.slice(a, b - a)
@@ -42,7 +42,7 @@ def letter_words(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
 
 
 #: Words whose hashes a Python worker remembers.
-REMEMBERED = 500_000
+REMEMBERED = 250_000
 #: Odd multipliers of well-known 64-bit mixing functions.
 ODD = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
