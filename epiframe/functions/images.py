@@ -5,6 +5,8 @@ The byte conversions work on whole Arrow batches: numpy sees one flat buffer per
 batch, and no Python code runs per row.
 """
 
+from collections.abc import Sequence
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -47,9 +49,19 @@ def _binary(values: np.ndarray, lengths: np.ndarray, nulls: pa.Array) -> pa.Arra
     return pa.compute.if_else(nulls.is_null(), pa.scalar(None, pa.binary()), packed)
 
 
+def _check_lengths(lengths: np.ndarray, images: pa.Array, expected: int) -> None:
+    """Every image that is there must have its declared size: a batch is one buffer."""
+    there = images.is_valid().to_numpy(zero_copy_only=False)
+    wrong = np.flatnonzero(there & (lengths != expected))
+    if len(wrong):
+        raise ValueError(f"{len(wrong)} images without {expected} bytes, the first has {lengths[wrong[0]]}")
+
+
 @F.arrow_udf(T.BinaryType())
 def quantize_u8(image: pa.Array) -> pa.Array:
-    """Normalised float image to one byte per value: scale, clamp, drop the fraction."""
+    """Normalised float image to one byte per value: scale, clamp, drop the fraction; integers are an error."""
+    if not pa.types.is_floating(image.type.value_type):
+        raise ValueError("only normalised float images are quantised")
     values, lengths = _lists(image)
     scaled = values.astype(np.float32, copy=False) * np.float32(U8_MAX)
     return _binary(np.clip(scaled, 0, U8_MAX).astype(np.uint8), lengths, image)
@@ -98,6 +110,7 @@ def hwc_to_chw_bytes(image: Column, h: int, w: int, c: int) -> Column:
     @F.arrow_udf(T.BinaryType())
     def reorder(batch: pa.Array) -> pa.Array:
         values, lengths = _bytes_of(batch)
+        _check_lengths(lengths, batch, h * w * c)
         moved = values.reshape(-1, h, w, c).transpose(0, 3, 1, 2)
         return _binary(moved.reshape(-1), lengths, batch)
 
@@ -115,6 +128,7 @@ def resize_bytes(image: Column, h: int, w: int, c: int, out_h: int, out_w: int)
     @F.arrow_udf(T.BinaryType())
     def resize(batch: pa.Array) -> pa.Array:
         values, lengths = _bytes_of(batch)
+        _check_lengths(lengths, batch, h * w * c)
         picked = values.reshape(-1, h, w, c)[:, rows][:, :, cols]
         sizes = np.where(lengths > 0, out_h * out_w * c, 0)
         return _binary(picked.reshape(-1), sizes, batch)
@@ -210,3 +224,9 @@ def normalized_report(df: DataFrame, column: str) -> DataFrame:
 
 def is_normalized(df: DataFrame, column: str) -> bool:
     return normalized_report(df, column).first()["is_normalized"]
+
+
+def quantize_normalized(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """``df`` with its normalised float columns of ``columns`` as bytes, and which these were; others pass through."""
+    packed = [c for c in columns if is_normalized(df, c)]
+    return df.withColumns({c: quantize_u8(named(c)).alias(c) for c in packed}), packed

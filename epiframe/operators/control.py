@@ -1,15 +1,17 @@
 """Checks on action streams: stuck actions, over-limit targets, timing."""
 
 from collections.abc import Callable, Sequence
+from math import prod
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql import Window as W
 
 from epiframe.functions.randomness import random_vector
-from epiframe.operators.chunked import CHUNK, chunk_window, drop_halo, with_halo
+from epiframe.operators.chunked import CHUNK, chunk_of, chunk_window, drop_halo, refuse_gaps, with_halo
 from epiframe.schema import EPISODE, POSITION, named
 
 # Defaults of the control loop.
@@ -44,6 +46,7 @@ def stuck_actions(
     """
     placed = with_halo(frames.select(*keys, pos, named(action)), keys, pos, max(chunk, warn_steps + 1), before=warn_steps + 1)
     w = chunk_window(keys, pos)
+    placed = refuse_gaps(placed, keys, pos)
     same = placed.withColumn("_same", same_action(named(action), F.lag(named(action)).over(w), eps))
     repeats = F.sum(F.col("_same").cast("int")).over(w.rowsBetween(1 - warn_steps, 0))
     longer = F.coalesce(F.lag("_same", warn_steps).over(w), F.lit(False))
@@ -83,14 +86,24 @@ def rate_audit(
     pos: str = POSITION,
     chunk: int = CHUNK,
 ) -> DataFrame:
-    """Per episode: number of gaps, gaps longer than one period, and the longest, in microseconds."""
-    placed = with_halo(frames.select(*keys, pos, ts), keys, pos, chunk, before=1)
+    """Per episode: number of gaps, gaps longer than one period, and the longest, in microseconds.
+
+    A gap is the time between a frame and the one before it that was recorded, however many
+    were dropped in between. Gaps between chunks come from the first and last time of each.
+    """
+    period = 1e6 / rate_hz
+    placed = frames.select(*keys, pos, ts).withColumn("_chunk", chunk_of(pos, chunk))
     gap = interval_micros(F.col(ts), F.lag(ts).over(chunk_window(keys, pos)))
-    gaps = drop_halo(placed.withColumn("gap_us", gap))
-    return gaps.groupBy(*keys).agg(
-        F.count("gap_us").alias("n_gaps"),
-        F.count_if(F.col("gap_us") > 1e6 / rate_hz).alias("n_overruns"),
-        F.max("gap_us").alias("max_gap_us"),
+    inside = placed.withColumn("gap_us", gap).groupBy(*keys, "_chunk").agg(
+        F.count("gap_us").alias("_n"), F.count_if(F.col("gap_us") > period).alias("_over"), F.max("gap_us").alias("_most"),
+        F.min_by(ts, pos).alias("_first"), F.max_by(ts, pos).alias("_last"),
+    )
+    before = F.lag("_last").over(W.partitionBy(*keys).orderBy("_chunk"))
+    chunks = inside.withColumn("_edge", interval_micros(F.col("_first"), before))
+    return chunks.groupBy(*keys).agg(
+        (F.sum("_n") + F.count("_edge")).alias("n_gaps"),
+        (F.sum("_over") + F.count_if(F.col("_edge") > period)).alias("n_overruns"),
+        F.greatest(F.max("_most"), F.max("_edge")).alias("max_gap_us"),
     )
 
 
@@ -122,20 +135,31 @@ def score_policy(
 
     ``load_policy`` is called once per task and returns a function from a dict of
     stacked observations to one action row per frame. Only the keys and the named
-    observations travel to Python.
+    observations travel to Python. Bytes are images: the policy gets them as unsigned bytes
+    in the shape that the column declares, flat if it declares none; a row of another size is an error.
     """
     if load_policy is None:
         return random_actions(frames, dim=out_dim, seed=seed, keys=keys, pos=pos, out=out).select(*keys, pos, out)
     narrow = frames.select(*keys, pos, *[named(c) for c in observations])
     kept = [narrow.schema[c] for c in (*keys, pos)]
+    shapes = {c: (narrow.schema[c].metadata or {}).get("shape") for c in observations}
+    binary = {c for c in observations if isinstance(narrow.schema[c].dataType, T.BinaryType)}
     schema = T.StructType([*kept, T.StructField(out, T.ArrayType(T.DoubleType()))])
 
+    def stacked(c: str, values: pd.Series) -> np.ndarray:
+        if c not in binary:
+            return np.stack([np.asarray(v) for v in values])
+        rows = [np.frombuffer(v, np.uint8) for v in values]
+        if any(len(r) != (prod(shapes[c]) if shapes[c] else len(rows[0])) for r in rows):
+            raise ValueError(f"{c}: images without {shapes[c] or 'one'} size")
+        return np.stack([r.reshape(shapes[c]) if shapes[c] else r for r in rows])
+
     def run(batches):
         policy = load_policy()
         for pdf in batches:
             if len(pdf) == 0:
                 continue
-            obs = {c: np.stack([np.asarray(v) for v in pdf[c]]) for c in observations}
+            obs = {c: stacked(c, pdf[c]) for c in observations}
             actions = np.asarray(policy(obs), dtype=np.float64)
             if actions.shape != (len(pdf), out_dim):
                 raise ValueError(f"policy returned shape {actions.shape}, expected {(len(pdf), out_dim)}")

@@ -6,13 +6,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from epiframe.operators.chunked import CHUNK, chunk_of, chunk_window, drop_halo, join_by_chunk, with_halo
+from epiframe.operators.chunked import CHUNK, chunk_of, chunk_window, drop_halo, join_by_chunk, join_null_safe, refuse_gaps, with_halo
+from epiframe.operators.ordered import row_width
 from epiframe.schema import EPISODE, FPS, POSITION, named
 from epiframe.storage import pin
 
 # Defaults of the episode filters.
 MIN_EPISODE_LENGTH = 50
 MAX_EPISODE_STEPS = 600
+#: Steps of a stream in one chunk, and bytes of a step beyond its order that are not sorted.
+CHUNK_STEPS, WIDE_STEP = 1 << 16, 4096
 
 
 def episode_lengths(frames: DataFrame, keys: Sequence[str] = EPISODE) -> DataFrame:
@@ -38,43 +41,51 @@ def filter_min_length(
     broadcast, the frames, images included, are filtered where they are read.
     """
     long_enough = pin(episode_lengths(frames, keys)).where(F.col("length") >= min_length)
-    return join_by_chunk(frames, long_enough, "length", keys, pos, "left_semi", keyed_rows=long_enough.count())
+    return join_by_chunk(frames, long_enough, keys, pos, how="left_semi", keyed_rows=long_enough.count())
 
 
 def feature_stats(frames: DataFrame, dims: Mapping[str, int]) -> DataFrame:
-    """Count, min, max, mean and population deviation per feature dimension.
+    """Count, min, max, mean and population deviation per feature dimension, over its finite values.
 
-    The dimensions are named, so this is one hash aggregate in one pass: nothing is
+    NaN and infinite values are counted apart (``non_finite``), nulls not at all. The dimensions are named, so this is one hash aggregate in one pass: nothing is
     exploded and only one row per task is shuffled.
     """
     aggs, rows = [], []
     for feature, n in dims.items():
         for i in range(n):
-            x = named(feature)[i].cast("double")
+            value = named(feature)[i].cast("double")
+            x = F.when(_finite(value), value)
             p = f"_{len(rows)}"
             aggs += [
                 F.count(x).alias(f"{p}n"), F.min(x).alias(f"{p}lo"), F.max(x).alias(f"{p}hi"),
                 F.avg(x).alias(f"{p}mu"), F.stddev_pop(x).alias(f"{p}sd"),
+                F.count_if(~_finite(value)).alias(f"{p}bad"),
             ]
             rows.append(
                 F.struct(
                     F.lit(feature).alias("feature"), F.lit(i).alias("dim"), F.col(f"{p}n").alias("count"),
                     F.col(f"{p}lo").alias("min"), F.col(f"{p}hi").alias("max"),
                     F.col(f"{p}mu").alias("mean"), F.col(f"{p}sd").alias("std"),
+                    F.col(f"{p}bad").alias("non_finite"),
                 )
             )
     return frames.agg(*aggs).select(F.inline(F.array(*rows)))
 
 
+def _finite(x: Column) -> Column:
+    return ~F.isnan(x) & (F.abs(x) < float("inf"))
+
+
 def normalize_actions(frames: DataFrame, dims: int, action: str = "action", bounds: DataFrame | None = None) -> DataFrame:
     """Scale every action dimension to [-1, 1] by its range; a constant dimension becomes 0.
 
     The method is ours. ``bounds`` is a one-row table (low array, high array); by
-    default it is taken from the frames and enters the plan as a scalar subquery.
+    default it is taken from the finite values of the frames and enters the plan as a
+    scalar subquery. A value that is not finite stays as it is.
     """
     a = named(action)
     if bounds is None:
-        values = [a[i].cast("double") for i in range(dims)]
+        values = [F.when(_finite(a[i].cast("double")), a[i].cast("double")) for i in range(dims)]
         bounds = frames.agg(
             F.array(*[F.min(v) for v in values]).alias("low"), F.array(*[F.max(v) for v in values]).alias("high")
         )
@@ -82,7 +93,9 @@ def normalize_actions(frames: DataFrame, dims: int, action: str = "action", boun
     held = frames.withColumn("_limits", limits)
     low, high = F.col("_limits.low"), F.col("_limits.high")
     scaled = [
-        F.when(high[i] > low[i], 2 * (a[i].cast("double") - low[i]) / (high[i] - low[i]) - 1).otherwise(F.lit(0.0))
+        F.when(high[i] > low[i], 2 * (a[i].cast("double") - low[i]) / (high[i] - low[i]) - 1)
+        .when(a[i].isNull() | ~_finite(a[i].cast("double")), a[i].cast("double"))
+        .otherwise(F.lit(0.0))
         for i in range(dims)
     ]
     return held.withColumn(action, F.array(*scaled).cast("array<float>")).drop("_limits")
@@ -116,7 +129,7 @@ def align_obs_action(
     The first step of an episode takes the reset observation; the observation after
     the last step is not used.
     """
-    placed = with_halo(steps, keys, pos, chunk, before=1)
+    placed = refuse_gaps(with_halo(steps, keys, pos, chunk, before=1), keys, pos)
     seen = F.lag(named(next_obs)).over(chunk_window(keys, pos))
     seen = F.when(F.col(pos) == 0, named(reset_obs)).otherwise(seen)
     return drop_halo(placed.withColumn(out, seen)).drop(reset_obs, next_obs)
@@ -127,16 +140,29 @@ def assign_episode_ids(
     stream: Sequence[str] = ("stream_id",),
     seq: str = "seq",
     done: Column | str = "done",
-    chunk: int = 1 << 16,
+    chunk: int | None = None,
 ) -> DataFrame:
     """Number the episodes of each stream and the frames of each episode.
 
     A new episode starts after every done row. ``seq`` increases within a stream.
     Chunks of ``seq`` are numbered on their own; a table with one row per chunk
-    carries the counts forward, so a long stream never passes through one task.
+    carries the counts forward, so a long stream never passes through one task. A chunk is a
+    range of ``seq`` that holds ``CHUNK_STEPS`` steps of a stream on average. Only the
+    stream, ``seq`` and the flag are sorted: of wide steps (images) the rest is joined
+    back, by (stream, seq), which is then unique; a step without ``seq`` is an error.
     """
     done = F.col(done) if isinstance(done, str) else done
-    placed = steps.withColumn("_chunk", chunk_of(seq, chunk)).withColumn("_done", F.coalesce(done, F.lit(False)))
+    flagged = steps.withColumn("_done", F.coalesce(done, F.lit(False)))
+    if chunk is None:
+        span = F.max(seq).cast("double") - F.min(seq).cast("double") + 1
+        spacing = span * F.approx_count_distinct(F.struct(*stream)) / F.greatest(F.count("*"), F.lit(1))
+        chunk = max(1, int(CHUNK_STEPS * (steps.agg(spacing).first()[0] or 1)))
+    others = [c for c in steps.columns if c not in (*stream, seq)]
+    wide = row_width(steps.select(*[named(c) for c in others]).schema) > WIDE_STEP if others else False
+    if wide:
+        flagged = flagged.select(*stream, seq, "_done")
+    place = F.when(F.col(seq).isNull(), F.raise_error(F.lit(f"{seq} is null")).cast("long")).otherwise(chunk_of(seq, chunk))
+    placed = flagged.withColumn("_chunk", place)
     inside = W.partitionBy(*stream, "_chunk").orderBy(seq)
     before = inside.rowsBetween(W.unboundedPreceding, -1)
     local = placed.withColumn("_i", F.row_number().over(inside) - 1).withColumns(
@@ -157,11 +183,16 @@ def assign_episode_ids(
         .withColumn("_end_at", F.max(F.col("_base") + F.col("_end")).over(earlier))
         .select(*stream, "_chunk", "_base", "_episodes", "_end_at")
     )
-    joined = local.join(carried, [*stream, "_chunk"])
+    joined = join_null_safe(local, carried, [*stream, "_chunk"])
     position = F.col("_base") + F.col("_i")
     last_end = F.coalesce(F.col("_base") + F.col("_last_end"), F.col("_end_at"), F.lit(-1))
-    return joined.select(
-        *[named(c) for c in steps.columns],
+    kept = [*stream, seq] if wide else steps.columns
+    numbered = joined.select(
+        *[named(c) for c in kept],
         (F.col("_episodes") + F.col("_ended")).cast("long").alias("episode_index"),
         (position - last_end - 1).cast("long").alias("frame_index"),
     )
+    if not wide:
+        return numbered
+    both = join_null_safe(steps, numbered, [*stream, seq])
+    return both.select(*[named(c) for c in steps.columns], "episode_index", "frame_index")

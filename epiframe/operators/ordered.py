@@ -21,11 +21,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
+from epiframe.operators.chunked import join_null_safe
 from epiframe.schema import VALUE_BYTES
 from epiframe.storage import pin
 
 ROWS_PER_CLASS = 1 << 20
 MAX_CUTS = 10_000
+#: Class of rows without an ordering value; odd like the other open ones.
+NULL_CLASS = -1
 #: Bytes that one partition of an arranged table should hold.
 PART_BYTES = 256 << 20
 
@@ -46,9 +49,11 @@ class Classes:
         splits = [float("-inf"), *self.cuts, float("inf")]
         slot = Bucketizer(splits=splits, inputCol=self.value, outputCol="_slot", handleInvalid="keep")
         at = F.col("_slot").cast("int")
-        cut = F.element_at(F.lit(self.cuts), F.greatest(at, F.lit(1)))
-        single = (at > 0) & (F.col(self.value) == cut)
-        return slot.transform(df).withColumn("_class", 2 * at + F.when(single, 0).otherwise(1)).drop("_slot")
+        # NaN has a slot behind the last cut, null none: it is the class below all others, as nulls sort first
+        cut = F.try_element_at(F.lit(self.cuts), F.greatest(at, F.lit(1)))
+        single = (at > 0) & F.coalesce(F.col(self.value) == cut, F.lit(False))
+        placed = F.coalesce(2 * at + F.when(single, 0).otherwise(1), F.lit(NULL_CLASS))
+        return slot.transform(df).withColumn("_class", placed).drop("_slot")
 
 
 def classes_of(df: DataFrame, value: str, rows: int, rows_per_class: int = ROWS_PER_CLASS) -> Classes:
@@ -100,7 +105,7 @@ def rank_below(
     df = df.withColumn("_order", F.col(value).cast("double"))
     classes = classes_of(df, "_order", rows, rows_per_class)
     placed = _with_offset(classes.assign(df), classes, F.count("*"))
-    single = F.col("_class") % 2 == 0
+    single = F.pmod("_class", F.lit(2)) == 0
     scatter = F.when(single, F.xxhash64(*spread)).otherwise(F.lit(0))
     inside = F.rank().over(W.partitionBy("_class", scatter).orderBy("_order")) - 1
     below = F.col("_before") + F.when(single, 0).otherwise(inside)
@@ -165,7 +170,7 @@ def index_in_group(
         .select(*group, "_class", F.coalesce(F.sum("_n").over(lower), F.lit(0)).alias("_before"))
     )
     inside = F.row_number().over(W.partitionBy(*group, "_class").orderBy(*order)) - 1
-    numbered = placed.withColumn("_inside", inside).join(offsets, [*group, "_class"])
+    numbered = join_null_safe(placed.withColumn("_inside", inside), offsets, [*group, "_class"])
     return numbered.withColumn(out, (F.col("_before") + F.col("_inside")).cast("long")).drop(
         "_class", "_before", "_inside", "_order"
     )

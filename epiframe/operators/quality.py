@@ -3,6 +3,10 @@
 SAL is the spectral arc length of the speed profile (Balasubramanian et al., 2012 and
 2015): more negative is less smooth. TED is the mean distance of an episode from the
 cohort at the same frame index, in cohort standard deviations: larger is worse.
+
+An episode with a null, NaN or infinite action value cannot be scored: both its scores are
+NaN, and such values do not enter the cohort. Of actions with more values than ``dims`` the
+first count; an action with fewer is an error.
 """
 
 from collections.abc import Sequence
@@ -14,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from epiframe.operators.chunked import CHUNK, chunk_window, drop_halo, join_by_chunk, with_halo
+from epiframe.operators.chunked import CHUNK, chunk_window, drop_halo, join_by_chunk, refuse_gaps, with_halo
 from epiframe.operators.episodes import episode_lengths
 from epiframe.schema import EPISODE, FPS, POSITION, named
 from epiframe.storage import pin
@@ -34,6 +38,19 @@ BROADCAST_ROWS = 100_000
 EPISODES_PER_SALT = 1 << 16
 
 
+def vector(action: str, dims: int) -> Column:
+    """The first ``dims`` values as doubles, NaN for null; an error where there are fewer."""
+    a = named(action)
+    short = F.raise_error(F.concat(F.lit(f"{action} has fewer values than {dims}: "), F.size(a).cast("string"))).cast("array<double>")
+    values = F.transform(F.slice(a, 1, dims), lambda x: F.coalesce(x.cast("double"), F.lit(float("nan"))))
+    missing = F.array(*[F.lit(float("nan"))] * dims)
+    return F.when(a.isNull(), missing).when(F.size(a) < dims, short).otherwise(values)
+
+
+def finite(x: Column) -> Column:
+    return ~F.isnan(x) & (F.abs(x) < float("inf"))
+
+
 def _padded(n) -> np.ndarray:
     return 2 ** (np.ceil(np.log2(n)).astype(np.int64) + PAD_LEVEL)
 
@@ -57,7 +74,9 @@ def _sal_udf(dims: int, fps: float):
         moves = np.zeros(len(points))
         moves[:-1] = np.linalg.norm(np.diff(points, axis=0), axis=1)
         out = np.zeros(len(sizes))
-        counts = sizes - 1
+        whole = np.isfinite(points).all(axis=1)
+        broken = np.bincount(np.repeat(np.arange(len(sizes)), sizes), ~whole, minlength=len(sizes)) > 0
+        counts = np.where(broken, 0, sizes - 1)
         padded = np.where(counts >= 2, _padded(np.maximum(counts, 2)), 0)
         for m in np.unique(padded[padded > 0]):
             for rows in np.array_split(np.flatnonzero(padded == m), max(1, int((padded == m).sum() * m) >> 22)):
@@ -73,6 +92,7 @@ def _sal_udf(dims: int, fps: float):
                 moving = total > 0
                 scaled = spectrum[moving] / total[moving, None]
                 out[rows[moving]] = _arc_length(scaled)
+        out[broken] = np.nan
         return pa.array(out)
 
     return sal_of
@@ -80,7 +100,7 @@ def _sal_udf(dims: int, fps: float):
 
 def _sal_whole(frames: DataFrame, dims: int, action: str, keys: Sequence[str], pos: str, fps: float) -> DataFrame:
     """One row per episode, scored in Arrow batches; for episodes of bounded length."""
-    step = F.struct(F.col(pos).alias("i"), named(action).cast("array<double>").alias("a"))
+    step = F.struct(F.col(pos).alias("i"), vector(action, dims).alias("a"))
     gathered = frames.groupBy(*keys).agg(F.sort_array(F.collect_list(step)).alias("_steps"))
     flat = F.flatten(F.transform("_steps", lambda s: s["a"]))
     return gathered.select(*keys, _sal_udf(dims, fps)(flat).alias("sal"))
@@ -91,10 +111,11 @@ def step_speed(
     chunk: int = CHUNK,
 ) -> DataFrame:
     """Distance from each frame's action to the next one in its episode."""
-    placed = with_halo(frames.select(*keys, pos, named(action)), keys, pos, chunk, after=1)
+    narrow = frames.select(*keys, pos, vector(action, dims).alias(action))
+    placed = refuse_gaps(with_halo(narrow, keys, pos, chunk, before=1, after=1), keys, pos)
     follows = placed.withColumn("_next", F.lead(named(action)).over(chunk_window(keys, pos)))
     moved = drop_halo(follows).where(F.col("_next").isNotNull())
-    squares = [F.pow(F.col("_next")[i].cast("double") - named(action)[i].cast("double"), F.lit(2.0)) for i in range(dims)]
+    squares = [F.pow(F.col("_next")[i] - named(action)[i], F.lit(2.0)) for i in range(dims)]
     return moved.select(*keys, pos, F.sqrt(sum(squares[1:], squares[0])).alias("speed"))
 
 
@@ -113,8 +134,8 @@ def _sal_split(speeds: DataFrame, keys: Sequence[str], pos: str, fps: float, cel
     totals = totals.withColumn("_q", F.pow(F.lit(2.0), F.floor(bits / 2)).cast("long"))
     totals = pin(totals.withColumn("_last", F.floor(F.lit(CUTOFF_HZ) * F.col("_m") / F.lit(float(fps)))))
     episodes = totals.count()
-    moving = totals.where("_n >= 2 AND _total > 0")
-    sized = join_by_chunk(speeds, moving, "_n", keys, pos, keyed_rows=episodes)
+    moving = totals.where((F.col("_n") >= 2) & (F.col("_total") > 0) & finite(F.col("_total")))
+    sized = join_by_chunk(speeds, moving, keys, pos, keyed_rows=episodes)
     together = F.greatest(F.lit(1), F.least(F.col("_q"), F.floor(F.lit(cell) * F.col("_q") / F.col("_m"))))
     grouped = sized.withColumn("_part", F.floor(F.pmod(F.col(pos), F.col("_q")) / together))
 
@@ -166,10 +187,11 @@ def _sal_split(speeds: DataFrame, keys: Sequence[str], pos: str, fps: float, cel
     )
     spectrum = half.groupBy(*keys, "_block").applyInPandas(residues, f"_k long, _edge long, _mags array<double>, {kinds}")
     spectrum = pin(spectrum)
-    edges = spectrum.groupBy(*keys).agg(F.max("_edge").alias("_cut")).withColumn("_bins", F.col("_cut") + 1)
-    inside = join_by_chunk(spectrum, edges, "_bins", keys, "_k", keyed_rows=episodes).where(F.col("_k") <= F.col("_cut"))
+    edges = spectrum.groupBy(*keys).agg(F.max("_edge").alias("_cut"))
+    inside = join_by_chunk(spectrum, edges, keys, "_k", keyed_rows=episodes).where(F.col("_k") <= F.col("_cut"))
     lengths = inside.groupBy(*keys).agg((-F.sum(_run_length("_mags", "_k", "_cut"))).alias("sal"))
-    return totals.select(*keys).join(lengths, list(keys), "left").select(*keys, F.coalesce("sal", F.lit(0.0)).alias("sal"))
+    score = F.when(finite(F.col("_total")), F.coalesce("sal", F.lit(0.0))).otherwise(F.lit(float("nan")))
+    return totals.select(*keys, "_total").join(lengths, list(keys), "left").select(*keys, score.alias("sal"))
 
 
 @F.arrow_udf(T.DoubleType())
@@ -208,7 +230,7 @@ def sal(
         longest = 0 if narrow.where(F.col(pos) >= whole_episode).isEmpty() else whole_episode + 1
     if longest <= whole_episode:
         return _sal_whole(narrow, dims, action, keys, pos, fps)
-    sized = join_by_chunk(narrow, episode_lengths(narrow, keys), "length", keys, pos)
+    sized = join_by_chunk(narrow, episode_lengths(narrow, keys), keys, pos)
     short = sized.where(F.col("length") <= whole_episode).drop("length")
     long = sized.where(F.col("length") > whole_episode).drop("length")
     split = _sal_split(step_speed(long, dims, action, keys, pos), keys, pos, fps, cell)
@@ -216,7 +238,7 @@ def sal(
 
 
 def _cohort(frames: DataFrame, dims: int, action: str, pos: str) -> DataFrame:
-    values = [named(action)[i].cast("double") for i in range(dims)]
+    values = [F.when(finite(v), v) for v in (named(action)[i] for i in range(dims))]
     return frames.groupBy(pos).agg(
         F.count("*").alias("_episodes"),
         F.array(*[F.avg(v) for v in values]).alias("_mu"),
@@ -231,25 +253,20 @@ def ted(
     keys: Sequence[str] = EPISODE,
     pos: str = POSITION,
     broadcast_rows: int = BROADCAST_ROWS,
-    longest: int | None = None,
     episodes_per_salt: int = EPISODES_PER_SALT,
 ) -> DataFrame:
     """Mean over an episode's frames of the root mean squared z-score against the cohort.
 
     The cohort table has one row per frame index. Its first ``broadcast_rows`` rows are
     broadcast: they are shared by the most episodes. Rows beyond, if any, are joined
-    on the frame index, salted as the most shared of them requires. ``longest`` is the
-    length of the longest episode, if known.
+    on the frame index, salted as the most shared of them requires. The rows are counted.
     """
-    narrow = frames.select(*keys, pos, named(action))
+    narrow = frames.select(*keys, pos, vector(action, dims).alias(action))
     cohort = _cohort(narrow, dims, action, pos)
-    if longest is None:
-        cohort = pin(cohort)
-        longest = cohort.count()
-    if longest <= broadcast_rows:
+    cohort = pin(cohort)
+    if cohort.count() <= broadcast_rows:
         joined = narrow.join(F.broadcast(cohort), pos)
     else:
-        cohort = pin(cohort)
         far = F.col(pos) >= broadcast_rows
         shared = cohort.where(far).agg(F.max("_episodes")).first()[0]
         salts = -(-shared // episodes_per_salt)
@@ -263,8 +280,9 @@ def ted(
 
 def _deviation(action: Column, mean: Column, spread: Column, dims: int) -> Column:
     def squared(i: int) -> Column:
-        z = (action[i].cast("double") - mean[i]) / spread[i]
-        return F.when(spread[i] > 0, z * z).otherwise(F.lit(0.0))
+        z = (action[i] - mean[i]) / spread[i]
+        usual = F.when(spread[i] > 0, z * z).otherwise(F.lit(0.0))
+        return F.when(finite(action[i]), usual).otherwise(F.lit(float("nan")))
 
     squares = [squared(i) for i in range(dims)]
     return F.sqrt(sum(squares[1:], squares[0]) / dims)

@@ -7,11 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from epiframe.functions.randomness import hash_int
-from epiframe.operators.chunked import join_by_chunk
-from epiframe.operators.ordered import PART_BYTES, ROWS_PER_CLASS, arrange, running_total
-from epiframe.operators.windows import STRIDE
+from epiframe.operators.chunked import join_null_safe
+from epiframe.operators.ordered import PART_BYTES, arrange, dense_index
 from epiframe.schema import EPISODE
-from epiframe.storage import pin
 
 HASH_DIGITS = 15
 #: Most windows that are found by a top-n rather than by number.
@@ -29,43 +27,29 @@ def restore_order(df: DataFrame, index: str = "row_index", part_bytes: int = PAR
     return arrange(df, index, 0 if last is None else last + 1, [index], part_bytes)
 
 
-def number_windows(
-    windows: DataFrame, stride: int = STRIDE, key: str = "episode_index", out: str = "window_id",
-    rows_per_class: int = ROWS_PER_CLASS,
-) -> DataFrame:
-    """Dense window number in stored order (episode, start).
+def number_windows(windows: DataFrame, key: str = "episode_index", out: str = "window_id") -> DataFrame:
+    """Dense number of the windows that are there, in stored order (episode, start).
 
-    A window's place within its episode is start / stride, so only the number of
-    windows of earlier episodes is needed: a running total with one row per episode.
+    Windows may have been cut with any stride and filtered since. Only their keys are
+    sorted and numbered; the numbers are joined back.
     """
-    return _numbered(windows, stride, key, out, rows_per_class)[0]
-
-
-def _numbered(windows: DataFrame, stride: int, key: str, out: str, rows_per_class: int) -> tuple[DataFrame, int]:
-    """The numbered windows and how many there are."""
-    counts = pin(windows.groupBy(key).agg(F.count("*").alias("_n")))
-    episodes, total = counts.agg(F.count("*"), F.coalesce(F.sum("_n"), F.lit(0))).first()
-    offsets = running_total(counts, key, "_n", "_offset", episodes, rows_per_class)
-    placed = windows.withColumn("_ordinal", F.floor(F.col("start") / F.lit(stride)))
-    joined = join_by_chunk(placed, offsets, "_n", [key], "_ordinal", keyed_rows=episodes)
-    return joined.withColumn(out, F.col("_offset") + F.col("_ordinal")).drop("_offset", "_ordinal", "_n"), total
+    return join_null_safe(windows, dense_index(windows.select(key, "start"), [key, "start"], out), [key, "start"])
 
 
-def cap_windows(
-    windows: DataFrame, n: int | None, stride: int = STRIDE, key: str = "episode_index", top_keys: int = TOP_KEYS
-) -> DataFrame:
+def cap_windows(windows: DataFrame, n: int | None, key: str = "episode_index", top_keys: int = TOP_KEYS) -> DataFrame:
     """The first ``n`` windows in stored order; all of them when n is None.
 
-    A small n is found by a top-n on the keys alone, a larger one by the window number,
-    which needs no sort; neither moves step arrays through one task.
+    A small n is found by a top-n on the keys alone, a larger one by the window number;
+    neither moves step arrays through one task.
     """
     if n is None:
         return windows
+    narrow = windows.select(key, "start")
     if n > top_keys:
-        numbered = number_windows(windows, stride, key, "_number")
-        return numbered.where(F.col("_number") < n).drop("_number")
-    first = windows.select(key, "start").orderBy(key, "start").limit(n)
-    return windows.join(F.broadcast(first), [key, "start"], "left_semi")
+        first = dense_index(narrow, [key, "start"], "_number").where(F.col("_number") < n).drop("_number")
+    else:
+        first = narrow.orderBy(key, "start").limit(n)
+    return join_null_safe(windows, first, [key, "start"], "left_semi", small=n <= top_keys)
 
 
 def epoch_batches(
@@ -75,17 +59,17 @@ def epoch_batches(
     seed: int = 42,
     shuffle: bool = True,
     keys: Sequence[str] = (*EPISODE, "start"),
-    stride: int = STRIDE,
 ) -> DataFrame:
     """Assign every window to one batch per epoch; the last partial batch is kept.
 
     Each epoch orders the windows by a hash of (seed, epoch, key): a new permutation
     that does not depend on partitioning. The hash is uniform, so its leading digits
     make even buckets; a bucket's offset plus the place inside it is the position.
+    Only keys are needed: pass ``window_starts`` rather than windows with their steps.
     """
     narrow = windows.select(*keys)
     if not shuffle:
-        numbered = number_windows(narrow, stride, keys[0], "_position")
+        numbered = dense_index(narrow, keys, "_position")
         spread = numbered.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))))
         return _batched(spread, F.col("_position"), batch_size, keys)
     spread = narrow.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))))
@@ -111,16 +95,15 @@ def _batched(df: DataFrame, position: Column, batch_size: int, keys: Sequence[st
     )
 
 
-def sample_windows(
-    windows: DataFrame, n: int, seed: int = 42, stride: int = STRIDE, key: str = "episode_index"
-) -> DataFrame:
+def sample_windows(windows: DataFrame, n: int, seed: int = 42, key: str = "episode_index") -> DataFrame:
     """``n`` uniform draws with replacement; ``draw`` numbers them.
 
     A draw is a hash of (seed, draw) modulo the number of windows, joined on the dense
-    window number: both sides of the join are spread evenly.
+    window number: both sides of the join are spread evenly, and steps come last.
     """
-    numbered, total = _numbered(windows, stride, key, "window_id", ROWS_PER_CLASS)
+    numbered = dense_index(windows.select(key, "start"), [key, "start"], "window_id")
+    total = numbered.count()
     draws = windows.sparkSession.range(n if total else 0).withColumnRenamed("id", "draw")
     drawn = F.pmod(hash_int(seed, F.col("draw"), digits=HASH_DIGITS), F.lit(max(total, 1)))
-    picked = draws.withColumn("window_id", drawn)
-    return picked.join(numbered, "window_id")
+    picked = draws.withColumn("window_id", drawn).join(numbered, "window_id")
+    return join_null_safe(windows, picked, [key, "start"]) if len(windows.columns) > 2 else picked

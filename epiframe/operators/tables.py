@@ -1,21 +1,23 @@
 """Row selection, merging of sources, and run-level metric tables."""
 
 from collections.abc import Iterable, Sequence
+from math import prod
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
 from epiframe.functions.images import row_bytes
 from epiframe.functions.metrics import PRIMARY_METRICS
-from epiframe.operators.chunked import join_by_chunk
+from epiframe.operators.chunked import join_by_chunk, join_null_safe
 from epiframe.operators.episodes import episode_lengths
 from epiframe.operators.ordered import ROWS_PER_CLASS, arrange, dense_index, running_total
 from epiframe.operators.sampling import restore_order
-from epiframe.schema import POSITION
+from epiframe.schema import POSITION, VALUE_BYTES, named
 from epiframe.storage import pin
 
-#: Longest index list that is sent to every executor.
+#: Longest index list that is taken from the driver.
 BROADCAST_INDICES = 1_000_000
 # Log interval and cache ceiling (10^9 bytes per gigabyte).
 LOG_EVERY = 50
@@ -26,19 +28,27 @@ RECORDED_SOURCE = "dr"
 def select_rows(df: DataFrame, indices: Iterable[int] | DataFrame | None, index: str = "row_index") -> DataFrame:
     """The listed rows in list order, duplicates kept; all rows when ``indices`` is None.
 
-    ``indices`` is a list or a table (pos, row_index). A list is broadcast up to a
-    fixed length; a table is joined as Spark sees fit.
+    ``indices`` is a table (pos, row_index), joined as Spark sees fit, or a list of at most
+    ``BROADCAST_INDICES``. An index without a row is an error.
     """
+    def found(wanted: DataFrame, n: int) -> DataFrame:
+        there = df.withColumn("_there", F.lit(True))
+        joined = wanted.join(there, index, "left")
+        missing = F.raise_error(F.concat(F.lit(f"no row has {index} "), F.coalesce(F.col(index).cast("string"), F.lit("null")))).cast("boolean")
+        held = joined.where(F.when(F.col("_there"), True).otherwise(missing)).drop("_there")
+        return arrange(held, "pos", n, ["pos"])
+
     if indices is None:
         return restore_order(df, index)
     if isinstance(indices, DataFrame):
         last = indices.agg(F.max("pos")).first()[0]
-        return arrange(indices.join(df, index), "pos", 0 if last is None else last + 1, ["pos"])
+        return found(indices, 0 if last is None else last + 1)
+    indices = list(indices)
+    if len(indices) > BROADCAST_INDICES:
+        raise ValueError(f"more than {BROADCAST_INDICES} indices: pass a table (pos, {index})")
     listed = [(pos, int(i)) for pos, i in enumerate(indices)]
     wanted = df.sparkSession.createDataFrame(listed, f"pos long, {index} long")
-    if len(listed) <= BROADCAST_INDICES:
-        wanted = F.broadcast(wanted)
-    return arrange(df.join(wanted, index), "pos", len(listed), ["pos"])
+    return found(wanted, len(listed))
 
 
 def merge_sources(sources: dict[str, DataFrame], tag: str = "source") -> DataFrame:
@@ -71,15 +81,20 @@ def renumber_episodes(
 ) -> DataFrame:
     """Add the dense episode number to every frame of a merged table."""
     numbers = episode_numbers(frames, keys, out)
-    joined = join_by_chunk(frames, numbers, "length", keys, pos, keyed_rows=numbers.count())
+    joined = join_by_chunk(frames, numbers, keys, pos, keyed_rows=numbers.count())
     return joined.drop("length")
 
 
-def thin_log(metrics: DataFrame, every: int = LOG_EVERY, total: int | None = None, step: str = "step") -> DataFrame:
-    """Keep the first step, every n-th one and the last."""
-    last = F.lit(total) if total is not None else metrics.agg(F.max(step)).scalar()
+def thin_log(
+    metrics: DataFrame, every: int = LOG_EVERY, total: int | None = None, step: str = "step", run: str = "run_id"
+) -> DataFrame:
+    """Keep the first step, every n-th one and the last of every run; ``total`` is the last step, if known."""
     s = F.col(step)
-    return metrics.where((s == 1) | (F.pmod(s, F.lit(every)) == 0) | (s == last))
+    regular = (s == 1) | (F.pmod(s, F.lit(every)) == 0)
+    if total is not None:
+        return metrics.where(regular | (s == total))
+    ends = metrics.groupBy(run).agg(F.max(step).alias("_end"))
+    return join_null_safe(metrics, ends, [run]).where(regular | (s == F.col("_end"))).drop("_end")
 
 
 def attach_primary_metric(runs: DataFrame, arch: str = "target_arch") -> DataFrame:
@@ -92,9 +107,17 @@ def attach_primary_metric(runs: DataFrame, arch: str = "target_arch") -> DataFra
     return joined.withColumn("metric", F.coalesce("metric", unknown))
 
 
-def last_metric(runs: DataFrame, metrics: DataFrame, run: str = "run_id", order: str = "line_no") -> DataFrame:
-    """The last primary metric of every run, 0 when it has none (the default is ours)."""
-    last = metrics.groupBy(run).agg(F.max_by("value", order).alias("value"))
+def last_metric(
+    runs: DataFrame, metrics: DataFrame, run: str = "run_id", order: str | Sequence[str] = "line_no", arch: str = "target_arch"
+) -> DataFrame:
+    """The last primary metric of every run, 0 when it has none (the default is ours).
+
+    Other metrics of the run do not count. ``order`` may be several columns, such as file and line.
+    """
+    keys = [order] if isinstance(order, str) else list(order)
+    wanted = attach_primary_metric(runs, arch).select(run, F.col("metric").alias("name")).distinct()
+    primary = metrics.join(wanted, [run, "name"], "left_semi")
+    last = primary.groupBy(run).agg(F.max_by("value", F.struct(*keys)).alias("value"))
     return runs.join(last, run, "left").withColumn("value", F.coalesce("value", F.lit(0.0)))
 
 
@@ -105,6 +128,19 @@ def best_metric(runs: DataFrame, metrics: DataFrame, run: str = "run_id") -> Dat
     return runs.join(bounds, run, "left").withColumn("best", best).drop("_lo", "_hi")
 
 
+def _declared_bytes(df: DataFrame) -> Column:
+    """Bytes of a row: by schema for columns that declare their shape, measured for the others."""
+    fixed, measured = 0, []
+    for f in df.schema.fields:
+        shape = (f.metadata or {}).get("shape")
+        value = f.dataType.elementType if isinstance(f.dataType, T.ArrayType) else f.dataType
+        if shape and isinstance(f.dataType, T.ArrayType | T.BinaryType) and type(value) in VALUE_BYTES:
+            fixed += prod(shape) * VALUE_BYTES[type(value)]
+        else:
+            measured.append(f.name)
+    return row_bytes(df.select(*[named(c) for c in measured])) + F.lit(fixed).cast("long")
+
+
 def size_budget(
     df: DataFrame, max_gb: float = CACHE_GB, index: str = "row_index", chunk: int = 1 << 16,
     rows_per_class: int = ROWS_PER_CLASS,
@@ -112,10 +148,11 @@ def size_budget(
     """One row: rows, bytes, the ceiling, and the first sample (from 1) that exceeds it.
 
     Bytes are summed per chunk of the index; the running total over chunks names the
-    one chunk that crosses the ceiling, and only its rows are added up one by one.
+    one chunk that crosses the ceiling, and only its rows are added up one by one. Columns
+    that declare a shape are not read.
     """
     limit = int(max_gb * 1e9)
-    sized = df.select(F.col(index), row_bytes(df).alias("_bytes")).withColumn("_chunk", F.floor(F.col(index) / F.lit(chunk)))
+    sized = df.select(F.col(index), _declared_bytes(df).alias("_bytes")).withColumn("_chunk", F.floor(F.col(index) / F.lit(chunk)))
     chunks = pin(sized.groupBy("_chunk").agg(F.count("*").alias("_n"), F.sum("_bytes").alias("_bytes")))
     n_chunks = chunks.count()
     running = running_total(chunks, "_chunk", "_bytes", "_bytes_before", n_chunks, rows_per_class)

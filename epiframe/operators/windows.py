@@ -5,7 +5,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from epiframe.operators.chunked import CHUNK, chunk_window, drop_halo, with_halo
+from epiframe.operators.chunked import CHUNK, chunk_window, dense_lengths, drop_halo, refuse_gaps, with_halo
+from epiframe.operators.ordered import row_width
 from epiframe.schema import EPISODE, POSITION, named
 
 # Window length, distance between starts, and head-window length.
@@ -13,6 +14,20 @@ WINDOW_SIZE = 16
 STRIDE = 8
 
 
+#: Bytes that the array of one chunk should hold, and the most rows in it.
+CHUNK_BYTES, CHUNK_ROWS = 32 << 20, 1024
+
+
+def window_starts(
+    frames: DataFrame, size: int = WINDOW_SIZE, stride: int = STRIDE, keys: Sequence[str] = EPISODE, pos: str = POSITION
+) -> DataFrame:
+    """Keys and ``start`` of every full window, from the episode lengths alone."""
+    lengths = dense_lengths(frames, keys, pos)
+    last = F.col("length") - size
+    starts = F.explode(F.sequence(F.lit(0).cast("long"), last, F.lit(stride).cast("long")))
+    return lengths.where(last >= 0).select(*keys, starts.alias("start"))
+
+
 def sliding_windows(
     frames: DataFrame,
     size: int = WINDOW_SIZE,
@@ -20,25 +35,39 @@ def sliding_windows(
     columns: Sequence[str] = ("action",),
     keys: Sequence[str] = EPISODE,
     pos: str = POSITION,
-    chunk: int = 1024,
+    chunk: int | None = None,
 ) -> DataFrame:
     """Full windows starting at 0, stride, 2 * stride, ... of every episode.
 
     Returns the keys, ``start`` and ``steps`` (array of structs in order). Each frame is
     shuffled once, plus the few rows that windows reach past the end of their chunk;
-    windows are slices of the chunk's array.
+    windows are slices of the chunk's array. A chunk has fewer rows the wider they are.
+    The query fails where positions have a gap.
     """
+    narrow = frames.select(*keys, pos, *[named(c) for c in columns])
+    if chunk is None:
+        chunk = min(CHUNK_ROWS, CHUNK_BYTES // row_width(narrow.schema))
     chunk = max(stride, size, chunk - chunk % stride)
     chunk += -chunk % stride
-    placed = with_halo(frames.select(*keys, pos, *[named(c) for c in columns]), keys, pos, chunk, after=max(size - stride, 0))
+    placed = with_halo(narrow, keys, pos, chunk, before=1, after=max(size - stride, 0))
+    begin = F.col("_chunk") * chunk
     step = F.struct(F.col(pos), *[named(c) for c in columns])
-    gathered = placed.groupBy(*keys, "_chunk").agg(F.sort_array(F.collect_list(step)).alias("_steps"))
+    own = F.coalesce(F.col(pos) >= begin, F.lit(True))
+    gathered = placed.groupBy(*keys, "_chunk").agg(
+        F.sort_array(F.collect_list(F.when(own, step))).alias("_steps"), F.count_if(~own).alias("_before")
+    )
     count = F.size("_steps")
+    first, end = F.col("_steps")[0][pos], F.element_at("_steps", -1)[pos]
+    whole = (first == begin) & (end - first + 1 == count) & (F.col("_before") == F.when(F.col("_chunk") > 0, 1).otherwise(0))
+    message = F.concat(F.lit(f"{pos} has a gap or repeats after "), F.coalesce(begin.cast("string"), F.lit("null")))
+    fails = F.raise_error(message).cast("boolean")
     last = F.least(count - size, F.lit(chunk - stride))
     starts = (
-        gathered.where(count >= size)
+        gathered.where(count > 0)
+        .where(F.when(F.coalesce(whole, F.lit(False)), True).otherwise(fails))
+        .where(count >= size)
         .withColumn("_at", F.explode(F.sequence(F.lit(0), last, F.lit(stride))))
-        .withColumn("start", F.col("_chunk") * chunk + F.col("_at"))
+        .withColumn("start", begin + F.col("_at"))
     )
     return starts.select(*keys, "start", F.slice("_steps", F.col("_at") + 1, size).alias("steps"))
 
@@ -92,10 +121,14 @@ def transitions(
     pos: str = POSITION,
     chunk: int = CHUNK,
 ) -> DataFrame:
-    """(state, action, next state) for every frame that has a successor in its episode."""
-    placed = with_halo(frames.select(*keys, pos, named(state), named(action)), keys, pos, chunk, after=1)
-    follows = F.lead(named(state)).over(chunk_window(keys, pos))
-    return drop_halo(placed.withColumn("next_state", follows)).where(F.col("next_state").isNotNull())
+    """(state, action, next state) for every frame that has a successor in its episode.
+
+    A null next state is kept as null. The query fails where positions have a gap.
+    """
+    placed = with_halo(frames.select(*keys, pos, named(state), named(action)), keys, pos, chunk, before=1, after=1)
+    w = chunk_window(keys, pos)
+    follows = refuse_gaps(placed, keys, pos).withColumns({"next_state": F.lead(named(state)).over(w), "_next": F.lead(pos).over(w)})
+    return drop_halo(follows).where(F.col("_next").isNotNull()).drop("_next")
 
 
 def window_transitions(windows: DataFrame, state: str = "state", action: str = "action") -> DataFrame:
@@ -112,11 +145,19 @@ def window_transitions(windows: DataFrame, state: str = "state", action: str = "
 
 
 def transition_mse(df: DataFrame, pred: str, target: str) -> DataFrame:
-    """Mean squared error over all rows and dimensions, as one row ``mse``."""
+    """Mean squared error over all compared values, as one row ``mse``, ``n_values``.
+
+    Rows without a prediction or a target are not compared, nor are single null values;
+    vectors of unequal length are an error.
+    """
     p, t = named(pred), named(target)
     squares = F.zip_with(p, t, lambda a, b: (a.cast("double") - b.cast("double")) * (a.cast("double") - b.cast("double")))
-    error = F.aggregate(squares, F.lit(0.0), lambda acc, x: acc + x)
-    return df.agg((F.sum(error) / F.sum(F.size(t))).alias("mse"), F.sum(F.size(t)).alias("n_values"))
+    unequal = F.raise_error(F.concat_ws(" ", F.lit("vectors of unequal length:"), F.size(p), F.size(t))).cast("array<double>")
+    compared = F.filter(F.when(F.size(p) == F.size(t), squares).otherwise(unequal), lambda x: x.isNotNull())
+    rows = df.where(p.isNotNull() & t.isNotNull()).select(compared.alias("_e"))
+    error = F.aggregate("_e", F.lit(0.0), lambda acc, x: acc + x)
+    n = F.coalesce(F.sum(F.size("_e")), F.lit(0))
+    return rows.agg((F.sum(error) / F.nullif(n, F.lit(0))).alias("mse"), n.alias("n_values"))
 
 
 def replay_steps(windows: DataFrame, image: str | None = None, action: str = "action") -> DataFrame:

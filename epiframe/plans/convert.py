@@ -45,5 +45,6 @@ def convert_to_windows(
         prepared = normalize_actions(frames, dims) if normalize else frames
         prepared = resize_frames(prepared, shapes, image_size)
         windows = sliding_windows(prepared, size, stride, ["action", *shapes], keys)
-        windows.write.mode("errorifexists").parquet(target)
+        # what a crashed conversion left is replaced
+        windows.write.mode("overwrite").parquet(target)
     return spark.read.parquet(target)

@@ -6,8 +6,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from epiframe.operators.chunked import join_by_chunk
-from epiframe.operators.episodes import MIN_EPISODE_LENGTH, episode_lengths
+from epiframe.operators.chunked import dense_lengths, join_by_chunk
+from epiframe.operators.episodes import MIN_EPISODE_LENGTH
 from epiframe.operators.ordered import ROWS_PER_CLASS, percentile_of, rank_below
 from epiframe.operators.quality import sal, ted
 from epiframe.schema import EPISODE, FPS, POSITION, named
@@ -56,17 +56,22 @@ def judge_episodes(
     """One row per episode of sufficient length: scores, badness, and whether it is kept.
 
     Scores are pinned, as ranks, the cut and the result must all see the same values.
-    ``lengths`` is the table of episode lengths, if it has been computed and pinned.
+    ``lengths`` is the table of episode lengths, if it has been computed and pinned. An
+    episode that cannot be scored (a null, NaN or infinite action) is not kept and has no
+    badness; the others are ranked without it.
     """
     if lengths is None:
-        lengths = pin(episode_lengths(frames, keys))
+        lengths = dense_lengths(frames, keys, pos)
     long_enough = lengths.where(F.col("length") >= min_episode_length)
-    rows, longest = long_enough.agg(F.count("*"), F.coalesce(F.max("length"), F.lit(0))).first()
+    episodes, longest = long_enough.agg(F.count("*"), F.coalesce(F.max("length"), F.lit(0))).first()
     narrow = frames.select(*keys, pos, named(action))
-    scored = join_by_chunk(narrow, long_enough, "length", keys, pos, how="left_semi", keyed_rows=rows)
+    scored = join_by_chunk(narrow, long_enough, keys, pos, how="left_semi", keyed_rows=episodes)
     smoothness = sal(scored, dims, action, keys, pos, fps, longest=longest)
-    deviation = ted(scored, dims, action, keys, pos, longest=longest)
-    scores = pin(smoothness.join(deviation, list(keys)).join(long_enough, list(keys)))
+    deviation = ted(scored, dims, action, keys, pos)
+    every = pin(smoothness.join(deviation, list(keys)).join(long_enough, list(keys)))
+    unscored = F.coalesce(F.isnan("sal") | F.isnan("ted"), F.lit(True))
+    scores = every.where(~unscored)
+    rows = scores.count()
     ranked = pin(badness(scores, strategy, keys, rows, rows_per_class))
     percent = int(sal_threshold * 100)
     kept = F.col("ted") <= ted_threshold
@@ -74,7 +79,8 @@ def judge_episodes(
         cut = percentile_of(ranked, "badness", 1 - percent / 100, rows, rows_per_class)
         if cut is not None:
             kept = kept & (F.col("badness") <= F.lit(cut))
-    return ranked.withColumn("kept", kept)
+    left_out = every.where(unscored).withColumns({"badness": F.lit(None).cast("double"), "kept": F.lit(False)})
+    return ranked.withColumn("kept", kept).unionByName(left_out)
 
 
 @dataclass
@@ -88,11 +94,11 @@ def quality_filter(frames: DataFrame, dims: int, **options) -> tuple[DataFrame,
     """Frames of the kept episodes, and a one-row report (kept, removed)."""
     keys = options.get("keys", EPISODE)
     pos = options.get("pos", POSITION)
-    lengths = pin(episode_lengths(frames, keys))
+    lengths = dense_lengths(frames, keys, pos)
     kept = judge_episodes(frames, dims, lengths=lengths, **options).where("kept")
     episodes = lengths.count()
     report = kept.agg(F.count("*").alias("kept")).withColumn("removed", F.lit(episodes) - F.col("kept"))
-    return join_by_chunk(frames, kept, "length", keys, pos, how="left_semi", keyed_rows=episodes), report
+    return join_by_chunk(frames, kept, keys, pos, how="left_semi", keyed_rows=episodes), report
 
 
 def filter_dataset(

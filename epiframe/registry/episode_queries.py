@@ -57,6 +57,43 @@ def cap_windows(spark, sf):
     return _window_facts(sampling.cap_windows(_all_windows(spark, sf), 100))
 
 
+def _late_windows(spark, sf):
+    """Windows cut four frames apart, without the early ones."""
+    w = windows.sliding_windows(views.frames(spark, sf), stride=4, columns=STEP_COLUMNS)
+    return w.where("start >= 16")
+
+
+def cap_windows_filtered(spark, sf):
+    """The cap found by window number rather than by a top-n."""
+    return _window_facts(sampling.cap_windows(_late_windows(spark, sf), 100, top_keys=10))
+
+
+def number_windows_stride4(spark, sf):
+    return sampling.number_windows(_late_windows(spark, sf)).select("window_id", "episode_index", "start")
+
+
+def _broken_frames(spark, sf):
+    """Frames with a NaN action wherever the event's id is a multiple of 997."""
+    value = F.when(F.col("event_id") % 997 == 0, F.lit(float("nan"))).otherwise(F.col("value"))
+    return views.frames(spark, sf).withColumn("action", F.array(value, F.length("event_type").cast("double")))
+
+
+def quality_filter_nan(spark, sf):
+    """One broken value costs its own episode, no other."""
+    kept, _ = quality_filter(_broken_frames(spark, sf), DIMS, ted_threshold=1.0)
+    return kept.select("episode_index", "frame_index", "event_id")
+
+
+def normalize_actions_nan(spark, sf):
+    n = episodes.normalize_actions(_broken_frames(spark, sf), DIMS)
+    a0 = F.col("action")[0].cast("double")
+    return n.select("episode_index", "frame_index", F.isnan(a0).alias("broken"), F.round(F.when(~F.isnan(a0), a0), 5).alias("a0"))
+
+
+def feature_stats_nan(spark, sf):
+    return feature_stats(spark, sf, _broken_frames(spark, sf))
+
+
 def window_shapes(spark, sf):
     out = windows.window_shapes(_all_windows(spark, sf))
     return out.select(*[F.col(c).cast("long").alias(c) for c in out.columns])
@@ -92,10 +129,10 @@ def normalize_actions(spark, sf):
     return n.select("episode_index", "frame_index", *_vector("action", "a", decimals=5))
 
 
-def feature_stats(spark, sf):
-    s = episodes.feature_stats(views.frames(spark, sf), {"action": DIMS, "state": DIMS})
+def feature_stats(spark, sf, frames=None):
+    s = episodes.feature_stats(frames or views.frames(spark, sf), {"action": DIMS, "state": DIMS})
     rounded = [F.round(c, 5).alias(c) for c in ("min", "max", "mean", "std")]
-    return s.select("feature", F.col("dim").cast("long").alias("dim"), "count", *rounded)
+    return s.select("feature", F.col("dim").cast("long").alias("dim"), "count", *rounded, "non_finite")
 
 
 def add_timestamp(spark, sf):
@@ -130,10 +167,44 @@ def recorded_frames(spark, sf):
     f = frames_from_steps(views.steps(spark, sf))
     return f.select(
         "stream_id", "episode_index", "frame_index", F.round(F.col("timestamp").cast("double"), 5).alias("timestamp"),
-        *_vector("state", "s", 1), *_vector("action", "a", 1),
+        *_vector("`observation.state`", "s", 1, 3), *_vector("action", "a", 1),
     )
 
 
+def recorded_images(spark, sf):
+    """Vectors as streams of steps, each with an image that ends in zero bytes; nothing of it is lost."""
+    pixels = F.concat(views.pixels(spark, sf), F.unhex(F.lit("0000")))
+    steps = views.table(spark, sf, "embeddings").select(
+        F.col("label").alias("stream_id"), F.col("vec_id").alias("seq"), F.slice("embedding", 1, 1).alias("reset_obs"),
+        F.slice("embedding", 2, 1).alias("next_obs"), F.slice("embedding", 3, 2).alias("action"),
+        (F.col("vec_id") % 13 == 0).alias("terminated"), F.lit(False).alias("truncated"),
+        pixels.alias("observation.images.wrist"),
+    )
+    f = frames_from_steps(steps, images=["observation.images.wrist"])
+    return f.select("stream_id", "episode_index", "frame_index", F.hex("`observation.images.wrist`").alias("pixels"))
+
+
+def rate_audit_dropped(spark, sf):
+    """Frames that were never recorded leave gaps, which is what the audit is for."""
+    return control.rate_audit(views.frames(spark, sf).where("event_id % 7 != 0"), chunk=16)
+
+
+def score_policy_images(spark, sf):
+    """Images of 4 x 8 x 2 bytes, the last of them 0, reach the policy whole and in shape."""
+    shown = views.table(spark, sf, "embeddings").select(
+        F.col("label").alias("episode_index"), F.col("vec_id").alias("frame_index"),
+        F.concat(F.substring(views.pixels(spark, sf), 1, 62), F.unhex(F.lit("0100"))).alias("wrist", metadata={"shape": [4, 8, 2]}),
+    )
+
+    def load():
+        import numpy as np
+
+        return lambda obs: np.stack([obs["wrist"].astype(float).sum((1, 2, 3)), obs["wrist"][:, 3, 7, 0].astype(float), np.full(len(obs["wrist"]), float(obs["wrist"][0].size))], 1)
+
+    out = control.score_policy(shown, load, ["wrist"], out_dim=3)
+    return out.select("episode_index", "frame_index", *_vector("action", "a", 3, 1))
+
+
 def rate_audit(spark, sf):
     return control.rate_audit(views.frames(spark, sf))
 
@@ -213,17 +284,20 @@ def number_windows(spark, sf):
     return sampling.number_windows(_all_windows(spark, sf)).select("window_id", "episode_index", "start")
 
 
+def _starts(spark, sf):
+    return windows.window_starts(views.frames(spark, sf))
+
+
 def epoch_batches(spark, sf):
-    return sampling.epoch_batches(_all_windows(spark, sf), batch_size=32, epochs=2, seed=42)
+    return sampling.epoch_batches(_starts(spark, sf), batch_size=32, epochs=2, seed=42)
 
 
 def stored_order_batches(spark, sf):
-    return sampling.epoch_batches(_all_windows(spark, sf), batch_size=32, epochs=2, shuffle=False)
+    return sampling.epoch_batches(_starts(spark, sf), batch_size=32, epochs=2, shuffle=False)
 
 
 def sample_windows(spark, sf):
-    w = windows.sliding_windows(views.frames(spark, sf), columns=("event_id",))
-    draws = sampling.sample_windows(w, views.table(spark, sf, "events").count(), seed=5)
+    draws = sampling.sample_windows(_starts(spark, sf), views.table(spark, sf, "events").count(), seed=5)
     return draws.select("draw", "window_id", "episode_index", "start")
 
 
@@ -235,6 +309,7 @@ QUERIES = {
         feature_stats, add_timestamp, episode_flags, assign_episode_ids, align_obs_action, recorded_frames,
         rate_audit, stuck_actions, nan_actions, relative_target_check, random_actions, score_policy, map_rows,
         sal, ted, episode_quality, quality_filter_frames, quality_filter_report, number_windows, epoch_batches,
-        stored_order_batches, sample_windows,
+        stored_order_batches, sample_windows, cap_windows_filtered, number_windows_stride4, quality_filter_nan,
+        normalize_actions_nan, feature_stats_nan, recorded_images, rate_audit_dropped, score_policy_images,
     )
 }

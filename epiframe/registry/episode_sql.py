@@ -70,6 +70,29 @@ judged AS (
   SELECT *, ted <= {guard} AND badness <= (SELECT quantile_cont(badness, 0.8) FROM ranked) AS kept FROM ranked)"""
 
 
+# The value of every 997th event is missing: its episode is not scored, its other values count for the cohort.
+NAN_JUDGED = (
+    JUDGED.format(guard="1.0")
+    .replace("HAVING count(*) >= 50)", "HAVING count(*) >= 50 AND count(*) FILTER (event_id % 997 = 0) = 0)", 1)
+    .replace("avg(value) AS m0, stddev_pop(value) AS s0", "avg(whole) AS m0, stddev_pop(whole) AS s0", 1)
+    .replace(
+        "stddev_pop(len) AS s1 FROM long_enough",
+        """stddev_pop(len) AS s1 FROM (
+    SELECT *, CASE WHEN event_id % 997 <> 0 THEN value END AS whole FROM frames
+    WHERE episode_index IN (SELECT episode_index FROM frames GROUP BY 1 HAVING count(*) >= 50))""",
+        1,
+    )
+)
+
+LATE_WINDOWS = FRAMES + """, late AS (
+  SELECT f.*, s.start FROM frames f JOIN (SELECT DISTINCT frame_index AS start FROM frames WHERE frame_index % 4 = 0 AND frame_index >= 16) s
+    ON f.frame_index >= s.start AND f.frame_index < s.start + 16
+  QUALIFY count(*) OVER (PARTITION BY episode_index, s.start) = 16),
+late_ids AS (
+  SELECT episode_index, start, row_number() OVER (ORDER BY episode_index, start) - 1 AS window_id
+  FROM (SELECT DISTINCT episode_index, start FROM late))"""
+
+
 def _hex_int(text: str, digits: int) -> str:
     return f"CAST('0x' || substr(md5({text}), 1, {digits}) AS BIGINT)"
 
@@ -118,7 +141,32 @@ SELECT episode_index, frame_index, round(CAST(CAST(2 * (value - v0) / (v1 - v0)
   SELECT 'action' AS feature, 0 AS dim, value AS x FROM frames UNION ALL SELECT 'action', 1, len FROM frames
   UNION ALL SELECT 'state', 0, len FROM frames UNION ALL SELECT 'state', 1, value FROM frames)
 SELECT feature, CAST(dim AS BIGINT) AS dim, count(*) AS count, round(min(x), 5) AS min, round(max(x), 5) AS max,
-       round(avg(x), 5) AS mean, round(stddev_pop(x), 5) AS std FROM long_form GROUP BY 1, 2""",
+       round(avg(x), 5) AS mean, round(stddev_pop(x), 5) AS std, count(*) FILTER (NOT isfinite(x)) AS non_finite FROM long_form GROUP BY 1, 2""",
+    "feature_stats_nan": f"""WITH {FRAMES}, long_form AS (
+  SELECT 'action' AS feature, 0 AS dim, CASE WHEN event_id % 997 <> 0 THEN value END AS x FROM frames UNION ALL SELECT 'action', 1, len FROM frames
+  UNION ALL SELECT 'state', 0, len FROM frames UNION ALL SELECT 'state', 1, value FROM frames)
+SELECT feature, CAST(dim AS BIGINT) AS dim, count(x) AS count, round(min(x), 5) AS min, round(max(x), 5) AS max,
+       round(avg(x), 5) AS mean, round(stddev_pop(x), 5) AS std, count(*) - count(x) AS non_finite FROM long_form GROUP BY 1, 2""",
+    "normalize_actions_nan": f"""WITH {FRAMES}, lim AS (SELECT min(value) AS v0, max(value) AS v1 FROM frames WHERE event_id % 997 <> 0)
+SELECT episode_index, frame_index, event_id % 997 = 0 AS broken,
+       CASE WHEN event_id % 997 <> 0 THEN round(CAST(CAST(2 * (value - v0) / (v1 - v0) - 1 AS FLOAT) AS DOUBLE), 5) END AS a0 FROM frames, lim""",
+    "quality_filter_nan": f"""WITH {NAN_JUDGED}
+SELECT episode_index, frame_index, event_id FROM frames WHERE episode_index IN (SELECT episode_index FROM judged WHERE kept)""",
+    "cap_windows_filtered": f"WITH {LATE_WINDOWS} {WINDOW_FACTS} FROM late JOIN late_ids USING (episode_index, start) WHERE window_id < 100 GROUP BY 1, 2",
+    "number_windows_stride4": f"WITH {LATE_WINDOWS} SELECT window_id, episode_index, start FROM late_ids",
+    "recorded_images": """WITH numbered AS (
+  SELECT label AS stream_id, vec_id AS seq, embedding, coalesce(sum(CAST(vec_id % 13 = 0 AS INT)) OVER (
+    PARTITION BY label ORDER BY vec_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS episode_index FROM embeddings)
+SELECT stream_id, episode_index, row_number() OVER (PARTITION BY stream_id, episode_index ORDER BY seq) - 1 AS frame_index,
+       array_to_string(list_transform(embedding, lambda x: printf('%02X', CAST(floor(abs(CAST(x AS DOUBLE)) * 100) AS INT))), '') || '0000' AS pixels
+FROM numbered""",
+    "rate_audit_dropped": f"""WITH {FRAMES}
+SELECT episode_index, count(gap) AS n_gaps, count(*) FILTER (gap > 1000000 / 30.0) AS n_overruns, max(gap) AS max_gap_us
+FROM (SELECT episode_index, epoch_us(ts) - epoch_us(lag(ts) OVER (PARTITION BY episode_index ORDER BY frame_index)) AS gap FROM frames WHERE event_id % 7 <> 0)
+GROUP BY 1""",
+    "score_policy_images": """SELECT label AS episode_index, vec_id AS frame_index,
+  CAST(list_sum(list_transform(embedding[1:62], lambda x: floor(abs(CAST(x AS DOUBLE)) * 100))) + 1 AS DOUBLE) AS a0,
+  CAST(1 AS DOUBLE) AS a1, CAST(64 AS DOUBLE) AS a2 FROM embeddings""",
     "add_timestamp": f"""WITH {FRAMES}
 SELECT episode_index, frame_index, round(CAST(CAST(frame_index / 30.0 AS FLOAT) AS DOUBLE), 5) AS timestamp FROM frames""",
     "episode_flags": f"""WITH {FRAMES}
@@ -132,7 +180,7 @@ SELECT episode_index, frame_index,
        round(value, 6) AS a0, len AS a1 FROM frames""",
     "recorded_frames": f"""WITH {STEPS}
 SELECT stream_id, episode_index, frame_index, round(CAST(CAST(frame_index / 30.0 AS FLOAT) AS DOUBLE), 5) AS timestamp,
-       round(coalesce(lag(value) OVER (PARTITION BY stream_id, episode_index ORDER BY frame_index), -1.0), 6) AS s0, len AS a0
+       round(coalesce(lag(value) OVER (PARTITION BY stream_id, episode_index ORDER BY frame_index), -1.0), 3) AS s0, len AS a0
 FROM recorded""",
     "rate_audit": f"""WITH {FRAMES}
 SELECT episode_index, count(gap) AS n_gaps, count(*) FILTER (gap > 1000000 / 30.0) AS n_overruns, max(gap) AS max_gap_us

@@ -6,18 +6,19 @@ from pyspark.sql import functions as F
 from epiframe.functions import ids, images, state
 from epiframe.functions import metrics as text
 from epiframe.operators import tables
-from epiframe.operators.ordered import index_in_group
+from epiframe.operators.ordered import dense_index
 from epiframe.operators.sampling import restore_order
 from epiframe.operators.windows import sliding_windows
+from epiframe.plans.cached import cache_frames
 from epiframe.plans.convert import convert_to_windows, resize_frames
 from epiframe.plans.record import record_dataset as store_recording
 from epiframe.registry import views
 from epiframe.registry.episode_queries import stuck_frames
-from epiframe.schema import EPISODE
+from epiframe.schema import EPISODE, STATE
 from epiframe.sources import frames as frame_store
 from epiframe.sources import logs, snapshot
 from epiframe.sources.windows import read_windows as read_stored_windows
-from epiframe.storage import scratch_dir
+from epiframe.storage import pin, scratch_dir
 from epiframe.streaming.metrics import stream_metrics as parse_lines
 from epiframe.streaming.sinks import drain, stream_ingest, stream_parquet
 from epiframe.streaming.stuck import stream_stuck_actions as detect_stuck
@@ -91,7 +92,7 @@ def best_metric(spark, sf):
 
 
 def distinct_metrics(spark, sf):
-    found = views.log_lines(spark, sf).select("run_id", text.parse_step(F.col("line")).alias("step"), text.parse_metric(F.col("line"))["name"].alias("name"))
+    found = views.log_lines(spark, sf).select("run_id", text.parse_step(F.col("line")).alias("step"), text.parse_metric(F.col("line"))["name"].alias("name"), text.parse_metric(F.col("line"))["value"].alias("value"))
     return tables.distinct_metrics(found.unionByName(found))
 
 
@@ -331,7 +332,7 @@ def recording_id(spark, sf):
 def select_rows(spark, sf):
     """The labelled documents in label order, each listed twice."""
     labels = views.table(spark, sf, "labels").select("doc_id")
-    placed = index_in_group(labels, [], [F.col("doc_id")], F.col("doc_id"), "_i")
+    placed = dense_index(labels, ["doc_id"], "_i")
     listed = placed.select(F.col("doc_id").alias("row_index"), F.explode(F.array(F.col("_i") * 2, F.col("_i") * 2 + 1)).alias("pos"))
     docs = views.table(spark, sf, "documents").withColumnRenamed("doc_id", "row_index")
     return tables.select_rows(docs, listed).select("pos", "row_index", "n_chars")
@@ -359,10 +360,10 @@ def renumber_episodes(spark, sf):
 
 def record_dataset(spark, sf):
     """The step logs of all users, stored as one dataset."""
-    stored = store_recording(views.steps(spark, sf), scratch_dir(spark), {"state": 1, "action": 1})
+    stored = store_recording(views.steps(spark, sf), scratch_dir(spark), {STATE: 1, "action": 1})
     return stored.select(
         "episode_index", "frame_index", F.round(F.col("timestamp").cast("double"), 5).alias("timestamp"),
-        F.round(F.col("state")[0], 6).alias("s0"), F.col("action")[0].alias("a0"),
+        F.round(F.col(f"`{STATE}`")[0].cast("double"), 3).alias("s0"), F.col("action")[0].cast("double").alias("a0"),
     )
 
 
@@ -389,6 +390,13 @@ def snapshot_windows(spark, sf):
 
 def persisted_frames(spark, sf):
     kept = frame_store.persist_frames(views.frames(spark, sf).select(*EPISODE, "frame_index", "value"))
+    try:
+        return pin(_totals(kept))
+    finally:
+        kept.unpersist()
+
+
+def _totals(kept):
     return kept.groupBy(*EPISODE).agg(F.max("frame_index").alias("last_frame"), F.round(F.sum("value"), 3).alias("sum_value"))
 
 
@@ -401,6 +409,16 @@ def converted_windows(spark, sf):
     return out.select("episode_index", "start", F.col("t").cast("long").alias("t"), F.round(F.col("s.action")[0].cast("double"), 5).alias("a0"))
 
 
+def cached_frames(spark, sf):
+    """Normalised images packed, stored once and read back through the manifest; other columns untouched."""
+    base = scratch_dir(spark)
+    rows = views.images(spark, sf).select("row_index", "label", F.flatten(F.array_repeat("image", 8)).alias("front_rgb"))
+    cache_frames(rows, base, "local/embeddings", base, f"{sf}/embeddings.parquet")
+    back = cache_frames(rows, base, "local/embeddings", base, f"{sf}/embeddings.parquet").frames()
+    total = F.aggregate("front_rgb", F.lit(0.0), lambda acc, x: acc + F.round(x.cast("double") * 255))
+    return back.select("row_index", "label", F.size("front_rgb").cast("long").alias("n_values"), total.alias("total"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -411,6 +429,6 @@ QUERIES = {
         hwc_to_chw_bytes, resize_images, coerce_image, row_bytes, image_columns, normalized_columns, size_budget,
         split_state, split_state_with_pose, assemble_state_terms, object_pose, motors_to_state, action_to_columns,
         rename_image_columns, signature, dataset_id, recording_id, select_rows, restored_order, merge_sources,
-        renumber_episodes, record_dataset, shape_report, snapshot_windows, persisted_frames, converted_windows,
+        renumber_episodes, record_dataset, shape_report, snapshot_windows, persisted_frames, converted_windows, cached_frames,
     )
 }

@@ -43,9 +43,9 @@ found AS (
          TRY_CAST(regexp_extract(line, '([\pL\pN_]+)[=:\s]+([0-9.eE+-]+)', 2) AS DOUBLE) AS value FROM lines)
 SELECT doc_id, line_no, name, value FROM found WHERE value IS NOT NULL""",
     "parse_arch_metric": f"""WITH {PRIMARY} SELECT run_id, line_no, CASE WHEN hit THEN name END AS name, CASE WHEN hit THEN value END AS value FROM primary_metrics""",
-    "parse_step": "SELECT user_id AS run_id, event_id AS line_no, event_id AS step FROM events",
+    "parse_step": f"""WITH {LINES} SELECT run_id, line_no, CAST(regexp_extract(line, 'step=(\\d+)', 1) AS BIGINT) AS step FROM lines""",
     "thin_log": """SELECT user_id AS run_id, event_id AS step FROM events
-WHERE event_id = 1 OR event_id % 50 = 0 OR event_id = (SELECT max(event_id) FROM events)""",
+WHERE event_id = 1 OR event_id % 50 = 0 OR (user_id, event_id) IN (SELECT user_id, max(event_id) FROM events GROUP BY 1)""",
     "attach_primary_metric": f"""SELECT c_custkey AS run_id, {ARCH.format(run='c_custkey')} AS target_arch, {METRIC.format(run='c_custkey')} AS metric,
   CASE WHEN c_custkey % 5 < 3 THEN 'max' ELSE 'min' END AS direction FROM customer""",
     "last_metric": f"""WITH {PRIMARY}
@@ -54,9 +54,10 @@ FROM customer LEFT JOIN (SELECT run_id, arg_max(value, line_no) AS last_value FR
     "best_metric": f"""WITH {PRIMARY}
 SELECT c_custkey AS run_id, {METRIC.format(run='c_custkey')} AS metric, CASE WHEN c_custkey % 5 < 3 THEN hi ELSE lo END AS best
 FROM customer LEFT JOIN (SELECT run_id, min(value) AS lo, max(value) AS hi FROM primary_metrics WHERE hit GROUP BY 1) ON run_id = c_custkey""",
-    "distinct_metrics": "SELECT user_id AS run_id, event_id AS step, event_type AS name FROM events",
+    "distinct_metrics": "SELECT user_id AS run_id, event_id AS step, event_type AS name, value FROM events",
     "write_metric_lines": "SELECT event_type || '=' || format('{:.6g}', value) || '  # step=' || event_id AS line FROM events",
-    "read_train_log": "SELECT event_id AS step, true AS in_order FROM events",
+    "read_train_log": """WITH written AS (SELECT event_id AS step, row_number() OVER (ORDER BY event_id) AS place FROM events)
+SELECT step, step = min(step) OVER () + place - 1 AS in_order FROM written""",
     "stream_metrics": "SELECT event_type AS name, CAST(format('{:.6g}', value) AS DOUBLE) AS value, event_id AS step FROM events",
     "write_read_frames": f"WITH {FRAMES} SELECT episode_index, frame_index, event_id, round(value, 6) AS a0 FROM frames",
     "dataset_meta": """SELECT count(DISTINCT user_id) AS total_episodes, count(*) AS total_frames, CAST(30 AS DOUBLE) AS fps,
@@ -75,7 +76,9 @@ WHERE (pos // 24) % 2 = 0 AND (pos // 3) % 8 % 2 = 0 GROUP BY 1""",
     "coerce_image": f"""WITH {PIXELS}
 SELECT row_index, CASE WHEN any_value(label) % 5 IN (0, 2) THEN string_agg(printf('%02X', q), '' ORDER BY pos % 3, pos // 3)
   WHEN any_value(label) % 5 = 1 THEN string_agg(printf('%02X', q), '' ORDER BY pos) ELSE repeat('00', 192) END AS pixels FROM pixels GROUP BY 1""",
-    "row_bytes": "SELECT vec_id AS row_index, CAST(192 * 4 + 192 AS BIGINT) AS n_bytes FROM embeddings",
+    "row_bytes": f"WITH {PIXELS} SELECT row_index, CAST(4 * count(x) + count(q) AS BIGINT) AS n_bytes FROM pixels GROUP BY 1",
+    "cached_frames": f"""WITH {PIXELS} SELECT row_index, any_value(label) AS label, CAST(8 * count(*) AS BIGINT) AS n_values,
+  CAST(8 * sum(q) AS DOUBLE) AS total FROM pixels GROUP BY 1""",
     "image_columns": """SELECT 'image' AS column_name, 3 * max(len(embedding)) AS n_values, 3 * max(len(embedding)) > 1024 AS is_image FROM embeddings
 UNION ALL SELECT 'front_rgb', 48 * max(len(embedding)), 48 * max(len(embedding)) > 1024 FROM embeddings""",
     "normalized_columns": f"""WITH {PIXELS}
@@ -117,7 +120,7 @@ SELECT source, episode_index, frame_index, dense_rank() OVER (ORDER BY source, e
     "record_dataset": f"""WITH {STEPS}
 SELECT dense_rank() OVER (ORDER BY stream_id, episode_index) - 1 AS episode_index, frame_index,
        round(CAST(CAST(frame_index / 30.0 AS FLOAT) AS DOUBLE), 5) AS timestamp,
-       round(coalesce(lag(value) OVER (PARTITION BY stream_id, episode_index ORDER BY frame_index), -1.0), 6) AS s0, len AS a0
+       round(coalesce(lag(value) OVER (PARTITION BY stream_id, episode_index ORDER BY frame_index), -1.0), 3) AS s0, len AS a0
 FROM recorded""",
     "shape_report": """SELECT 'whole' AS column_name, CAST(64 AS BIGINT) AS expected, count(*) AS n_rows, count(*) FILTER (len(embedding) <> 64) AS n_wrong FROM embeddings
 UNION ALL SELECT 'cut', 64, count(*), count(*) FILTER (label = 3) FROM embeddings""",

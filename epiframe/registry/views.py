@@ -66,3 +66,9 @@ def images(spark: SparkSession, sf: str) -> DataFrame:
     """Every embedding, three times over, is an 8 x 8 image with 3 channels."""
     tripled = F.concat("embedding", "embedding", "embedding")
     return table(spark, sf, "embeddings").select(F.col("vec_id").alias("row_index"), "label", tripled.alias("image"))
+
+
+def pixels(spark: SparkSession, sf: str):
+    """The 64 values of a vector as bytes: the magnitude in hundredths."""
+    code = F.transform("embedding", lambda x: F.lpad(F.hex(F.floor(F.abs(x.cast("double")) * 100).cast("long")), 2, "0"))
+    return F.unhex(F.array_join(code, ""))

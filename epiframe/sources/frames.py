@@ -8,17 +8,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from epiframe.operators.chunked import BROADCAST_KEYS
-from epiframe.operators.episodes import episode_lengths, episode_summary, feature_stats
+from epiframe.operators.chunked import BROADCAST_KEYS, GapError, dense_lengths
+from epiframe.operators.episodes import episode_summary, feature_stats
 from epiframe.operators.ordered import PART_BYTES, arrange, running_total
 from epiframe.schema import FRAME_SCHEMA, named
-from epiframe.storage import exists, pin
+from epiframe.storage import exists
 
 
 class ShapeMismatch(ValueError):
     """Vectors or images whose length is not the one their column declares."""
 
 
+class SchemaMismatch(ValueError):
+    """Columns that were asked for and are not stored."""
+
+
 class DatasetNotFound(FileNotFoundError):
     """A dataset folder that is not there, with what to try next."""
 
@@ -28,12 +32,21 @@ class DatasetNotFound(FileNotFoundError):
 
 
 def read_frames(spark: SparkSession, path: str, schema: T.StructType | None = FRAME_SCHEMA) -> DataFrame:
-    """The frame table of a dataset folder; ``schema=None`` takes the stored one."""
+    """The frame table of a dataset folder; ``schema=None`` takes the stored one.
+
+    Columns of ``schema`` that are not stored, or stored with another type, are an error. Stored ones beyond it are not read.
+    """
     frames = f"{path.rstrip('/')}/frames"
     if not exists(spark, frames):
         raise DatasetNotFound(path)
-    reader = spark.read.schema(schema) if schema is not None else spark.read
-    return reader.parquet(frames)
+    stored = spark.read.parquet(frames)
+    if schema is None:
+        return stored
+    kinds = {f.name: f.dataType for f in stored.schema.fields}
+    wrong = [f.name for f in schema.fields if f.name not in kinds or kinds[f.name].simpleString() != f.dataType.simpleString()]
+    if wrong:
+        raise SchemaMismatch(f"{path} does not hold {', '.join(wrong)} as asked for; pass a schema without them, or None")
+    return spark.read.schema(schema).parquet(frames)
 
 
 def shape_report(frames: DataFrame) -> DataFrame:
@@ -66,16 +79,21 @@ def check_shapes(frames: DataFrame) -> DataFrame:
     return frames
 
 
-def write_frames(df: DataFrame, path: str, mode: str = "errorifexists", part_bytes: int = PART_BYTES) -> None:
+def write_frames(
+    df: DataFrame, path: str, mode: str = "errorifexists", part_bytes: int = PART_BYTES, lengths: DataFrame | None = None
+) -> None:
     """Write frames sorted by episode and position, in files of about ``part_bytes`` before encoding.
 
     Files are cut by the frame's place in the whole table, so a long episode fills
     several of them, and row-group statistics let readers skip to an episode or a
     position. The place follows from the episode lengths, which a narrow scan gives.
     With too many episodes to broadcast their offsets, Spark samples the key instead.
+    Frames without an episode or whose positions have a gap are an error.
     """
     order = ["episode_index", "frame_index"]
-    lengths = pin(episode_lengths(df))
+    lengths = dense_lengths(df) if lengths is None else lengths
+    if not lengths.where("episode_index is null").isEmpty():
+        raise GapError("frames without an episode_index")
     episodes, total = lengths.agg(F.count("*"), F.coalesce(F.sum("length"), F.lit(0))).first()
     if episodes <= BROADCAST_KEYS:
         offsets = running_total(lengths, "episode_index", "length", "_offset", episodes).drop("length")

@@ -1,6 +1,7 @@
 """Snapshots of a computed table, keyed by what went into it."""
 
-from collections.abc import Sequence
+import os
+from collections.abc import Mapping, Sequence
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
@@ -24,13 +25,18 @@ def snapshot_signature(
     spark: SparkSession, repo_id: str, root: str, n_rows: int, image_keys: Sequence[str], inputs: str = "",
     selection: str = "",
 ) -> str:
-    """The signature of a snapshot; ``inputs`` and ``selection`` tell apart equal row counts."""
+    """The signature of a snapshot; ``inputs`` and ``selection`` tell apart equal row counts.
+
+    A local ``root`` counts as its absolute path.
+    """
+    if root and "://" not in root:
+        root = os.path.abspath(root)
     keys = F.array(*[F.lit(k) for k in image_keys]) if image_keys else F.array().cast("array<string>")
     fields = [F.lit(repo_id), F.lit(root), F.lit(n_rows), keys, F.lit(str(FORMAT_VERSION)), F.lit(inputs), F.lit(selection)]
     return spark.range(1).select(signature(*fields)).first()[0]
 
 
-def _load(spark: SparkSession, path: str, key: str) -> DataFrame | None:
+def load(spark: SparkSession, path: str, key: str) -> DataFrame | None:
     """The stored table if its manifest fits and its files can be read, else None."""
     if not (is_complete(spark, f"{path}/data") and exists(spark, f"{path}/manifest")):
         return None
@@ -48,23 +54,31 @@ def _load(spark: SparkSession, path: str, key: str) -> DataFrame | None:
         raise
 
 
-def materialize(df: DataFrame, directory: str | None, key: str, refresh: bool = False) -> DataFrame:
+def read_manifest(spark: SparkSession, directory: str, key: str) -> dict:
+    """What was written beside a snapshot."""
+    return spark.read.parquet(f"{directory.rstrip('/')}/{key}/manifest").first().asDict()
+
+
+def materialize(
+    df: DataFrame, directory: str | None, key: str, refresh: bool = False, notes: Mapping[str, Sequence[str]] | None = None
+) -> DataFrame:
     """``df`` from its snapshot; computed and stored when there is no valid one.
 
     ``directory=None`` turns snapshots off. The manifest is written last, so a write
-    that did not finish is never taken for a snapshot.
+    that did not finish is never taken for a snapshot. It holds ``notes``, lists of names.
     """
     if directory is None:
         return df
     spark = df.sparkSession
     path = f"{directory.rstrip('/')}/{key}"
-    stored = None if refresh else _load(spark, path, key)
+    stored = None if refresh else load(spark, path, key)
     if stored is not None:
         return stored
     df.write.mode("overwrite").parquet(f"{path}/data")
     data = spark.read.schema(df.schema).parquet(f"{path}/data")
     manifest = data.agg(
-        F.lit(FORMAT_VERSION).alias("version"), F.lit(key).alias("signature"), F.count("*").alias("n_rows")
+        F.lit(FORMAT_VERSION).alias("version"), F.lit(key).alias("signature"), F.count("*").alias("n_rows"),
+        *[F.array(*[F.lit(v) for v in values]).cast("array<string>").alias(name) for name, values in (notes or {}).items()],
     )
     manifest.coalesce(1).write.mode("overwrite").parquet(f"{path}/manifest")
     return data

@@ -42,6 +42,12 @@ def pin(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame, path: str) -> DataFrame:
+    """``df`` stored at ``path`` and read back: computed once, whatever reads it."""
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether ``path`` exists on whichever file system it names."""
     hpath = spark._jvm.org.apache.hadoop.fs.Path(path)

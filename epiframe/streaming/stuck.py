@@ -5,6 +5,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -18,13 +19,16 @@ STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreP
 class _RepeatCounter(StatefulProcessor):
     """Last action and repeat count of one chunk of one episode."""
 
-    def __init__(self, keys: Sequence[str], pos: str, action: str, eps: float, warn_steps: int, chunk: int):
+    def __init__(
+        self, keys: Sequence[str], pos: str, action: str, eps: float, warn_steps: int, chunk: int, done: str | None, ttl_s: int | None
+    ):
+        self.done, self.ttl_ms = done, 1000 * ttl_s if ttl_s else None
         self.names = list(keys)
         self.pos, self.action = pos, action
         self.eps, self.warn_steps, self.chunk = eps, warn_steps, chunk
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.seen = handle.getValueState("seen", "last array<double>, repeats long")
+        self.seen = handle.getValueState("seen", "last array<double>, repeats long", self.ttl_ms)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         batch = pd.concat(list(rows)).sort_values(self.pos)
@@ -33,14 +37,15 @@ class _RepeatCounter(StatefulProcessor):
         repeats = state[1] if state else 0
         before = np.asarray(state[0]) if state else np.full(actions.shape[1], np.nan)
         same = (np.abs(np.diff(np.vstack([before, actions]), axis=0)) < self.eps).all(axis=1)
-        counts = np.empty(len(batch), dtype=np.int64)
-        for i, unchanged in enumerate(same):
-            repeats = repeats + 1 if unchanged else 0
-            counts[i] = repeats
-        if batch[self.pos].max() >= (key[-1] + 1) * self.chunk - 1:
+        # a run starts behind the last row that differs; the first one goes on from the state
+        place = np.arange(len(batch))
+        start = np.maximum.accumulate(np.where(same, -1, place))
+        counts = np.where(start < 0, repeats + place + 1, place - start)
+        over = self.done is not None and batch[self.done].fillna(False).any()
+        if over or batch[self.pos].max() >= (key[-1] + 1) * self.chunk - 1:
             self.seen.clear()
         else:
-            self.seen.update((actions[-1].tolist(), int(repeats)))
+            self.seen.update((actions[-1].tolist(), int(counts[-1])))
         hits = batch[(counts == self.warn_steps) & ~batch["from_neighbour"].to_numpy(dtype=bool)]
         yield hits[[*self.names, self.pos]].assign(repeat_count=self.warn_steps, **{self.action: hits[self.action]})
 
@@ -56,16 +61,22 @@ def stream_stuck_actions(
     keys: Sequence[str] = EPISODE,
     pos: str = POSITION,
     chunk: int = CHUNK,
+    done: str | None = None,
+    ttl_s: int | None = None,
 ) -> DataFrame:
     """``stuck_actions`` on a stream whose frames arrive in order.
 
     State is kept per (episode, chunk): the halo brings each chunk up to date, so a
-    long episode is spread over tasks, and a chunk's state is dropped when its last
-    frame has passed. Sets the session's state store to RocksDB, which this needs.
+    long episode is spread over tasks. A chunk's state is dropped when its last frame has passed,
+    when a row of it has the flag ``done`` set, and, if given, ``ttl_s`` seconds after its latest
+    row; with one of the two, finished episodes leave nothing behind. (A time to live needs
+    processing time, with which Spark keeps starting empty batches under a trigger that
+    should end by itself.) Sets the session's state store to RocksDB, which this needs.
     """
     spark = frames.sparkSession
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
-    narrow = frames.select(*keys, pos, named(action).cast("array<double>").alias(action))
+    flag = [F.coalesce(named(done), F.lit(False)).alias("done_flag")] if done else []
+    narrow = frames.select(*keys, pos, named(action).cast("array<double>").alias(action), *flag)
     size = max(chunk, warn_steps + 1)
     # Names that start with an underscore do not reach the state processor.
     placed = with_halo(narrow, keys, pos, size, before=warn_steps + 1).withColumnsRenamed(
@@ -79,8 +90,8 @@ def stream_stuck_actions(
         ]
     )
     return placed.groupBy(*keys, "chunk_id").transformWithStateInPandas(
-        statefulProcessor=_RepeatCounter(keys, pos, action, eps, warn_steps, size),
+        statefulProcessor=_RepeatCounter(keys, pos, action, eps, warn_steps, size, "done_flag" if done else None, ttl_s),
         outputStructType=out,
         outputMode="Append",
-        timeMode="None",
+        timeMode="ProcessingTime" if ttl_s else "None",
     )
