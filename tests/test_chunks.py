@@ -169,12 +169,12 @@ def test_no_group_exceeds_the_chunk_when_one_episode_is_hot(make_frames):
     sizes = with_halo(frames, chunk=64, before=3).groupBy("episode_index", "_chunk").count()
     assert sizes.agg(F.max("count")).first()[0] <= 64 + 3
     lengths = episodes.episode_lengths(frames)
-    joined = join_by_chunk(frames, lengths, "length", chunk=64)
+    joined = join_by_chunk(frames, lengths, chunk=64)
     assert joined.count() == 1200 and joined.where("frame_index >= length").count() == 0
     for limit in (0, 31):  # beyond the broadcast size, and within it
         for how, n in (("left_semi", 900), ("left_anti", 300), ("inner", 900)):
             long = lengths.where("length > 10")
-            assert join_by_chunk(frames, long, "length", chunk=64, how=how, keyed_rows=1, broadcast_keys=limit).count() == n
+            assert join_by_chunk(frames, long, chunk=64, how=how, keyed_rows=1, broadcast_keys=limit).count() == n
 
 
 def test_action_limit(make_frames):

@@ -93,17 +93,20 @@ def test_step_round_trip(spark):
 
 def test_runs(spark):
     runs = spark.createDataFrame([(1, "act"), (2, "dreamerv3"), (3, "le_world_model")], "run_id long, target_arch string")
-    metrics = spark.createDataFrame([(1, 1, 0.2), (1, 2, 0.9), (1, 3, 0.4), (2, 1, 0.5), (2, 2, 0.3), (2, 3, 0.3)], "run_id long, line_no long, value double")
+    metrics = spark.createDataFrame([(1, 1, "pc_success", 0.2), (1, 2, "pc_success", 0.9), (1, 3, "pc_success", 0.4), (2, 1, "recon_loss", 0.5), (2, 2, "recon_loss", 0.3), (2, 3, "recon_loss", 0.3)], "run_id long, line_no long, name string, value double")
+    noisy = metrics.unionByName(spark.createDataFrame([(1, 9, "step", 100.0)], metrics.schema))
     named = tables.attach_primary_metric(runs)
     assert {r["run_id"]: (r["metric"], r["direction"]) for r in named.collect()} == {1: ("pc_success", "max"), 2: ("recon_loss", "min"), 3: ("pred_loss", "min")}
-    assert {r["run_id"]: r["value"] for r in tables.last_metric(runs, metrics).collect()} == {1: 0.4, 2: 0.3, 3: 0.0}
+    assert {r["run_id"]: r["value"] for r in tables.last_metric(runs, noisy).collect()} == {1: 0.4, 2: 0.3, 3: 0.0}
     assert {r["run_id"]: r["best"] for r in tables.best_metric(named, metrics).collect()} == {1: 0.9, 2: 0.3, 3: None}
     with pytest.raises(Exception, match="unknown target: none"):
         tables.attach_primary_metric(runs.withColumn("target_arch", F.lit("none"))).collect()
 
 
 def test_thin_log(spark):
-    steps = spark.range(1, 124).withColumnRenamed("id", "step")
+    steps = spark.range(1, 124).selectExpr("id AS step", "1 AS run_id")
+    other = spark.range(1, 74).selectExpr("id AS step", "2 AS run_id")
+    assert sorted(r["step"] for r in tables.thin_log(steps.union(other), 50).where("run_id = 2").collect()) == [1, 50, 73]
     assert sorted(r["step"] for r in tables.thin_log(steps, 50).collect()) == [1, 50, 100, 123]
     assert sorted(r["step"] for r in tables.thin_log(steps, 50, total=60).collect()) == [1, 50, 60, 100]
 

@@ -72,9 +72,10 @@ def some_windows(make_frames):
 
 
 def test_window_numbers_are_dense(some_windows):
-    for per_class in (1, 2, 10_000):
-        rows = sampling.number_windows(some_windows, rows_per_class=per_class).orderBy("episode_index", "start").collect()
+    for some in (some_windows, some_windows.where("start >= 16"), some_windows.where("start % 16 = 8")):
+        rows = sampling.number_windows(some).orderBy("episode_index", "start").collect()
         assert [r["window_id"] for r in rows] == list(range(len(rows)))
+        assert sampling.sample_windows(some, 100).count() == 100
 
 
 def test_batches_keep_the_last_partial_one(some_windows):
@@ -144,6 +145,9 @@ def test_select_rows(spark):
     df = spark.range(10).select(F.col("id").alias("row_index"), (F.col("id") * 2).alias("x"))
     assert [r["x"] for r in tables.select_rows(df, [4, 0, 4, 2]).collect()] == [8, 0, 8, 4]
     assert tables.select_rows(df, []).count() == 0
+    for unknown in (10, -1):
+        with pytest.raises(Exception, match="no row has"):
+            tables.select_rows(df, [0, unknown]).collect()
     assert [r["x"] for r in tables.select_rows(df, None).collect()] == [2 * i for i in range(10)]
 
 

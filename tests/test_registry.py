@@ -4,9 +4,10 @@ import compare
 import pytest
 
 import __spark_entry__ as entry
+from epiframe.registry import oracle_queries, spark_queries
 
-QUERIES = entry.queries()
-SQL = entry.oracle_sql()
+QUERIES = spark_queries()
+SQL = oracle_queries()
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
@@ -19,4 +20,4 @@ def test_entry_point_returns_rows(spark):
 
 
 def test_sql_has_no_orphans():
-    assert set(SQL) <= set(QUERIES)
+    assert set(SQL) == set(QUERIES) <= set(entry.queries())

@@ -199,7 +199,7 @@ def test_recording_from_steps(spark):
     steps = spark.createDataFrame(rows, "stream_id string, seq long, reset_obs array<double>, next_obs array<double>, action array<double>, reward double, terminated boolean, truncated boolean")
     out = frames_from_steps(steps).orderBy("episode_index", "frame_index")
     assert "reward" not in out.columns
-    assert [(r["episode_index"], r["frame_index"], r["state"][0]) for r in out.collect()] == [
+    assert [(r["episode_index"], r["frame_index"], r["observation.state"][0]) for r in out.collect()] == [
         (0, 0, 9.0), (0, 1, 0.0), (0, 2, 1.0), (1, 0, 9.0), (1, 1, 3.0), (1, 2, 4.0), (2, 0, 9.0), (2, 1, 6.0),
     ]
 
@@ -212,7 +212,7 @@ def test_subset_of_a_table(spark):
 def test_a_recording_is_one_dataset(spark, tmp_path):
     rows = [(s, i, [9.0], [float(i)], [float(i)], i in (2, 5), False) for s in ("x", "y") for i in range(8)]
     steps = spark.createDataFrame(rows, "stream_id string, seq long, reset_obs array<double>, next_obs array<double>, action array<double>, terminated boolean, truncated boolean")
-    stored = record_dataset(steps, str(tmp_path / "d"), {"action": 1, "state": 1})
+    stored = record_dataset(steps, str(tmp_path / "d"), {"action": 1, "observation.state": 1})
     lengths = {r[0]: r[1] for r in stored.groupBy("episode_index").count().collect()}
     assert lengths == {0: 3, 1: 3, 2: 2, 3: 3, 4: 3, 5: 2}
     assert spark.read.parquet(str(tmp_path / "d/info")).first()["total_episodes"] == 6
