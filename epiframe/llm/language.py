@@ -148,6 +148,18 @@ def predict(docs: DataFrame, model: Model, columns: tuple[str, ...] = ("doc_id",
     return source.mapInArrow(run, schema)
 
 
+def accepted(docs: DataFrame, model: Model, least: float) -> DataFrame:
+    """The rows of ``docs``, with their columns, whose text is in a known language with a score of ``least`` or more."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            langs, score = shared.value.predict(batch["text"])
+            yield batch.filter(pa.array((np.array(langs, object) != UNKNOWN) & (score >= least), pa.bool_()))
+
+    return docs.withColumn("text", F.col("text").cast("string")).mapInArrow(run, docs.schema)
+
+
 def training_rows(docs: DataFrame) -> DataFrame:
     """Documents that are not held out."""
     return docs.filter(fold("doc_id", 5) != 0)

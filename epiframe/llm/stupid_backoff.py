@@ -42,7 +42,7 @@ def exploded(batch: list[str | None], order: int) -> tuple[list[np.ndarray], np.
     for k in range(order):
         gram = np.full(len(flat), k + 1, np.uint64)
         for back in range(k, -1, -1):
-            gram = chained(gram, np.concatenate([flat[:back], flat[: len(flat) - back]]) if back else flat)
+            gram = chained(gram, np.concatenate([flat[:back], flat[: max(0, len(flat) - back)]]) if back else flat)
         out.append(np.where(place >= k, gram | np.uint64(1), np.uint64(0)))
     return out, row
 
@@ -97,13 +97,14 @@ def _scores(order: int, shards: int, words: int):
             answers = answers.sort_by("shard")
             totals = np.concatenate([np.frombuffer(t, np.int64) for t in answers["totals"].to_pylist()])
             by_value = np.argsort(keys)
-            keys, totals = keys[by_value], totals[by_value]
+            # words without an n-gram of an order share a place of their own behind all keys
+            keys, totals = keys[by_value], np.append(totals[by_value], 0)
             log_score = order * np.log(ALPHA) - np.log(others)
             context = others
             for k, gram in enumerate(grams):
                 real = gram != 0
-                place = np.where(real, np.searchsorted(keys, gram), 0)
-                pair, inverse, own = np.unique(row * len(keys) + place, return_inverse=True, return_counts=True)
+                place = np.where(real, np.searchsorted(keys, gram), len(keys))
+                pair, inverse, own = np.unique(row * (len(keys) + 1) + place, return_inverse=True, return_counts=True)
                 rest = np.where(real, totals[place] - own[inverse.ravel()], 0)
                 # the context of a word at the next order is the n-gram that ends at the word before it
                 seen = real & (rest > 0) & (context > 0)
