@@ -11,7 +11,6 @@ blank texts are rejected by the first; rows that repeat a doc_id count as copies
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from epiframe.llm import jaccard, kneser_ney, language, packing
 from epiframe.storage import scratch_dir
@@ -30,8 +29,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in one of the languages learned from the labelled ones."""
     model = language.fit(language.training_rows(docs))
-    kept = language.predict(docs, model, tuple(docs.columns)).filter((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SCORE))
-    return kept.select(*docs.columns)
+    return language.accepted(docs, model, LEAST_SCORE)
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
