@@ -7,7 +7,7 @@ characters. A document's evidence is the mean over its words; the score is the p
 of the best language when the evidence counts for at most ``EVIDENCE`` words.
 
 The model is fitted on at most ``FIT_DOCUMENTS`` labelled documents of every language, those
-with the lowest hash of their row, and every text is scored.
+with the lowest hash of their text, and every text is scored.
 
 Defined results: ``und`` with score 0.0 for a null text, one without letters, or when
 nothing could be learned; ties go to the language that is first in the alphabet; repeated
@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
+from epiframe.llm.tables import lowest_hashes
 from epiframe.llm.words import fold, letter_words, slices
 
 UNKNOWN = "und"
@@ -107,8 +108,7 @@ class Model:
 def fit(docs: DataFrame, per_language: int = FIT_DOCUMENTS) -> Model:
     """Learn from the rows of ``docs`` (lang, text) with both set, ``per_language`` of each language at most."""
     labelled = docs.select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text")).dropna()
-    order = Window.partitionBy("lang").orderBy("h", "text")
-    chosen = labelled.withColumn("h", F.xxhash64("text")).withColumn("r", F.row_number().over(order)).filter(F.col("r") <= per_language)
+    chosen = lowest_hashes(labelled, ["lang"], F.xxhash64("text"), per_language)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):

@@ -20,9 +20,12 @@ from pyspark.sql import functions as F
 
 from epiframe.llm import byte_bpe
 from epiframe.llm.tables import store, texts
+from epiframe.llm.words import slices
 from epiframe.storage import scratch_dir
 
 SEQUENCE = 1024
+#: Characters that a task encodes at once.
+SLICE_CHARS = 2_500_000
 #: A sequence this full is emitted at once.
 NEARLY_FULL = 0.995
 #: Partitions of one round that meet in one task of the next.
@@ -39,7 +42,7 @@ def cut(docs: DataFrame, tokenizer: str | None = None, size: int = SEQUENCE, kee
     path = tokenizer or byte_bpe.default_path()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, "text", SLICE_CHARS):
             rows: list[list] = [[], [], [], [], [], []]
             source = batch.column(0).to_pylist()
             for doc_id, ids in zip(source, byte_bpe.encode_texts(batch.column(1).to_pylist(), path)):

@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from epiframe.llm import byte_bpe
 from epiframe.llm.byte_bpe import HEAD, WordMemory, spans
 from epiframe.llm.tables import texts
+from epiframe.llm.words import slices
 
 MARK = "▁"
 WORD = re.compile(f"{MARK}*[^{MARK}\n]+|{MARK}+|\n")
@@ -209,7 +210,7 @@ def round_trips(docs: DataFrame, path: str | None = None) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decoder = Decoder(model)
-        for batch in batches:
+        for batch in slices(batches, "text", byte_bpe.SLICE_CHARS):
             source = batch["text"].to_pylist()
             counts, crc, same = [], [], []
             for text, ids in zip(source, encode_texts(source, model)):

@@ -48,13 +48,20 @@ def exploded(batch: list[str | None], order: int) -> tuple[list[np.ndarray], np.
 
 
 def _by_shard(keys: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct keys, by shard and then by value; the shards that have any, and where each begins."""
+    """Distinct keys in order, which is also the order of their shards; the shards that have any, and where each begins."""
     keys = np.unique(keys)
     keys = keys[keys != 0]
-    shard = (keys >> np.uint64(8)) % np.uint64(shards)
-    order = np.argsort(shard, kind="stable")
-    there, first = np.unique(shard[order], return_index=True)
-    return keys[order], there.astype(np.int64), first
+    there, first = np.unique((keys >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32), return_index=True)
+    return keys, there.astype(np.int64), first
+
+
+def packed(values: np.ndarray) -> bytes:
+    """64-bit values byte by byte, all first bytes first: the high ones of small values shrink to nothing in the shuffle."""
+    return np.ascontiguousarray(values.view(np.uint8).reshape(-1, 8).T).tobytes()
+
+
+def unpacked(data: bytes, kind: type) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).view(kind).ravel()
 
 
 def _requests(order: int, shards: int):
@@ -63,13 +70,13 @@ def _requests(order: int, shards: int):
         every = np.concatenate(grams)
         keys, there, first = _by_shard(every, shards)
         found, counts = np.unique(every, return_counts=True)
-        count = counts[np.searchsorted(found, keys)].astype(np.int32)
+        count = counts[np.searchsorted(found, keys)].astype(np.int64)
         ends = [*first[1:].tolist(), len(keys)]
         batch = table["batch"][0].as_py()
         return pa.table({
             "batch": pa.array([batch] * len(there), pa.int64()), "shard": pa.array(there, pa.int64()),
-            "keys": pa.array([keys[a:b].tobytes() for a, b in zip(first, ends)], pa.binary()),
-            "counts": pa.array([count[a:b].tobytes() for a, b in zip(first, ends)], pa.binary()),
+            "keys": pa.array([packed(np.diff(keys[a:b], prepend=np.uint64(0))) for a, b in zip(first, ends)], pa.binary()),
+            "counts": pa.array([packed(count[a:b]) for a, b in zip(first, ends)], pa.binary()),
         })
 
     return request
@@ -77,12 +84,12 @@ def _requests(order: int, shards: int):
 
 def _answer(table: pa.Table) -> pa.Table:
     """The corpus counts of the n-grams of one shard, to every batch that has them."""
-    keys = [np.frombuffer(k, np.uint64) for k in table["keys"].to_pylist()]
-    counts = [np.frombuffer(c, np.int32) for c in table["counts"].to_pylist()]
+    keys = [np.cumsum(unpacked(k, np.uint64), dtype=np.uint64) for k in table["keys"].to_pylist()]
+    counts = [unpacked(c, np.int64) for c in table["counts"].to_pylist()]
     _, number = np.unique(np.concatenate(keys), return_inverse=True)
     total = np.bincount(number.ravel(), np.concatenate(counts)).astype(np.int64)[number.ravel()]
     ends = np.cumsum([len(k) for k in keys])
-    answers = [x.tobytes() for x in np.split(total, ends[:-1])]
+    answers = [packed(x) for x in np.split(total, ends[:-1])]
     return pa.table({"batch": table["batch"], "shard": table["shard"], "totals": pa.array(answers, pa.binary())})
 
 
@@ -95,10 +102,9 @@ def _scores(order: int, shards: int, words: int):
         if len(row):
             keys, _, _ = _by_shard(np.concatenate(grams), shards)
             answers = answers.sort_by("shard")
-            totals = np.concatenate([np.frombuffer(t, np.int64) for t in answers["totals"].to_pylist()])
-            by_value = np.argsort(keys)
+            totals = np.concatenate([unpacked(t, np.int64) for t in answers["totals"].to_pylist()])
             # words without an n-gram of an order share a place of their own behind all keys
-            keys, totals = keys[by_value], np.append(totals[by_value], 0)
+            totals = np.append(totals, 0)
             log_score = order * np.log(ALPHA) - np.log(others)
             context = others
             for k, gram in enumerate(grams):

@@ -1,8 +1,9 @@
 """Tables that a job writes once and reads again, and small shared helpers."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from epiframe.operators.chunked import join_null_safe
 from epiframe.storage import scratch_dir
 
 
@@ -14,6 +15,20 @@ def store(df: DataFrame, path: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def lowest_hashes(df: DataFrame, groups: list[str], hashed: Column, n: int) -> DataFrame:
+    """At most ``n`` rows of every group, those with the lowest hash.
+
+    Groups are counted first and rows whose hash cannot be among the lowest are left where they are,
+    so a large group does not meet in one task.
+    """
+    top = 1 << 30
+    placed = df.withColumns({"_h": hashed, "_u": F.pmod(hashed, F.lit(top))})
+    sizes = df.groupBy(*groups).agg(F.count("*").alias("_all"))
+    low = join_null_safe(placed, sizes, groups, small=True).filter(F.col("_u") * F.col("_all") < (1.3 * n + 300) * top)
+    order = Window.partitionBy(*groups).orderBy("_u", "_h")
+    return low.withColumn("_r", F.row_number().over(order)).filter(F.col("_r") <= n).drop("_h", "_u", "_r", "_all")
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

@@ -19,9 +19,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from epiframe.llm.tables import lowest_hashes
 from epiframe.llm.words import fold, letter_words, slices
 
 FIT_ROWS = 8000
@@ -32,6 +33,8 @@ ASSOCIATED = 15.0
 KEPT_TERMS = 20_000
 FACTORS, EPOCHS, RATE, DECAY = 4, 40, 0.3, 1e-5
 THRESHOLD = 0.7
+#: Characters whose terms a task holds at once.
+SLICE_CHARS = 2_000_000
 
 
 def word_terms(word: str) -> list[int]:
@@ -52,6 +55,13 @@ def presence(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return keys // BUCKETS, keys % BUCKETS
 
 
+def _present(texts: pa.Array, step: int = 500) -> tuple[np.ndarray, np.ndarray]:
+    """``presence`` of many texts, a few at a time, in half the memory."""
+    parts = [presence(texts.slice(k, step)) for k in range(0, len(texts), step)]
+    rows = np.concatenate([(r + k * step).astype(np.int32) for k, (r, _) in enumerate(parts)])
+    return rows, np.concatenate([t.astype(np.int32) for _, t in parts])
+
+
 class Machine:
     """score(x) = logistic(bias + sum of weights + sum over pairs of inner products)."""
 
@@ -88,7 +98,7 @@ def train(texts: pa.Array, labels: np.ndarray, seed: int = 7) -> Machine:
     n, toxic = len(labels), float(labels.sum())
     if not 0 < toxic < n:
         return Machine(np.zeros(0, np.int64), np.zeros(0), np.zeros((0, FACTORS)), 30.0 if n and toxic else -30.0)
-    rows, terms = presence(texts)
+    rows, terms = _present(texts)
     kept = associated(rows, terms, labels)
     if not len(kept):
         return Machine(kept, np.zeros(0), np.zeros((0, FACTORS)), float(np.log(toxic / (n - toxic))))
@@ -130,11 +140,10 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = FIT_ROWS) -> Machin
     An id with both labels counts as 1; of ids that repeat in ``docs`` every row counts.
     """
     marks = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).filter("toxic in (0, 1)")
-    order = Window.partitionBy("toxic").orderBy("h", "doc_id")
     # choose by id first: only the chosen rows carry their texts
-    marks = marks.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).withColumn("h", F.xxhash64("doc_id"))
+    marks = marks.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     present = marks.join(docs.select(F.col("doc_id").cast("long").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    chosen = present.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= per_class).select("doc_id", "toxic")
+    chosen = lowest_hashes(present, ["toxic"], F.xxhash64("doc_id"), per_class)
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = source.join(F.broadcast(chosen), "doc_id").select("text", "toxic").withColumn("one", F.lit(1))
 
@@ -158,7 +167,7 @@ def score(docs: DataFrame, machine: Machine) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(machine)  # bounded by the kept terms
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE_CHARS):
             rows, terms = presence(batch["text"])
             yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(shared.value.score(rows, terms, batch.num_rows))], names=["doc_id", "score"])
 
