@@ -9,7 +9,7 @@ weights of the mixture are the shares with which each came true before, kept for
 state of the two contexts (how often each was right in a row, and whether they agree).
 
 Layout of a block, little-endian: magic ``TIDB``, version u8, 3 bytes 0, documents u32, ids
-u64, lanes u32, vocabulary u32, crc32 of the ids as u32, crc32 of all that follows u32; then the document lengths
+u64, lanes u32, vocabulary u32, crc32 of the ids as u32, crc32 of all else u32; then the document lengths
 as u32, the digits of each lane as u32, and the lanes' base-65536 digits as u16.
 """
 
@@ -18,7 +18,7 @@ import zlib
 
 import numpy as np
 
-HEADER = struct.Struct("<4sB3xIQIIII")
+HEADER, SUM = struct.Struct("<4sB3xIQIII"), struct.Struct("<I")
 MAGIC, VERSION = b"TIDB", 1
 LANES, IDS_PER_LANE = 8192, 64
 HASH_BITS = 20
@@ -140,7 +140,8 @@ def encode_block(lengths: np.ndarray, ids: np.ndarray) -> bytes:
     digits, per_lane = coder.finish()
     body = np.asarray(lengths).astype("<u4").tobytes() + per_lane.tobytes() + digits.tobytes()
     check = zlib.crc32(np.ascontiguousarray(ids, "<u4"))
-    return HEADER.pack(MAGIC, VERSION, len(lengths), n, lanes, vocabulary, check, zlib.crc32(body)) + body
+    header = HEADER.pack(MAGIC, VERSION, len(lengths), n, lanes, vocabulary, check)
+    return header + SUM.pack(zlib.crc32(body, zlib.crc32(header))) + body
 
 
 class Decoder:
@@ -176,10 +177,12 @@ class Decoder:
 
 def decode_block(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Document lengths and ids of a block; raises where a checksum does not hold."""
-    magic, version, documents, n, lanes, vocabulary, check, body = HEADER.unpack_from(data)
-    if magic != MAGIC or version != VERSION or zlib.crc32(memoryview(data)[HEADER.size :]) != body:
+    at = HEADER.size + SUM.size
+    if len(data) < at or data[:4] != MAGIC or zlib.crc32(data[at:], zlib.crc32(data[: HEADER.size])) != SUM.unpack_from(data, HEADER.size)[0]:
         raise ValueError("this is no whole block of token ids")
-    at = HEADER.size
+    _, version, documents, n, lanes, vocabulary, check = HEADER.unpack_from(data)
+    if version != VERSION:
+        raise ValueError(f"blocks of version {version} are not known")
     lengths = np.frombuffer(data, "<u4", documents, at).astype(np.int64)
     per_lane = np.frombuffer(data, "<u4", lanes, at + 4 * documents)
     digits = np.frombuffer(data, "<u2", -1, at + 4 * (documents + lanes))
