@@ -57,7 +57,7 @@ def test_side_tables(spark, tmp_path):
 
 def test_read_windows_prefers_stored_ones(spark, tmp_path):
     path = str(tmp_path / "data")
-    with pytest.raises(FileNotFoundError, match="neither windows nor frames"):
+    with pytest.raises(FileNotFoundError, match="neither complete windows nor frames"):
         read_windows(spark, path)
     df = frames(spark, {0: 40, 1: 12})
     write_frames(df, path)

@@ -58,3 +58,23 @@ def test_ingest_resumes_without_repeating(spark, tmp_path):
         query = append_to(stream_parquet(spark, str(tmp_path / "in"), spark.range(1).schema, "*.parquet"), str(tmp_path / "out"), str(tmp_path / "cp"))
         query.trigger(availableNow=True).start().awaitTermination()
     assert spark.read.schema(schema).parquet(str(tmp_path / "out")).count() == 8
+
+
+def test_state_of_finished_episodes_is_dropped(spark, make_frames, tmp_path):
+    """Three episodes, two of which end: only the open one is remembered."""
+    frames = make_frames({e: [[float(i // 5), 0.0] for i in range(40)] for e in range(3)})
+    ended = (F.col("frame_index") == 39) & (F.col("episode_index") < 2)
+    rows = frames.select("episode_index", "frame_index", "action", ended.alias("done"))
+    for half in (0, 1):
+        part = rows.where(F.floor(F.col("frame_index") / 20) == half).coalesce(1).sortWithinPartitions("episode_index", "frame_index")
+        part.write.mode("append").parquet(str(tmp_path / "in"))
+    live = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    hits = stream_stuck_actions(live, warn_steps=4, chunk=16, done="done")
+    query = append_to(hits, str(tmp_path / "out"), str(tmp_path / "cp")).trigger(availableNow=True).start()
+    query.awaitTermination()
+    batches = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
+    assert len(batches) >= 2 and max(batches) >= 3
+    assert batches[-1] == 1
+    got = sorted((r["episode_index"], r["frame_index"]) for r in spark.read.parquet(str(tmp_path / "out")).collect())
+    want = sorted((r["episode_index"], r["frame_index"]) for r in stuck_actions(frames, warn_steps=4, chunk=16).collect())
+    assert got == want and got
