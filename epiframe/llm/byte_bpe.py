@@ -78,9 +78,9 @@ class WordMemory(dict):
         self.fresh.append(word)
         return number
 
-    def forget(self) -> None:
-        """Keep the half that was used most."""
-        keep = np.sort(np.argsort(-self.used, kind="stable")[: REMEMBERED // 2])
+    def forget(self, left: int | None = None) -> None:
+        """Keep the half, or the ``left`` words, that were used most."""
+        keep = np.sort(np.argsort(-self.used, kind="stable")[: REMEMBERED // 2 if left is None else left])
         words = list(self)
         self.clear()
         self.update((words[k], n) for n, k in enumerate(keep))
@@ -190,6 +190,12 @@ def encode_slices(texts: list[str | None], words: WordMemory) -> Iterator[np.nda
         at = end
 
 
+def trim(path: str, left: int) -> None:
+    """Let an idle worker keep the ids of its ``left`` most used words."""
+    if len(_words.get(path, ())) > left:
+        _words[path].forget(left)
+
+
 def encode_texts(texts: list[str | None], path: str) -> Iterator[np.ndarray]:
     """The ids of each text, without an end id."""
     if path not in _words:

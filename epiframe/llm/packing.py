@@ -26,6 +26,8 @@ from epiframe.storage import scratch_dir
 SEQUENCE = 1024
 #: Characters that a task encodes at once.
 SLICE_CHARS = 2_500_000
+#: Words that a worker remembers from one task to the next.
+IDLE_WORDS = 100_000
 #: A sequence this full is emitted at once.
 NEARLY_FULL = 0.995
 #: Partitions of one round that meet in one task of the next.
@@ -57,6 +59,7 @@ def cut(docs: DataFrame, tokenizer: str | None = None, size: int = SEQUENCE, kee
             kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32())][: 5 + keep_ids]
             names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"][: 5 + keep_ids]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(rows, kinds)], names=names)
+        byte_bpe.trim(path, IDLE_WORDS)
 
     return texts(docs).mapInArrow(run, PIECES + (", ids array<int>" if keep_ids else ""))
 

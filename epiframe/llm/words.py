@@ -26,6 +26,8 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, chars: int = SLICE_CH
         bounds = [0, *(np.flatnonzero(np.diff(part)) + 1), batch.num_rows] if batch.num_rows else [0, 0]
         for a, b in zip(bounds, bounds[1:]):
             yield batch.slice(a, b - a)
+    # the worker may be idle next, while the executor needs the memory
+    pa.default_memory_pool().release_unused()
 
 
 def letter_words(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
@@ -42,7 +44,7 @@ def letter_words(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
 
 
 #: Words whose hashes a Python worker remembers.
-REMEMBERED = 250_000
+REMEMBERED = 100_000
 #: Odd multipliers of well-known 64-bit mixing functions.
 ODD = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
