@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from epiframe.llm.components import components
-from epiframe.llm.tables import store, texts
+from epiframe.llm.tables import few_at_once, store, texts
 from epiframe.llm.words import ODD, chained, mixed, slices, word_hashes
 
 NGRAM, SIMILARITY = 3, 90
@@ -124,7 +124,7 @@ def sets(docs: DataFrame, n: int = NGRAM, t: int = SIMILARITY) -> DataFrame:
             kinds = pa.list_(pa.struct([("c", pa.int32()), ("s", pa.int64())]))
             yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(sizes, pa.int64()), d1, d2, pa.array(lists, pa.list_(pa.int64())), pa.array(subs, kinds)], names=["doc_id", "n", "d1", "d2", "lists", "subs"])
 
-    return texts(docs).mapInArrow(run, SETS)
+    return few_at_once(texts(docs)).mapInArrow(run, SETS)
 
 
 def _needed(size: str, t: int) -> Column:

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from epiframe.llm.tables import lowest_hashes
+from epiframe.llm.tables import few_at_once, lowest_hashes
 from epiframe.llm.words import fold, letter_words, slices
 
 UNKNOWN = "und"
@@ -107,7 +107,7 @@ class Model:
 
 def fit(docs: DataFrame, per_language: int = FIT_DOCUMENTS) -> Model:
     """Learn from the rows of ``docs`` (lang, text) with both set, ``per_language`` of each language at most."""
-    labelled = docs.select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text")).dropna()
+    labelled = few_at_once(docs).select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text")).dropna()
     chosen = lowest_hashes(labelled, ["lang"], F.xxhash64("text"), per_language)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from epiframe.llm import byte_bpe
-from epiframe.llm.tables import store, texts
+from epiframe.llm.tables import few_at_once, store, texts
 from epiframe.llm.words import slices
 from epiframe.storage import scratch_dir
 
@@ -61,7 +61,7 @@ def cut(docs: DataFrame, tokenizer: str | None = None, size: int = SEQUENCE, kee
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(rows, kinds)], names=names)
         byte_bpe.trim(path, IDLE_WORDS)
 
-    return texts(docs).mapInArrow(run, PIECES + (", ids array<int>" if keep_ids else ""))
+    return few_at_once(texts(docs)).mapInArrow(run, PIECES + (", ids array<int>" if keep_ids else ""))
 
 
 def best_fit(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:

@@ -33,6 +33,16 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+#: Documents that travel to a Python worker at once; more would stand in the memory of both sides.
+ROWS_AT_ONCE = 1000
+
+
+def few_at_once(docs: DataFrame) -> DataFrame:
+    """``docs``, with the session sending rows to Python in batches of ``ROWS_AT_ONCE`` from now on."""
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_AT_ONCE))
+    return docs
+
+
 def texts(docs: DataFrame) -> DataFrame:
     """Only what text operators read, whatever other columns there are."""
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))

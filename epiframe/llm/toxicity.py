@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from epiframe.llm.tables import lowest_hashes
+from epiframe.llm.tables import few_at_once, lowest_hashes
 from epiframe.llm.words import fold, letter_words, slices
 
 FIT_ROWS = 8000
@@ -171,7 +171,7 @@ def score(docs: DataFrame, machine: Machine) -> DataFrame:
             rows, terms = presence(batch["text"])
             yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(shared.value.score(rows, terms, batch.num_rows))], names=["doc_id", "score"])
 
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    source = few_at_once(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return source.mapInArrow(run, "doc_id long, score double")
 
 
