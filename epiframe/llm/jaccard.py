@@ -118,7 +118,8 @@ def sets(docs: DataFrame, n: int = NGRAM, t: int = SIMILARITY) -> DataFrame:
                 sizes.append(size)
                 digests.append(xxhash.xxh3_128_intdigest(values.tobytes()))
                 lists.append(values[: postings(size, t)].view(np.int64) if size >= heavy else None)
-                subs.append(enumerate_subsets(values) if size <= light and spare(size, t) else None)
+                # a set that may lack nothing itself can be the whole of a larger one's subset
+                subs.append(enumerate_subsets(values) if size <= light and 100 * size // t > size else None)
             half = [(d >> 64, d & (1 << 64) - 1) for d in digests]
             d1, d2 = (pa.array(np.array([h[k] for h in half], np.uint64).view(np.int64)) for k in (0, 1))
             kinds = pa.list_(pa.struct([("c", pa.int32()), ("s", pa.int64())]))

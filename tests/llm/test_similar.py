@@ -74,6 +74,25 @@ def test_join_is_exact(make_docs, monkeypatch, short_list, group):
     assert got == want and len({r for _, _, r in want}) < len(rows) - 20
 
 
+def brute_at(rows, n, t):
+    """``brute`` for shingles of n words and a similarity of t hundredths."""
+    words = [[w for w in (x or "").replace("\n", " ").replace("\t", " ").lower().split(" ") if w] for _, x in rows]
+    sets = [(i, {tuple(w[k : k + n]) for k in range(max(1, len(w) - n + 1))} if w else set()) for (i, _), w in zip(rows, words)]
+    links = [(a, b) for k, (a, x) in enumerate(sets) for b, y in sets[k + 1 :] if x and y and a is not None and b is not None and 100 * len(x & y) >= t * len(x | y)]
+    root = groups(links, {i for i, _ in sets if i is not None})
+    return sorted(((i, len(s), root.get(i)) for i, s in sets), key=repr)
+
+
+@pytest.mark.parametrize("n,t", [(3, 90), (5, 80)])
+def test_one_word_more_at_either_end(make_docs, n, t):
+    rows = []
+    for size in range(n, 30):
+        words = [f"s{size}w{k}" for k in range(size)]
+        rows += [(len(rows) + k, " ".join(x)) for k, x in enumerate((words, [*words, "after"], ["before", *words]))]
+    got = sorted((tuple(r) for r in jaccard.join(make_docs(rows), n, t).collect()), key=repr)
+    assert got == brute_at(rows, n, t)
+
+
 def test_a_large_group_of_near_copies(make_docs):
     rows = near_copies(3, [80], lambda n: 3, 150)
     assert sorted((tuple(r) for r in jaccard.join(make_docs(rows)).collect()), key=repr) == brute(rows)
