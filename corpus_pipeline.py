@@ -19,6 +19,8 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 #: Documents whose best language is less likely than this are rejected.
 LEAST_SCORE = 0.5
+#: Near copies are told by shingles of so many words, similar in so many hundredths.
+COPY_WORDS, COPY_SIMILARITY = 5, 80
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,7 +36,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of every group of near copies."""
-    return jaccard.one_of_each(docs)
+    return jaccard.one_of_each(docs, COPY_WORDS, COPY_SIMILARITY)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,7 +7,7 @@ import __spark_entry__ as entry
 import corpus_pipeline
 from epiframe.llm import jaccard, kneser_ney, language, packing
 from epiframe.llm.queries import QUERIES, SQL
-from tests.llm.test_similar import brute
+from tests.llm.test_similar import brute, brute_at
 from tests.llm.test_tokens import check_packing
 
 
@@ -50,6 +50,15 @@ def test_pipeline(spark, sf):
     assert jaccard.SIMILARITY == 90
 
 
+def test_near_copies_are_those_of_five_words(spark, make_docs, sf):
+    """A run of words replaced in a copy: near by five-word shingles at 0.8, not by three-word shingles at 0.9."""
+    words = [f"w{k}" for k in range(200)]
+    rows = [(0, " ".join(words)), (1, " ".join([*words[:90], *(f"x{k}" for k in range(15)), *words[105:]])), (2, " ".join([*words[:90], *(f"y{k}" for k in range(40)), *words[130:]]))]
+    kept = {r["doc_id"] for r in corpus_pipeline.ngram_jaccard_join(spark, make_docs(rows), sf).collect()}
+    assert kept == {i for i, _, root in brute_at(rows, 5, 80) if i == root} == {0, 2}
+    assert {i for i, _, root in brute(rows) if i == root} == {0, 1, 2}
+
+
 def test_stages_of_nothing(spark, make_docs, sf):
     rows = make_docs([])
     for name, stage in corpus_pipeline.STAGES:
