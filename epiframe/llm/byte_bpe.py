@@ -131,7 +131,8 @@ class WordIds(WordMemory):
 
         super().__init__()
         self.encoder = Tokenizer.from_file(path)
-        self.encoder.encode_special_tokens = True
+        # texts are cut at these before they are cut into words
+        self.added = [t.content for t in self.encoder.get_added_tokens_decoder().values()]
         self.model = self.encoder.model
         alphabet = sorted(ByteLevel.alphabet())
         own = [c for c in alphabet if ord(c) < 256]
@@ -145,9 +146,11 @@ class WordIds(WordMemory):
 
     def ids_of(self, key: str) -> list[int]:
         """Letters, with or without signs after them, go straight to the merges."""
+        before, word = ("", key[1:]) if key[:1] == HEAD else (" ", key)
+        if any(a in word for a in self.added):
+            return self.encoder.encode(before + word, add_special_tokens=False).ids
         if key.isalpha() and key.isascii():
             return [t.id for t in self.model.tokenize(self.letters[32] + key)]
-        before, word = ("", key[1:]) if key[:1] == HEAD else (" ", key)
         end = len(word)
         while end and not word[end - 1].isalnum():
             end -= 1

@@ -33,6 +33,15 @@ def test_words_give_the_ids_of_whole_texts(texts):
     assert [list(f) for f in found] == [TOKENIZER.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_added_tokens_are_those_of_the_library():
+    plain = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    end = "<|endoftext|>"
+    texts = [f"a {end} b", end, f"{end}{end}", f"a{end}b", f"a  {end}  b\n{end}\n\nc {end}", f"x.{end}'s <|endoftext| > {end}!?", f" {end} "]
+    found = list(byte_bpe.encode_texts(texts, byte_bpe.default_path()))
+    assert [list(f) for f in found] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    assert list(found[0]) == [64, 220, 50256, 275]
+
+
 def test_forgetting_words_changes_nothing(monkeypatch):
     monkeypatch.setattr(byte_bpe, "REMEMBERED", 20)
     texts = [f"word{i} other{i % 7}, more{i % 3}." for i in range(200)]
