@@ -178,6 +178,23 @@ def test_quality_keeps_clean_and_drops_junk(spark, make_docs, odd_rows):
     assert kneser_ney.filtered(make_docs([]), labels).count() == 0
 
 
+def test_thresholds_are_set_by_all_held_out_documents(spark, make_docs, monkeypatch):
+    monkeypatch.setattr(kneser_ney, "FIT_DOCUMENTS", 20)
+    docs = make_docs([(i, f"text {i}", "xx") for i in range(500)])
+    fit_on, set_by = kneser_ney.trusted(docs, spark.createDataFrame([(i, 1) for i in range(500)], "doc_id long, quality int"))
+    held = docs.filter(fold("doc_id", 10) >= 7)
+    assert fit_on.count() == 20 and {r["text"] for r in set_by.collect()} == {r["text"] for r in held.collect()}
+
+
+def test_a_language_with_little_trusted_text_is_kept(spark, make_docs):
+    rng = random.Random(6)
+    rows = [(i, prose(rng, "xx", rng.randint(8, 60)), "xx") for i in range(300)]
+    small = [(1000 + i, prose(rng, "zz", 40), "zz") for i in range(60)]
+    labels = spark.createDataFrame([(i, 1) for i in range(300)] + [(1000 + i, 1) for i in range(10)], "doc_id long, quality int")
+    keep = {r["doc_id"]: r["keep"] for r in kneser_ney.scored(make_docs([*rows, *small, (2000, " ", "zz")]), labels).collect()}
+    assert all(keep[i] for i, *_ in small) and not keep[2000]
+
+
 @pytest.mark.parametrize("order,size", [(1, 400), (2, 6_000_000), (3, 300)])
 def test_backoff_scores(make_docs, corpus, odd_rows, order, size):
     rows = [(i, t) for i, t, _ in corpus[:80]] + [(500 + k, t) for k, (_, t) in enumerate(odd_rows) if len(t or "") < 500]
