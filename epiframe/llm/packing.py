@@ -2,8 +2,10 @@
 
 Method: hierarchical residual packing. Every partition packs its own pieces best-fit
 decreasing and emits the sequences that are nearly full. What is left underfull becomes an
-item of the next round, in which a few partitions meet in one task; rounds go on until one
-task is left, which emits all it has. Pieces are rows of numbers, ids travel nowhere.
+item of a second round over all partitions: only the number of items of every partition and
+size goes to the driver, which packs whole classes of equal items best-fit decreasing; every
+item finds its sequence by its rank in its class. No task holds the items of others, and none is
+emitted for being one too many. Pieces are rows of numbers, ids travel nowhere.
 
 Defined results: a null or empty text is one piece holding the end id; a text longer than a
 sequence is cut so that all its pieces but the first are whole sequences; repeated rows are
@@ -30,13 +32,14 @@ SLICE_CHARS = 2_500_000
 IDLE_WORDS = 100_000
 #: A sequence this full is emitted at once.
 NEARLY_FULL = 0.995
-#: Partitions of one round that meet in one task of the next.
-FAN_IN = 8
-#: Underfull sequences a task hands on, emptiest first; it emits the others as they are.
-HANDED_ON = 20_000
+#: Without effect, as all underfull sequences are handed on at once; tests set them.
+FAN_IN, HANDED_ON = 8, 20_000
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
-PLACED = f"{PIECES}, node int, sequence_id long, offset long, done boolean"
+#: ``filled`` and ``rank`` are those of an underfull sequence among its partition's of that size.
+PLACED = f"{PIECES}, node int, sequence_id long, offset long, done boolean, filled int, rank long"
+#: Ranks from ``rank`` on go to the sequences from ``base`` on, at ``offset``.
+Run = tuple[int, int, int]
 
 
 def cut(docs: DataFrame, tokenizer: str | None = None, size: int = SEQUENCE, keep_ids: bool = False) -> DataFrame:
@@ -86,24 +89,58 @@ def best_fit(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
     return where, offset
 
 
-def _round(rows: pa.Table, number: int, node: int, size: int, last: bool) -> pa.Table:
-    """Best-fit the sequences in ``rows``, given by sequence_id, and say which of the new ones are done."""
-    if not rows.num_rows:
-        return rows
-    ids, item = np.unique(rows["sequence_id"].to_numpy(), return_inverse=True)
+def plan_of(counts: dict[int, int], capacity: int) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """``best_fit`` of so many items of every size: per size the first rank, first bin and offset of runs of items."""
+    rooms: dict[int, list[tuple[int, int]]] = {}
+    bins = 0
+    plan = {}
+    for size in sorted(counts, reverse=True):
+        runs: list[Run] = []
+        rank, left = 0, counts[size]
+        while left:
+            room = min((r for r in rooms if r >= size), default=None)
+            if room is None:
+                room, many = capacity, -(-left // (capacity // size))
+                rooms[room], bins = [(bins, many)], bins + many
+            first, many = rooms[room].pop()
+            if not rooms[room]:
+                del rooms[room]
+            each = min(room // size, left)
+            used = min(many, left // each)
+            for k in range(each):
+                runs.append((rank, first, capacity - room + k * size))
+                rank += used
+            left -= each * used
+            for at, start, n in ((room - each * size, first, used), (room, first + used, many - used)):
+                if n and at:
+                    rooms.setdefault(at, []).append((start, n))
+        plan[size] = tuple(np.array(c, np.int64) for c in zip(*runs)) if runs else (np.zeros(0, np.int64),) * 3
+    return plan
+
+
+def placed(runs: tuple[np.ndarray, np.ndarray, np.ndarray], rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The bin and the offset of the items of one size, by their ranks."""
+    firsts, bins, offsets = runs
+    at = np.searchsorted(firsts, rank, side="right") - 1
+    return bins[at] + rank - firsts[at], offsets[at]
+
+
+def _first(rows: pa.Table, node: int, size: int) -> pa.Table:
+    """Best-fit the pieces of a partition and say which of the sequences are done, and the ranks of the others."""
     lengths = rows["length"].to_numpy()
-    filled = np.bincount(item, lengths, len(ids)).astype(np.int64)
-    where, shift = best_fit(filled, size)
-    full = np.bincount(where, filled).astype(np.int64)
-    done = full >= NEARLY_FULL * size
-    if last:
-        done[:] = True
-    else:
-        open_bins = np.flatnonzero(~done)
-        done[open_bins[np.argsort(full[open_bins], kind="stable")[HANDED_ON:]]] = True
-    out = rows.drop_columns(["node", "sequence_id", "offset", "done"]).append_column("node", pa.array(np.full(len(item), node, np.int32)))
-    out = out.append_column("sequence_id", pa.array((number << 56) + (node << 28) + where[item]))
-    return out.append_column("offset", pa.array(rows["offset"].to_numpy() + shift[item])).append_column("done", pa.array(done[where[item]]))
+    where, offset = best_fit(lengths, size)
+    filled = np.bincount(where, lengths).astype(np.int64)
+    done = filled >= NEARLY_FULL * size
+    order = np.lexsort((done, filled))
+    ordered = filled[order]
+    rank = np.zeros(len(filled), np.int64)
+    # the sequences of one size that are done stand behind the others
+    rank[order] = np.arange(len(filled)) - np.searchsorted(ordered, ordered)
+    n = len(lengths)
+    columns = {"node": np.full(n, node, np.int32), "sequence_id": (node << 28) + where, "offset": offset, "done": done[where], "filled": filled[where].astype(np.int32), "rank": rank[where]}
+    for name, values in columns.items():
+        rows = rows.append_column(name, pa.array(values))
+    return rows
 
 
 def pack(pieces: DataFrame, size: int = SEQUENCE) -> DataFrame:
@@ -120,26 +157,38 @@ def pack(pieces: DataFrame, size: int = SEQUENCE) -> DataFrame:
         lengths = table["length"].to_numpy()
         if len(lengths) and (lengths.max() > size or lengths.min() < 1):
             raise ValueError(f"pieces must have 1 to {size} ids")
-        n, node = len(lengths), TaskContext.get().partitionId()
-        for name, values in (("node", np.full(n, node, np.int32)), ("sequence_id", np.arange(n)), ("offset", np.zeros(n, np.int64)), ("done", np.zeros(n, bool))):
-            table = table.append_column(name, pa.array(values))
-        yield from _round(table, 0, node, size, False).to_batches()
-
-    def later(number: int, last: bool):
-        return lambda key, rows: _round(rows, number, key[0].as_py(), size, last)
+        if len(lengths):
+            yield from _first(table, TaskContext.get().partitionId(), size).to_batches()
 
     kinds = {"bigint": pa.int64(), "int": pa.int32()}
     pieces = pieces.select("doc_id", "piece", "start", "length", "ids_crc32")
     arrow = pa.schema([(n, kinds[k]) for n, k in pieces.dtypes])
-    out = [store(pieces.mapInArrow(first, PLACED), f"{base}/0")]
-    while True:
-        left = out[-1].filter("not done")
-        nodes = (left.agg(F.max("node")).first()[0] or 0) // FAN_IN + 1
-        placed = left.withColumn("node", (F.col("node") / FAN_IN).cast("int"))
-        out.append(store(placed.groupBy("node").applyInArrow(later(len(out), nodes == 1), PLACED), f"{base}/{len(out)}"))
-        if nodes == 1:
-            break
-    every = out[0].filter("done")
-    for table in out[1:]:
-        every = every.unionByName(table.filter("done"))
-    return every.drop("node", "done")
+    rows = store(pieces.mapInArrow(first, PLACED), f"{base}/0")
+    left = rows.filter("not done")
+    # at most one row per partition and size
+    counts = left.groupBy("node", "filled").agg((F.max("rank") + 1).alias("n")).orderBy("node").toArrow()
+    total: dict[int, int] = {}
+    before: dict[tuple[int, int], int] = {}
+    for node, filled, n in zip(*(counts[c].to_pylist() for c in ("node", "filled", "n"))):
+        before[node, filled] = total.get(filled, 0)
+        total[filled] = total.get(filled, 0) + n
+    shared = spark.sparkContext.broadcast((before, plan_of(total, size)))
+
+    def second(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before, plan = shared.value
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            filled, node, rank = (batch[c].to_numpy() for c in ("filled", "node", "rank"))
+            bins, shift = np.zeros(len(rank), np.int64), np.zeros(len(rank), np.int64)
+            keys, kind = np.unique(node.astype(np.int64) * (size + 1) + filled, return_inverse=True)
+            ranks = rank + np.array([before[k // (size + 1), k % (size + 1)] for k in keys.tolist()], np.int64)[kind.ravel()]
+            for value in np.unique(filled).tolist():
+                mine = filled == value
+                bins[mine], shift[mine] = placed(plan[value], ranks[mine])
+            out = [*(batch[c] for c in pieces_columns), pa.array((1 << 56) + bins), pa.array(batch["offset"].to_numpy() + shift)]
+            yield pa.RecordBatch.from_arrays(out, names=[*pieces_columns, "sequence_id", "offset"])
+
+    pieces_columns = pieces.columns
+    columns = [*pieces_columns, "sequence_id", "offset"]
+    return rows.filter("done").select(columns).unionByName(left.mapInArrow(second, f"{PIECES}, sequence_id long, offset long"))

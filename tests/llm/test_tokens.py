@@ -138,6 +138,38 @@ def test_packing_nothing_and_what_fits_badly(spark, make_docs):
         packing.pack(pieces_, 500).collect()
 
 
+def test_underfull_sequences_meet_however_many_they_are(spark):
+    """A partition with many 520s and a few 600s and, each in a partition of its own, the 424s that fill these up."""
+    length = "CASE WHEN id < 12 THEN 600L WHEN id < 20024 THEN 520L ELSE 424L END"
+    ids = spark.range(0, 13 * 20_024, 1, 13).filter("id < 20024 OR id % 20024 = 0")
+    # columns that may be null, as those of cut
+    columns = {"doc_id": "id", "piece": "0", "start": "0L", "length": length, "ids_crc32": "id"}
+    pieces_ = ids.selectExpr(*(f"if(id >= 0, {x}, null) AS {c}" for c, x in columns.items()))
+    sequences = defaultdict(list)
+    for r in packing.pack(pieces_).collect():
+        sequences[r["sequence_id"]].append((r["offset"], r["length"]))
+    assert sorted(map(sorted, sequences.values())) == [[(0, 520)]] * 20_012 + [[(0, 600), (600, 424)]] * 12
+
+
+@settings(deadline=None, max_examples=200)
+@given(st.dictionaries(st.integers(1, 63), st.integers(1, 30), min_size=1, max_size=12))
+def test_classes_are_packed_as_their_items(counts):
+    plan = packing.plan_of(counts, 64)
+    places = defaultdict(list)
+    for size, n in counts.items():
+        where, offset = packing.placed(plan[size], np.arange(n))
+        for w, o in zip(where.tolist(), offset.tolist()):
+            places[w].append((o, size))
+    for found in places.values():
+        at = 0
+        for offset, size in sorted(found):
+            assert offset == at
+            at += size
+        assert at <= 64
+    items = np.repeat(list(counts), list(counts.values()))
+    assert len(places) == len(set(packing.best_fit(items, 64)[0].tolist()))
+
+
 def test_ids_of_pieces_can_be_kept(make_docs):
     rows = packing.cut(make_docs([(1, "a b c " * 30)]), size=16, keep_ids=True).orderBy("piece").collect()
     assert [i for r in rows for i in r["ids"]] == ids_of("a b c " * 30)
