@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from epiframe.llm import graph_search, jaccard, kneser_ney, language, packing, pieces, polytope, stupid_backoff, token_files, toxicity
+from epiframe.llm import collocations, graph_search, hard_negatives, jaccard, kneser_ney, language, packing, pieces, polytope, repeats, stupid_backoff, token_files, toxicity
 from epiframe.llm.tables import documents
 from epiframe.llm.words import fold
 from epiframe.storage import scratch_dir
@@ -59,6 +59,20 @@ def op10_kneser_ney_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kneser_ney.scored(documents(spark, sf_dir), labels).select("doc_id", "words", "perplexity", "threshold", "keep")
 
 
+def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.cleaned(documents(spark, sf_dir)).select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet").withColumn("label", label)
+    return hard_negatives.mined(rows, F.col("vec_id") % 100 == 0)
+
+
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mined(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
     "op2_jaccard_join": op2_jaccard_join,
@@ -70,6 +84,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_polytope_near_dedup": op9_polytope_near_dedup,
     "op10_kneser_ney_quality": op10_kneser_ney_quality,
+    "op11_substring_dedup": op11_substring_dedup,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_phrase_collocations": op13_phrase_collocations,
 }
 
 #: Shingle sets by string functions, links by counting common shingles, components by transitive closure.
@@ -90,4 +107,70 @@ SELECT doc_id, len(s) AS n_shingles, least(doc_id, coalesce((SELECT min(b) FROM
 FROM sets
 """
 
-SQL: dict[str, str] = {"op2_jaccard_join": JACCARD_SQL}
+#: Windows as text, counted; the words that no recurring one covers, in order.
+REPEATS_SQL = r"""
+WITH docs AS (
+  SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
+), starts AS (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS i FROM docs),
+windows AS (SELECT doc_id, i, array_to_string(w[i : i + 34], ' ') AS t FROM starts),
+again AS (SELECT t FROM windows GROUP BY t HAVING count(*) > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS i FROM windows JOIN again USING (t)),
+words AS (SELECT doc_id, unnest(w) AS x, generate_subscripts(w, 1) AS i FROM docs),
+kept AS (SELECT doc_id, count(*) AS k, string_agg(x, ' ' ORDER BY i) AS t FROM words ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, len(w) - coalesce(k, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (doc_id)
+"""
+
+#: Every anchor's score with every row, by dimension.
+NEGATIVES_SQL = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), dims AS (SELECT vec_id, label, unnest(q) AS x, generate_subscripts(q, 1) AS d FROM v),
+scores AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, CAST(sum(a.x * b.x) AS BIGINT) AS s
+  FROM dims a JOIN dims b USING (d) WHERE a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id GROUP BY ALL
+), positives AS (
+  SELECT anchor_id, vec_id AS positive_id, s AS positive_score FROM scores WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY s DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY s DESC, vec_id) AS INTEGER) AS rank,
+  vec_id AS negative_id, positive_score, s AS negative_score
+FROM positives JOIN scores USING (anchor_id)
+WHERE NOT same AND 80 * positive_score <= 100 * s AND 100 * s <= 100 * positive_score
+QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY s DESC, vec_id) <= 5
+"""
+
+#: Phrases as text, counted; cuts, covered phrases and ranks by joins.
+COLLOCATIONS_SQL = r"""
+WITH lower AS (
+  SELECT doc_id, coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents
+), pieces AS (SELECT lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) AS p FROM lower),
+cut AS (SELECT lang, list_filter(string_split_regex(p, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces),
+places AS (SELECT lang, w, unnest(generate_series(1, len(w))) AS i FROM cut),
+grams AS (SELECT lang, w[i : i + m - 1] AS g FROM places, (VALUES (1), (2), (3)) AS x(m) WHERE i + m - 1 <= len(w)),
+f AS (SELECT lang, g, count(*) AS c FROM grams GROUP BY lang, g),
+totals AS (SELECT lang, sum(c) AS n FROM f WHERE len(g) = 1 GROUP BY lang),
+candidates AS (SELECT lang, g, c AS a FROM f WHERE len(g) > 1 AND c >= 10),
+cuts AS (SELECT lang, g, a, unnest(range(1, len(g))) AS k FROM candidates),
+scores AS (
+  SELECT cuts.lang, cuts.g, a, k, x.c AS l, y.c AS r, CAST(a AS HUGEINT) * a * 1000000 // (CAST(x.c AS HUGEINT) * y.c) AS score
+  FROM cuts JOIN f x ON x.lang = cuts.lang AND x.g = cuts.g[1 : k] JOIN f y ON y.lang = cuts.lang AND y.g = cuts.g[k + 1 :]
+  QUALIFY row_number() OVER (PARTITION BY cuts.lang, cuts.g ORDER BY score, k) = 1
+), inside AS (
+  SELECT lang, g[i : i + 1] AS g, max(a) AS longer FROM candidates, (VALUES (1), (2)) AS x(i) WHERE len(g) = 3 GROUP BY ALL
+), best AS (
+  SELECT scores.lang, row_number() OVER (PARTITION BY scores.lang ORDER BY score DESC, a DESC, array_to_string(scores.g, ' ')) AS rank, array_to_string(scores.g, ' ') AS phrase, a, l, r, score
+  FROM scores LEFT JOIN inside ON inside.lang = scores.lang AND inside.g = scores.g WHERE longer IS NULL OR 100 * longer < 50 * a
+)
+SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score FROM best JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+SQL: dict[str, str] = {
+    "op2_jaccard_join": JACCARD_SQL,
+    "op11_substring_dedup": REPEATS_SQL,
+    "op12_hard_negatives": NEGATIVES_SQL,
+    "op13_phrase_collocations": COLLOCATIONS_SQL,
+}
