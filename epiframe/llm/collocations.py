@@ -135,8 +135,8 @@ class Shard:
         self.keys = chained(salt[self.lang], found.hashes()[pair % max(1, len(found.distinct))])
         self.checks = tallies.second(self.keys)
 
-    def index(self, known: np.ndarray) -> tuple[Index, np.ndarray]:
-        """The index over the words that ``known`` marks, and the number that each of its symbols from 1 on stands for."""
+    def index(self, known: np.ndarray, depth: int) -> tuple[Index, np.ndarray]:
+        """The index, to ``depth``, over the words that ``known`` marks, and the number that each of its symbols from 1 on stands for."""
         kept = np.flatnonzero(known)
         symbol = np.zeros(len(known) + 1, np.int64)
         symbol[kept] = np.arange(1, len(kept) + 1)
@@ -145,7 +145,7 @@ class Shard:
         # a break before every text but the first; breaks in a row are one
         ids = np.insert(ids, np.flatnonzero(np.diff(self.row)) + 1, 0)
         ids = ids[(ids != 0) | np.append(True, ids[:-1] != 0)[: len(ids)]]
-        return Index(ids), kept
+        return Index(ids, depth), kept
 
     def gram_keys(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Key and check of n-grams, a row of word numbers each."""
@@ -174,7 +174,7 @@ def _words(shards: int):
 def _bigrams(shards: int):
     def ask(key: tuple, docs: pa.Table, answers: pa.Table) -> pa.Table:
         shard = Shard(docs)
-        index, symbols = shard.index(tallies.told(answers, shard.keys).of(shard.keys) > 0)
+        index, symbols = shard.index(tallies.told(answers, shard.keys).of(shard.keys) > 0, 2)
         pairs = index.right(index.words())
         keys, checks = shard.gram_keys(symbols[pairs.grams - 1])
         return tallies.requests(key[0].as_py(), shards, keys, checks, pairs.count)
@@ -187,7 +187,7 @@ def _counts(most: int):
         """Frequent words and bigrams whose first batch this is with their totals, and all counts here of longer n-grams that may be frequent."""
         shard = Shard(docs)
         words = tallies.told(answers.filter(pc.equal(answers["step"], 0)), shard.keys)
-        index, symbols = shard.index(words.of(shard.keys) > 0)
+        index, symbols = shard.index(words.of(shard.keys) > 0, most)
         pairs = index.right(index.words())
         keys, _ = shard.gram_keys(symbols[pairs.grams - 1])
         bigrams = tallies.told(answers.filter(pc.equal(answers["step"], 1)), keys)
@@ -242,7 +242,7 @@ def scored(counted: DataFrame) -> DataFrame:
         cuts = cuts.join(known.select("lang", F.col("phrase").alias(part), F.col("n").alias(name)), ["lang", part])
     # a * a * 10^6 takes 38 digits at most, and the score is 10^6 at most
     wide = "cast({} AS decimal(16, 0))".format
-    top = f"cast({wide('a')} * {wide('a')} AS decimal(31, 0)) * 1000000"
+    top = f"cast({wide('a')} * {wide('a')} AS decimal(32, 0)) * 1000000"
     cuts = cuts.withColumn("score", F.expr(f"cast({top} AS decimal(38, 0)) div ({wide('l')} * {wide('r')})"))
     lowest = cuts.groupBy("lang", "phrase", "words", "a").agg(F.min(F.struct("score", "k", "l", "r")).alias("m"))
     return lowest.select("lang", "phrase", "words", "a", "m.l", "m.r", "m.score")

@@ -8,12 +8,12 @@ it starts anywhere else too, in the same document or another.
   seeds are counted first; a window whose seed is there once cannot recur.
 * Confirmed passages. The windows left are counted over all batches by 96 bits of hash. In
   each batch, runs of confirmed windows that stand there for the first time are its passages.
-* Automata. A batch is a shard: its passages are cut into phrases of half a window, numbered
-  words in an Aho-Corasick automaton. A passage can stand only where its windows were counted, so
-  the automaton of a batch holds all that its documents can match, and no document meets
-  another's. All documents stream through; every window of a passage holds a whole
-  phrase, so from each place of a phrase the match is extended word by word, and where it covers a window
-  of words, those words go. Matching is on the words themselves, not on hashes.
+* Automata. A batch is a shard: phrases of ``SEED`` words are taken from its passages, so close that every
+  window holds one, and go into an Aho-Corasick automaton as numbered words. A passage can stand only
+  where its windows were counted, so the automaton of a batch holds all that its documents can match,
+  and no document meets another's. All documents stream through; from each place of a phrase the
+  match is extended word by word, and where it covers a window of words, those words go.
+  Matching is on the words themselves, not on hashes.
 
 Defined results: a null, empty or blank text has no words; texts shorter than a window lose
 nothing; rows that repeat a document count as documents; rows without a doc_id too; an empty
@@ -33,6 +33,8 @@ from epiframe.llm.words import chained
 WINDOW, SEED = 35, 8
 #: Places of phrases that are extended at once.
 AT_ONCE = 1_000_000
+#: A word number is so many digits to the automaton: a node looks through its children one by one.
+BASE = 64
 CLEANED = "doc_id long, n_words long, n_removed long, spans array<struct<start:long,length:long>>, text string"
 
 
@@ -101,41 +103,50 @@ def passages(starts: np.ndarray, row: np.ndarray, window: int) -> tuple[np.ndarr
 
 
 class Automaton:
-    """All phrases of half a window that passages are cut into."""
+    """Phrases of the passages, so many that every window of these holds one."""
 
     def __init__(self, ids: np.ndarray, begins: np.ndarray, ends: np.ndarray, window: int):
-        """``ids``: words as numbers from 1 on; passages lie in them from ``begins`` to ``ends``."""
-        self.size, self.window = (window + 1) // 2, window
-        self.found = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
-        numbers: dict[tuple, int] = {}
-        places = []
-        for passage, (a, b) in enumerate(zip(begins.tolist(), ends.tolist())):
-            # whole phrases one behind the other, and one that ends with the passage
-            for at in {*range(a, b - self.size + 1, self.size), b - self.size}:
-                phrase = tuple(ids[at : at + self.size].tolist())
-                number = numbers.setdefault(phrase, len(numbers))
-                if number == len(numbers) - 1:
-                    self.found.add_word(phrase, number)
-                places.append((number, at, passage))
-        table = np.array(sorted(places), np.int64).reshape(-1, 3)
-        self.place, self.passage = table[:, 1], table[:, 2]
-        self.first = np.searchsorted(table[:, 0], np.arange(len(numbers) + 1))
+        """``ids``: words as numbers; passages lie in them from ``begins`` to ``ends``."""
+        self.size, self.window = min(SEED, window), window
         self.begins, self.ends = begins, ends
+        gap = window - self.size + 1
+        many = (ends - begins - self.size) // gap + 1
+        self.passage = np.repeat(np.arange(len(begins)), many)
+        step = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+        self.place = begins[self.passage] + step * gap
+        self.digits = 1
+        while BASE**self.digits <= ids.max(initial=0):
+            self.digits += 1
+        phrases = self._symbols(ids[self.place[:, None] + np.arange(self.size)]).reshape(-1, self.size * self.digits)
+        numbers: dict[tuple, int] = {}
+        number = np.array([numbers.setdefault(phrase, len(numbers)) for phrase in map(tuple, phrases.tolist())], np.int64)
+        self.found = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
+        for phrase, k in numbers.items():
+            self.found.add_word(phrase, k)
+        order = np.argsort(number, kind="stable")
+        self.place, self.passage = self.place[order], self.passage[order]
+        self.first = np.searchsorted(number[order], np.arange(len(numbers) + 1))
         self.found.make_automaton()
 
+    def _symbols(self, ids: np.ndarray) -> np.ndarray:
+        """The digits of each number, told apart by their places."""
+        return np.stack([ids // BASE**k % BASE + k * BASE for k in range(self.digits)], -1).ravel()
+
     def covered(self, ids: np.ndarray, row: np.ndarray) -> np.ndarray:
         """Which words lie in a window of some passage."""
         mark = np.zeros(len(ids) + 1, np.int64)
         if not len(self.place):
             return mark[:-1] > 0
-        hits = np.fromiter((x for hit in self.found.iter(tuple(ids.tolist())) for x in hit), np.int64).reshape(-1, 2)
-        at, number = hits[:, 0] - self.size + 1, hits[:, 1]
-        whole = row[at] == row[hits[:, 0]]
+        hits = np.fromiter((x for hit in self.found.iter(tuple(self._symbols(ids).tolist())) for x in hit), np.int64).reshape(-1, 2)
+        last, number = hits[:, 0] // self.digits, hits[:, 1]
+        at = last - self.size + 1
+        whole = row[at] == row[last]
         at, number = at[whole], number[whole]
         many = self.first[number + 1] - self.first[number]
         part = np.cumsum(many) // AT_ONCE
         for k in np.unique(part).tolist():
-            self._extend(mark, ids, row, at[part == k], number[part == k], many[part == k])
+            some = part == k
+            self._extend(mark, ids, row, at[some], number[some], many[some])
         return np.cumsum(mark)[:-1] > 0
 
     def _extend(self, mark: np.ndarray, ids: np.ndarray, row: np.ndarray, at: np.ndarray, number: np.ndarray, many: np.ndarray) -> None:
@@ -145,6 +156,7 @@ class Automaton:
         left, right = np.zeros(len(here), np.int64), np.full(len(here), self.size, np.int64)
         for reach, step, limit in ((left, -1, begin), (right, 1, end)):
             alive = np.arange(len(here))
+            # no window that holds the phrase reaches further
             for _ in range(self.window - self.size):
                 offset = -(reach[alive] + 1) if step < 0 else reach[alive]
                 x, y = here[alive] + offset, there[alive] + offset
@@ -168,8 +180,7 @@ def _clean(window: int):
         _, first = np.unique(keys, return_index=True)
         confirmed = np.sort(starts[first[tallies.told(windows, keys).totals > 0]])
         begins, ends = passages(confirmed, batch.row, window)
-        ids = batch.words.number + 1
-        gone = Automaton(ids, begins, ends, window).covered(ids, batch.row)
+        gone = Automaton(batch.words.number, begins, ends, window).covered(batch.words.number, batch.row)
         return _rows(docs, batch, gone)
 
     return clean

@@ -5,7 +5,7 @@ import pytest
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from epiframe.llm import jaccard, kneser_ney, language, packing
+from epiframe.llm import kneser_ney, language, packing
 from epiframe.llm.queries import QUERIES, SQL
 from tests.llm.test_similar import brute, brute_at
 from tests.llm.test_tokens import check_packing
@@ -17,7 +17,7 @@ def test_query_agrees_with_sql(spark, duck, sf, name):
 
 
 def test_all_are_registered():
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 14)}
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries())
 
 
@@ -39,7 +39,7 @@ def test_pipeline(spark, sf):
     guess = language.predict(kept, language.fit(language.training_rows(kept)))
     assert ids["language_id"] == {r["doc_id"] for r in guess.collect() if r["lang_pred"] != "und" and r["score"] >= 0.5}
     texts = [(r["doc_id"], r["text"]) for r in tables["language_id"].collect()]
-    assert ids["ngram_jaccard_join"] == {i for i, _, root in brute(texts) if i == root}
+    assert ids["ngram_jaccard_join"] == {i for i, _, root in brute_at(texts, 5, 80) if i == root}
     last = [(r["doc_id"], r["text"]) for r in tables["ngram_jaccard_join"].collect()]
     sequences = check_packing(tables["best_fit_packing"].collect(), last, packing.SEQUENCE)
     tokens = sum(r["length"] for r in tables["best_fit_packing"].collect())
@@ -47,7 +47,6 @@ def test_pipeline(spark, sf):
     assert ids["best_fit_packing"] == ids["ngram_jaccard_join"]
     clean = {r["doc_id"] for r in labels.filter("quality = 1").collect()}
     assert len(clean & ids["language_id"]) >= 0.97 * len(clean)
-    assert jaccard.SIMILARITY == 90
 
 
 def test_near_copies_are_those_of_five_words(spark, make_docs, sf):

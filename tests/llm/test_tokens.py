@@ -14,7 +14,6 @@ from tokenizers import Tokenizer
 from epiframe.llm import byte_bpe, id_coder, packing, pieces, token_files
 
 TOKENIZER = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-TOKENIZER.encode_special_tokens = True
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
