@@ -7,6 +7,8 @@ from epiframe.operators import control, episodes, quality, sampling, windows
 from epiframe.plans.quality_filter import judge_episodes, quality_filter
 from epiframe.plans.record import frames_from_steps
 from epiframe.registry import views
+from epiframe.sources.batches import read_batches, write_batches
+from epiframe.storage import scratch_dir
 
 DIMS = 2
 STEP_COLUMNS = ("action", "state", "event_id")
@@ -296,6 +298,16 @@ def stored_order_batches(spark, sf):
     return sampling.epoch_batches(_starts(spark, sf), batch_size=32, epochs=2, shuffle=False)
 
 
+def batch_payload(spark, sf):
+    """The batches of two epochs as they are read back from their files."""
+    path = scratch_dir(spark)
+    write_batches(views.frames(spark, sf), path, 32, 2, 42, ["action", "event_id"])
+    rows = read_batches(spark, path)
+    first, last = F.min_by("event_id", "frame_index"), F.max_by("event_id", "frame_index")
+    facts = [F.count("*").alias("n_steps"), first.alias("first_event"), last.alias("last_event"), F.round(F.sum(F.col("action")[0]), 4).alias("sum_value")]
+    return rows.groupBy("epoch", "batch_id", "slot", "episode_index", "start").agg(*facts)
+
+
 def sample_windows(spark, sf):
     draws = sampling.sample_windows(_starts(spark, sf), views.table(spark, sf, "events").count(), seed=5)
     return draws.select("draw", "window_id", "episode_index", "start")
@@ -309,7 +321,7 @@ QUERIES = {
         feature_stats, add_timestamp, episode_flags, assign_episode_ids, align_obs_action, recorded_frames,
         rate_audit, stuck_actions, nan_actions, relative_target_check, random_actions, score_policy, map_rows,
         sal, ted, episode_quality, quality_filter_frames, quality_filter_report, number_windows, epoch_batches,
-        stored_order_batches, sample_windows, cap_windows_filtered, number_windows_stride4, quality_filter_nan,
+        stored_order_batches, batch_payload, sample_windows, cap_windows_filtered, number_windows_stride4, quality_filter_nan,
         normalize_actions_nan, feature_stats_nan, recorded_images, rate_audit_dropped, score_policy_images,
     )
 }

@@ -217,6 +217,13 @@ SELECT count(*) AS kept, (SELECT count(DISTINCT episode_index) FROM frames) - co
   FROM full_starts, (SELECT unnest([0, 1]) AS epoch)),
 placed AS (SELECT *, row_number() OVER (PARTITION BY epoch ORDER BY h, episode_index, start) - 1 AS p FROM hashed)
 SELECT epoch, p // 32 AS batch_id, p % 32 AS slot, episode_index, start FROM placed""",
+    "batch_payload": f"""WITH {WINDOWS}, hashed AS (
+  SELECT epoch, episode_index, start, {_hex_int("concat_ws('|', '42', epoch, episode_index, start)", 15)} AS h
+  FROM full_starts, (SELECT unnest([0, 1]) AS epoch)),
+placed AS (SELECT *, row_number() OVER (PARTITION BY epoch ORDER BY h, episode_index, start) - 1 AS p FROM hashed),
+facts AS ({WINDOW_FACTS} FROM win GROUP BY 1, 2)
+SELECT epoch, p // 32 AS batch_id, p % 32 AS slot, episode_index, start, n_steps, first_event, last_event, sum_value
+FROM placed JOIN facts USING (episode_index, start)""",
     "stored_order_batches": f"""WITH {WINDOWS}
 SELECT epoch, window_id // 32 AS batch_id, window_id % 32 AS slot, episode_index, start
 FROM win_ids, (SELECT unnest([0, 1]) AS epoch)""",
