@@ -8,8 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from epiframe.functions.images import dequantize_u8, detect_image_columns, quantize_normalized
 from epiframe.operators.tables import CACHE_GB, check_budget
 from epiframe.schema import named
-from epiframe.sources.snapshot import input_fingerprint, load, materialize, read_manifest, snapshot_signature
-from epiframe.storage import exists
+from epiframe.sources.snapshot import current, input_fingerprint, load, materialize, read_manifest, snapshot_signature
 
 
 @dataclass
@@ -46,7 +45,7 @@ def cache_frames(
     images = detect_image_columns(df)
     prints = input_fingerprint(spark, list([inputs] if isinstance(inputs, str) else inputs)) if inputs else ""
     key = snapshot_signature(spark, repo_id, root, df.count(), images, prints, ",".join(df.columns))
-    if not refresh and exists(spark, f"{directory.rstrip('/')}/{key}/manifest"):
+    if not refresh and current(spark, f"{directory.rstrip('/')}/{key}"):
         stored = open_cache(spark, directory, key)
         if stored is not None:
             return stored

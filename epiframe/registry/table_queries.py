@@ -377,6 +377,24 @@ def shape_report(spark, sf):
     return frame_store.shape_report(data)
 
 
+def snapshot_by_file(spark, sf):
+    """Events that arrive in three files: the third is added to a snapshot of the first two."""
+    base = scratch_dir(spark)
+    events = views.table(spark, sf, "events").select("event_id", "user_id", "value")
+
+    def doubled(df):
+        return df.withColumn("value", F.round(F.col("value") * 2, 4))
+
+    def add(part):
+        events.where(F.col("event_id") % 3 == part).coalesce(1).write.mode("append").parquet(f"{base}/in")
+
+    add(0)
+    add(1)
+    snapshot.materialize_files(spark, f"{base}/in", doubled, base, "events")
+    add(2)
+    return snapshot.materialize_files(spark, f"{base}/in", doubled, base, "events")
+
+
 def snapshot_windows(spark, sf):
     """Windows stored under a signature of their input, then read back from it."""
     base = scratch_dir(spark)
@@ -429,6 +447,6 @@ QUERIES = {
         hwc_to_chw_bytes, resize_images, coerce_image, row_bytes, image_columns, normalized_columns, size_budget,
         split_state, split_state_with_pose, assemble_state_terms, object_pose, motors_to_state, action_to_columns,
         rename_image_columns, signature, dataset_id, recording_id, select_rows, restored_order, merge_sources,
-        renumber_episodes, record_dataset, shape_report, snapshot_windows, persisted_frames, converted_windows, cached_frames,
+        renumber_episodes, record_dataset, shape_report, snapshot_windows, snapshot_by_file, persisted_frames, converted_windows, cached_frames,
     )
 }

@@ -124,6 +124,7 @@ SELECT dense_rank() OVER (ORDER BY stream_id, episode_index) - 1 AS episode_inde
 FROM recorded""",
     "shape_report": """SELECT 'whole' AS column_name, CAST(64 AS BIGINT) AS expected, count(*) AS n_rows, count(*) FILTER (len(embedding) <> 64) AS n_wrong FROM embeddings
 UNION ALL SELECT 'cut', 64, count(*), count(*) FILTER (label = 3) FROM embeddings""",
+    "snapshot_by_file": "SELECT event_id, user_id, round(value * 2, 4) AS value FROM events",
     "snapshot_windows": f"WITH {WINDOWS} {WINDOW_FACTS} FROM win GROUP BY 1, 2",
     "persisted_frames": "SELECT user_id AS episode_index, count(*) - 1 AS last_frame, round(sum(value), 3) AS sum_value FROM events GROUP BY 1",
     "converted_windows": f"""WITH {WINDOWS}, lim AS (SELECT min(value) AS v0, max(value) AS v1 FROM frames)

@@ -57,3 +57,31 @@ def exists(spark: SparkSession, path: str) -> bool:
 def is_complete(spark: SparkSession, path: str) -> bool:
     """Whether a job committed its output at ``path``."""
     return exists(spark, f"{path.rstrip('/')}/_SUCCESS")
+
+
+def publish(spark: SparkSession, path: str, text: str) -> None:
+    """Put ``text`` at ``path`` in one step: a reader sees what was there before, or this, never a part."""
+    jvm = spark._jvm
+    hadoop = jvm.org.apache.hadoop.fs
+    conf = spark._jsc.hadoopConfiguration()
+    target, aside = hadoop.Path(path), hadoop.Path(f"{path}.{uuid.uuid4().hex}")
+    files = target.getFileSystem(conf)
+    out = files.create(aside, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    kinds = getattr(hadoop, "Options$Rename")
+    how = spark.sparkContext._gateway.new_array(kinds, 1)
+    how[0] = kinds.OVERWRITE
+    hadoop.FileContext.getFileContext(files.getUri(), conf).rename(files.makeQualified(aside), files.makeQualified(target), how)
+
+
+def published(spark: SparkSession, path: str) -> str | None:
+    """The text at ``path``, or None where there is none."""
+    if not exists(spark, path):
+        return None
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = where.getFileSystem(spark._jsc.hadoopConfiguration()).open(where)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()

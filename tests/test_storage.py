@@ -159,18 +159,76 @@ def test_damaged_snapshot_is_rebuilt(spark, tmp_path, part):
     base = str(tmp_path / "snap")
     k = key(spark, 6)
     snapshot.materialize(Counted(spark, 6).df, base, k)
-    for name in os.listdir(f"{base}/{k}/{part}"):
+    folder = f"{snapshot.current(spark, f'{base}/{k}')}/{part}"
+    for name in os.listdir(folder):
         if name.endswith(".parquet"):
-            with open(f"{base}/{k}/{part}/{name}", "wb") as f:
+            with open(f"{folder}/{name}", "wb") as f:
                 f.write(b"not parquet")
         if name.endswith(".crc"):
-            os.remove(f"{base}/{k}/{part}/{name}")
+            os.remove(f"{folder}/{name}")
     counted = Counted(spark, 6)
     assert snapshot.materialize(counted.df, base, k).count() == 6
     assert counted.acc.value == 6
     assert snapshot.materialize(Counted(spark, 6).df, base, k).count() == 6
 
 
+def test_readers_of_an_older_snapshot_finish(spark, tmp_path):
+    base, k = str(tmp_path / "snap"), key(spark, 6)
+    old = snapshot.materialize(Counted(spark, 6).df, base, k)
+    new = snapshot.materialize(Counted(spark, 6).df.withColumn("x", F.lit(-1).cast("long")), base, k, refresh=True)
+    assert {r["x"] for r in new.collect()} == {-1} and sorted(r["x"] for r in old.collect()) == [0, 2, 4, 6, 8, 10]
+    assert {r["x"] for r in snapshot.load(spark, f"{base}/{k}", k).collect()} == {-1}
+    assert len(snapshot.drop_old_versions(spark, base, k)) == 1
+    assert {r["x"] for r in snapshot.load(spark, f"{base}/{k}", k).collect()} == {-1}
+
+
+def test_a_crash_leaves_the_old_snapshot(spark, tmp_path, monkeypatch):
+    base, k = str(tmp_path / "snap"), key(spark, 6)
+    snapshot.materialize(Counted(spark, 6).df, base, k)
+    broken = spark.range(6).select(F.col("id").alias("row_index"), F.when(F.col("id") == 5, F.raise_error(F.lit("lost"))).cast("long").alias("x"))
+    with pytest.raises(Exception, match="lost"):
+        snapshot.materialize(broken, base, k, refresh=True)
+    monkeypatch.setattr(snapshot, "publish", lambda *a: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        snapshot.materialize(spark.range(3).toDF("row_index"), base, k, refresh=True)
+    assert sorted(r["x"] for r in snapshot.load(spark, f"{base}/{k}", k).collect()) == [0, 2, 4, 6, 8, 10]
+
+
+def test_only_new_files_are_computed(spark, tmp_path):
+    source, base = tmp_path / "in", str(tmp_path / "snap")
+    seen = spark.sparkContext.accumulator(0)
+
+    def touch(batches):
+        for pdf in batches:
+            seen.add(len(pdf))
+            yield pdf
+
+    def transform(df):
+        return df.select("_digest", (F.col("id") * 10).alias("x")).mapInPandas(touch, "_digest string, x long").where("x != 30")
+
+    def add(a, b):
+        spark.range(a, b).coalesce(1).write.mode("append").parquet(str(source))
+
+    def run(**more):
+        before = seen.value
+        rows = snapshot.materialize_files(spark, str(source), transform, base, "k", **more)
+        return rows, sorted(r["x"] for r in rows.collect()), seen.value - before
+
+    add(0, 5)
+    add(3, 4)  # nothing is left of it
+    old, rows, computed = run()
+    assert (rows, computed) == ([0, 10, 20, 40], 6) and old.columns == ["x"]
+    assert run()[1:] == ([0, 10, 20, 40], 0)
+    add(100, 102)
+    assert run()[1:] == ([0, 10, 20, 40, 1000, 1010], 2)
+    assert sorted(r["x"] for r in old.collect()) == [0, 10, 20, 40]
+    gone = [f for f in source.iterdir() if f.suffix == ".parquet" and spark.read.parquet(str(f)).count() == 5]
+    gone[0].unlink()
+    assert run()[1:] == ([1000, 1010], 0)
+    assert run(refresh=True)[1:] == ([1000, 1010], 3)
+    assert len(snapshot.drop_old_versions(spark, base, "k")) == 3 and run()[1:] == ([1000, 1010], 0)
+
+
 def test_fingerprint_sees_changes(spark, tmp_path):
     spark.range(3).coalesce(1).write.parquet(str(tmp_path / "t"))
     first = snapshot.input_fingerprint(spark, str(tmp_path / "t"))
