@@ -5,13 +5,14 @@ The byte conversions work on whole Arrow batches: numpy sees one flat buffer per
 batch, and no Python code runs per row.
 """
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql import Window as W
 
 from epiframe.schema import VALUE_BYTES, named
 
@@ -226,7 +227,78 @@ def is_normalized(df: DataFrame, column: str) -> bool:
     return normalized_report(df, column).first()["is_normalized"]
 
 
+def normalized_columns(df: DataFrame, columns: Sequence[str]) -> list[str]:
+    """Those of ``columns`` that are normalised floats, by one aggregate over all of them."""
+    floats = [c for c in columns if isinstance(t := df.schema[c].dataType, T.ArrayType) and isinstance(t.elementType, T.FloatType | T.DoubleType)]
+    if not floats:
+        return []
+    row = df.agg(*[(F.max(F.array_max(named(c))).cast("double") <= NORMALIZED_MAX).alias(f"c{n}") for n, c in enumerate(floats)]).first()
+    return [c for n, c in enumerate(floats) if row[n]]
+
+
 def quantize_normalized(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, list[str]]:
     """``df`` with its normalised float columns of ``columns`` as bytes, and which these were; others pass through."""
-    packed = [c for c in columns if is_normalized(df, c)]
-    return df.withColumns({c: quantize_u8(named(c)).alias(c) for c in packed}), packed
+    packed = normalized_columns(df, columns)
+    return df.withColumns({c: quantize_u8(named(c)).alias(c, metadata=df.schema[c].metadata) for c in packed}), packed
+
+
+LEVELS = int(U8_MAX) + 1
+HISTOGRAM = "feature string, channel int, value int, n long"
+
+
+def _channels(df: DataFrame, column: str) -> int:
+    """Channels of an image column by its declared shape, in height, width, channel order; 1 if it has none."""
+    shape = (df.schema[column].metadata or {}).get("shape") or []
+    return int(shape[-1]) if len(shape) >= 3 else 1
+
+
+def image_histogram(df: DataFrame, columns: Sequence[str], channels: Mapping[str, int] | None = None) -> DataFrame:
+    """feature, channel, value (0 to 255) and how many pixels have it: 256 rows a channel at most.
+
+    Byte columns are counted as they are, normalised float columns as ``quantize_u8`` makes them. A task counts its batches in
+    arrays; only histograms are shuffled, and they add up. Null and empty images count nothing; an
+    image whose values do not divide into channels is an error.
+    """
+    counts = {c: (channels or {}).get(c) or _channels(df, c) for c in columns}
+    floats = {c for c in columns if isinstance(df.schema[c].dataType, T.ArrayType)}
+
+    def run(batches):
+        sums = {c: np.zeros((n, LEVELS), np.int64) for c, n in counts.items()}
+        for batch in batches:
+            for (c, n), array in zip(counts.items(), batch.columns):
+                values, lengths = _lists(array) if c in floats else _bytes_of(array)
+                if c in floats:
+                    values = np.clip(values.astype(np.float32, copy=False) * np.float32(U8_MAX), 0, U8_MAX).astype(np.uint8)
+                if (np.asarray(lengths) % n).any():
+                    raise ValueError(f"{c}: images that do not divide into {n} channels")
+                for k in range(n):
+                    sums[c][k] += np.bincount(values[k::n], minlength=LEVELS)
+        rows = [(c, k, v, int(x)) for c, table in sums.items() for k, row in enumerate(table.tolist()) for v, x in enumerate(row) if x]
+        columns_ = list(zip(*rows)) or [(), (), (), ()]
+        kinds = (pa.string(), pa.int32(), pa.int32(), pa.int64())
+        yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(columns_, kinds)], names=["feature", "channel", "value", "n"])
+
+    # names with dots do not reach Python functions
+    parts = df.select(*[named(c).alias(f"c{n}") for n, c in enumerate(counts)]).mapInArrow(run, HISTOGRAM)
+    return parts.groupBy("feature", "channel", "value").agg(F.sum("n").alias("n"))
+
+
+def image_stats(df: DataFrame, columns: Sequence[str], channels: Mapping[str, int] | None = None) -> DataFrame:
+    """Per image column and channel: pixels, min, max, mean, population deviation and quantiles, exact in byte values.
+
+    A quantile is the smallest value that at least its share of the pixels do not exceed.
+    """
+    bins = image_histogram(df, columns, channels)
+    below = W.partitionBy("feature", "channel").orderBy("value")
+    total = F.sum("n").over(W.partitionBy("feature", "channel"))
+    ranked = bins.withColumns({"_upto": F.sum("n").over(below), "_all": total})
+    v, n = F.col("value").cast("double"), F.col("n")
+    mean = F.sum(v * n) / F.sum(n)
+    quantiles = [F.min(F.when(F.col("_upto") * 100 >= F.col("_all") * q, F.col("value"))).alias(f"q{q:02d}") for q in (1, 50, 99)]
+    # sums of integers below 2 ** 53 a term: the variance from whole moments
+    facts = ranked.groupBy("feature", "channel").agg(
+        F.sum("n").alias("count"), F.min("value").alias("min"), F.max("value").alias("max"), mean.alias("mean"),
+        F.sum(v * v * n).alias("_squares"), *quantiles,
+    )
+    spread = F.sqrt(F.greatest(F.col("_squares") / F.col("count") - F.col("mean") * F.col("mean"), F.lit(0.0)))
+    return facts.select("feature", "channel", "count", "min", "max", "mean", spread.alias("std"), "q01", "q50", "q99")

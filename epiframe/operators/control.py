@@ -136,7 +136,8 @@ def score_policy(
     ``load_policy`` is called once per task and returns a function from a dict of
     stacked observations to one action row per frame. Only the keys and the named
     observations travel to Python. Bytes are images: the policy gets them as unsigned bytes
-    in the shape that the column declares, flat if it declares none; a row of another size is an error.
+    in the shape that the column declares, flat if it declares none; a row of another size is an error. A null
+    observation is zeros of the declared shape, or else of the shape of the batch's first; a batch without either is an error.
     """
     if load_policy is None:
         return random_actions(frames, dim=out_dim, seed=seed, keys=keys, pos=pos, out=out).select(*keys, pos, out)
@@ -147,6 +148,16 @@ def score_policy(
     schema = T.StructType([*kept, T.StructField(out, T.ArrayType(T.DoubleType()))])
 
     def stacked(c: str, values: pd.Series) -> np.ndarray:
+        absent = values.isna()
+        if absent.any() and pd.api.types.is_numeric_dtype(values):
+            return values.fillna(0).to_numpy()
+        if absent.any():
+            there = values[~absent]
+            if not shapes[c] and there.empty:
+                raise ValueError(f"{c}: only nulls, and no shape declared")
+            size = prod(shapes[c]) if shapes[c] else len(there.iloc[0])
+            zeros = bytes(size) if c in binary else np.zeros(size, np.asarray(there.iloc[0]).dtype if len(there) else np.float64)
+            values = [zeros if gone else v for v, gone in zip(values, absent)]
         if c not in binary:
             return np.stack([np.asarray(v) for v in values])
         rows = [np.frombuffer(v, np.uint8) for v in values]

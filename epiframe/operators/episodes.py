@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from epiframe.operators.chunked import CHUNK, chunk_of, chunk_window, drop_halo, join_by_chunk, join_null_safe, refuse_gaps, with_halo
+from epiframe.operators.chunked import BROADCAST_KEYS, CHUNK, chunk_of, chunk_window, drop_halo, join_by_chunk, join_null_safe, refuse_gaps, with_halo
 from epiframe.operators.ordered import row_width
 from epiframe.schema import EPISODE, FPS, POSITION, named
 from epiframe.storage import pin
@@ -16,6 +16,8 @@ MIN_EPISODE_LENGTH = 50
 MAX_EPISODE_STEPS = 600
 #: Steps of a stream in one chunk, and bytes of a step beyond its order that are not sorted.
 CHUNK_STEPS, WIDE_STEP = 1 << 16, 4096
+#: Chunks of a stream at most.
+STREAM_CUTS = 1000
 
 
 def episode_lengths(frames: DataFrame, keys: Sequence[str] = EPISODE) -> DataFrame:
@@ -135,6 +137,15 @@ def align_obs_action(
     return drop_halo(placed.withColumn(out, seen)).drop(reset_obs, next_obs)
 
 
+def _stream_cuts(steps: DataFrame, stream: Sequence[str], seq: str) -> DataFrame:
+    """One row per stream: the values of ``seq`` that cut it into chunks of about ``CHUNK_STEPS`` steps, or a thousandth if that is more."""
+    grid = F.percentile_approx(F.col(seq).cast("double"), [i / STREAM_CUTS for i in range(1, STREAM_CUTS)], 10 * STREAM_CUTS)
+    every = F.greatest(F.lit(1), F.floor(F.lit(STREAM_CUTS * CHUNK_STEPS) / F.col("_n")))
+    cuts = F.array_distinct(F.filter("_grid", lambda _, i: (i + 1) % F.col("_every") == 0))
+    found = steps.groupBy(*stream).agg(F.count("*").alias("_n"), grid.alias("_grid"))
+    return found.withColumn("_every", every).select(*stream, cuts.alias("_cuts"))
+
+
 def assign_episode_ids(
     steps: DataFrame,
     stream: Sequence[str] = ("stream_id",),
@@ -146,22 +157,25 @@ def assign_episode_ids(
 
     A new episode starts after every done row. ``seq`` increases within a stream.
     Chunks of ``seq`` are numbered on their own; a table with one row per chunk
-    carries the counts forward, so a long stream never passes through one task. A chunk is a
-    range of ``seq`` that holds ``CHUNK_STEPS`` steps of a stream on average. Only the
+    carries the counts forward, so a long stream never passes through one task. A stream of more than
+    ``CHUNK_STEPS`` steps is cut at its own approximate quantiles, whatever its unit and however far a single ``seq`` is from
+    the others; ``chunk`` sets a width instead. Only the
     stream, ``seq`` and the flag are sorted: of wide steps (images) the rest is joined
     back, by (stream, seq), which is then unique; a step without ``seq`` is an error.
     """
     done = F.col(done) if isinstance(done, str) else done
     flagged = steps.withColumn("_done", F.coalesce(done, F.lit(False)))
-    if chunk is None:
-        span = F.max(seq).cast("double") - F.min(seq).cast("double") + 1
-        spacing = span * F.approx_count_distinct(F.struct(*stream)) / F.greatest(F.count("*"), F.lit(1))
-        chunk = max(1, int(CHUNK_STEPS * (steps.agg(spacing).first()[0] or 1)))
     others = [c for c in steps.columns if c not in (*stream, seq)]
     wide = row_width(steps.select(*[named(c) for c in others]).schema) > WIDE_STEP if others else False
     if wide:
         flagged = flagged.select(*stream, seq, "_done")
-    place = F.when(F.col(seq).isNull(), F.raise_error(F.lit(f"{seq} is null")).cast("long")).otherwise(chunk_of(seq, chunk))
+    if chunk is None:
+        cuts = pin(_stream_cuts(steps, stream, seq))
+        flagged = join_null_safe(flagged, cuts, list(stream), small=cuts.count() <= BROADCAST_KEYS)
+        at = F.size(F.filter("_cuts", lambda c: c <= F.col(seq).cast("double"))).cast("long")
+    else:
+        at = chunk_of(seq, chunk)
+    place = F.when(F.col(seq).isNull(), F.raise_error(F.lit(f"{seq} is null")).cast("long")).otherwise(at)
     placed = flagged.withColumn("_chunk", place)
     inside = W.partitionBy(*stream, "_chunk").orderBy(seq)
     before = inside.rowsBetween(W.unboundedPreceding, -1)

@@ -28,27 +28,30 @@ RECORDED_SOURCE = "dr"
 def select_rows(df: DataFrame, indices: Iterable[int] | DataFrame | None, index: str = "row_index") -> DataFrame:
     """The listed rows in list order, duplicates kept; all rows when ``indices`` is None.
 
-    ``indices`` is a table (pos, row_index), joined as Spark sees fit, or a list of at most
-    ``BROADCAST_INDICES``. An index without a row is an error.
+    ``indices`` is a table (pos, row_index) or a list of at most ``BROADCAST_INDICES``. An index without a row is an
+    error, found by the index column alone. Up to ``BROADCAST_INDICES`` wanted rows are broadcast, so the
+    table is filtered where it is read and no row that is not wanted moves.
     """
-    def found(wanted: DataFrame, n: int) -> DataFrame:
-        there = df.withColumn("_there", F.lit(True))
-        joined = wanted.join(there, index, "left")
-        missing = F.raise_error(F.concat(F.lit(f"no row has {index} "), F.coalesce(F.col(index).cast("string"), F.lit("null")))).cast("boolean")
-        held = joined.where(F.when(F.col("_there"), True).otherwise(missing)).drop("_there")
-        return arrange(held, "pos", n, ["pos"])
+
+    def found(wanted: DataFrame, n: int, rows: int) -> DataFrame:
+        small = F.broadcast(wanted) if rows <= BROADCAST_INDICES else wanted
+        missing = small.join(df.select(index).join(F.broadcast(wanted.select(index)) if rows <= BROADCAST_INDICES else wanted.select(index), index, "left_semi"), index, "left_anti")
+        first = missing.agg(F.count("*"), F.min(index)).first()
+        if first[0]:
+            raise LookupError(f"no row has {index} {'null' if first[1] is None else first[1]}")
+        return arrange(df.join(small, index).select("pos", *[named(c) for c in df.columns]), "pos", n, ["pos"])
 
     if indices is None:
         return restore_order(df, index)
     if isinstance(indices, DataFrame):
-        last = indices.agg(F.max("pos")).first()[0]
-        return found(indices, 0 if last is None else last + 1)
+        last, n = indices.agg(F.max("pos"), F.count("*")).first()
+        return found(indices.select("pos", index), 0 if last is None else last + 1, n)
     indices = list(indices)
     if len(indices) > BROADCAST_INDICES:
         raise ValueError(f"more than {BROADCAST_INDICES} indices: pass a table (pos, {index})")
     listed = [(pos, int(i)) for pos, i in enumerate(indices)]
     wanted = df.sparkSession.createDataFrame(listed, f"pos long, {index} long")
-    return found(wanted, len(listed))
+    return found(wanted, len(listed), len(listed))
 
 
 def merge_sources(sources: dict[str, DataFrame], tag: str = "source") -> DataFrame:
@@ -128,31 +131,33 @@ def best_metric(runs: DataFrame, metrics: DataFrame, run: str = "run_id") -> Dat
     return runs.join(bounds, run, "left").withColumn("best", best).drop("_lo", "_hi")
 
 
-def _declared_bytes(df: DataFrame) -> Column:
-    """Bytes of a row: by schema for columns that declare their shape, measured for the others."""
-    fixed, measured = 0, []
+def _declared_bytes(df: DataFrame, packed: Sequence[str] = ()) -> Column:
+    """Bytes of a row: by schema for columns that declare their shape, measured for the others; a byte a value in ``packed`` ones."""
+    fixed, measured, values = 0, [], F.lit(0).cast("long")
     for f in df.schema.fields:
         shape = (f.metadata or {}).get("shape")
         value = f.dataType.elementType if isinstance(f.dataType, T.ArrayType) else f.dataType
         if shape and isinstance(f.dataType, T.ArrayType | T.BinaryType) and type(value) in VALUE_BYTES:
-            fixed += prod(shape) * VALUE_BYTES[type(value)]
+            fixed += prod(shape) * (1 if f.name in packed else VALUE_BYTES[type(value)])
+        elif f.name in packed:
+            values = values + F.greatest(F.coalesce(F.size(named(f.name)), F.lit(0)), F.lit(0)).cast("long")
         else:
             measured.append(f.name)
-    return row_bytes(df.select(*[named(c) for c in measured])) + F.lit(fixed).cast("long")
+    return row_bytes(df.select(*[named(c) for c in measured])) + values + F.lit(fixed).cast("long")
 
 
 def size_budget(
     df: DataFrame, max_gb: float = CACHE_GB, index: str = "row_index", chunk: int = 1 << 16,
-    rows_per_class: int = ROWS_PER_CLASS,
+    rows_per_class: int = ROWS_PER_CLASS, packed: Sequence[str] = (),
 ) -> DataFrame:
     """One row: rows, bytes, the ceiling, and the first sample (from 1) that exceeds it.
 
     Bytes are summed per chunk of the index; the running total over chunks names the
     one chunk that crosses the ceiling, and only its rows are added up one by one. Columns
-    that declare a shape are not read.
+    that declare a shape are not read. Array columns in ``packed`` count a byte a value, as they would when packed.
     """
     limit = int(max_gb * 1e9)
-    sized = df.select(F.col(index), _declared_bytes(df).alias("_bytes")).withColumn("_chunk", F.floor(F.col(index) / F.lit(chunk)))
+    sized = df.select(F.col(index), _declared_bytes(df, packed).alias("_bytes")).withColumn("_chunk", F.floor(F.col(index) / F.lit(chunk)))
     chunks = pin(sized.groupBy("_chunk").agg(F.count("*").alias("_n"), F.sum("_bytes").alias("_bytes")))
     n_chunks = chunks.count()
     running = running_total(chunks, "_chunk", "_bytes", "_bytes_before", n_chunks, rows_per_class)
@@ -182,9 +187,9 @@ def size_budget(
     )
 
 
-def check_budget(df: DataFrame, max_gb: float = CACHE_GB, index: str = "row_index") -> int:
-    """Total bytes of the table; raises when they exceed the ceiling."""
-    row = size_budget(df, max_gb, index).first()
+def check_budget(df: DataFrame, max_gb: float = CACHE_GB, index: str = "row_index", packed: Sequence[str] = ()) -> int:
+    """Total bytes of the table, its ``packed`` columns at a byte a value; raises when they exceed the ceiling."""
+    row = size_budget(df, max_gb, index, packed=packed).first()
     if row["over_budget"]:
         raise MemoryError(
             f"{row['limit_bytes'] / 1e9:.1f} GB ceiling exceeded at sample "
@@ -193,6 +198,13 @@ def check_budget(df: DataFrame, max_gb: float = CACHE_GB, index: str = "row_inde
     return row["total_bytes"]
 
 
-def distinct_metrics(metrics: DataFrame, keys: Sequence[str] = ("run_id", "step", "name")) -> DataFrame:
-    """One row per (run, step, name): logs repeat a metric when it is emitted again."""
-    return metrics.dropDuplicates(list(keys))
+def distinct_metrics(metrics: DataFrame, keys: Sequence[str] = ("run_id", "step", "name"), order: str = "line_no") -> DataFrame:
+    """One row per (run, step, name): logs repeat a metric when it is emitted again, and the last value counts.
+
+    The last is that of the largest ``order``; of tables without that column, the largest value.
+    """
+    others = [c for c in metrics.columns if c not in keys]
+    last = [named(order)] if order in metrics.columns else []
+    row = F.struct(*last, *[named(c).alias(c) for c in sorted(others, key=lambda c: c != "value")])
+    best = metrics.groupBy(*keys).agg(F.max_by(F.struct(*[named(c) for c in others]), row).alias("_row")) if others else metrics.select(*keys).distinct()
+    return best.select(*[F.col("_row")[c].alias(c) if c in others else named(c) for c in metrics.columns])

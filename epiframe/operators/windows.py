@@ -81,16 +81,16 @@ def head_truncate(
 ) -> DataFrame:
     """One window per episode: its first min(shortest episode, cap) frames.
 
-    The constant bound on the position reaches the scan, so only the head of each
-    episode is read; the common length is a scalar subquery.
+    A scan of the keys gives the lengths; the constant bound on the position then reaches the scan of the steps, so
+    only the head of each episode is read. A gap, a repeat or a null position is an error.
     """
-    head = frames.where(F.col(pos) < cap)
-    common = head.groupBy(*keys).agg(F.count("*").alias("_n")).agg(F.min("_n").alias("_n")).scalar()
+    common = dense_lengths(frames, keys, pos).agg(F.min(F.least("length", F.lit(cap)))).first()[0] or 0
     step = F.struct(F.col(pos), *[named(c) for c in columns])
-    kept = head.where(F.col(pos) < common)
-    return kept.groupBy(*keys).agg(F.sort_array(F.collect_list(step)).alias("steps")).select(
-        *keys, F.lit(0).cast("long").alias("start"), "steps"
-    )
+    head = frames.where(F.col(pos) < common).groupBy(*keys).agg(F.sort_array(F.collect_list(step)).alias("steps"))
+    # a repeat may make up for a gap in the length
+    whole = F.transform("steps", lambda s: s[pos].cast("long")) == F.sequence(F.lit(0).cast("long"), F.lit(max(common - 1, 0)).cast("long"))
+    message = F.raise_error(F.lit(f"{pos} has a gap or repeats in the head of an episode")).cast("boolean")
+    return head.where(F.when(whole, True).otherwise(message)).select(*keys, F.lit(0).cast("long").alias("start"), "steps")
 
 
 def window_shapes(windows: DataFrame, action: str = "action") -> DataFrame:

@@ -50,7 +50,8 @@ def cache_frames(
         if stored is not None:
             return stored
     packed, compressed = quantize_normalized(df, images)
-    check_budget(packed, max_gb, index)
+    # sizes are known before anything is packed
+    check_budget(df, max_gb, index, compressed)
     data = materialize(packed, directory, key, refresh, {"image_keys": images, "compress_keys": compressed})
     return CachedFrames(data, images, compressed, key)
 

@@ -11,8 +11,8 @@ from epiframe.operators.episodes import MIN_EPISODE_LENGTH
 from epiframe.operators.ordered import ROWS_PER_CLASS, percentile_of, rank_below
 from epiframe.operators.quality import sal, ted
 from epiframe.schema import EPISODE, FPS, POSITION, named
-from epiframe.sources.frames import DatasetNotFound, read_frames, write_frames
-from epiframe.storage import exists, pin
+from epiframe.sources.frames import DatasetNotFound, read_frames, write_dataset_meta, write_frames
+from epiframe.storage import exists, is_complete, pin
 
 # Defaults of the filter.
 SAL_THRESHOLD = 0.2
@@ -104,11 +104,22 @@ def quality_filter(frames: DataFrame, dims: int, **options) -> tuple[DataFrame,
 def filter_dataset(
     spark: SparkSession, path: str, dims: int, output: str | None = None, dry_run: bool = False, **options
 ) -> FilterReport:
-    """Filter a stored dataset into ``<path>_filtered``; a dry run writes nothing."""
+    """Filter a stored dataset into ``<path>_filtered``, with side tables of what is kept; a dry run writes nothing.
+
+    Features and frame rate are those of the dataset's own side tables; without these, the action's and ``fps``.
+    """
     if not exists(spark, path):
         raise DatasetNotFound(path)
     frames, report = quality_filter(read_frames(spark, path, schema=None), dims, **options)
     counts = report.first()
     if not dry_run:
-        write_frames(frames, output or f"{path.rstrip('/')}_filtered")
+        out = output or f"{path.rstrip('/')}_filtered"
+        write_frames(frames, out)
+        base = path.rstrip("/")
+        sizes, fps = {options.get("action", "action"): dims}, options.get("fps", FPS)
+        if is_complete(spark, f"{base}/stats") and is_complete(spark, f"{base}/info"):
+            # one row per feature and dimension
+            sizes = {r["feature"]: r["n"] for r in spark.read.parquet(f"{base}/stats").groupBy("feature").agg((F.max("dim") + 1).alias("n")).collect()}
+            fps = spark.read.parquet(f"{base}/info").first()["fps"]
+        write_dataset_meta(read_frames(spark, out, schema=None), out, sizes, fps)
     return FilterReport(counts["kept"], counts["removed"], dry_run)

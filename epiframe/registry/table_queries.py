@@ -2,6 +2,7 @@
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from epiframe.functions import ids, images, state
 from epiframe.functions import metrics as text
@@ -11,6 +12,7 @@ from epiframe.operators.sampling import restore_order
 from epiframe.operators.windows import sliding_windows
 from epiframe.plans.cached import cache_frames
 from epiframe.plans.convert import convert_to_windows, resize_frames
+from epiframe.plans.quality_filter import filter_dataset
 from epiframe.plans.record import record_dataset as store_recording
 from epiframe.registry import views
 from epiframe.registry.episode_queries import stuck_frames
@@ -20,6 +22,7 @@ from epiframe.sources import logs, snapshot
 from epiframe.sources.windows import read_windows as read_stored_windows
 from epiframe.storage import pin, scratch_dir
 from epiframe.streaming.metrics import stream_metrics as parse_lines
+from epiframe.streaming.record import stream_frames
 from epiframe.streaming.sinks import drain, stream_ingest, stream_parquet
 from epiframe.streaming.stuck import stream_stuck_actions as detect_stuck
 
@@ -186,6 +189,22 @@ def stream_stuck_actions(spark, sf):
     return hits.select("episode_index", "frame_index", "repeat_count", F.col("action")[0].alias("a0"), F.col("action")[1].alias("a1"))
 
 
+def stream_recording(spark, sf):
+    """Step logs that arrive in three parts, the query starting anew for each: frames of the episodes that close."""
+    base = scratch_dir(spark)
+    steps = views.steps(spark, sf)
+    last = steps.agg(F.max("seq")).first()[0] or 0
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in steps.schema.fields])
+    for part in range(3):
+        now = steps.where((F.col("seq") * 3 >= part * (last + 1)) & (F.col("seq") * 3 < (part + 1) * (last + 1)))
+        now.write.mode("append").parquet(f"{base}/in")
+        found = drain(stream_frames(stream_parquet(spark, f"{base}/in", schema), max_steps=None), f"{base}/out", f"{base}/checkpoint")
+    return found.select(
+        "stream_id", "seq", "episode_index", "frame_index", F.round(F.col("timestamp").cast("double"), 5).alias("timestamp"),
+        F.round(F.col(f"`{STATE}`")[0].cast("double"), 3).alias("s0"), F.col("action")[0].cast("double").alias("a0"),
+    )
+
+
 # -- images -----------------------------------------------------------------------
 
 
@@ -193,6 +212,25 @@ def _bytes(spark, sf):
     return views.images(spark, sf).withColumn("image", images.quantize_u8("image"))
 
 
+def image_stats(spark, sf):
+    """Vectors as byte images with two channels."""
+    out = images.image_stats(views.table(spark, sf, "embeddings").select(views.pixels(spark, sf).alias("image")), ["image"], {"image": 2})
+    return out.withColumns({c: F.round(c, 6) for c in ("mean", "std")})
+
+
+def filtered_dataset_meta(spark, sf):
+    """Episodes of a dataset that was filtered, from its side table."""
+    path = scratch_dir(spark)
+    stored = views.frames(spark, sf).select("episode_index", "frame_index", (F.col("frame_index") / 30).cast("float").alias("timestamp"), "action", "state")
+    frame_store.write_frames(stored, path)
+    frame_store.write_dataset_meta(stored, path, {"action": 2, "state": 2}, 30)
+    filter_dataset(spark, path, 2, min_episode_length=60, ted_threshold=1e9, sal_threshold=0.0)
+    facts = spark.read.parquet(f"{path}_filtered/episodes").select("episode_index", "length")
+    info = spark.read.parquet(f"{path}_filtered/info").first()
+    n_stats = spark.read.parquet(f"{path}_filtered/stats").count()
+    return facts.withColumns({c: F.lit(info[c]).cast("long") for c in ("total_episodes", "total_frames")}).withColumn("n_stats", F.lit(n_stats).cast("long"))
+
+
 def quantize_u8(spark, sf):
     return _bytes(spark, sf).select("row_index", F.hex("image").alias("pixels"))
 
@@ -447,6 +485,6 @@ QUERIES = {
         hwc_to_chw_bytes, resize_images, coerce_image, row_bytes, image_columns, normalized_columns, size_budget,
         split_state, split_state_with_pose, assemble_state_terms, object_pose, motors_to_state, action_to_columns,
         rename_image_columns, signature, dataset_id, recording_id, select_rows, restored_order, merge_sources,
-        renumber_episodes, record_dataset, shape_report, snapshot_windows, snapshot_by_file, persisted_frames, converted_windows, cached_frames,
+        renumber_episodes, record_dataset, stream_recording, image_stats, filtered_dataset_meta, shape_report, snapshot_windows, snapshot_by_file, persisted_frames, converted_windows, cached_frames,
     )
 }

@@ -122,6 +122,17 @@ SELECT dense_rank() OVER (ORDER BY stream_id, episode_index) - 1 AS episode_inde
        round(CAST(CAST(frame_index / 30.0 AS FLOAT) AS DOUBLE), 5) AS timestamp,
        round(coalesce(lag(value) OVER (PARTITION BY stream_id, episode_index ORDER BY frame_index), -1.0), 3) AS s0, len AS a0
 FROM recorded""",
+    "stream_recording": f"""WITH {STEPS}
+SELECT stream_id, seq, episode_index, frame_index, round(CAST(CAST(frame_index / 30.0 AS FLOAT) AS DOUBLE), 5) AS timestamp,
+       round(coalesce(lag(value) OVER (PARTITION BY stream_id, episode_index ORDER BY frame_index), -1.0), 3) AS s0, len AS a0
+FROM recorded
+QUALIFY bool_or(done) OVER (PARTITION BY stream_id, episode_index)""",
+    "image_stats": """WITH px AS (
+  SELECT (i - 1) % 2 AS c, CAST(floor(abs(CAST(embedding[i] AS DOUBLE)) * 100) AS INT) AS v FROM embeddings, (SELECT unnest(range(1, 65)) AS i))
+SELECT 'image' AS feature, CAST(c AS INTEGER) AS channel, count(*) AS count, min(v) AS min, max(v) AS max, round(avg(v), 6) AS mean, round(stddev_pop(v), 6) AS std,
+       quantile_disc(v, 0.01) AS q01, quantile_disc(v, 0.5) AS q50, quantile_disc(v, 0.99) AS q99 FROM px GROUP BY c""",
+    "filtered_dataset_meta": """WITH kept AS (SELECT user_id AS episode_index, count(*) AS length FROM events GROUP BY 1 HAVING count(*) >= 60)
+SELECT episode_index, length, (SELECT count(*) FROM kept) AS total_episodes, (SELECT CAST(sum(length) AS BIGINT) FROM kept) AS total_frames, CAST(4 AS BIGINT) AS n_stats FROM kept""",
     "shape_report": """SELECT 'whole' AS column_name, CAST(64 AS BIGINT) AS expected, count(*) AS n_rows, count(*) FILTER (len(embedding) <> 64) AS n_wrong FROM embeddings
 UNION ALL SELECT 'cut', 64, count(*), count(*) FILTER (label = 3) FROM embeddings""",
     "snapshot_by_file": "SELECT event_id, user_id, round(value * 2, 4) AS value FROM events",

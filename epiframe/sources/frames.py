@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from epiframe.functions.images import image_stats
 from epiframe.operators.chunked import BROADCAST_KEYS, GapError, dense_lengths
 from epiframe.operators.episodes import episode_summary, feature_stats
 from epiframe.operators.ordered import PART_BYTES, arrange, running_total
@@ -106,11 +107,14 @@ def write_frames(
 
 
 def write_dataset_meta(frames: DataFrame, path: str, dims: Mapping[str, int], fps: float, mode: str = "overwrite") -> None:
-    """Write the side tables of a finished dataset: episodes, stats and info."""
+    """Write the side tables of a finished dataset: episodes, stats and info, and image_stats if byte columns declare an image's shape."""
     base = path.rstrip("/")
     spark = frames.sparkSession
     episode_summary(frames).write.mode(mode).parquet(f"{base}/episodes")
     feature_stats(frames, dims).coalesce(1).write.mode(mode).parquet(f"{base}/stats")
+    images = [f.name for f in frames.schema.fields if isinstance(f.dataType, T.BinaryType) and len((f.metadata or {}).get("shape") or []) == 3]
+    if images:
+        image_stats(frames, images).coalesce(1).write.mode(mode).parquet(f"{base}/image_stats")
     episodes = spark.read.parquet(f"{base}/episodes")
     info = episodes.selectExpr(
         "count(*) AS total_episodes", "coalesce(sum(length), 0) AS total_frames", f"double({fps}) AS fps"

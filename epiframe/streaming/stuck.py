@@ -32,11 +32,19 @@ class _RepeatCounter(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         batch = pd.concat(list(rows)).sort_values(self.pos)
-        actions = np.stack([np.asarray(a, dtype=np.float64) for a in batch[self.action]])
         state = self.seen.get()
         repeats = state[1] if state else 0
-        before = np.asarray(state[0]) if state else np.full(actions.shape[1], np.nan)
-        same = (np.abs(np.diff(np.vstack([before, actions]), axis=0)) < self.eps).all(axis=1)
+        cells = [None if a is None else np.asarray(a, dtype=np.float64) for a in [state[0] if state else None, *batch[self.action]]]
+        # a null, and a vector of another length than the one before, equals nothing
+        width = max((len(a) for a in cells if a is not None), default=0)
+        actions = np.full((len(cells), width), np.nan)
+        sizes = np.array([-1 if a is None else len(a) for a in cells])
+        for place, a in enumerate(cells):
+            if a is not None:
+                actions[place, : len(a)] = a
+        near = np.abs(np.diff(actions, axis=0)) < self.eps
+        beyond = np.arange(width) >= sizes[1:, None]
+        same = (near | beyond).all(axis=1) & (sizes[1:] == sizes[:-1]) & (sizes[1:] >= 0)
         # a run starts behind the last row that differs; the first one goes on from the state
         place = np.arange(len(batch))
         start = np.maximum.accumulate(np.where(same, -1, place))
@@ -45,7 +53,7 @@ class _RepeatCounter(StatefulProcessor):
         if over or batch[self.pos].max() >= (key[-1] + 1) * self.chunk - 1:
             self.seen.clear()
         else:
-            self.seen.update((actions[-1].tolist(), int(counts[-1])))
+            self.seen.update((None if cells[-1] is None else cells[-1].tolist(), int(counts[-1])))
         hits = batch[(counts == self.warn_steps) & ~batch["from_neighbour"].to_numpy(dtype=bool)]
         yield hits[[*self.names, self.pos]].assign(repeat_count=self.warn_steps, **{self.action: hits[self.action]})
 

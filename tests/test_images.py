@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from epiframe.functions import images, state
+from epiframe.functions.images import image_stats
 
 
 @pytest.fixture(scope="module")
@@ -128,3 +129,21 @@ def test_motor_order(spark):
 def test_image_names(spark):
     df = spark.createDataFrame([(1.0, 2, 3)], "`b.pos` double, wrist long, top long")
     assert state.rename_image_columns(df).columns == ["b.pos", "observation.images.wrist", "observation.images.top"]
+
+
+def test_image_stats_are_those_of_all_pixels(spark):
+    rng = np.random.default_rng(4)
+    pixels = rng.integers(0, 256, (40, 12), np.uint8) // 3
+    rows = [(i, bytearray(p.tobytes()), [float(x) / 255 for x in p]) for i, p in enumerate(pixels)] + [(98, None, None), (99, bytearray(), [])]
+    df = spark.createDataFrame(rows, "i long, cam binary, top array<float>")
+    df = df.select("i", F.col("cam").alias("cam.left", metadata={"shape": [2, 2, 3]}), "top").repartition(5)
+    found = {(r["feature"], r["channel"]): r for r in image_stats(df, ["cam.left", "top"], {"top": 2}).collect()}
+    assert len(found) == 5
+    for (name, k), r in found.items():
+        x = np.sort(pixels.reshape(40, -1)[:, k :: 3 if name == "cam.left" else 2].ravel()).astype(float)
+        assert (r["count"], r["min"], r["max"]) == (len(x), x[0], x[-1])
+        assert (r["mean"], r["std"]) == (pytest.approx(x.mean()), pytest.approx(x.std()))
+        assert [r[q] for q in ("q01", "q50", "q99")] == [x[int(np.ceil(len(x) * p / 100)) - 1] for p in (1, 50, 99)]
+    assert image_stats(df.limit(0), ["cam.left"]).count() == 0
+    with pytest.raises(Exception, match="do not divide"):
+        image_stats(df, ["cam.left"], {"cam.left": 5}).collect()

@@ -114,3 +114,6 @@ def test_thin_log(spark):
 def test_repeated_metrics_are_dropped(spark):
     df = spark.createDataFrame([(1, 5, "a"), (1, 5, "a"), (1, 6, "a")], "run_id long, step long, name string")
     assert tables.distinct_metrics(df).count() == 2
+    again = spark.createDataFrame([(1, 5, "a", 0.5, 3), (1, 5, "a", 0.9, 1), (1, 5, "a", 0.1, 2)], "run_id long, step long, name string, value double, line_no long")
+    assert [(r["value"], r["line_no"]) for r in tables.distinct_metrics(again).collect()] == [(0.5, 3)]
+    assert [r["value"] for r in tables.distinct_metrics(again.drop("line_no")).collect()] == [0.9]

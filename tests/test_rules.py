@@ -1,5 +1,6 @@
 """One result whatever the size constants: null keys, gaps, strides, broken values; and what must be refused."""
 
+import random
 import subprocess
 import sys
 from pathlib import Path
@@ -170,6 +171,72 @@ def test_cached_frames(spark, tmp_path):
         cache_frames(df, str(tmp_path / "small"), "a/b", "data", max_gb=1e-6)
 
 
+def test_images_are_packed_once(spark, tmp_path, monkeypatch):
+    """The budget is known without packing, and the declared shape stays."""
+    from epiframe.functions import images
+    from epiframe.plans import cached
+
+    df = spark.createDataFrame([(i, [i / 10] * 1500) for i in range(4)], "row_index long, front_rgb array<float>").withMetadata("front_rgb", {"shape": [20, 25, 3]})
+    packed, names = images.quantize_normalized(df, ["front_rgb"])
+    assert names == ["front_rgb"] and packed.schema["front_rgb"].metadata == {"shape": [20, 25, 3]}
+    asked = []
+    monkeypatch.setattr(cached, "check_budget", lambda rows, *a, f=cached.check_budget: asked.append((rows, f(rows, *a))))
+    assert cached.cache_frames(df, str(tmp_path / "c"), "a/b", "data").packed.count() == 4
+    (rows, total), = asked
+    assert total == 4 * 1500 and "quantize" not in rows._jdf.queryExecution().optimizedPlan().toString()
+    assert images.normalized_columns(df.withColumn("x", F.array(F.lit(3.0))).withColumn("y", F.array(F.lit(3))), ["front_rgb", "x", "y"]) == ["front_rgb"]
+
+
+def test_rows_are_picked_where_they_are_read(spark, tmp_path):
+    from epiframe.operators.tables import select_rows
+
+    spark.range(1000).selectExpr("id AS row_index", "repeat('x', 100) AS `cam.left`").repartition(8).write.parquet(str(tmp_path / "t"))
+    picked = select_rows(spark.read.parquet(str(tmp_path / "t")), [999, 3, 3])
+    plan = picked._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert [(r["pos"], r["row_index"]) for r in picked.collect()] == [(0, 999), (1, 3), (2, 3)]
+
+
+def test_gaps_in_the_head_are_refused(spark, make_frames):
+    from epiframe.operators.chunked import GapError
+    from epiframe.operators.windows import head_truncate
+
+    frames = make_frames({0: [[float(i)] for i in range(19)], 1: [[float(i)] for i in range(30)]})
+    assert {len(r["steps"]) for r in head_truncate(frames).collect()} == {16}
+    with pytest.raises(GapError):
+        head_truncate(frames.where("not (episode_index = 0 and frame_index = 3)")).collect()
+    twice = frames.withColumn("frame_index", F.expr("if(episode_index = 1 and frame_index = 4, 3L, frame_index)"))
+    with pytest.raises(Exception, match="gap or repeats in the head"):
+        head_truncate(twice).collect()
+    assert head_truncate(frames.where("false")).count() == 0
+
+
+def test_one_far_step_does_not_gather_the_others(spark, monkeypatch):
+    monkeypatch.setattr(episodes, "CHUNK_STEPS", 50)
+    rng = random.Random(5)
+    rows = [(s, scale * i, rng.random() < 0.1) for s, scale in ((0, 1), (1, 10**6), (None, 3)) for i in range(400)] + [(0, 10**15, False), (1, -5, True)]
+    df = spark.createDataFrame(rows, "stream_id long, seq long, done boolean")
+    cuts = {r["stream_id"]: len(r["_cuts"]) for r in episodes._stream_cuts(df, ["stream_id"], "seq").collect()}
+    assert all(6 <= n <= 9 for n in cuts.values())
+    got = {(r["stream_id"], r["seq"]): (r["episode_index"], r["frame_index"]) for r in episodes.assign_episode_ids(df).collect()}
+    for stream in (0, 1, None):
+        episode = frame = 0
+        for _, seq, done in sorted(r for r in rows if r[0] == stream and r[1] is not None):
+            assert got[stream, seq] == (episode, frame)
+            episode, frame = (episode + 1, 0) if done else (episode, frame + 1)
+
+
+def test_absent_observations_are_zeros(spark):
+    df = spark.createDataFrame([(0, 0, [1.0, 2.0], bytearray([1, 2, 3, 4])), (0, 1, None, None)], "episode_index long, frame_index long, state array<double>, cam binary").coalesce(1)
+    shaped = df.withMetadata("cam", {"shape": [2, 2, 1]}).withMetadata("state", {"shape": [2]})
+    load = lambda: lambda obs: np.column_stack([obs["state"].sum(1), obs["cam"].reshape(len(obs["cam"]), -1).sum(1)]).astype(float)
+    for rows in (shaped, df):
+        assert sorted(r["action"] for r in control.score_policy(rows, load, ["state", "cam"], out_dim=2).collect()) == [[0.0, 0.0], [3.0, 10.0]]
+    assert [r["action"] for r in control.score_policy(shaped.where("frame_index = 1"), load, ["state", "cam"], out_dim=2).collect()] == [[0.0, 0.0]]
+    with pytest.raises(Exception, match="only nulls"):
+        control.score_policy(df.where("frame_index = 1"), load, ["state", "cam"], out_dim=2).collect()
+
+
 def test_unfinished_windows_are_not_read(spark, make_frames, tmp_path):
     from epiframe.plans.convert import convert_to_windows
 
@@ -187,7 +254,7 @@ def test_operators_run_from_another_folder(tmp_path):
 import sys; sys.path.insert(0, {str(Path(__file__).resolve().parents[1])!r})
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
-spark = SparkSession.builder.master("local-cluster[1,1,1024]").config("spark.ui.enabled", "false").config("spark.executorEnv.PYTHONPATH", "").getOrCreate()
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.executorEnv.PYTHONPATH", "").getOrCreate()
 from epiframe.operators.quality import sal
 frames = spark.range(60).select(F.lit(0).alias("episode_index"), F.col("id").alias("frame_index"), F.array(F.sin("id"), F.cos("id")).alias("action"))
 print("score", sal(frames, 2).first()["sal"] < 0)

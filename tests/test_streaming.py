@@ -6,7 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from epiframe.operators.control import stuck_actions
+from epiframe.schema import named
 from epiframe.sources.logs import stream_train_log
+from epiframe.plans.record import frames_from_steps
+from epiframe.streaming.record import stream_frames
 from epiframe.streaming.metrics import stream_metrics
 from epiframe.streaming.sinks import append_to, drain, stream_parquet
 from epiframe.streaming.stuck import stream_stuck_actions
@@ -78,3 +81,51 @@ def test_state_of_finished_episodes_is_dropped(spark, make_frames, tmp_path):
     got = sorted((r["episode_index"], r["frame_index"]) for r in spark.read.parquet(str(tmp_path / "out")).collect())
     want = sorted((r["episode_index"], r["frame_index"]) for r in stuck_actions(frames, warn_steps=4, chunk=16).collect())
     assert got == want and got
+
+
+STEP = "stream_id long, seq long, reset_obs array<double>, next_obs array<double>, action array<double>, terminated boolean, truncated boolean, `cam.left` binary"
+
+
+def test_live_recording_is_batch_recording(spark, tmp_path):
+    """Micro-batches end inside episodes, and the query starts anew between them; some steps come twice."""
+    rng = random.Random(3)
+    rows = []
+    for stream in range(4):
+        for i in range(60):
+            vector = lambda k: [float(1000 * stream + i), float(k)] if rng.random() < 0.95 else None  # noqa: B023, E731
+            rows.append((stream, 3 * i, vector(0), vector(1), vector(2), rng.random() < 0.1, rng.choice([None, False, rng.random() < 0.05]), bytearray([stream, i])))
+    steps = spark.createDataFrame(rows, STEP)
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    for b in range(5):
+        now = [r for r in rows if 12 * b <= r[1] // 3 < 12 * (b + 1)] + [r for r in rows if r[1] // 3 == 12 * b - 2]
+        spark.createDataFrame([*now, (0, None, None, None, None, True, True, None)], STEP).repartition(2).write.mode("append").parquet(source)
+        live = stream_parquet(spark, source, steps.schema)
+        got = drain(stream_frames(live, images=["cam.left"], max_steps=None), out, str(tmp_path / "cp"))
+    want = frames_from_steps(steps, images=["cam.left"], keep_seq=True)
+    closed = steps.where(F.coalesce("terminated", F.lit(False)) | F.coalesce("truncated", F.lit(False))).groupBy("stream_id").agg(F.max("seq").alias("last"))
+    want = want.join(closed, "stream_id").where("seq <= last").drop("last")
+    found = got.select(*[named(c) for c in want.columns]).collect()
+    assert sorted(map(repr, found)) == sorted(map(repr, want.collect()))
+    assert len({(r["stream_id"], r["seq"]) for r in found}) == len(found) > 100
+
+
+def test_live_episodes_end_by_length(spark, tmp_path):
+    rows = [(7, i, [0.0], [float(i)], [1.0], False, False, None) for i in range(25)]
+    spark.createDataFrame(rows, STEP).write.parquet(str(tmp_path / "in"))
+    live = stream_parquet(spark, str(tmp_path / "in"), spark.createDataFrame([], STEP).schema)
+    got = drain(stream_frames(live, max_steps=10), str(tmp_path / "out"), str(tmp_path / "cp")).collect()
+    assert sorted((r["episode_index"], r["frame_index"], r["observation.state"]) for r in got) == [(e, i, [0.0 if i == 0 else 10.0 * e + i - 1]) for e in range(2) for i in range(10)]
+
+
+def test_a_null_action_does_not_end_the_stream(spark, tmp_path):
+    """Nulls and vectors of another length are a change, in the stream as in the batch."""
+    actions = [[1.0]] * 4 + [None, None, None] + [[1.0]] * 3 + [[1.0, 2.0]] * 4 + [[1.0]] * 2 + [[None]] * 4
+    rows = [(0, i, a) for i, a in enumerate(actions)]
+    schema = "episode_index long, frame_index long, action array<double>"
+    frames = spark.createDataFrame(rows, schema)
+    for b in range(5):
+        frames.where((F.col("frame_index") >= 4 * b) & (F.col("frame_index") < 4 * b + 4)).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    live = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    got = drain(stream_stuck_actions(live, warn_steps=3), str(tmp_path / "out"), str(tmp_path / "cp"))
+    want = stuck_actions(frames, warn_steps=3)
+    assert sorted(r["frame_index"] for r in got.collect()) == sorted(r["frame_index"] for r in want.collect()) == [3, 13]
