@@ -107,6 +107,20 @@ SELECT doc_id, len(s) AS n_shingles, least(doc_id, coalesce((SELECT min(b) FROM
 FROM sets
 """
 
+#: All pairs by cosine, components by transitive closure.
+POLYTOPE_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.x) = len(b.x)
+  WHERE list_dot_product(a.x, b.x) >= 0.9 * sqrt(list_dot_product(a.x, a.x)) * sqrt(list_dot_product(b.x, b.x))
+), reach AS (SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+found AS (SELECT vec_id, (SELECT count(*) FROM links WHERE a = vec_id) AS n_links, least(vec_id, coalesce((SELECT min(b) FROM reach WHERE a = vec_id), vec_id)) AS component_id FROM embeddings)
+SELECT vec_id, n_links, component_id, vec_id = component_id AS kept FROM found
+"""
+
 #: Windows as text, counted; the words that no recurring one covers, in order.
 REPEATS_SQL = r"""
 WITH docs AS (
@@ -170,6 +184,7 @@ SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT
 
 SQL: dict[str, str] = {
     "op2_jaccard_join": JACCARD_SQL,
+    "op9_polytope_near_dedup": POLYTOPE_SQL,
     "op11_substring_dedup": REPEATS_SQL,
     "op12_hard_negatives": NEGATIVES_SQL,
     "op13_phrase_collocations": COLLOCATIONS_SQL,

@@ -1,12 +1,16 @@
 """Toxicity by a factorization machine over hashed terms.
 
 Terms are a text's lower-cased words and the first letters of its longer words, hashed to
-``BUCKETS``. Besides a weight, every term has a vector; the inner products of the vectors of
-the terms that occur together let a pair of terms say more than the sum of the two. Of the
-hashed terms only those associated with the label (chi-squared above ``ASSOCIATED``) enter.
+``BUCKETS``; all of them enter. Besides a weight, every term has a vector; the inner products of the vectors of
+the terms that occur together let a pair of terms say more than the sum of the two, also where
+neither says anything alone. The pairs of a text of more than ``PAIR_TERMS`` terms count in proportion less, as there are so many
+of them. Weights are learned by the follow-the-regularised-leader rule, which leaves those at zero that the
+labels do not call for, vectors by adaptive steps; both together, none is chosen beforehand.
 
 The model is fitted on at most ``FIT_ROWS`` labelled rows of each class, those with the
-lowest hash, in one task; it is a few numbers per kept term. Every text is scored.
+lowest hash, in one task, which gets the numbers of their terms, not their texts. Rows weigh what their class is sampled at, so
+a score does not depend on how many rows were left out; the rarer class weighs more by the square root of the odds.
+The model has at most ``BUCKETS`` terms. Every text is scored.
 
 Defined results: a null or empty text gets the score of no terms, like any text without
 known terms; without labels of both classes every score is the share of label 1 (0.0 if
@@ -17,7 +21,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,10 +31,11 @@ from epiframe.llm.words import fold, letter_words, slices
 FIT_ROWS = 8000
 BUCKETS = 1 << 20
 START_LETTERS = 4
-ASSOCIATED = 15.0
-#: Terms kept at most, strongest first.
-KEPT_TERMS = 20_000
-FACTORS, EPOCHS, RATE, DECAY = 4, 40, 0.3, 1e-5
+PAIR_TERMS = 30
+FACTORS, EPOCHS, BATCH = 4, 15, 64
+#: Steps of weights and vectors, what a weight must be called for before it leaves zero, and the decay of vectors.
+RATE, VECTOR_RATE, LEAST_CALL, DECAY = 3.0, 0.03, 8.0, 1e-4
+START = 0.05
 THRESHOLD = 0.7
 #: Characters whose terms a task holds at once.
 SLICE_CHARS = 2_000_000
@@ -55,15 +59,8 @@ def presence(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return keys // BUCKETS, keys % BUCKETS
 
 
-def _present(texts: pa.Array, step: int = 500) -> tuple[np.ndarray, np.ndarray]:
-    """``presence`` of many texts, a few at a time, in half the memory."""
-    parts = [presence(texts.slice(k, step)) for k in range(0, len(texts), step)]
-    rows = np.concatenate([(r + k * step).astype(np.int32) for k, (r, _) in enumerate(parts)])
-    return rows, np.concatenate([t.astype(np.int32) for _, t in parts])
-
-
 class Machine:
-    """score(x) = logistic(bias + sum of weights + sum over pairs of inner products)."""
+    """score(x) = logistic(bias + sum of weights + scaled sum over pairs of inner products)."""
 
     def __init__(self, terms: np.ndarray, weights: np.ndarray, vectors: np.ndarray, bias: float):
         self.terms, self.weights, self.vectors, self.bias = terms, weights, vectors, bias
@@ -71,67 +68,61 @@ class Machine:
     def score(self, rows: np.ndarray, terms: np.ndarray, n: int) -> np.ndarray:
         if not len(self.terms):
             return np.full(n, 1 / (1 + np.exp(-self.bias)))
+        sizes = np.bincount(rows, minlength=n)
         at = np.minimum(np.searchsorted(self.terms, terms), len(self.terms) - 1)
         known = self.terms[at] == terms
         rows, at = rows[known], at[known]
-        total = np.full(n, self.bias) + np.bincount(rows, self.weights[at], n)
+        total, pairs = np.full(n, self.bias) + np.bincount(rows, self.weights[at], n), np.zeros(n)
         for k in range(self.vectors.shape[1]):
-            v = self.vectors[at, k]
-            total += 0.5 * (np.bincount(rows, v, n) ** 2 - np.bincount(rows, v * v, n))
-        return 1 / (1 + np.exp(-np.clip(total, -30, 30)))
+            v = self.vectors[at, k].astype(np.float64)
+            pairs += 0.5 * (np.bincount(rows, v, n) ** 2 - np.bincount(rows, v * v, n))
+        return 1 / (1 + np.exp(-np.clip(total + pairs * pair_scale(sizes), -30, 30)))
 
 
-def associated(rows: np.ndarray, terms: np.ndarray, labels: np.ndarray) -> np.ndarray:
-    """Terms whose presence goes with the label, by the chi-squared statistic of the 2x2 table."""
-    kept, at = np.unique(terms, return_inverse=True)
-    n, toxic = len(labels), labels.sum()
-    both = np.bincount(at, labels[rows], len(kept))
-    seen = np.bincount(at, minlength=len(kept)).astype(float)
-    expected = seen * toxic / n
-    chi = (both - expected) ** 2 * n * n / np.maximum(seen * toxic * (n - seen) * (n - toxic) / n, 1e-9)
-    strong = np.flatnonzero(chi >= ASSOCIATED)
-    return np.sort(kept[strong[np.argsort(-chi[strong], kind="stable")[:KEPT_TERMS]]])
+def pair_scale(terms: np.ndarray) -> np.ndarray:
+    """What the pairs of a text with so many terms count."""
+    return np.minimum(1.0, PAIR_TERMS / np.maximum(terms, 1))
 
 
-def train(texts: pa.Array, labels: np.ndarray, seed: int = 7) -> Machine:
-    """Adaptive stochastic gradient descent on the logistic loss, the rarer class weighing more."""
+def train(rows: np.ndarray, terms: np.ndarray, labels: np.ndarray, shares: tuple[float, float] = (1.0, 1.0), seed: int = 7) -> Machine:
+    """Learn from the terms of texts (as ``presence`` gives them) and their labels; ``shares`` are the sampling rates of labels 0 and 1."""
     n, toxic = len(labels), float(labels.sum())
     if not 0 < toxic < n:
-        return Machine(np.zeros(0, np.int64), np.zeros(0), np.zeros((0, FACTORS)), 30.0 if n and toxic else -30.0)
-    rows, terms = _present(texts)
-    kept = associated(rows, terms, labels)
-    if not len(kept):
-        return Machine(kept, np.zeros(0), np.zeros((0, FACTORS)), float(np.log(toxic / (n - toxic))))
-    at = np.minimum(np.searchsorted(kept, terms), len(kept) - 1)
-    known = kept[at] == terms
-    rows, at = rows[known], at[known]
-    bounds = np.searchsorted(rows, np.arange(n + 1))
-    balance = max(1.0, ((n - toxic) / toxic) ** 0.5)
+        return Machine(np.zeros(0, np.int64), np.zeros(0), np.zeros((0, FACTORS), np.float32), 30.0 if n and toxic else -30.0)
+    odds = ((n - toxic) / shares[0]) / (toxic / shares[1])
+    # the weight of a row with label 1, beside rows with label 0
+    heavy = shares[0] / shares[1] * max(1.0, odds**0.5)
+    kept, at = np.unique(terms, return_inverse=True)
+    at, bounds = at.ravel(), np.searchsorted(rows, np.arange(n + 1))
+    scale = pair_scale(np.diff(bounds))
     rng = np.random.default_rng(seed)
-    weights, vectors, bias = np.zeros(len(kept)), rng.normal(0, 0.02, (len(kept), FACTORS)), 0.0
-    gw, gv, gb = np.full(len(kept), 1e-6), np.full((len(kept), FACTORS), 1e-6), 1e-6
+    weights, called, gw = np.zeros(len(kept)), np.zeros(len(kept)), np.ones(len(kept))
+    vectors, gv = rng.normal(0, START, (len(kept), FACTORS)), np.ones(len(kept))
+    bias, gb = float(np.log(heavy * toxic / (n - toxic))), 1.0
     for _ in range(EPOCHS):
-        for batch in np.array_split(rng.permutation(n), max(1, n // 64)):
+        for batch in np.array_split(rng.permutation(n), max(1, n // BATCH)):
             lengths = bounds[batch + 1] - bounds[batch]
             place = np.repeat(bounds[batch], lengths) + np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-            term, owner = at[place], np.repeat(np.arange(len(batch)), lengths)
-            v = vectors[term]
+            owner = np.repeat(np.arange(len(batch)), lengths)
+            used, term = np.unique(at[place], return_inverse=True)
+            term = term.ravel()
+            v = vectors[used][term]
             sums = np.stack([np.bincount(owner, v[:, k], len(batch)) for k in range(FACTORS)], 1)
             squares = np.bincount(owner, (v * v).sum(1), len(batch))
-            total = bias + np.bincount(owner, weights[term], len(batch)) + 0.5 * ((sums**2).sum(1) - squares)
-            error = (1 / (1 + np.exp(-np.clip(total, -30, 30))) - labels[batch]) * np.where(labels[batch] > 0, balance, 1.0)
-            dw = error[owner] + DECAY * weights[term]
-            dv = error[owner, None] * (sums[owner] - v) + DECAY * v
-            used = np.unique(term)
-            sw = np.bincount(term, dw, len(kept))[used]
-            sv = np.stack([np.bincount(term, dv[:, k], len(kept))[used] for k in range(FACTORS)], 1)
-            gw[used] += sw**2
-            gv[used] += sv**2
+            total = bias + np.bincount(owner, weights[used][term], len(batch)) + 0.5 * ((sums**2).sum(1) - squares) * scale[batch]
+            error = (1 / (1 + np.exp(-np.clip(total, -30, 30))) - labels[batch]) * np.where(labels[batch] > 0, heavy, 1.0)
+            slope = np.bincount(term, error[owner], len(used))
+            grown = gw[used] + slope**2
+            called[used] += slope - (np.sqrt(grown) - np.sqrt(gw[used])) / RATE * weights[used]
+            gw[used], now = grown, called[used]
+            weights[used] = -np.sign(now) * np.maximum(np.abs(now) - LEAST_CALL, 0) * RATE / np.sqrt(grown)
+            pull = (error * scale[batch])[owner, None] * (sums[owner] - v)
+            slopes = np.stack([np.bincount(term, pull[:, k], len(used)) for k in range(FACTORS)], 1) + DECAY * vectors[used]
+            gv[used] += (slopes**2).sum(1)
+            vectors[used] -= VECTOR_RATE * slopes / np.sqrt(gv[used])[:, None]
             gb += error.sum() ** 2
-            weights[used] -= RATE * sw / np.sqrt(gw[used])
-            vectors[used] -= 0.2 * RATE * sv / np.sqrt(gv[used])
-            bias -= RATE * error.sum() / np.sqrt(gb)
-    return Machine(kept, weights, vectors, float(bias))
+            bias -= VECTOR_RATE * error.sum() / np.sqrt(gb)
+    return Machine(kept.astype(np.int64), weights, vectors.astype(np.float32), float(bias))
 
 
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = FIT_ROWS) -> Machine:
@@ -144,27 +135,40 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = FIT_ROWS) -> Machin
     marks = marks.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     present = marks.join(docs.select(F.col("doc_id").cast("long").alias("doc_id")).distinct(), "doc_id", "left_semi")
     chosen = lowest_hashes(present, ["toxic"], F.xxhash64("doc_id"), per_class)
+    # two rows
+    there = {r["toxic"]: r["count"] for r in present.groupBy("toxic").count().collect()}
+    shares = tuple(min(1.0, per_class / there.get(label, 1)) for label in (0, 1))
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = source.join(F.broadcast(chosen), "doc_id").select("text", "toxic").withColumn("one", F.lit(1))
+
+    def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text", SLICE_CHARS):
+            owner, terms = presence(batch["text"])
+            ends = np.searchsorted(owner, np.arange(batch.num_rows + 1))
+            held = [terms[a:b].astype(np.int32).tobytes() for a, b in zip(ends, ends[1:])]
+            keys = [xxhash.xxh64_intdigest(t or "") >> 1 for t in batch["text"].to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch["toxic"], pa.array(keys, pa.int64()), pa.array(held, pa.binary())], names=["toxic", "h", "terms"])
+
+    texts = few_at_once(source.join(F.broadcast(chosen), "doc_id").select("text", "toxic"))
+    rows = texts.mapInArrow(numbered, "toxic int, h long, terms binary").withColumn("one", F.lit(1))
 
     def learn(table: pa.Table) -> pa.Table:
-        table = table.combine_chunks()
-        texts = table["text"].combine_chunks()
         # the order of rows decides the order of the descent
-        order = pc.sort_indices(pa.table({"h": [xxhash.xxh64_intdigest(t or "") >> 1 for t in texts.to_pylist()], "y": table["toxic"]}), sort_keys=[("h", "ascending"), ("y", "ascending")])
-        machine = train(texts.take(order), table["toxic"].to_numpy()[order.to_numpy()].astype(float))
-        return pa.table({"term": np.append(machine.terms, -1), "weight": np.append(machine.weights, machine.bias), "vector": pa.array([*machine.vectors.tolist(), [0.0] * FACTORS], pa.list_(pa.float64()))})
+        table = table.sort_by([("h", "ascending"), ("toxic", "ascending")])
+        terms = [np.frombuffer(t, np.int32) for t in table["terms"].to_pylist()]
+        owner = np.repeat(np.arange(len(terms), dtype=np.int32), [len(t) for t in terms])
+        machine = train(owner, np.concatenate(terms), table["toxic"].to_numpy().astype(float), shares)
+        return pa.table({"term": np.append(machine.terms, -1), "weight": np.append(machine.weights, machine.bias), "vector": pa.array([v.tobytes() for v in machine.vectors] + [b""], pa.binary())})
 
-    model = rows.groupBy("one").applyInArrow(learn, "term long, weight double, vector array<double>").orderBy("term").toArrow()
+    model = rows.groupBy("one").applyInArrow(learn, "term long, weight double, vector binary").orderBy("term").toArrow()
     if not model.num_rows:
-        return train(pa.array([], pa.string()), np.zeros(0))
+        return train(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
     weights = model["weight"].to_numpy()
-    return Machine(model["term"].to_numpy()[1:], weights[1:], np.array(model["vector"].to_pylist())[1:].reshape(-1, FACTORS), float(weights[0]))
+    return Machine(model["term"].to_numpy()[1:], weights[1:], np.frombuffer(b"".join(model["vector"].to_pylist()), np.float32).reshape(-1, FACTORS), float(weights[0]))
 
 
 def score(docs: DataFrame, machine: Machine) -> DataFrame:
     """doc_id and the score of every row."""
-    shared = docs.sparkSession.sparkContext.broadcast(machine)  # bounded by the kept terms
+    shared = docs.sparkSession.sparkContext.broadcast(machine)  # bounded by BUCKETS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", SLICE_CHARS):

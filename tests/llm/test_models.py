@@ -91,13 +91,31 @@ def test_pairs_say_more_than_their_sum():
     rows = []
     for _ in range(1200):
         a, b = rng.random() < 0.5, rng.random() < 0.5
-        rows.append(((["insulting"] if a else ["praising"]) + (["groupname"] if b else ["weather"]), int(a == b)))
-    # the terms are associated one by one too, or they would not enter
-    rows += [(["insulting"], 1)] * 150 + [(["groupname"], 1)] * 150 + [(["praising"], 0)] * 150 + [(["weather"], 0)] * 150
-    machine = toxicity.train(pa.array([" ".join(t) for t, _ in rows]), np.array([y for _, y in rows], float))
+        noise = [f"n{rng.randrange(300)}" for _ in range(10)]
+        rows.append(([*noise, "insulting" if a else "praising", "groupname" if b else "weather"], int(a == b)))
+    machine = toxicity.train(*toxicity.presence(pa.array([" ".join(t) for t, _ in rows])), np.array([y for _, y in rows], float))
     texts = pa.array(["insulting groupname", "insulting weather", "praising groupname", "praising weather"])
     score = machine.score(*toxicity.presence(texts), 4)
-    assert score[0] > 0.7 and score[1] < 0.5 and score[2] < 0.5 and score[3] > 0.5
+    assert score[0] > 0.7 and score[1] < 0.3 and score[2] < 0.3 and score[3] > 0.7
+
+
+def test_a_score_is_the_sum_over_terms_and_pairs():
+    rng = np.random.default_rng(1)
+    machine = toxicity.Machine(np.arange(50), rng.normal(size=50), rng.normal(size=(50, toxicity.FACTORS)).astype(np.float32), 0.3)
+    for n in (0, 1, 5, 45):
+        terms = np.sort(rng.choice(60, n, replace=False))
+        known = [t for t in terms if t < 50]
+        pairs = sum(float(machine.vectors[a].astype(float) @ machine.vectors[b].astype(float)) for k, a in enumerate(known) for b in known[:k])
+        x = 0.3 + sum(machine.weights[known]) + pairs * min(1, toxicity.PAIR_TERMS / max(1, n))
+        assert machine.score(np.zeros(n, np.int64), terms, 1)[0] == pytest.approx(1 / (1 + math.exp(-max(-30, min(30, x)))))
+
+
+def test_sampling_rates_do_not_move_scores():
+    """Half of the clean rows left out, and said so: texts of no known terms score alike."""
+    rows = [("one two", 0)] * 400 + [("three two", 1)] * 50
+    some = [*rows[:200], *rows[400:]]
+    score = [toxicity.train(*toxicity.presence(pa.array([t for t, _ in r])), np.array([y for _, y in r], float), shares).score(np.zeros(0, np.int64), np.zeros(0, np.int64), 1)[0] for r, shares in ((rows, (1.0, 1.0)), (some, (0.5, 1.0)))]
+    assert score[0] == pytest.approx(score[1], abs=0.05)
 
 
 def test_toxicity_of_odd_rows(spark, make_docs, odd_rows):
