@@ -159,7 +159,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = FIT_ROWS) -> Machin
         machine = train(owner, np.concatenate(terms), table["toxic"].to_numpy().astype(float), shares)
         return pa.table({"term": np.append(machine.terms, -1), "weight": np.append(machine.weights, machine.bias), "vector": pa.array([v.tobytes() for v in machine.vectors] + [b""], pa.binary())})
 
-    model = rows.groupBy("one").applyInArrow(learn, "term long, weight double, vector binary").orderBy("term").toArrow()
+    model = rows.groupBy("one").applyInArrow(learn, "term long, weight double, vector binary").toArrow().sort_by("term")
     if not model.num_rows:
         return train(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
     weights = model["weight"].to_numpy()
