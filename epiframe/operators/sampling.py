@@ -8,10 +8,12 @@ from pyspark.sql import Window as W
 
 from epiframe.functions.randomness import hash_int
 from epiframe.operators.chunked import join_null_safe
-from epiframe.operators.ordered import PART_BYTES, arrange, dense_index
+from epiframe.operators.ordered import PART_BYTES, arrange, classes_of, dense_index, row_width
 from epiframe.schema import EPISODE
 
 HASH_DIGITS = 15
+#: An index up to so many times the number of rows says where rows belong.
+DENSE = 2
 #: Most windows that are found by a top-n rather than by number.
 TOP_KEYS = 100_000
 #: Leading hex digits of the shuffle key that name a bucket: 65536 buckets.
@@ -21,10 +23,18 @@ BUCKET_DIGITS = 4
 def restore_order(df: DataFrame, index: str = "row_index", part_bytes: int = PART_BYTES) -> DataFrame:
     """Rows in their original order, whatever order they were produced in.
 
-    The index starts at 0, so it says where a row belongs; only the index is read to find its end.
+    An index that is nearly dense from 0 says where a row belongs; only the index is read to find its end. A
+    sparse one, or one with negative or null values (which come first), is cut at its approximate quantiles, also found on the
+    index alone: the number of partitions follows the number of rows.
     """
-    last = df.agg(F.max(index)).first()[0]
-    return arrange(df, index, 0 if last is None else last + 1, [index], part_bytes)
+    rows, low, last = df.agg(F.count("*"), F.min(F.coalesce(F.col(index), F.lit(-1))), F.max(index)).first()
+    if not rows or (low >= 0 and last < DENSE * rows):
+        return arrange(df, index, 0 if last is None else last + 1, [index], part_bytes)
+    per_part = max(1, part_bytes // row_width(df.schema))
+    classes = classes_of(df.select(F.col(index).alias("_index")), "_index", rows, per_part)
+    # bucketing wants one plain column; class -1 is that of nulls
+    placed = classes.assign(df.withColumn("_index", F.col(index).cast("double"))).withColumn("_part", (F.col("_class") + 1).cast("int"))
+    return placed.repartitionById(2 * len(classes.cuts) + 3, "_part").drop("_index", "_class", "_part").sortWithinPartitions(index)
 
 
 def number_windows(windows: DataFrame, key: str = "episode_index", out: str = "window_id") -> DataFrame:

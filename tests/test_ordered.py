@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from epiframe.operators import sampling, tables, windows
-from epiframe.operators.ordered import classes_of, dense_index, index_in_group, percentile_of, rank_below, running_total
+from epiframe.operators.ordered import classes_of, dense_index, index_in_group, percentile_of, rank_below, row_width, running_total
 
 
 def values(n, seed):
@@ -170,3 +170,11 @@ def test_dense_index_over_any_type(spark, parts):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert [(r["k"], r["n"]) for r in sorted(got, key=lambda r: r["i"])] == sorted(rows)
     assert sorted(r["i"] for r in got) == list(range(len(rows)))
+
+
+@pytest.mark.parametrize("values", [[5, 10**11, 7], [None, -3, 0, None, 2], list(range(0, 10**6, 1999)) + [4] * 60, list(range(100)), []])
+def test_order_of_any_index(spark, values):
+    rows = spark.createDataFrame([(v, str(v)) for v in values], "row_index long, x string").repartition(3)
+    back = sampling.restore_order(rows, part_bytes=20 * row_width(rows.schema))
+    assert [r["x"] for r in back.collect()] == [str(v) for v in sorted(values, key=lambda v: (v is not None, v or 0))]
+    assert back.rdd.getNumPartitions() <= 2 * len(values) // 20 + 8
