@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from epiframe.operators.chunked import dense_lengths, join_by_chunk
-from epiframe.operators.episodes import MIN_EPISODE_LENGTH
+from epiframe.operators.episodes import MIN_EPISODE_LENGTH, add_timestamp
 from epiframe.operators.ordered import ROWS_PER_CLASS, percentile_of, rank_below
 from epiframe.operators.quality import sal, ted
 from epiframe.schema import EPISODE, FPS, POSITION, named
@@ -121,5 +121,6 @@ def filter_dataset(
             # one row per feature and dimension
             sizes = {r["feature"]: r["n"] for r in spark.read.parquet(f"{base}/stats").groupBy("feature").agg((F.max("dim") + 1).alias("n")).collect()}
             fps = spark.read.parquet(f"{base}/info").first()["fps"]
-        write_dataset_meta(read_frames(spark, out, schema=None), out, sizes, fps)
+        kept = read_frames(spark, out, schema=None)
+        write_dataset_meta(kept if "timestamp" in kept.columns else add_timestamp(kept, fps), out, sizes, fps)
     return FilterReport(counts["kept"], counts["removed"], dry_run)
