@@ -1,11 +1,16 @@
 """Best-fit packing of token pieces into fixed-size sequences.
 
 Method: hierarchical residual packing. Every partition packs its own pieces best-fit
-decreasing and emits the sequences that are nearly full. What is left underfull becomes an
-item of a second round over all partitions: only the number of items of every partition and
-size goes to the driver, which packs whole classes of equal items best-fit decreasing; every
-item finds its sequence by its rank in its class. No task holds the items of others, and none is
-emitted for being one too many. Pieces are rows of numbers, ids travel nowhere.
+decreasing and emits the sequences that are nearly full. What the underfull ones hold goes up a
+tree of merges: a merge takes the items of ``FAN_IN`` nodes, packs them best-fit decreasing, emits what is
+nearly full and hands the rest up; the last merge emits everything. Items go up apart, not as
+the underfull sequence they were in: glued together they fit less well (5 % more sequences where a partition has few pieces).
+
+A merge sees classes of items, not items: how many of every size each of its nodes has, at most
+``FAN_IN`` times ``size`` rows, however many pieces there are. It answers with ranges of ranks within a class: where
+they are placed, or which ranks they have one level up. Ranges are then followed from the root back
+to the partitions, where every item finds its sequence by its rank. The driver learns the
+number of partitions and nothing else. Pieces are rows of numbers, ids travel nowhere.
 
 Defined results: a null or empty text is one piece holding the end id; a text longer than a
 sequence is cut so that all its pieces but the first are whole sequences; repeated rows are
@@ -32,12 +37,15 @@ SLICE_CHARS = 2_500_000
 IDLE_WORDS = 100_000
 #: A sequence this full is emitted at once.
 NEARLY_FULL = 0.995
-#: Without effect, as all underfull sequences are handed on at once; tests set them.
-FAN_IN, HANDED_ON = 8, 20_000
+#: Nodes that meet in one merge.
+FAN_IN = 32
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
-#: ``filled`` and ``rank`` are those of an underfull sequence among its partition's of that size.
-PLACED = f"{PIECES}, node int, sequence_id long, offset long, done boolean, filled int, rank long"
+#: ``rank`` is that of a piece among its partition's of the same length that are in underfull sequences.
+PLACED = f"{PIECES}, node int, sequence_id long, offset long, done boolean, rank long"
+#: ``n`` items of one size of a node, from rank ``first`` on: their sequences from ``sequence`` on and the offset in
+#: these, or their first rank among the items of ``parent`` where they go ``up``.
+RANGES = "parent int, node int, size int, first long, n long, sequence long, shift long, up long"
 #: Ranks from ``rank`` on go to the sequences from ``base`` on, at ``offset``.
 Run = tuple[int, int, int]
 
@@ -125,19 +133,73 @@ def placed(runs: tuple[np.ndarray, np.ndarray, np.ndarray], rank: np.ndarray) ->
     return bins[at] + rank - firsts[at], offsets[at]
 
 
+def _fills(plan: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]], counts: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Where the fill of the planned bins changes, and what it is from there on."""
+    starts = np.concatenate([bins for _, bins, _ in plan.values()])
+    lengths = np.concatenate([np.diff(firsts, append=counts[size]) for size, (firsts, _, _) in plan.items()])
+    sizes = np.repeat(list(plan), [len(bins) for _, bins, _ in plan.values()])
+    edges = np.unique(np.concatenate([starts, starts + lengths]))
+    change = np.zeros(len(edges), np.int64)
+    np.add.at(change, np.searchsorted(edges, starts), sizes)
+    np.add.at(change, np.searchsorted(edges, starts + lengths), -sizes)
+    return edges, np.cumsum(change)
+
+
+def merged(classes: list[tuple[int, int, int]], capacity: int, last: bool) -> list[tuple[int, int, int, int, int | None, int, int | None]]:
+    """Best-fit the items of some nodes, given as (node, size, number) by node.
+
+    Gives ranges (node, size, first rank, number, bin, offset, None) of what is placed and
+    (node, size, first rank, number, None, 0, rank) of what goes on under a new rank. Only bins that are
+    nearly full are kept, all of them in the ``last`` merge.
+    """
+    counts: dict[int, int] = {}
+    held: dict[int, list[tuple[int, int, int]]] = {}
+    for node, size, n in classes:
+        held.setdefault(size, []).append((node, counts.get(size, 0), n))
+        counts[size] = counts.get(size, 0) + n
+    plan = plan_of(counts, capacity)
+    edges, fills = _fills(plan, counts)
+    kept = (fills >= NEARLY_FULL * capacity) | last
+    out = []
+    for size, (firsts, bins, offsets) in plan.items():
+        # pieces of runs that are kept or not as a whole
+        parts, up = [], 0
+        for rank, start, shift, n in zip(firsts.tolist(), bins.tolist(), offsets.tolist(), np.diff(firsts, append=counts[size]).tolist()):
+            low, high = np.searchsorted(edges, (start, start + n))
+            a = start
+            for k in range(low, high):
+                if k + 1 < high and kept[k + 1] == kept[k]:
+                    continue
+                b = int(edges[k + 1])
+                if kept[k]:
+                    parts.append((rank + a - start, b - a, a, shift, None))
+                else:
+                    parts.append((rank + a - start, b - a, None, 0, up))
+                    up += b - a
+                a = b
+        begins = np.array([p[0] for p in parts])
+        for node, base, n in held[size]:
+            at = int(np.searchsorted(begins, base, side="right")) - 1
+            while at < len(parts) and parts[at][0] < base + n:
+                first, many, start, shift, rank = parts[at]
+                a, b = max(first, base), min(first + many, base + n)
+                moved = a - first
+                out.append((node, size, a - base, b - a, None if start is None else start + moved, shift, None if rank is None else rank + moved))
+                at += 1
+    return out
+
+
 def _first(rows: pa.Table, node: int, size: int) -> pa.Table:
-    """Best-fit the pieces of a partition and say which of the sequences are done, and the ranks of the others."""
+    """Best-fit the pieces of a partition and say which of them are done, and the ranks of the others."""
     lengths = rows["length"].to_numpy()
     where, offset = best_fit(lengths, size)
-    filled = np.bincount(where, lengths).astype(np.int64)
-    done = filled >= NEARLY_FULL * size
-    order = np.lexsort((done, filled))
-    ordered = filled[order]
-    rank = np.zeros(len(filled), np.int64)
-    # the sequences of one size that are done stand behind the others
-    rank[order] = np.arange(len(filled)) - np.searchsorted(ordered, ordered)
-    n = len(lengths)
-    columns = {"node": np.full(n, node, np.int32), "sequence_id": (node << 28) + where, "offset": offset, "done": done[where], "filled": filled[where].astype(np.int32), "rank": rank[where]}
+    done = (np.bincount(where, lengths) >= NEARLY_FULL * size)[where]
+    # by length, those that are done behind the others
+    order = np.lexsort((done, lengths))
+    ordered = lengths[order]
+    rank = np.zeros(len(lengths), np.int64)
+    rank[order] = np.arange(len(lengths)) - np.searchsorted(ordered, ordered)
+    columns = {"node": np.full(len(lengths), node, np.int32), "sequence_id": (node << 28) + where, "offset": offset, "done": done, "rank": rank}
     for name, values in columns.items():
         rows = rows.append_column(name, pa.array(values))
     return rows
@@ -153,42 +215,70 @@ def pack(pieces: DataFrame, size: int = SEQUENCE) -> DataFrame:
     base = scratch_dir(spark)
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches(list(batches), schema=arrow)
+        held = list(batches)
+        if not held:
+            return
+        table = pa.Table.from_batches(held)
         lengths = table["length"].to_numpy()
         if len(lengths) and (lengths.max() > size or lengths.min() < 1):
             raise ValueError(f"pieces must have 1 to {size} ids")
         if len(lengths):
             yield from _first(table, TaskContext.get().partitionId(), size).to_batches()
 
-    kinds = {"bigint": pa.int64(), "int": pa.int32()}
     pieces = pieces.select("doc_id", "piece", "start", "length", "ids_crc32")
-    arrow = pa.schema([(n, kinds[k]) for n, k in pieces.dtypes])
     rows = store(pieces.mapInArrow(first, PLACED), f"{base}/0")
-    left = rows.filter("not done")
-    # at most one row per partition and size
-    counts = left.groupBy("node", "filled").agg((F.max("rank") + 1).alias("n")).orderBy("node").toArrow()
-    total: dict[int, int] = {}
-    before: dict[tuple[int, int], int] = {}
-    for node, filled, n in zip(*(counts[c].to_pylist() for c in ("node", "filled", "n"))):
-        before[node, filled] = total.get(filled, 0)
-        total[filled] = total.get(filled, 0) + n
-    shared = spark.sparkContext.broadcast((before, plan_of(total, size)))
-
-    def second(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        before, plan = shared.value
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            filled, node, rank = (batch[c].to_numpy() for c in ("filled", "node", "rank"))
-            bins, shift = np.zeros(len(rank), np.int64), np.zeros(len(rank), np.int64)
-            keys, kind = np.unique(node.astype(np.int64) * (size + 1) + filled, return_inverse=True)
-            ranks = rank + np.array([before[k // (size + 1), k % (size + 1)] for k in keys.tolist()], np.int64)[kind.ravel()]
-            for value in np.unique(filled).tolist():
-                mine = filled == value
-                bins[mine], shift[mine] = placed(plan[value], ranks[mine])
-            out = [*(batch[c] for c in pieces_columns), pa.array((1 << 56) + bins), pa.array(batch["offset"].to_numpy() + shift)]
-            yield pa.RecordBatch.from_arrays(out, names=[*pieces_columns, "sequence_id", "offset"])
-
-    pieces_columns = pieces.columns
-    columns = [*pieces_columns, "sequence_id", "offset"]
-    return rows.filter("done").select(columns).unionByName(left.mapInArrow(second, f"{PIECES}, sequence_id long, offset long"))
+    left = rows.filter("not done").select(*pieces.columns, "node", "rank")
+    ranges = _tree(left.groupBy("node", F.col("length").cast("int").alias("size")).agg((F.max("rank") + 1).alias("n")), size, base)
+    kept = pieces.columns
+    columns = [*kept, "sequence_id", "offset"]
+
+    def second(items: pa.Table, ranges: pa.Table) -> pa.Table:
+        key, rank = items["length"].to_numpy(), items["rank"].to_numpy()
+        order = np.lexsort((ranges["first"].to_numpy(), ranges["size"].to_numpy()))
+        ranges = ranges.take(pa.array(order))
+        firsts, sizes = ranges["first"].to_numpy(), ranges["size"].to_numpy().astype(np.int64)
+        # ranks and sizes as one number
+        width = int(max(rank.max(initial=0), firsts.max(initial=0))) + 1
+        at = np.searchsorted(sizes * width + firsts, key * width + rank, side="right") - 1
+        sequence = ranges["sequence"].to_numpy()[at] + rank - firsts[at]
+        return pa.table([*(items[c] for c in kept), pa.array(sequence), pa.array(ranges["shift"].to_numpy()[at])], names=columns)
+
+    # the underfull pieces of one partition, and what the tree says about them
+    placed = left.groupBy("node").cogroup(ranges.groupBy("node")).applyInArrow(second, f"{PIECES}, sequence_id long, offset long")
+    return rows.filter("done").select(columns).unionByName(placed)
+
+
+def _tree(classes: DataFrame, size: int, base: str) -> DataFrame:
+    """Merge classes (node, size, n) of items up to one root; the ranges of every first node: node, size, first, sequence, shift."""
+    nodes = (classes.agg(F.max("node")).first()[0] or 0) + 1
+    levels: list[DataFrame] = []
+    while not levels or nodes > 1:
+        nodes = -(-nodes // FAN_IN)
+        levels.append(store(_merges(classes, size, len(levels) + 1, nodes == 1), f"{base}/{len(levels) + 1}"))
+        classes = levels[-1].filter("up IS NOT NULL").groupBy(F.col("parent").alias("node"), "size").agg(F.sum("n").alias("n"))
+    found = None
+    for level in reversed(levels):
+        placed = level.filter("up IS NULL").select("node", "size", "first", "n", "sequence", "shift")
+        if found is not None:
+            above = found.select(F.col("node").alias("parent"), "size", *(F.col(c).alias(f"_{c}") for c in ("first", "n", "sequence", "shift")))
+            met = level.filter("up IS NOT NULL").select("parent", "node", "size", "first", "n", "up").join(above, ["parent", "size"])
+            met = met.filter("_first < up + n AND up < _first + _n").withColumn("a", F.greatest("up", "_first")).withColumn("b", F.least(F.expr("up + n"), F.expr("_first + _n")))
+            placed = placed.unionByName(met.selectExpr("node", "size", "first + a - up AS first", "b - a AS n", "_sequence + a - _first AS sequence", "_shift AS shift"))
+        found = placed
+    return found.select("node", "size", "first", "sequence", "shift")
+
+
+def _merges(classes: DataFrame, size: int, level: int, last: bool) -> DataFrame:
+    """One round of merges: the ``RANGES`` of the classes of all nodes."""
+    fan_in = FAN_IN
+
+    def run(rows: pa.Table) -> pa.Table:
+        parent = rows["parent"][0].as_py()
+        ordered = sorted(zip(*(rows[c].to_pylist() for c in ("node", "size", "n"))))
+        node, length, first, n, bins, shift, up = zip(*merged(ordered, size, last))
+        sequence = [None if b is None else (level << 56) + (parent << 32) + b for b in bins]
+        columns = ([parent] * len(node), node, length, first, n, sequence, shift, up)
+        kinds = (pa.int32(), pa.int32(), pa.int32(), *[pa.int64()] * 5)
+        return pa.table([pa.array(c, k) for c, k in zip(columns, kinds)], names=[c.split()[0] for c in RANGES.split(", ")])
+
+    return classes.withColumn("parent", (F.col("node") / fan_in).cast("int")).groupBy("parent").applyInArrow(run, RANGES)
