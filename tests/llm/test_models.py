@@ -1,5 +1,6 @@
 """Language identification, toxicity, Kneser-Ney quality, stupid backoff."""
 
+import functools
 import math
 import random
 from collections import Counter, defaultdict
@@ -153,18 +154,39 @@ def kneser_ney_by_hand(texts):
     p1 = {g: (v - d1(v)) / total + free / (len(c1) + 1) for g, v in c1.items()}
     p2 = {g: (v - d2(v)) / t2[g[:1]] + b2[g[:1]] * p1[g[1:]] for g, v in c2.items()}
     p3 = {g: (v - d3(v)) / t3[g[:2]] + b3[g[:2]] * p2[g[1:]] for g, v in c3.items()}
-    log = lambda x: math.log(max(x, 1e-9))
+    pruned = [g for g in c1 if c1[g] == 1]
+    unknown = (1 - sum(p1[g] for g in c1 if c1[g] > 1)) / (len(pruned) + 1)
+    followed2, followed3 = defaultdict(list), defaultdict(list)
+    for g in c2:
+        followed2[g[0]] += [g[1]] * (c2[g] > 1)
+    for g in c3:
+        followed3[g[:2]] += [g[2]] * (c3[g] > 1)
+
+    def q1(w):
+        return p1[w,] if c1[w,] > 1 else unknown
+
+    @functools.cache
+    def b2_left(v):
+        return (1 - sum(p2[v, w] for w in followed2[v])) / (1 - sum(map(q1, followed2[v])))
+
+    def q2(v, w):
+        return p2[v, w] if c2[v, w] > 1 else b2_left(v) * q1(w)
+
+    @functools.cache
+    def b3_left(u, v):
+        return (1 - sum(p3[u, v, w] for w in followed3[u, v])) / (1 - sum(q2(v, w) for w in followed3[u, v]))
+
+    def q3(u, v, w):
+        return p3[u, v, w] if c3[u, v, w] > 1 else b3_left(u, v) * q2(v, w)
+
+    # the whole model, nothing left out, is a distribution itself
+    full = lambda u, v, w: max(c3[u, v, w] - d3(c3[u, v, w]), 0) / t3[u, v] + b3[u, v] * (p2[v, w] if (v, w) in p2 else b2[v,] * (p1[w,] if (w,) in p1 else free / (len(c1) + 1)))
+    u, v = next(iter(t3))
+    assert sum(full(u, v, w) for w, in [*c1, ("<unseen>",)]) == pytest.approx(1, abs=1e-9)
 
     def score(text):
         g = ("<s>", "<s>", *text.split())
-        out = 0.0
-        for i in range(2, len(g)):
-            u, v, w = g[i - 2 : i + 1]
-            p = math.log(p1[w,]) if c1[w,] > 1 else math.log(max(free, 1e-9) / (len(c1) + 1))
-            p = math.log(p2[v, w]) if c2[v, w] > 1 else (log(b2[v,]) if t2[v,] > 1 else 0.0) + p
-            p = math.log(p3[u, v, w]) if c3[u, v, w] > 1 else (log(b3[u, v]) if t3[u, v] > 1 else 0.0) + p
-            out += p
-        return out
+        return sum(math.log(q3(*g[i - 2 : i + 1])) for i in range(2, len(g)))
 
     return score
 
@@ -181,6 +203,34 @@ def test_model_is_that_of_the_book(make_docs, corpus, local_rows):
         assert found[i][kneser_ney.LOGP] == pytest.approx(want(text or ""), rel=1e-9, abs=1e-9)
 
 
+def test_probabilities_after_a_context_sum_to_one(make_docs, corpus):
+    """Of all words of the training text and an unseen one, after contexts that are frequent, rare and new."""
+    model = kneser_ney.train(make_docs(corpus))
+    grams = Counter(tuple(("<s> " + t).split()[i : i + 2]) for _, t, _ in corpus for i in range(len(t.split()) - 1))
+    words = sorted({w for _, t, _ in corpus for w in t.split()})
+    frequent = [g for g, _ in grams.most_common(4)]
+    once = [g for g, n in grams.items() if n == 1][:3]
+    contexts = [("",), *(c for c in (*frequent, *once) if "<s>" not in c), (words[0],), (words[3], "neverseen"), ("neverseen", words[5])]
+    texts = [" ".join([*c, w]).strip() for c in contexts for w in ["", *words, "<unseen>"]]
+    found = {r["doc_id"]: r[kneser_ney.LOGP] for r in kneser_ney.log_probabilities(make_docs(list(enumerate(texts))), model).collect()}
+    step = len(words) + 2
+    for k in range(len(contexts)):
+        before, *after = (found[k * step + i] for i in range(step))
+        assert sum(math.exp(x - before) for x in after) == pytest.approx(1, abs=1e-9), contexts[k]
+
+
+def test_fewer_trusted_documents_judge_more_mildly(spark, make_docs):
+    """No number of documents is a switch: the threshold falls smoothly as they get more."""
+    rng = random.Random(9)
+    texts = [prose(rng, "xx", 40) for _ in range(40)]
+    limits = []
+    for n in (20, 160, 170, 400):
+        rows = [(i, texts[i % 40], "xx") for i in range(n)]
+        labels = spark.createDataFrame([(i, 1) for i in range(n)], "doc_id long, quality int")
+        limits.append(math.log(kneser_ney.scored(make_docs(rows), labels).first()["threshold"]))
+    assert limits[0] > limits[1] > limits[3] and abs(limits[1] - limits[2]) < 0.3
+
+
 def test_quality_keeps_clean_and_drops_junk(spark, make_docs, odd_rows):
     rng = random.Random(6)
     rows = [(i, prose(rng, lang, rng.randint(8, 60)), lang) for i, lang in enumerate(rng.choice(["xx", "yy"]) for _ in range(600))]
