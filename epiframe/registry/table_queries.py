@@ -19,10 +19,12 @@ from epiframe.registry.episode_queries import stuck_frames
 from epiframe.schema import EPISODE, STATE
 from epiframe.sources import frames as frame_store
 from epiframe.sources import logs, snapshot
+from epiframe.sources.indexed import read_indexed, write_indexed
 from epiframe.sources.windows import read_windows as read_stored_windows
 from epiframe.storage import pin, scratch_dir
 from epiframe.streaming.metrics import stream_metrics as parse_lines
 from epiframe.streaming.record import stream_frames
+from epiframe.streaming.runs import read_runs, run_report, stream_runs, update_runs
 from epiframe.streaming.sinks import drain, stream_ingest, stream_parquet
 from epiframe.streaming.stuck import stream_stuck_actions as detect_stuck
 
@@ -127,6 +129,21 @@ def stream_metrics(spark, sf):
     return drain(parse_lines(lines), f"{base}/out", f"{base}/checkpoint").select("name", "value", "step")
 
 
+def stream_run_table(spark, sf):
+    """Log lines arrive in three parts, the query starts anew for each, and the last batch is delivered once more."""
+    base = scratch_dir(spark)
+    lines = views.arch_lines(spark, sf)
+    last = lines.agg(F.max("line_no")).first()[0] or 0
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in lines.schema.fields])
+    for part in range(3):
+        now = lines.where((F.col("line_no") * 3 >= part * (last + 1)) & (F.col("line_no") * 3 < (part + 1) * (last + 1)))
+        now.write.mode("append").parquet(f"{base}/in")
+        found = parse_lines(stream_parquet(spark, f"{base}/in", schema), F.col("target_arch"))
+        stream_runs(found, f"{base}/runs", f"{base}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    update_runs(parse_lines(now, F.col("target_arch")), 2, f"{base}/runs")
+    return run_report(views.runs(spark, sf), read_runs(spark, f"{base}/runs"))
+
+
 # -- frames as files and streams ----------------------------------------------------
 
 
@@ -376,6 +393,16 @@ def select_rows(spark, sf):
     return tables.select_rows(docs, listed).select("pos", "row_index", "n_chars")
 
 
+def select_indexed(spark, sf):
+    """Documents stored by index; the labelled ones in label order, each listed twice, from the files that hold them."""
+    base = scratch_dir(spark)
+    docs = views.table(spark, sf, "documents").withColumnRenamed("doc_id", "row_index")
+    write_indexed(docs, base, part_bytes=1 << 18)
+    placed = dense_index(views.table(spark, sf, "labels").select("doc_id"), ["doc_id"], "_i")
+    listed = placed.select(F.col("doc_id").alias("row_index"), F.explode(F.array(F.col("_i") * 2, F.col("_i") * 2 + 1)).alias("pos"))
+    return read_indexed(spark, base, listed).select("pos", "row_index", "n_chars")
+
+
 def restored_order(spark, sf):
     """Rows scattered by a hash come back in order."""
     docs = views.table(spark, sf, "documents").withColumnRenamed("doc_id", "row_index")
@@ -480,11 +507,11 @@ QUERIES = {
     for f in (
         format_metric, format_metric_unstepped, metric_names, parse_metric, parse_metric_prose, parse_arch_metric,
         parse_step, thin_log, attach_primary_metric, last_metric, best_metric, distinct_metrics, write_metric_lines,
-        read_train_log, stream_metrics, write_read_frames, dataset_meta, read_windows, read_windows_from_frames,
+        read_train_log, stream_metrics, stream_run_table, write_read_frames, dataset_meta, read_windows, read_windows_from_frames,
         stream_ingest_frames, stream_stuck_actions, quantize_u8, quantize_array, dequantize_u8, hwc_to_chw,
         hwc_to_chw_bytes, resize_images, coerce_image, row_bytes, image_columns, normalized_columns, size_budget,
         split_state, split_state_with_pose, assemble_state_terms, object_pose, motors_to_state, action_to_columns,
-        rename_image_columns, signature, dataset_id, recording_id, select_rows, restored_order, merge_sources,
+        rename_image_columns, signature, dataset_id, recording_id, select_rows, select_indexed, restored_order, merge_sources,
         renumber_episodes, record_dataset, stream_recording, image_stats, filtered_dataset_meta, shape_report, snapshot_windows, snapshot_by_file, persisted_frames, converted_windows, cached_frames,
     )
 }

@@ -59,6 +59,11 @@ FROM customer LEFT JOIN (SELECT run_id, min(value) AS lo, max(value) AS hi FROM
     "read_train_log": """WITH written AS (SELECT event_id AS step, row_number() OVER (ORDER BY event_id) AS place FROM events)
 SELECT step, step = min(step) OVER () + place - 1 AS in_order FROM written""",
     "stream_metrics": "SELECT event_type AS name, CAST(format('{:.6g}', value) AS DOUBLE) AS value, event_id AS step FROM events",
+    "stream_run_table": f"""WITH {PRIMARY}
+SELECT c_custkey AS run_id, {ARCH.format(run='c_custkey')} AS target_arch, {METRIC.format(run='c_custkey')} AS metric, coalesce(last_value, 0.0) AS value,
+  CASE WHEN c_custkey % 5 < 3 THEN hi ELSE lo END AS best, coalesce(n, 0) AS n_values
+FROM customer LEFT JOIN (
+  SELECT run_id, arg_max(value, line_no) AS last_value, min(value) AS lo, max(value) AS hi, count(*) AS n FROM primary_metrics WHERE hit GROUP BY 1) ON run_id = c_custkey""",
     "write_read_frames": f"WITH {FRAMES} SELECT episode_index, frame_index, event_id, round(value, 6) AS a0 FROM frames",
     "dataset_meta": """SELECT count(DISTINCT user_id) AS total_episodes, count(*) AS total_frames, CAST(30 AS DOUBLE) AS fps,
   round(greatest(max(value), max(length(event_type))), 4) AS largest_action FROM events""",
@@ -110,6 +115,8 @@ FROM documents GROUP BY 1""",
     "dataset_id": """SELECT page_id, CASE WHEN url LIKE 'https%' THEN array_to_string(list_slice(string_split(rtrim(url, '/'), '/'), -2, -1), '/') ELSE url END AS dataset_id FROM pages""",
     "recording_id": "SELECT p_partkey, 'local/' || replace(lower(p_type || '-' || p_brand), '-', '_') || '_dr' AS recording_id FROM part",
     "select_rows": """WITH listed AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS i FROM labels)
+SELECT 2 * i + j AS pos, doc_id AS row_index, n_chars FROM listed JOIN documents USING (doc_id), (SELECT unnest([0, 1]) AS j)""",
+    "select_indexed": """WITH listed AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS i FROM labels)
 SELECT 2 * i + j AS pos, doc_id AS row_index, n_chars FROM listed JOIN documents USING (doc_id), (SELECT unnest([0, 1]) AS j)""",
     "restored_order": "SELECT doc_id AS row_index, n_chars FROM documents ORDER BY doc_id",
     "merge_sources": f"""WITH {FRAMES} SELECT 'real' AS source, episode_index, frame_index, round(value, 4) AS value FROM frames
