@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 from epiframe.functions import ids, images, state
 from epiframe.functions import metrics as text
 from epiframe.operators import tables
+from epiframe.operators.control import interval_micros
 from epiframe.operators.ordered import dense_index
 from epiframe.operators.sampling import restore_order
 from epiframe.operators.windows import sliding_windows
@@ -23,6 +24,7 @@ from epiframe.sources.indexed import read_indexed, write_indexed
 from epiframe.sources.windows import read_windows as read_stored_windows
 from epiframe.storage import pin, scratch_dir
 from epiframe.streaming.metrics import stream_metrics as parse_lines
+from epiframe.streaming.rate import stream_rate
 from epiframe.streaming.record import stream_frames
 from epiframe.streaming.runs import read_runs, run_report, stream_runs, update_runs
 from epiframe.streaming.sinks import drain, stream_ingest, stream_parquet
@@ -206,6 +208,22 @@ def stream_stuck_actions(spark, sf):
     return hits.select("episode_index", "frame_index", "repeat_count", F.col("action")[0].alias("a0"), F.col("action")[1].alias("a1"))
 
 
+def stream_rate_audit(spark, sf):
+    """Frames arrive in three parts by their time, the query starting anew for each: late frames, counted by episode."""
+    base = scratch_dir(spark)
+    micros = interval_micros(F.col("ts"), F.expr("TIMESTAMP_NTZ'1970-01-01'"))
+    frames = pin(views.frames(spark, sf).select("episode_index", "frame_index", micros.alias("us")))
+    low, high = frames.agg(F.coalesce(F.min("us"), F.lit(0)), F.coalesce(F.max("us"), F.lit(0))).first()
+    timed = frames.select("episode_index", "frame_index", F.timestamp_micros("us").alias("ts"))
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in timed.schema.fields])
+    part_of = F.floor((F.col("us") - low) * 3 / (high - low + 1))
+    for part in range(3):
+        now = frames.where(part_of == part).select("episode_index", "frame_index", F.timestamp_micros("us").alias("ts"))
+        now.write.mode("append").parquet(f"{base}/in")
+        found = drain(stream_rate(stream_parquet(spark, f"{base}/in", schema)), f"{base}/out", f"{base}/checkpoint")
+    return found.where("kind = 'late'").groupBy("episode_index").agg(F.count("*").alias("n_overruns"), F.max("gap_us").alias("max_gap_us"))
+
+
 def stream_recording(spark, sf):
     """Step logs that arrive in three parts, the query starting anew for each: frames of the episodes that close."""
     base = scratch_dir(spark)
@@ -512,6 +530,6 @@ QUERIES = {
         hwc_to_chw_bytes, resize_images, coerce_image, row_bytes, image_columns, normalized_columns, size_budget,
         split_state, split_state_with_pose, assemble_state_terms, object_pose, motors_to_state, action_to_columns,
         rename_image_columns, signature, dataset_id, recording_id, select_rows, select_indexed, restored_order, merge_sources,
-        renumber_episodes, record_dataset, stream_recording, image_stats, filtered_dataset_meta, shape_report, snapshot_windows, snapshot_by_file, persisted_frames, converted_windows, cached_frames,
+        renumber_episodes, record_dataset, stream_recording, stream_rate_audit, image_stats, filtered_dataset_meta, shape_report, snapshot_windows, snapshot_by_file, persisted_frames, converted_windows, cached_frames,
     )
 }

@@ -129,6 +129,10 @@ SELECT dense_rank() OVER (ORDER BY stream_id, episode_index) - 1 AS episode_inde
        round(CAST(CAST(frame_index / 30.0 AS FLOAT) AS DOUBLE), 5) AS timestamp,
        round(coalesce(lag(value) OVER (PARTITION BY stream_id, episode_index ORDER BY frame_index), -1.0), 3) AS s0, len AS a0
 FROM recorded""",
+    "stream_rate_audit": f"""WITH {FRAMES}
+SELECT episode_index, count(*) AS n_overruns, max(gap) AS max_gap_us
+FROM (SELECT episode_index, epoch_us(ts) - epoch_us(lag(ts) OVER (PARTITION BY episode_index ORDER BY frame_index)) AS gap FROM frames)
+WHERE gap > 1000000 / 30.0 GROUP BY 1""",
     "stream_recording": f"""WITH {STEPS}
 SELECT stream_id, seq, episode_index, frame_index, round(CAST(CAST(frame_index / 30.0 AS FLOAT) AS DOUBLE), 5) AS timestamp,
        round(coalesce(lag(value) OVER (PARTITION BY stream_id, episode_index ORDER BY frame_index), -1.0), 3) AS s0, len AS a0
