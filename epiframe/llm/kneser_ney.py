@@ -1,18 +1,22 @@
 """Quality by the perplexity of an interpolated modified Kneser-Ney trigram model.
 
-The model is trained on trusted text: at most ``FIT_DOCUMENTS`` documents of every language
-with quality label 1, those with the lowest hash of their id in seven of ten folds. Counts,
-continuation counts, discounts (from the counts of counts) and backoff weights are grouped
-sums and joins over tables sharded by n-gram hash. Trigrams and bigrams seen once, and words
+The model is trained on all trusted text: the documents with quality label 1 in seven of ten folds
+(at most ``FIT_DOCUMENTS`` of a language, those with the lowest hash of their id, if that is set). Tasks
+count the trigrams of slices of text and send them as sorted arrays to the shard of their last two words;
+a shard sums them and knows every continuation count of its bigrams. An n-gram seen once leaves
+the shard as part of a sum alone: what a context's frequent n-grams leave of its total is the number seen once.
+Trigrams and bigrams seen once, and words
 seen once, are left out of the tables once the weights are known. What they had goes to the
 lower order: the weight of a context is the share its kept n-grams leave, over the share that the lower
 order gives to all other words. What the kept words leave is divided evenly among the words
 left out and one more that stands for any unseen word. So the probabilities of all words of the training text and an unseen
 one sum to one after every context.
 
-Scoring joins every n-gram of every text with the tables and sums by document. Tables that
+A table holds what a kept n-gram adds to the log probability that the lower orders give, so a text's log probability
+is a plain sum over its n-grams. Tables that
 are counted to have at most ``LOCAL_ROWS`` rows go to every task, which looks n-grams up
-where the texts are; larger ones stay in their shards and the n-grams are shuffled to them.
+where the texts are; larger ones stay in shards: documents are dealt to batches, a batch asks the shards for its
+distinct n-grams, as sorted arrays of hashes, and they answer with the values of those they hold.
 
 A document's mean log probability is drawn to its language's mean as if it had
 ``PRIOR_WORDS`` more words, so that a few rare words do not condemn a short text. It is kept
@@ -38,20 +42,28 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from epiframe.llm.tables import few_at_once, lowest_hashes, store
+from epiframe.llm.tallies import bytewise, whole
 from epiframe.llm.words import chained, fold, slices, word_hashes
 
-FIT_DOCUMENTS = 2500
+#: Trusted documents of a language to train on; None for all.
+FIT_DOCUMENTS: int | None = None
 QUANTILE, MARGIN, FEW = 0.995, 0.05, 10
 PRIOR_WORDS = 20
 LOCAL_ROWS = 3_000_000
-#: Ids of held-out documents that may be broadcast.
+#: Ids of trusted documents that may be broadcast.
 BROADCAST_ROWS = 1_000_000
 #: Characters whose n-grams a task holds at once.
 SLICE_CHARS = 2_000_000
+#: Text bytes whose n-grams travel together, and text bytes of a shard, on average: in counting, and in scoring.
+COUNT_BYTES, COUNT_SHARD = 8_000_000, 16_000_000
+BATCH_BYTES, SHARD_BYTES = 8_000_000, 48_000_000
 START = np.uint64(xxhash.xxh3_64_intdigest(b"<s>"))
 #: Names of added columns, beside which documents may have columns of any usual name.
-WORDS, LOGP, LOSS, LIMIT, KEEP, ROW = (f"_kn_{n}" for n in ("words", "logp", "loss", "limit", "keep", "row"))
-GRAMS = ["uvw", "uv", "vw", "v", "w"]
+WORDS, LOGP, LOSS, LIMIT, KEEP, BATCH = (f"_kn_{n}" for n in ("words", "logp", "loss", "limit", "keep", "batch"))
+#: Rows of the counted n-grams: bigrams (key, first word, last word, continuation count, how often a word follows), trigrams
+#: (key, first bigram, last bigram, count), words (key, bigrams' continuation counts after it, bigrams that end in it), and sums.
+BIGRAM, TRIGRAM, WORD, SUM = range(4)
+COUNTED = "kind int, key long, a long, b long, c long, t long"
 
 
 def ngrams(texts: list[str | None]) -> tuple[dict[str, np.ndarray], np.ndarray]:
@@ -66,30 +78,107 @@ def ngrams(texts: list[str | None]) -> tuple[dict[str, np.ndarray], np.ndarray]:
     at = np.flatnonzero(real)
     u, v, w = flat[at - 2], flat[at - 1], flat[at]
     uv = chained(u, v)
-    return {"uvw": chained(uv, w), "uv": uv, "vw": chained(v, w), "v": v, "w": w}, counts
+    return {"uvw": chained(uv, w), "uv": uv, "vw": chained(v, w), "u": u, "v": v, "w": w}, counts
 
 
-def _counted(docs: DataFrame) -> DataFrame:
-    """One row per bigram of the texts, in the shard of its hash: v, w, and the trigrams that end in it with their counts.
+def _shard(keys: np.ndarray, shards: int) -> np.ndarray:
+    """The shard of every key; shards follow each other as sorted keys do."""
+    return (keys >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)
 
-    The hash of a trigram seen once is left out; only its count and context are ever asked for.
-    """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", SLICE_CHARS):
-            grams, _ = ngrams(batch["text"].to_pylist())
-            _, first, count = np.unique(grams["uvw"], return_index=True, return_counts=True)
-            yield pa.RecordBatch.from_arrays([*(pa.array(grams[g][first].view(np.int64)) for g in GRAMS), pa.array(count)], names=[*GRAMS, "c"])
+def _signed(keys: np.ndarray) -> pa.Array:
+    return pa.array(keys.view(np.int64))
 
-    rows = docs.select("text").mapInArrow(run, ", ".join(f"{g} long" for g in GRAMS) + ", c long").repartition("vw")
-    trigrams = rows.groupBy("vw", "uvw").agg(F.sum("c").alias("c"), *(F.first(g).alias(g) for g in ("uv", "v", "w")))
-    each = F.struct(F.when(F.col("c") > 1, F.col("uvw")).alias("uvw"), "uv", "c")
-    return trigrams.groupBy("vw").agg(F.first("v").alias("v"), F.first("w").alias("w"), F.collect_list(each).alias("trigrams"))
 
+def _starts(*columns: np.ndarray) -> np.ndarray:
+    """Where sorted rows differ from the row before."""
+    fresh = np.zeros(len(columns[0]), bool)
+    fresh[:1] = True
+    for x in columns:
+        fresh[1:] |= x[1:] != x[:-1]
+    return np.flatnonzero(fresh)
+
+
+def _sent(texts: list[str | None], shards: int) -> pa.RecordBatch:
+    """The distinct trigrams of some texts with their counts, a row per shard of their last two words.
+
+    They are sorted by middle, last and first word, which are numbers into the shard's distinct words;
+    ``ends`` is how often a trigram ends a text.
+    """
+    grams, sizes = ngrams(texts)
+    last = np.zeros(len(grams["w"]))
+    last[np.cumsum(sizes)[sizes > 0] - 1] = 1
+    _, first, number, count = np.unique(grams["uvw"], return_index=True, return_inverse=True, return_counts=True)
+    ends = np.bincount(number.ravel(), last, len(count))
+    home = _shard(grams["vw"][first], shards)
+    order = np.lexsort((grams["u"][first], grams["w"][first], grams["v"][first], home))
+    first, home = first[order], home[order]
+    u, v, w = (grams[g][first] for g in "uvw")
+    bounds = [*_starts(home).tolist(), len(home)]
+    columns = {n: [] for n in ("words", "u", "v", "w", "counts", "ends")}
+    for x, y in zip(bounds, bounds[1:]):
+        words, place = np.unique(np.concatenate([u[x:y], v[x:y], w[x:y]]), return_inverse=True)
+        columns["words"].append(bytewise(np.diff(words, prepend=np.uint64(0))))
+        for name, x32 in zip("uvw", np.split(place.ravel().astype(np.int32), 3)):
+            columns[name].append(bytewise(x32))
+        columns["counts"].append(bytewise(count[order[x:y]].astype(np.int64)))
+        columns["ends"].append(bytewise(ends[order[x:y]].astype(np.int64)))
+    return pa.RecordBatch.from_arrays([pa.array(home[bounds[:-1]].astype(np.int64)), *(pa.array(c, pa.binary()) for c in columns.values())], names=["shard", *columns])
+
+
+def _summed(table: pa.Table) -> pa.Table:
+    """What the trigrams of a shard say, n-grams seen once as sums alone."""
+    words = [np.cumsum(whole(x, np.uint64), dtype=np.uint64) for x in table["words"].to_pylist()]
+    u, v, w = (np.concatenate([d[whole(x, np.int32)] for d, x in zip(words, table[g].to_pylist())]) for g in "uvw")
+    count, ends = (np.concatenate([whole(x, np.int64) for x in table[g].to_pylist()]) for g in ("counts", "ends"))
+    vw, uv = chained(v, w), chained(u, v)
+    uvw = chained(uv, w)
+    order = np.lexsort((uvw, vw))
+    at = _starts(vw[order], uvw[order])
+    one = order[at]
+    c3, ends = np.add.reduceat(count[order], at), np.add.reduceat(ends[order], at)
+    vw, uv, uvw, v, w = (x[one] for x in (vw, uv, uvw, v, w))
+    at = _starts(vw)
+    c2, n, after = np.diff(np.append(at, len(vw))), np.add.reduceat(c3, at), np.add.reduceat(c3 - ends, at)
+    v, w, keys = v[at], w[at], vw[at]
+    again, twice = c3 > 1, n > 1
+    known, place = np.unique(np.concatenate([v, w]), return_inverse=True)
+    before, behind = np.split(place.ravel(), 2)
+    follow, end = np.bincount(before, c2, len(known)).astype(np.int64), np.bincount(behind, minlength=len(known)).astype(np.int64)
+    of = [(10 * size + k, (c == k).sum()) for size, c in ((2, c2), (3, c3)) for k in (1, 2, 3, 4)] + [(0, n[v == START].sum())]
+    parts = [
+        (BIGRAM, keys[twice], v[twice], w[twice], c2[twice], after[twice]),
+        (TRIGRAM, uvw[again], uv[again], vw[again], c3[again], None),
+        (WORD, known, None, None, follow, end),
+        (SUM, np.array([k for k, _ in of], np.uint64), None, None, np.array([c for _, c in of], np.int64), None),
+    ]
+    names = ["kind", "key", "a", "b", "c", "t"]
+    nothing = lambda x, n: pa.nulls(n, pa.int64()) if x is None else _signed(x)
+    return pa.concat_tables([pa.table([pa.array([kind] * len(key), pa.int32()), *(nothing(x, len(key)) for x in (key, *rest))], names=names) for kind, key, *rest in parts])
 
-def discounts(counts: DataFrame, c: str) -> list[float]:
-    """The three discounts of modified Kneser-Ney smoothing."""
-    n = [0, *counts.agg(*(F.count(F.when(F.col(c) == k, 1)) for k in (1, 2, 3, 4))).first()]
+
+def _counted(docs: DataFrame) -> DataFrame:
+    """The n-grams of the texts that are seen twice or more, words, and sums over all."""
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    shards = max(1, -(-size // COUNT_SHARD))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts, held = [], 0
+        for batch in slices(batches, "text", COUNT_BYTES):
+            texts += batch["text"].to_pylist()
+            held += batch["text"].nbytes
+            if held >= COUNT_BYTES:
+                yield _sent(texts, shards)
+                texts, held = [], 0
+        yield _sent(texts, shards)
+
+    sent = docs.select("text").mapInArrow(run, "shard long, words binary, u binary, v binary, w binary, counts binary, ends binary")
+    return sent.groupBy("shard").applyInArrow(_summed, COUNTED)
+
+
+def discounts(n: list[int]) -> list[float]:
+    """The three discounts of modified Kneser-Ney smoothing, from how many n-grams have a count of 1, 2, 3 and 4."""
+    n = [0, *n]
     y = n[1] / (n[1] + 2 * n[2]) if n[1] else 0.0
     return [min(float(k), max(0.0, k - (k + 1) * y * n[k + 1] / n[k])) if n[k] else 0.0 for k in (1, 2, 3)]
 
@@ -98,14 +187,23 @@ def _discount(c: str, d: list[float]) -> Column:
     return F.expr(f"case {c} when 1 then {d[0]!r} when 2 then {d[1]!r} else {d[2]!r} end").cast("double")
 
 
-def _contexts(counts: DataFrame, context: str, c: str, d: list[float]) -> DataFrame:
-    """Per context the sum of its counts and the weight of the lower order after it."""
-    return counts.groupBy(context).agg(F.sum(c).alias("total"), F.sum(_discount(c, d)).alias("free")).select(context, "total", (F.col("free") / F.col("total")).alias("back"))
+def _contexts(totals: DataFrame, kept: DataFrame, context: str, d: list[float], how: str) -> DataFrame:
+    """The weight of the lower order after contexts, from their totals (``context``, total) and their n-grams ``kept``, seen more than once.
+
+    What the kept ones leave of a total is the number of n-grams seen once.
+    """
+    own = kept.groupBy(context).agg(F.sum("c").alias("_sum"), F.sum(_discount("c", d)).alias("_free"))
+    once = F.col("total") - F.coalesce("_sum", F.lit(0))
+    free = F.coalesce("_free", F.lit(0.0)) + once * F.lit(d[0])
+    return totals.join(own, context, how).select(context, "total", (free / F.col("total")).alias("back"))
 
 
 @dataclass
 class Model:
-    """Tables (key, lp, bow) of words and bigrams, (key, lp) of trigrams, and the unknown word's log probability."""
+    """Tables (key, gain, bow) of words and bigrams, (key, gain) of trigrams, and the unknown word's log probability.
+
+    A gain is what a kept n-gram adds to the log probability of its last word by the lower orders, a bow what is added after it as a context.
+    """
 
     one: DataFrame
     two: DataFrame
@@ -116,40 +214,46 @@ class Model:
 def train(docs: DataFrame) -> Model | None:
     """A model of the texts of ``docs``; none without words."""
     counted = store(_counted(docs))
-    c3 = counted.select("vw", F.inline("trigrams"))
-    # continuation counts: how many different words stand before
-    c2 = counted.select("vw", "v", "w", F.size("trigrams").cast("long").alias("c"))
-    c1 = store(c2.groupBy("w").agg(F.count("*").alias("c")))
-    words, total = c1.agg(F.count("*"), F.sum("c")).first()
-    if not words:
+    words = store(counted.filter(F.col("kind") == WORD).groupBy("key").agg(F.sum("c").alias("total"), F.sum("t").alias("c")))
+    c1 = words.filter("c > 0").select(F.col("key").alias("w"), "c")
+    known, total, *ones = c1.agg(F.count("*"), F.sum("c"), *(F.count(F.when(F.col("c") == k, 1)) for k in (1, 2, 3, 4))).first()
+    if not known:
         return None
-    d3, d2, d1 = (discounts(x, "c") for x in (c3, c2, c1))
+    # nine rows
+    sums = {r["key"]: r["c"] for r in counted.filter(F.col("kind") == SUM).groupBy("key").agg(F.sum("c").alias("c")).collect()}
+    d1, d2, d3 = discounts(ones), *(discounts([sums[10 * size + k] for k in (1, 2, 3, 4)]) for size in (2, 3))
+    # bigrams that are kept themselves or end a trigram that is; continuation counts: how many different words stand before
+    asked = counted.filter(F.col("kind") == BIGRAM).select(F.col("key").alias("vw"), F.col("a").alias("v"), F.col("b").alias("w"), "c", F.col("t").alias("total"))
+    c3 = counted.filter(F.col("kind") == TRIGRAM).select(F.col("key").alias("uvw"), F.col("a").alias("uv"), F.col("b").alias("vw"), "c")
     free = c1.agg(F.sum(_discount("c", d1))).first()[0] / total
-    p1 = c1.select("w", "c", ((F.col("c") - _discount("c", d1)) / total + free / (words + 1)).alias("p1"))
-    back2, back3 = _contexts(c2, "v", "c", d2), _contexts(c3, "uv", "c", d3)
-    known, share = p1.filter("c > 1").agg(F.count("*"), F.coalesce(F.sum("p1"), F.lit(0.0))).first()
-    unknown = max(1.0 - share, 1e-9) / (words - known + 1)
+    p1 = c1.select("w", "c", ((F.col("c") - _discount("c", d1)) / total + free / (known + 1)).alias("p1"))
+    back2 = _contexts(words.filter("total > 0").select(F.col("key").alias("v"), "total"), asked.filter("c > 1"), "v", d2, "left")
+    # every text has the context of two starts, which ends no trigram
+    start = int(chained(START[None], START[None]).view(np.int64)[0])
+    totals = asked.select(F.col("vw").alias("uv"), "total").union(docs.sparkSession.range(1).select(F.lit(start).alias("uv"), F.lit(sums[0]).cast("long").alias("total")))
+    back3 = _contexts(totals, c3, "uv", d3, "inner")
+    kept, share = p1.filter("c > 1").agg(F.count("*"), F.coalesce(F.sum("p1"), F.lit(0.0))).first()
+    unknown = max(1.0 - share, 1e-9) / (known - kept + 1)
     q1 = p1.withColumn("q1", F.when(F.col("c") > 1, F.col("p1")).otherwise(unknown)).select("w", "p1", "q1")
-    # bigrams that are kept themselves or end a trigram that is
-    asked = counted.filter("size(trigrams) > 1 or exists(trigrams, t -> t.c > 1)").select("vw", "v", "w", F.size("trigrams").cast("long").alias("c"))
     p2 = (F.col("c") - _discount("c", d2)) / F.col("total") + F.col("back") * F.col("p1")
-    two = store(asked.join(back2, "v").join(q1, "w").select("vw", "v", "c", p2.alias("p2"), "q1"))
+    two = store(asked.drop("total").join(back2, "v").join(q1, "w").select("vw", "v", "c", p2.alias("p2"), "q1"))
     bow2 = store(_left(two.filter("c > 1"), "v", "p2", "q1"))
-    q2 = F.when(F.col("c") > 1, F.col("p2")).otherwise(F.coalesce("bow", F.lit(1.0)) * F.col("q1"))
-    lower = two.join(bow2, "v", "left").select("vw", "p2", q2.alias("q2"))
+    low = F.coalesce("bow", F.lit(1.0)) * F.col("q1")
+    lower = two.join(bow2, "v", "left").select("vw", "c", "p2", low.alias("q1")).withColumn("q2", F.when(F.col("c") > 1, F.col("p2")).otherwise(F.col("q1")))
     p3 = (F.col("c") - _discount("c", d3)) / F.col("total") + F.col("back") * F.col("p2")
-    three = store(c3.filter("c > 1").join(back3, "uv").join(lower, "vw").select("uvw", "uv", p3.alias("p3"), "q2"))
-    bow3 = _left(three, "uv", "p3", "q2")
+    three = store(c3.join(back3, "uv").join(lower.drop("c"), "vw").select("uvw", "uv", p3.alias("p3"), "q2"))
+    bow3 = store(_left(three, "uv", "p3", "q2"))
 
-    def table(rows: DataFrame, key: str, p: str) -> DataFrame:
-        return rows.select(F.col(key).alias("key"), F.log(p).alias("lp"))
+    def table(rows: DataFrame, key: str, gain: Column) -> DataFrame:
+        return rows.select(F.col(key).alias("key"), gain.alias("gain"))
 
     def weights(rows: DataFrame, key: str) -> DataFrame:
         return rows.select(F.col(key).alias("key"), F.log("bow").alias("bow"))
 
-    one_of = table(p1.filter("c > 1"), "w", "p1").join(weights(bow2, "v"), "key", "full")
-    two_of = table(two.filter("c > 1"), "vw", "p2").join(weights(bow3, "uv"), "key", "full")
-    return Model(store(one_of), store(two_of), store(table(three, "uvw", "p3")), float(np.log(unknown)))
+    one_of = table(p1.filter("c > 1"), "w", F.log("p1") - float(np.log(unknown))).join(weights(bow2, "v"), "key", "full")
+    two_of = table(lower.filter("c > 1"), "vw", F.log("p2") - F.log("q1")).join(weights(bow3, "uv"), "key", "full")
+    three_of = table(three.join(bow3, "uv"), "uvw", F.log("p3") - F.log("q2") - F.log("bow"))
+    return Model(store(one_of), store(two_of), store(three_of), float(np.log(unknown)))
 
 
 def _left(kept: DataFrame, context: str, p: str, lower: str) -> DataFrame:
@@ -166,14 +270,23 @@ class Table:
         keys = table["key"].to_numpy().view(np.uint64)
         order = np.argsort(keys)
         self.keys = keys[order]
-        self.values = {c: table[c].to_numpy()[order].astype(np.float64) for c in table.column_names if c != "key"}
+        self.values = {c: np.nan_to_num(table[c].to_numpy()[order].astype(np.float64)) for c in table.column_names if c != "key"}
 
     def get(self, keys: np.ndarray, column: str) -> np.ndarray:
-        """The value of every key, NaN where there is none."""
+        """The value of every key, 0 where there is none."""
         if not len(self.keys):
-            return np.full(len(keys), np.nan)
+            return np.zeros(len(keys))
         at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        return np.where(self.keys[at] == keys, self.values[column][at], np.nan)
+        return np.where(self.keys[at] == keys, self.values[column][at], 0.0)
+
+
+def _with_sums(docs: pa.RecordBatch | pa.Table, counts: np.ndarray, values: np.ndarray) -> list[pa.Array]:
+    sums = np.bincount(np.repeat(np.arange(len(counts)), counts), values, len(counts))
+    return [*docs.columns, pa.array(counts), pa.array(sums)]
+
+
+def _judged_schema(docs: DataFrame) -> StructType:
+    return StructType([*docs.schema.fields, *StructType.fromDDL(f"{WORDS} long, {LOGP} double").fields])
 
 
 def _local(docs: DataFrame, model: Model) -> DataFrame:
@@ -188,40 +301,76 @@ def _local(docs: DataFrame, model: Model) -> DataFrame:
             grams, counts = ngrams(batch["text"].to_pylist())
             words, number = np.unique(np.concatenate([grams["w"], grams["v"]]), return_inverse=True)
             w, v = np.split(number.ravel(), 2)
-            lp1, bow1 = one.get(words, "lp")[w], one.get(words, "bow")[v]
-            lp2, bow2 = two.get(grams["vw"], "lp"), two.get(grams["uv"], "bow")
-            lp = np.where(np.isnan(lp1), unknown, lp1)
-            lp = np.where(np.isnan(lp2), np.nan_to_num(bow1) + lp, lp2)
-            lp3 = three.get(grams["uvw"], "lp")
-            lp = np.where(np.isnan(lp3), np.nan_to_num(bow2) + lp, lp3)
-            sums = np.bincount(np.repeat(np.arange(len(counts)), counts), lp, len(counts))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(counts), pa.array(sums)], schema=pa.schema([*batch.schema, (WORDS, pa.int64()), (LOGP, pa.float64())]))
-
-    return docs.mapInArrow(run, StructType([*docs.schema.fields, *StructType.fromDDL(f"{WORDS} long, {LOGP} double").fields]))
+            lower = unknown + one.get(words, "gain")[w] + one.get(words, "bow")[v]
+            lp = lower + two.get(grams["vw"], "gain") + two.get(grams["uv"], "bow") + three.get(grams["uvw"], "gain")
+            yield pa.RecordBatch.from_arrays(_with_sums(batch, counts, lp), schema=pa.schema([*batch.schema, (WORDS, pa.int64()), (LOGP, pa.float64())]))
+
+    return docs.mapInArrow(run, _judged_schema(docs))
+
+
+def _asked(shards: int):
+    def ask(table: pa.Table) -> pa.Table:
+        keys, _ = _distinct(ngrams(table["text"].to_pylist())[0])
+        home = _shard(keys, shards)
+        bounds = [*_starts(home).tolist(), len(home)]
+        sent = [bytewise(np.diff(keys[a:b], prepend=np.uint64(0))) for a, b in zip(bounds, bounds[1:])]
+        return pa.table({BATCH: pa.array([table[BATCH][0].as_py()] * len(sent), pa.int64()), "shard": pa.array(home[bounds[:-1]].astype(np.int64)), "keys": pa.array(sent, pa.binary())})
+
+    return ask
+
+
+def _distinct(grams: dict[str, np.ndarray]) -> tuple[np.ndarray, dict[str, np.ndarray]]:
+    """All different n-grams in order, and the place of every one among them."""
+    own = {g: np.unique(grams[g], return_inverse=True) for g in ("uvw", "uv", "vw", "v", "w")}
+    keys, place = np.unique(np.concatenate([x for x, _ in own.values()]), return_inverse=True)
+    parts = np.split(place.ravel(), np.cumsum([len(x) for x, _ in own.values()])[:-1])
+    return keys, {g: part[number.ravel()] for (g, (_, number)), part in zip(own.items(), parts)}
+
+
+def _answered(asked: pa.Table, rows: pa.Table) -> pa.Table:
+    """For every batch which of its keys the shard holds, and their values."""
+    held = np.sort(rows["key"].to_numpy().view(np.uint64))
+    order = np.argsort(rows["key"].to_numpy().view(np.uint64))
+    values = [np.nan_to_num(rows[c].to_numpy()[order].astype(np.float64)) for c in ("gain", "bow")]
+    out = {"found": [], "gain": [], "bow": []}
+    for sent in asked["keys"]:
+        keys = np.cumsum(whole(sent.as_py(), np.uint64), dtype=np.uint64)
+        at = np.minimum(np.searchsorted(held, keys), max(0, len(held) - 1))
+        found = held[at] == keys if len(held) else np.zeros(len(keys), bool)
+        out["found"].append(np.packbits(found).tobytes())
+        for name, x in zip(("gain", "bow"), values):
+            out[name].append(x[at[found]].tobytes())
+    return pa.table({BATCH: asked[BATCH], "shard": asked["shard"], **{c: pa.array(x, pa.binary()) for c, x in out.items()}})
+
+
+def _told(shards: int, unknown: float, columns: list[str]):
+    def score(docs: pa.Table, answers: pa.Table) -> pa.Table:
+        grams, counts = ngrams(docs["text"].to_pylist())
+        keys, place = _distinct(grams)
+        sizes = np.bincount(_shard(keys, shards).astype(np.int64), minlength=shards)
+        gain, bow = np.zeros(len(keys)), np.zeros(len(keys))
+        ends = np.cumsum(sizes)
+        for shard, found, g, b in zip(*(answers[c].to_pylist() for c in ("shard", "found", "gain", "bow"))):
+            there = ends[shard] - sizes[shard] + np.flatnonzero(np.unpackbits(np.frombuffer(found, np.uint8), count=sizes[shard]))
+            gain[there], bow[there] = np.frombuffer(g), np.frombuffer(b)
+        lp = unknown + gain[place["w"]] + bow[place["v"]] + gain[place["vw"]] + bow[place["uv"]] + gain[place["uvw"]]
+        return pa.Table.from_arrays(_with_sums(docs.select(columns), counts, lp), names=[*columns, WORDS, LOGP])
+
+    return score
 
 
 def _sharded(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` with ``WORDS`` and ``LOGP``; n-grams are shuffled to the shards of the tables."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", SLICE_CHARS):
-            grams, counts = ngrams(batch["text"].to_pylist())
-            row = pa.array(np.repeat(batch[ROW].to_numpy(), counts))
-            yield pa.RecordBatch.from_arrays([row, *(pa.array(grams[g].view(np.int64)) for g in GRAMS)], names=[ROW, *GRAMS])
-
-    marked = store(docs.withColumn(ROW, F.monotonically_increasing_id()))
-    rows = marked.select(ROW, "text").mapInArrow(run, f"{ROW} long, " + ", ".join(f"{g} long" for g in GRAMS))
-
-    def look(rows: DataFrame, table: DataFrame, gram: str, value: str, name: str) -> DataFrame:
-        return rows.join(table.select(F.col("key").alias(gram), F.col(value).alias(name)).filter(F.col(name).isNotNull()), gram, "left")
-
-    found = rows
-    for table, gram, value, name in ((model.three, "uvw", "lp", "lp3"), (model.two, "uv", "bow", "bow2"), (model.two, "vw", "lp", "lp2"), (model.one, "v", "bow", "bow1"), (model.one, "w", "lp", "lp1")):
-        found = look(found, table, gram, value, name)
-    lower = F.coalesce("lp2", F.coalesce("bow1", F.lit(0.0)) + F.coalesce("lp1", F.lit(model.unknown)))
-    lp = F.coalesce("lp3", F.coalesce("bow2", F.lit(0.0)) + lower)
-    sums = found.groupBy(ROW).agg(F.count("*").alias(WORDS), F.sum(lp).alias(LOGP))
-    return marked.join(sums, ROW, "left").fillna({WORDS: 0, LOGP: 0.0}).drop(ROW)
+    """``docs`` with ``WORDS`` and ``LOGP``; batches of texts ask the shards of the tables."""
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    batches, shards = max(1, -(-size // BATCH_BYTES)), max(1, -(-size // SHARD_BYTES))
+    identity = F.xxhash64(*(c for c in ("doc_id", "text") if c in docs.columns))
+    dealt = docs.withColumn(BATCH, F.pmod(identity, F.lit(batches))).repartition(batches, BATCH)
+    asked = dealt.groupBy(BATCH).applyInArrow(_asked(shards), f"{BATCH} long, shard long, keys binary")
+    # keys are hashes: those of different orders do not meet
+    rows = model.one.union(model.two).union(model.three.withColumn("bow", F.lit(None).cast("double")))
+    home = F.shiftright(F.shiftrightunsigned("key", 32) * F.lit(shards).cast("long"), 32)
+    answers = asked.groupBy("shard").cogroup(rows.withColumn("shard", home).groupBy("shard")).applyInArrow(_answered, f"{BATCH} long, shard long, found binary, gain binary, bow binary")
+    return dealt.groupBy(BATCH).cogroup(answers.groupBy(BATCH)).applyInArrow(_told(shards, model.unknown, docs.columns), _judged_schema(docs))
 
 
 def log_probabilities(docs: DataFrame, model: Model, local_rows: int = LOCAL_ROWS) -> DataFrame:
@@ -231,18 +380,20 @@ def log_probabilities(docs: DataFrame, model: Model, local_rows: int = LOCAL_ROW
 
 
 def trusted(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Texts to train on and texts to set thresholds by: language and text of documents with quality 1."""
+    """Texts to train on and texts to set thresholds by: id, language and text of documents with quality 1."""
     good = labels.filter("quality = 1").select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
     ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "lang").join(good, "doc_id").withColumn("fold", fold("doc_id", 10))
     parts = ids.withColumn("part", (F.col("fold") < 7).cast("int"))
-    chosen = lowest_hashes(parts.filter("part = 1"), ["lang"], F.xxhash64("doc_id"), FIT_DOCUMENTS)
-    held_out = store(parts.filter("part = 0").select("doc_id").distinct())
-    few = held_out.count() <= BROADCAST_ROWS
+    chosen = parts.filter("part = 1")
+    if FIT_DOCUMENTS is not None:
+        chosen = lowest_hashes(chosen, ["lang"], F.xxhash64("doc_id"), FIT_DOCUMENTS)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "text")
-    # FIT_DOCUMENTS of every language
-    fit_on = rows.join(F.broadcast(chosen.select("doc_id").distinct()), "doc_id")
-    set_by = rows.join(F.broadcast(held_out) if few else held_out, "doc_id")
-    return fit_on.select("lang", "text"), set_by.select("lang", "text")
+
+    def texts(part: DataFrame) -> DataFrame:
+        listed = store(part.select("doc_id").distinct())
+        return rows.join(F.broadcast(listed) if listed.count() <= BROADCAST_ROWS else listed, "doc_id")
+
+    return texts(chosen), texts(parts.filter("part = 0"))
 
 
 def _judged(docs: DataFrame, labels: DataFrame, local_rows: int) -> DataFrame:

@@ -89,12 +89,12 @@ def check(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return chained(y, x)
 
 
-def _bytewise(values: np.ndarray) -> bytes:
+def bytewise(values: np.ndarray) -> bytes:
     """All first bytes first: the high ones of small values shrink to nothing in the shuffle."""
     return np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T).tobytes() if len(values) else b""
 
 
-def _whole(data: bytes, kind: type) -> np.ndarray:
+def whole(data: bytes, kind: type) -> np.ndarray:
     width = np.dtype(kind).itemsize
     return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(width, -1).T).view(kind).ravel()
 
@@ -110,9 +110,9 @@ def requests(batch: int, shards: int, keys: np.ndarray, checks: np.ndarray | Non
     parts = list(zip(start.tolist(), ends))
     columns = {
         "batch": pa.array([batch] * len(there), pa.int64()), "shard": pa.array(there.astype(np.int64)),
-        "keys": pa.array([_bytewise(np.diff(keys[a:b], prepend=np.uint64(0))) for a, b in parts], pa.binary()),
+        "keys": pa.array([bytewise(np.diff(keys[a:b], prepend=np.uint64(0))) for a, b in parts], pa.binary()),
         "checks": pa.array([checks[a:b].tobytes() for a, b in parts], pa.binary()),
-        "counts": pa.array([_bytewise(number[a:b].astype(np.int64)) for a, b in parts], pa.binary()),
+        "counts": pa.array([bytewise(number[a:b].astype(np.int64)) for a, b in parts], pa.binary()),
     }
     return pa.table(columns)
 
@@ -120,11 +120,11 @@ def requests(batch: int, shards: int, keys: np.ndarray, checks: np.ndarray | Non
 def _answer(least: int):
     def answer(table: pa.Table) -> pa.Table:
         table = table.sort_by("batch")
-        keys = [np.cumsum(_whole(k, np.uint64), dtype=np.uint64) for k in table["keys"].to_pylist()]
+        keys = [np.cumsum(whole(k, np.uint64), dtype=np.uint64) for k in table["keys"].to_pylist()]
         ends = np.cumsum([len(k) for k in keys])
         key = np.concatenate(keys)
         checks = np.concatenate([np.frombuffer(c, np.uint32) for c in table["checks"].to_pylist()])
-        counts = np.concatenate([_whole(c, np.int64) for c in table["counts"].to_pylist()])
+        counts = np.concatenate([whole(c, np.int64) for c in table["counts"].to_pylist()])
         order = np.lexsort((checks, key))
         key, checks = key[order], checks[order]
         fresh = np.append(True, (key[1:] != key[:-1]) | (checks[1:] != checks[:-1]))
@@ -133,7 +133,7 @@ def _answer(least: int):
         totals[order], first[order] = np.where(sums >= least, sums, 0), fresh & (sums >= least)
         out = [np.split(x, ends[:-1]) for x in (totals, first)]
         return pa.table({
-            "batch": table["batch"], "shard": table["shard"], "totals": pa.array([_bytewise(x) for x in out[0]], pa.binary()),
+            "batch": table["batch"], "shard": table["shard"], "totals": pa.array([bytewise(x) for x in out[0]], pa.binary()),
             "first": pa.array([np.packbits(x).tobytes() for x in out[1]], pa.binary()),
         })
 
@@ -167,7 +167,7 @@ class Totals:
 def told(table: pa.Table, keys: np.ndarray) -> Totals:
     """The answers to a batch that asked for ``keys``."""
     table = table.sort_by("shard")
-    totals = np.concatenate([*(_whole(t, np.int64) for t in table["totals"].to_pylist()), np.zeros(0, np.int64)])
+    totals = np.concatenate([*(whole(t, np.int64) for t in table["totals"].to_pylist()), np.zeros(0, np.int64)])
     sizes = [len(t) // 8 for t in table["totals"].to_pylist()]
     first = np.concatenate([*(np.unpackbits(np.frombuffer(f, np.uint8), count=n) for f, n in zip(table["first"].to_pylist(), sizes)), np.zeros(0, np.uint8)])
     return Totals(np.unique(keys), totals, first.astype(bool))

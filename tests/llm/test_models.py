@@ -254,6 +254,14 @@ def test_thresholds_are_set_by_all_held_out_documents(spark, make_docs, monkeypa
     assert fit_on.count() == 20 and {r["text"] for r in set_by.collect()} == {r["text"] for r in held.collect()}
 
 
+def test_all_trusted_documents_train_the_model(spark):
+    """More of one language than any sample took, and none left out."""
+    docs = spark.range(6000).selectExpr("id AS doc_id", "'xx' AS lang", "concat('text ', id) AS text")
+    fit_on, set_by = kneser_ney.trusted(docs, docs.selectExpr("doc_id", "1 AS quality"))
+    held = docs.filter(fold("doc_id", 10) >= 7).count()
+    assert fit_on.select("doc_id").distinct().count() == fit_on.count() == 6000 - held and set_by.count() == held
+
+
 def test_a_language_with_little_trusted_text_is_kept(spark, make_docs):
     rng = random.Random(6)
     rows = [(i, prose(rng, "xx", rng.randint(8, 60)), "xx") for i in range(300)]
