@@ -6,8 +6,9 @@ frequency there. A word never seen is looked up by its longest known character n
 characters. A document's evidence is the mean over its words; the score is the probability
 of the best language when the evidence counts for at most ``EVIDENCE`` words.
 
-The model is fitted on at most ``FIT_DOCUMENTS`` labelled documents of every language, those
-with the lowest hash of their text, and every text is scored.
+The model is fitted on all labelled documents (at most ``FIT_DOCUMENTS`` of a language, those
+with the lowest hash of their text, if that is set), and every text is scored. Words are counted first;
+the n-grams of a word are counted once, with the word's count.
 
 Defined results: ``und`` with score 0.0 for a null text, one without letters, or when
 nothing could be learned; ties go to the language that is first in the alphabet; repeated
@@ -23,11 +24,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from epiframe.llm.tables import few_at_once, lowest_hashes
+from epiframe.llm.tables import few_at_once, lowest_hashes, store
 from epiframe.llm.words import fold, letter_words, slices
 
 UNKNOWN = "und"
-FIT_DOCUMENTS = 4000
+#: Labelled documents of a language to learn from; None for all.
+FIT_DOCUMENTS: int | None = None
+#: Distinct words whose n-grams are summed before they are sent.
+WORDS_AT_ONCE = 50_000
+#: Parts of a language's words, or n-grams of a length, that are ranked apart before all of them.
+PARTS = 64
 #: Most frequent words kept of each language, and n-grams of each length and language.
 KEPT_WORDS, KEPT_GRAMS = 20_000, 8000
 LONGEST = 5
@@ -105,29 +111,47 @@ class Model:
         return [self.languages[b] if k else UNKNOWN for b, k in zip(best, n)], np.where(n > 0, score, 0.0)
 
 
-def fit(docs: DataFrame, per_language: int = FIT_DOCUMENTS) -> Model:
-    """Learn from the rows of ``docs`` (lang, text) with both set, ``per_language`` of each language at most."""
-    labelled = few_at_once(docs).select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text")).dropna()
-    chosen = lowest_hashes(labelled, ["lang"], F.xxhash64("text"), per_language)
+def fit(docs: DataFrame, per_language: int | None = FIT_DOCUMENTS) -> Model:
+    """Learn from the rows of ``docs`` (lang, text) with both set; from ``per_language`` of each language at most, if that is set."""
+    chosen = few_at_once(docs).select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text")).dropna()
+    if per_language is not None:
+        chosen = lowest_hashes(chosen, ["lang"], F.xxhash64("text"), per_language)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             words, number, row = letter_words(batch["text"])
             langs = batch["lang"].dictionary_encode()
             pairs, counts = np.unique(langs.indices.to_numpy()[row] * len(words) + number, return_counts=True)
-            names, found = langs.dictionary.to_pylist(), defaultdict(int)
-            for pair, c in zip(pairs.tolist(), counts.tolist()):
-                lang, word = names[pair // len(words)], words[pair % len(words)]
-                found[lang, 0, word] += c
+            size = max(1, len(words))
+            lang, word = langs.dictionary.take(pa.array(pairs // size)), pa.array(words, pa.string()).take(pa.array(pairs % size))
+            yield pa.RecordBatch.from_arrays([lang, word, pa.array(counts, pa.int64())], names=["lang", "word", "c"])
+
+    def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out(found: dict) -> pa.RecordBatch:
+            langs, sizes, keys = zip(*found) if found else ((), (), ())
+            return pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(sizes, pa.int32()), pa.array(keys, pa.string()), pa.array(list(found.values()), pa.int64())], names=["lang", "n", "gram", "c"])
+
+        found, words = defaultdict(int), 0
+        for batch in batches:
+            for lang, word, c in zip(*(column.to_pylist() for column in batch.columns)):
                 for n in range(1, LONGEST + 1):
                     for gram in grams(word, n):
                         found[lang, n, gram] += c
-            keys = list(found)
-            yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.int32()), pa.array([k[2] for k in keys], pa.string()), pa.array(list(found.values()), pa.int64())], names=["lang", "n", "gram", "c"])
-
-    counted = chosen.select("lang", "text").mapInArrow(count, "lang string, n int, gram string, c long").groupBy("lang", "n", "gram").agg(F.sum("c").alias("c"))
-    top = Window.partitionBy("lang", "n").orderBy(F.desc("c"), "gram")
-    kept = counted.withColumn("r", F.row_number().over(top)).filter(F.col("r") <= F.when(F.col("n") == 0, KEPT_WORDS).otherwise(KEPT_GRAMS))
+            words += batch.num_rows
+            if words >= WORDS_AT_ONCE:
+                yield out(found)
+                found, words = defaultdict(int), 0
+        yield out(found)
+
+    counted = store(chosen.select("lang", "text").mapInArrow(count, "lang string, word string, c long").groupBy("lang", "word").agg(F.sum("c").alias("c")))
+    parts = counted.mapInArrow(expand, "lang string, n int, gram string, c long").groupBy("lang", "n", "gram").agg(F.sum("c").alias("c"))
+    counted = counted.select("lang", F.lit(0).alias("n"), F.col("word").alias("gram"), "c").union(parts)
+    # the most frequent of every part first, so what meets in one task is bounded
+    limit = F.when(F.col("n") == 0, KEPT_WORDS).otherwise(KEPT_GRAMS)
+    kept = counted.withColumn("part", F.pmod(F.xxhash64("gram"), F.lit(PARTS)))
+    for groups in (["lang", "n", "part"], ["lang", "n"]):
+        top = Window.partitionBy(*groups).orderBy(F.desc("c"), "gram")
+        kept = kept.withColumn("r", F.row_number().over(top)).filter(F.col("r") <= limit)
     counts: dict = defaultdict(dict)
     for lang, n, gram, c in zip(*(column.to_pylist() for column in kept.select("lang", "n", "gram", "c").toArrow().columns)):
         counts[n, gram][lang] = c

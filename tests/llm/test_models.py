@@ -43,6 +43,16 @@ def test_languages_of_held_out_texts(make_docs, corpus):
     assert all(0 <= r["score"] <= 1 for r in found.values())
 
 
+def test_all_labelled_documents_are_learned_from(spark):
+    """More of one language than any sample took: every word is known, with its count."""
+    docs = spark.range(6000).selectExpr("'xx' AS lang", "concat('common ', translate(cast(id AS string), '0123456789', 'abcdefghij'), 'word common') AS text")
+    model = language.fit(docs.unionByName(spark.createDataFrame([("yy", "other")], "lang string, text string")))
+    rare = ["".join("abcdefghij"[int(d)] for d in str(i)) + "word" for i in range(6000)]
+    assert set(model.tables[0]) == {"common", "other", *rare}
+    row, column = model.tables[0]["common"], model.languages.index("xx")
+    assert model.values[row, column] - model.values[row, 1 - column] == pytest.approx(math.log((12000 + 0.5) / (18000 + 0.5 * 6002)) - math.log(0.5 / (1 + 0.5 * 6002)))
+
+
 def test_levels_of_words_agree_with_one_word_at_a_time(make_docs, corpus):
     model = language.fit(make_docs(corpus))
     words = ["the", "karomi", "unknownberg", "q", "ñ", "日本", "schexq"]
