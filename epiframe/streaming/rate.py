@@ -11,53 +11,88 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from epiframe.operators.control import RATE_HZ
 from epiframe.schema import EPISODE, POSITION
+from epiframe.streaming.buckets import BUCKETS, as_before, bucketed, numbered, text_keys
 from epiframe.streaming.stuck import STATE_STORE
 
+#: Where no frame is waited for.
+NOT_DUE = np.iinfo(np.int64).min
+
 
 class _Watch(StatefulProcessor):
-    """The last frame of an episode, and the timer that waits for the next."""
+    """The last frames of a bucket of episodes, and the timer of the one that is due first."""
 
     def __init__(self, keys: Sequence[str], pos: str, period_us: float, patience_us: int):
         self.names, self.pos, self.period_us, self.patience_us = list(keys), pos, period_us, patience_us
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.seen = handle.getValueState("seen", "pos long, us long, due long")
+        lists = [T.StructField(f.name, T.ArrayType(f.dataType)) for f in text_keys([f"k{i}" for i in range(len(self.names))])]
+        lists += [T.StructField(n, T.ArrayType(T.LongType())) for n in ("pos", "us", "due")]
+        self.seen = handle.getValueState("seen", T.StructType([*lists, T.StructField("timer", T.LongType())]))
 
-    def _rows(self, key, frames, kind: str, gaps) -> pd.DataFrame:
+    def _rows(self, keys: list[tuple], frames, kind: str, gaps) -> pd.DataFrame:
         out = pd.DataFrame({self.pos: pd.array(frames, "Int64"), "kind": kind, "gap_us": pd.array(gaps, "Int64")})
-        for name, value in zip(reversed(self.names), reversed(key)):
-            out.insert(0, name, value)
+        for place, name in enumerate(self.names):
+            out.insert(place, name, pd.Series([k[place] for k in keys], dtype=object))
         return out
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows))
+    def _state(self) -> tuple[list[tuple], np.ndarray, np.ndarray, np.ndarray, int | None]:
         state = self.seen.get()
-        last, before, due = state if state else (None, None, None)
-        batch = batch.sort_values(self.pos, kind="stable").drop_duplicates(self.pos)
-        if last is not None:
-            batch = batch[batch[self.pos] > last]
-        if batch.empty:
+        if not state:
+            return [], *(np.zeros(0, np.int64) for _ in range(3)), None
+        *keys, pos, us, due, timer = state
+        return list(zip(*keys)), *(np.array(x, np.int64) for x in (pos, us, due)), timer
+
+    def _keep(self, keys: list[tuple], pos: np.ndarray, us: np.ndarray, due: np.ndarray, timer: int | None) -> None:
+        """Store the state, and wait for the first episode that is due; ``timer`` is what is waited for now."""
+        waiting = due[due != NOT_DUE]
+        first = int(waiting.min()) if len(waiting) else None
+        if timer is not None and timer != first:
+            self.handle.deleteTimer(timer)
+        if first is not None and timer != first:
+            self.handle.registerTimer(first)
+        if keys:
+            self.seen.update((*(list(k) for k in zip(*keys)), pos.tolist(), us.tolist(), due.tolist(), first))
+        else:
+            self.seen.clear()
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        batch = pd.concat(list(rows), ignore_index=True)
+        known, pos, us, due, timer = self._state()
+        owner, keys = numbered(known, batch, self.names)
+        fresh = len(keys) - len(known)
+        old = np.arange(len(keys)) < len(known)
+        pos, us, due = (np.concatenate([x, np.full(fresh, NOT_DUE)]) for x in (pos, us, due))
+        frames, times, over = batch[self.pos].to_numpy(np.int64), batch["at_us"].to_numpy(np.int64), batch["over_flag"].to_numpy(bool)
+        # the first of frames that come twice; those that are not beyond the last one are known
+        order = np.lexsort((np.arange(len(owner)), frames, owner))
+        order = order[~old[owner[order]] | (frames[order] > pos[owner[order]])]
+        at, frame = owner[order], frames[order]
+        order = order[np.append(True, (at[1:] != at[:-1]) | (frame[1:] != frame[:-1]))[: len(order)]]
+        if not len(order):
             return
-        frames, us = batch[self.pos].to_numpy(np.int64), batch["at_us"].to_numpy(np.int64)
-        gaps = np.diff(us, prepend=us[0] if before is None else before)
+        at, frame, time, over = owner[order], frames[order], times[order], over[order]
+        head = np.append(True, at[1:] != at[:-1])
+        before = np.append(time[:1], time[:-1])
+        before[head] = np.where(old[at[head]], us[at[head]], time[head])
+        gaps = time - before
+        tail = np.append(head[1:], True)
+        pos[at[tail]], us[at[tail]] = frame[tail], time[tail]
+        due[at[tail]] = -(-(time[tail] + self.patience_us) // 1000)
+        left = np.ones(len(keys), bool)
+        left[at[tail]] = ~over[tail]
+        self._keep([k for k, x in zip(keys, left) if x], pos[left], us[left], due[left], timer)
         late = gaps > self.period_us
-        if due is not None:
-            self.handle.deleteTimer(due)
-        if batch["over_flag"].iloc[-1]:
-            self.seen.clear()
-        else:
-            due = -(-(int(us[-1]) + self.patience_us) // 1000)
-            self.handle.registerTimer(due)
-            self.seen.update((int(frames[-1]), int(us[-1]), due))
         if late.any():
-            yield self._rows(key, frames[late], "late", gaps[late])
+            yield self._rows([keys[i] for i in at[late]], frame[late], "late", gaps[late])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        state = self.seen.get()
-        if state and state[2] is not None:
-            self.seen.update((state[0], state[1], None))
-            yield self._rows(key, [state[0]], "silent", [None])
+        keys, pos, us, due, timer = self._state()
+        silent = (due != NOT_DUE) & (due <= max(timerValues.getCurrentWatermarkInMs(), expiredTimerInfo.getExpiryTimeInMs()))
+        due = np.where(silent, NOT_DUE, due)
+        self._keep(keys, pos, us, due, None if timer == expiredTimerInfo.getExpiryTimeInMs() else timer)
+        if silent.any():
+            yield self._rows([k for k, x in zip(keys, silent) if x], pos[silent], "silent", [None] * int(silent.sum()))
 
     def close(self) -> None:
         pass
@@ -72,6 +107,7 @@ def stream_rate(
     keys: Sequence[str] = EPISODE,
     pos: str = POSITION,
     done: str | None = None,
+    buckets: int = BUCKETS,
 ) -> DataFrame:
     """``rate_audit`` on a stream: a row for every overrun as it happens: keys, ``pos``, kind and gap_us.
 
@@ -79,7 +115,8 @@ def stream_rate(
     not come ``patience_s`` after its last one, by the time stamps of all episodes less ``delay``, is ``silent``: its last
     frame is given, once, and no gap; if the frame does come, it is late as well. An episode that ends by the column ``done`` is waited
     for no longer. Frames of an episode arrive in order; repeats are left out, and frames without a time, position or
-    more than ``delay`` behind the newest of all. The state of an episode is its last frame. ``ts`` is a timestamp with
+    more than ``delay`` behind the newest of all. The state of an episode is its last frame;
+    episodes are kept in ``buckets``, so that many short ones cost no call of their own. ``ts`` is a timestamp with
     a time zone, which watermarks need. Sets the session's state store to RocksDB, as timers need.
     """
     spark = frames.sparkSession
@@ -88,9 +125,10 @@ def stream_rate(
     narrow = frames.select(*keys, F.col(pos).cast("long").alias(pos), F.col(ts).alias("at_ts"), F.unix_micros(ts).alias("at_us"), over.alias("over_flag"))
     narrow = narrow.where(F.col("at_ts").isNotNull() & F.col(pos).isNotNull()).withWatermark("at_ts", delay)
     fields = [T.StructField(pos, T.LongType()), T.StructField("kind", T.StringType()), T.StructField("gap_us", T.LongType())]
-    return narrow.groupBy(*keys).transformWithStateInPandas(
+    found = bucketed(narrow, keys, buckets).groupBy("bucket_id").transformWithStateInPandas(
         statefulProcessor=_Watch(keys, pos, 1e6 / rate_hz, round(patience_s * 1e6)),
-        outputStructType=T.StructType([*[narrow.schema[k] for k in keys], *fields]),
+        outputStructType=T.StructType([*text_keys(keys), *fields]),
         outputMode="Append",
         timeMode="EventTime",
     )
+    return found.select(*as_before(narrow, keys), pos, "kind", "gap_us")

@@ -48,3 +48,22 @@ def test_late_frames_are_those_of_the_batch(spark, tmp_path):
     for e, (n, most) in want.items():
         gaps = [r[3] for r in got if r[0] == e]
         assert (len(gaps), max(gaps)) == (n, most)
+
+
+def test_many_episodes_share_a_bucket(spark, tmp_path):
+    """Keys of all kinds, null among them, in one bucket: its state and its one timer tell them apart across batches."""
+    second, big = 1_000_000, 2**60 + 1
+    names = [(None, 1), (big, 1), (big + 2, 1), (big, 2)]
+    schema = "a long, b int, frame_index long, ts timestamp"
+    for part in range(3):
+        # the last key has frames in the first part alone, another is late within the second
+        rows = [(a, b, 3 * part + i, second * (1 + 5 * part) + 33_000 * i + (50_000 if part == 1 and i == 2 and b == 1 and a == big else 0)) for a, b in names for i in range(3) if b == 1 or part == 0]
+        df = spark.createDataFrame(rows, "a long, b int, frame_index long, us long").withColumn("ts", F.timestamp_micros("us"))
+        df.drop("us").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        live = stream_parquet(spark, str(tmp_path / "in"), spark.createDataFrame([], schema).schema)
+        got = drain(stream_rate(live, keys=["a", "b"], patience_s=20.0 if part < 2 else 0.5, delay="0 seconds", buckets=1), str(tmp_path / "out"), str(tmp_path / "cp"))
+    assert got.dtypes[:2] == [("a", "bigint"), ("b", "int")]
+    late = {(r["a"], r["b"], r["frame_index"], r["gap_us"]) for r in got.where("kind = 'late'").collect()}
+    gap = 5 * second - 66_000
+    want = {(a, 1, 3 * part, gap) for a, b in names if b == 1 for part in (1, 2)} - {(big, 1, 6, gap)}
+    assert late == want | {(big, 1, 5, 83_000), (big, 1, 6, gap - 50_000)}
