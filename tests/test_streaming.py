@@ -129,3 +129,22 @@ def test_a_null_action_does_not_end_the_stream(spark, tmp_path):
     got = drain(stream_stuck_actions(live, warn_steps=3), str(tmp_path / "out"), str(tmp_path / "cp"))
     want = stuck_actions(frames, warn_steps=3)
     assert sorted(r["frame_index"] for r in got.collect()) == sorted(r["frame_index"] for r in want.collect()) == [3, 13]
+
+
+@pytest.mark.parametrize("buckets", [1, 3])
+def test_many_streams_share_a_bucket(spark, tmp_path, buckets):
+    """Episodes of streams in one bucket close at different steps, across batches, one of them of a null stream."""
+    schema = "stream_id long, seq long, reset_obs array<double>, next_obs array<double>, action array<double>, terminated boolean, truncated boolean"
+    names, rows = [None, 2**60 + 1, 2**60 + 2, 5], []
+    for k, s in enumerate(names):
+        rows += [(s, i, [-1.0], [float(10 * k + i)], [float(k)], (i + 1) % (k + 2) == 0, False) for i in range(9)]
+    for part in range(3):
+        spark.createDataFrame([r for r in rows if r[1] // 3 == part], schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        live = stream_parquet(spark, str(tmp_path / "in"), spark.createDataFrame([], schema).schema)
+        got = drain(stream_frames(live, max_steps=None, buckets=buckets), str(tmp_path / "out"), str(tmp_path / "cp"))
+    found = {(r["stream_id"], r["seq"]): (r["episode_index"], r["frame_index"], r["observation.state"][0]) for r in got.collect()}
+    want = {}
+    for k, s in enumerate(names):
+        for i in range(9 // (k + 2) * (k + 2)):
+            want[s, i] = (i // (k + 2), i % (k + 2), -1.0 if i % (k + 2) == 0 else float(10 * k + i - 1))
+    assert found == want and got.count() == len(want)
