@@ -30,6 +30,8 @@ PAD_LEVEL = 4
 
 #: Longest episode whose spectrum is computed in one piece; longer ones are split.
 WHOLE_EPISODE = 1 << 15
+#: Action values that are looked at together, and values of the spectra computed together; one episode may have more.
+PIECE_VALUES, SPECTRUM_VALUES = 1 << 18, 1 << 18
 #: Values in a block of a split spectrum.
 SPLIT_VALUES = 1 << 20
 #: Most rows of the cohort table that are broadcast.
@@ -68,6 +70,12 @@ def _arc_length(magnitude: np.ndarray) -> np.ndarray:
 def _sal_udf(dims: int, fps: float):
     @F.arrow_udf(T.DoubleType())
     def sal_of(actions: pa.Array) -> pa.Array:
+        # an Arrow batch is bounded by its episodes, a piece by its values
+        part = np.cumsum(actions.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)) // PIECE_VALUES
+        bounds = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(actions)]
+        return pa.concat_arrays([scored(actions.slice(a, b - a)) for a, b in zip(bounds, bounds[1:])])
+
+    def scored(actions: pa.Array) -> pa.Array:
         sizes = actions.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64) // dims
         points = actions.flatten().to_numpy(zero_copy_only=False).reshape(-1, dims)
         ends = np.cumsum(sizes)
@@ -79,7 +87,7 @@ def _sal_udf(dims: int, fps: float):
         counts = np.where(broken, 0, sizes - 1)
         padded = np.where(counts >= 2, _padded(np.maximum(counts, 2)), 0)
         for m in np.unique(padded[padded > 0]):
-            for rows in np.array_split(np.flatnonzero(padded == m), max(1, int((padded == m).sum() * m) >> 22)):
+            for rows in np.array_split(np.flatnonzero(padded == m), max(1, int((padded == m).sum() * m) // SPECTRUM_VALUES)):
                 if len(rows) == 0:
                     continue
                 width = counts[rows].max()

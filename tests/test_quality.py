@@ -1,8 +1,10 @@
 """Scores against numpy, the split spectrum against the whole one, and the filter."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
+from epiframe.operators import quality
 from epiframe.operators.quality import sal, ted
 from epiframe.plans.quality_filter import filter_dataset, judge_episodes, quality_filter
 from epiframe.sources.frames import DatasetNotFound, read_frames, write_frames
@@ -130,3 +132,20 @@ def test_hot_episode_does_not_change_scores(make_frames, episodes):
     scores = {r["episode_index"]: r["sal"] for r in sal(make_frames(hot), 2, whole_episode=512).collect()}
     assert scores[99] == pytest.approx(sal_reference(hot[99]), abs=1e-9)
     assert scores[0] == pytest.approx(sal_reference(hot[0]), abs=1e-9)
+
+
+def test_scores_of_a_batch_take_bounded_memory():
+    """What 20,000 episodes need beyond their own values is no more than 2,000 need."""
+    import tracemalloc
+
+    rng = np.random.default_rng(4)
+    score, peaks = quality._sal_udf(2, 30.0).func, []
+    some = [rng.normal(size=2 * 60).tolist() for _ in range(2000)]
+    for times in (1, 10):
+        batch = pa.array(some * times, pa.list_(pa.float64()))
+        tracemalloc.start()
+        found = score(batch).to_numpy()
+        peaks.append(tracemalloc.get_traced_memory()[1] / 1e6)
+        tracemalloc.stop()
+        assert len(found) == 2000 * times and np.allclose(found, np.tile(found[:2000], times), rtol=1e-12)
+    assert peaks[0] < 40 and peaks[1] < peaks[0] + 5, peaks
