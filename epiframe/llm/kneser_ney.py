@@ -13,10 +13,9 @@ left out and one more that stands for any unseen word. So the probabilities of a
 one sum to one after every context.
 
 A table holds what a kept n-gram adds to the log probability that the lower orders give, so a text's log probability
-is a plain sum over its n-grams. Tables that
-are counted to have at most ``LOCAL_ROWS`` rows go to every task, which looks n-grams up
-where the texts are; larger ones stay in shards: documents are dealt to batches, a batch asks the shards for its
-distinct n-grams, as sorted arrays of hashes, and they answer with the values of those they hold.
+is a plain sum over its n-grams. The ``LOCAL_ROWS`` n-grams used most go to every task, with a bitmap that tells most others
+of no table; n-grams are looked up where the texts are. What may be a rarer one is asked of the tables' shards, with
+the number of its text, and a shard answers with what it adds to each text. Texts are known by 64-bit hashes and do not travel.
 
 A document's mean log probability is drawn to its language's mean as if it had
 ``PRIOR_WORDS`` more words, so that a few rare words do not condemn a short text. It is kept
@@ -39,7 +38,6 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from epiframe.llm.tables import few_at_once, lowest_hashes, store
 from epiframe.llm.tallies import bytewise, whole
@@ -49,25 +47,39 @@ from epiframe.llm.words import chained, fold, slices, word_hashes
 FIT_DOCUMENTS: int | None = None
 QUANTILE, MARGIN, FEW = 0.995, 0.05, 10
 PRIOR_WORDS = 20
+#: Rows of the tables that go to every task: those used most.
 LOCAL_ROWS = 3_000_000
-#: Ids of trusted documents that may be broadcast.
+#: Bits of the bitmap that tells most n-grams of no table, and a number of uses beyond which they are not told apart.
+FILTER_BITS, MOST_USES = 1 << 30, 4095
+#: Ids of trusted documents, or hashes of dropped texts, that may be broadcast.
 BROADCAST_ROWS = 1_000_000
-#: Characters whose n-grams a task holds at once.
-SLICE_CHARS = 2_000_000
-#: Text bytes whose n-grams travel together, and text bytes of a shard, on average: in counting, and in scoring.
-COUNT_BYTES, COUNT_SHARD = 8_000_000, 16_000_000
-BATCH_BYTES, SHARD_BYTES = 8_000_000, 48_000_000
+#: Characters whose n-grams a task holds at once, and n-grams of texts that ask the shards together.
+SLICE_CHARS, ASK_ROWS = 2_000_000, 1_000_000
+#: Text bytes whose n-grams are counted together, and text bytes of a shard, on average.
+COUNT_BYTES, COUNT_SHARD = 4_000_000, 12_000_000
 START = np.uint64(xxhash.xxh3_64_intdigest(b"<s>"))
 #: Names of added columns, beside which documents may have columns of any usual name.
-WORDS, LOGP, LOSS, LIMIT, KEEP, BATCH = (f"_kn_{n}" for n in ("words", "logp", "loss", "limit", "keep", "batch"))
+WORDS, LOGP, LOSS, LIMIT, KEEP, ROW, LANG = (f"_kn_{n}" for n in ("words", "logp", "loss", "limit", "keep", "row", "lang"))
 #: Rows of the counted n-grams: bigrams (key, first word, last word, continuation count, how often a word follows), trigrams
 #: (key, first bigram, last bigram, count), words (key, bigrams' continuation counts after it, bigrams that end in it), and sums.
 BIGRAM, TRIGRAM, WORD, SUM = range(4)
 COUNTED = "kind int, key long, a long, b long, c long, t long"
 
 
-def ngrams(texts: list[str | None]) -> tuple[dict[str, np.ndarray], np.ndarray]:
-    """For every word of every text the hashes of its n-grams and contexts, and the words of each text."""
+@dataclass
+class Laid:
+    """The hashes of the words of some texts one after the other, two starts before each text; ``at`` is where words are.
+
+    ``last`` says which words end a text, and so are no context; ``counts`` is how many words each text has.
+    """
+
+    flat: np.ndarray
+    at: np.ndarray
+    last: np.ndarray
+    counts: np.ndarray
+
+
+def laid(texts: list[str | None]) -> Laid:
     words = [word_hashes(t) for t in texts]
     counts = np.fromiter(map(len, words), np.int64, len(words))
     pad = np.full(2, START, np.uint64)
@@ -76,9 +88,9 @@ def ngrams(texts: list[str | None]) -> tuple[dict[str, np.ndarray], np.ndarray]:
     starts = np.cumsum(counts + 2) - counts - 2
     real[np.concatenate([starts, starts + 1])] = False
     at = np.flatnonzero(real)
-    u, v, w = flat[at - 2], flat[at - 1], flat[at]
-    uv = chained(u, v)
-    return {"uvw": chained(uv, w), "uv": uv, "vw": chained(v, w), "u": u, "v": v, "w": w}, counts
+    last = np.zeros(len(at), bool)
+    last[np.cumsum(counts)[counts > 0] - 1] = True
+    return Laid(flat, at, last, counts)
 
 
 def _shard(keys: np.ndarray, shards: int) -> np.ndarray:
@@ -99,40 +111,69 @@ def _starts(*columns: np.ndarray) -> np.ndarray:
     return np.flatnonzero(fresh)
 
 
+def _packed(values: np.ndarray) -> bytes:
+    """Compressed, with the length before: numbers of a small range shrink to what they say."""
+    return len(values).to_bytes(8, "little") + bytes(pa.compress(bytewise(values), "zstd")) if len(values) else b""
+
+
+def _unpacked(data: bytes, kind: type) -> np.ndarray:
+    if not data:
+        return np.zeros(0, kind)
+    size = int.from_bytes(data[:8], "little") * np.dtype(kind).itemsize
+    return whole(pa.decompress(memoryview(data)[8:], size, "zstd", asbytes=True), kind)
+
+
 def _sent(texts: list[str | None], shards: int) -> pa.RecordBatch:
     """The distinct trigrams of some texts with their counts, a row per shard of their last two words.
 
     They are sorted by middle, last and first word, which are numbers into the shard's distinct words;
-    ``ends`` is how often a trigram ends a text.
+    those at the end of a text are apart, with ``ends`` set.
     """
-    grams, sizes = ngrams(texts)
-    last = np.zeros(len(grams["w"]))
-    last[np.cumsum(sizes)[sizes > 0] - 1] = 1
-    _, first, number, count = np.unique(grams["uvw"], return_index=True, return_inverse=True, return_counts=True)
-    ends = np.bincount(number.ravel(), last, len(count))
-    home = _shard(grams["vw"][first], shards)
-    order = np.lexsort((grams["u"][first], grams["w"][first], grams["v"][first], home))
-    first, home = first[order], home[order]
-    u, v, w = (grams[g][first] for g in "uvw")
+    lie = laid(texts)
+    words, number = np.unique(lie.flat, return_inverse=True)
+    number = number.ravel().astype(np.uint64)
+    u, v, w = (number[lie.at - k] for k in (2, 1, 0))
+    if len(words) < 1 << 21:
+        keys, count = np.unique(v << np.uint64(43) | w << np.uint64(22) | u << np.uint64(1) | lie.last, return_counts=True)
+        low = np.uint64((1 << 21) - 1)
+        v, w, u, ends = keys >> np.uint64(43), keys >> np.uint64(22) & low, keys >> np.uint64(1) & low, keys & np.uint64(1)
+    else:
+        order = np.lexsort((lie.last, u, w, v))
+        v, w, u, ends = v[order], w[order], u[order], lie.last[order]
+        at = _starts(v, w, u, ends)
+        v, w, u, ends, count = v[at], w[at], u[at], ends[at], np.diff(np.append(at, len(order)))
+    home = _shard(chained(words[v], words[w]), shards).astype(np.int32)
+    order = np.argsort(home, kind="stable")
+    home = home[order]
     bounds = [*_starts(home).tolist(), len(home)]
     columns = {n: [] for n in ("words", "u", "v", "w", "counts", "ends")}
     for x, y in zip(bounds, bounds[1:]):
-        words, place = np.unique(np.concatenate([u[x:y], v[x:y], w[x:y]]), return_inverse=True)
-        columns["words"].append(bytewise(np.diff(words, prepend=np.uint64(0))))
-        for name, x32 in zip("uvw", np.split(place.ravel().astype(np.int32), 3)):
-            columns[name].append(bytewise(x32))
-        columns["counts"].append(bytewise(count[order[x:y]].astype(np.int64)))
-        columns["ends"].append(bytewise(ends[order[x:y]].astype(np.int64)))
+        rows = order[x:y]
+        own = {"u": u[rows], "v": v[rows], "w": w[rows]}
+        there = np.zeros(len(words), bool)
+        for number in own.values():
+            there[number] = True
+        place = np.cumsum(there, dtype=np.int32) - np.int32(1)
+        columns["words"].append(_packed(np.diff(words[there], prepend=np.uint64(0))))
+        columns["v"].append(_packed(np.diff(place[own["v"]], prepend=np.int32(0))))
+        columns["w"].append(_packed(place[own["w"]]))
+        columns["u"].append(_packed(place[own["u"]]))
+        columns["counts"].append(_packed(count[rows].astype(np.int64)))
+        columns["ends"].append(_packed(ends[rows].astype(np.uint8)))
     return pa.RecordBatch.from_arrays([pa.array(home[bounds[:-1]].astype(np.int64)), *(pa.array(c, pa.binary()) for c in columns.values())], names=["shard", *columns])
 
 
 def _summed(table: pa.Table) -> pa.Table:
     """What the trigrams of a shard say, n-grams seen once as sums alone."""
-    words = [np.cumsum(whole(x, np.uint64), dtype=np.uint64) for x in table["words"].to_pylist()]
-    u, v, w = (np.concatenate([d[whole(x, np.int32)] for d, x in zip(words, table[g].to_pylist())]) for g in "uvw")
-    count, ends = (np.concatenate([whole(x, np.int64) for x in table[g].to_pylist()]) for g in ("counts", "ends"))
+    words = [np.cumsum(_unpacked(x.as_py(), np.uint64), dtype=np.uint64) for x in table["words"]]
+    read = {"u": lambda x: x, "v": lambda x: np.cumsum(x, dtype=np.int32), "w": lambda x: x}
+    u, v, w = (np.concatenate([d[read[g](_unpacked(x.as_py(), np.int32))] for d, x in zip(words, table[g])]) for g in "uvw")
+    count = np.concatenate([_unpacked(x.as_py(), np.int64) for x in table["counts"]])
+    ends = count * np.concatenate([_unpacked(x.as_py(), np.uint8) for x in table["ends"]])
+    del words
     vw, uv = chained(v, w), chained(u, v)
     uvw = chained(uv, w)
+    del u
     order = np.lexsort((uvw, vw))
     at = _starts(vw[order], uvw[order])
     one = order[at]
@@ -157,10 +198,8 @@ def _summed(table: pa.Table) -> pa.Table:
     return pa.concat_tables([pa.table([pa.array([kind] * len(key), pa.int32()), *(nothing(x, len(key)) for x in (key, *rest))], names=names) for kind, key, *rest in parts])
 
 
-def _counted(docs: DataFrame) -> DataFrame:
+def _counted(docs: DataFrame, shards: int) -> DataFrame:
     """The n-grams of the texts that are seen twice or more, words, and sums over all."""
-    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    shards = max(1, -(-size // COUNT_SHARD))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts, held = [], 0
@@ -200,20 +239,24 @@ def _contexts(totals: DataFrame, kept: DataFrame, context: str, d: list[float],
 
 @dataclass
 class Model:
-    """Tables (key, gain, bow) of words and bigrams, (key, gain) of trigrams, and the unknown word's log probability.
+    """The kept n-grams of all orders, a row of sorted arrays per shard: key, gain, bow, and how often it was met (``uses``).
 
-    A gain is what a kept n-gram adds to the log probability of its last word by the lower orders, a bow what is added after it as a context.
+    A gain is what an n-gram adds to the log probability of its last word by the lower orders, a bow what is added after it as a context.
+    Keys are hashes: those of different orders do not meet. ``unknown`` is the log probability of an unknown word,
+    ``start`` what the contexts before a text's first word add to it.
     """
 
-    one: DataFrame
-    two: DataFrame
-    three: DataFrame
+    tables: DataFrame
+    shards: int
     unknown: float
+    start: float
 
 
 def train(docs: DataFrame) -> Model | None:
     """A model of the texts of ``docs``; none without words."""
-    counted = store(_counted(docs))
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    shards = max(1, -(-size // COUNT_SHARD))
+    counted = store(_counted(docs, shards))
     words = store(counted.filter(F.col("kind") == WORD).groupBy("key").agg(F.sum("c").alias("total"), F.sum("t").alias("c")))
     c1 = words.filter("c > 0").select(F.col("key").alias("w"), "c")
     known, total, *ones = c1.agg(F.count("*"), F.sum("c"), *(F.count(F.when(F.col("c") == k, 1)) for k in (1, 2, 3, 4))).first()
@@ -241,19 +284,27 @@ def train(docs: DataFrame) -> Model | None:
     low = F.coalesce("bow", F.lit(1.0)) * F.col("q1")
     lower = two.join(bow2, "v", "left").select("vw", "c", "p2", low.alias("q1")).withColumn("q2", F.when(F.col("c") > 1, F.col("p2")).otherwise(F.col("q1")))
     p3 = (F.col("c") - _discount("c", d3)) / F.col("total") + F.col("back") * F.col("p2")
-    three = store(c3.join(back3, "uv").join(lower.drop("c"), "vw").select("uvw", "uv", p3.alias("p3"), "q2"))
+    three = store(c3.join(back3, "uv").join(lower.drop("c"), "vw").select("uvw", "uv", "c", p3.alias("p3"), "q2"))
     bow3 = store(_left(three, "uv", "p3", "q2"))
 
-    def table(rows: DataFrame, key: str, gain: Column) -> DataFrame:
-        return rows.select(F.col(key).alias("key"), gain.alias("gain"))
+    def table(rows: DataFrame, key: str, gain: Column, c: str) -> DataFrame:
+        return rows.select(F.col(key).alias("key"), gain.alias("gain"), F.col(c).alias("uses"))
 
     def weights(rows: DataFrame, key: str) -> DataFrame:
         return rows.select(F.col(key).alias("key"), F.log("bow").alias("bow"))
 
-    one_of = table(p1.filter("c > 1"), "w", F.log("p1") - float(np.log(unknown))).join(weights(bow2, "v"), "key", "full")
-    two_of = table(lower.filter("c > 1"), "vw", F.log("p2") - F.log("q1")).join(weights(bow3, "uv"), "key", "full")
-    three_of = table(three.join(bow3, "uv"), "uvw", F.log("p3") - F.log("q2") - F.log("bow"))
-    return Model(store(one_of), store(two_of), store(three_of), float(np.log(unknown)))
+    one_of = table(p1.filter("c > 1"), "w", F.log("p1") - float(np.log(unknown)), "c").join(weights(bow2, "v"), "key", "full")
+    two_of = table(lower.filter("c > 1"), "vw", F.log("p2") - F.log("q1"), "c").join(weights(bow3, "uv"), "key", "full")
+    three_of = table(three.join(bow3, "uv"), "uvw", F.log("p3") - F.log("q2") - F.log("bow"), "c").withColumn("bow", F.lit(None).cast("double"))
+    home = F.shiftright(F.shiftrightunsigned("key", 32) * F.lit(shards).cast("long"), 32)
+    rows = one_of.unionByName(two_of).unionByName(three_of).withColumn("shard", home)
+    tables = store(rows.groupBy("shard").applyInArrow(_table, TABLE))
+    begins = np.array([START, chained(START[None], START[None])[0]])
+
+    def found(t: Table) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([float(t.bow[np.isin(t.keys, begins)].sum())])], names=["bow"])
+
+    return Model(tables, shards, float(np.log(unknown)), _of_tables(tables, found, "bow double").agg(F.sum("bow")).first()[0] or 0.0)
 
 
 def _left(kept: DataFrame, context: str, p: str, lower: str) -> DataFrame:
@@ -262,121 +313,212 @@ def _left(kept: DataFrame, context: str, p: str, lower: str) -> DataFrame:
     return kept.groupBy(context).agg((rest(p) / rest(lower)).alias("bow"))
 
 
+TABLE = "shard long, keys binary, gain binary, bow binary, uses binary"
+
+
+def _table(rows: pa.Table) -> pa.Table:
+    """The rows of a shard as one row of arrays in the order of their keys."""
+    keys = rows["key"].to_numpy().view(np.uint64)
+    order = np.argsort(keys)
+    values = [np.nan_to_num(rows[c].to_numpy().astype(np.float64))[order] for c in ("gain", "bow")]
+    uses = np.minimum(np.nan_to_num(rows["uses"].to_numpy().astype(np.float64))[order], MOST_USES).astype(np.int32)
+    columns = [np.diff(keys[order], prepend=np.uint64(0)), *values, uses]
+    return pa.table({"shard": rows["shard"][:1], **{n: pa.array([_packed(x)], pa.binary()) for n, x in zip(("keys", "gain", "bow", "uses"), columns)}})
+
+
 class Table:
-    """A table of the model as sorted arrays."""
+    """Rows of a shard, or of all, as arrays sorted by key."""
 
-    def __init__(self, rows: DataFrame):
-        table = rows.toArrow()
-        keys = table["key"].to_numpy().view(np.uint64)
-        order = np.argsort(keys)
-        self.keys = keys[order]
-        self.values = {c: np.nan_to_num(table[c].to_numpy()[order].astype(np.float64)) for c in table.column_names if c != "key"}
+    def __init__(self, keys: np.ndarray, gain: np.ndarray, bow: np.ndarray, uses: np.ndarray):
+        self.keys, self.gain, self.bow, self.uses = keys, gain, bow, uses
+        # keys are hashes, so their first bits say about where they stand
+        self.shift = np.uint64(64 - max(1, len(keys).bit_length()))
+        self.begins = np.searchsorted(keys, np.arange(1 << 64 - int(self.shift), dtype=np.uint64) << self.shift).astype(np.int32)
 
-    def get(self, keys: np.ndarray, column: str) -> np.ndarray:
-        """The value of every key, 0 where there is none."""
-        if not len(self.keys):
-            return np.zeros(len(keys))
-        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        return np.where(self.keys[at] == keys, self.values[column][at], 0.0)
+    @staticmethod
+    def of(row: dict[str, bytes]) -> "Table":
+        keys = np.cumsum(_unpacked(row["keys"], np.uint64), dtype=np.uint64)
+        return Table(keys, _unpacked(row["gain"], np.float64), _unpacked(row["bow"], np.float64), _unpacked(row["uses"], np.int32))
 
+    def filter(self, rows: np.ndarray) -> "Table":
+        return Table(self.keys[rows], self.gain[rows], self.bow[rows], self.uses[rows])
 
-def _with_sums(docs: pa.RecordBatch | pa.Table, counts: np.ndarray, values: np.ndarray) -> list[pa.Array]:
-    sums = np.bincount(np.repeat(np.arange(len(counts)), counts), values, len(counts))
-    return [*docs.columns, pa.array(counts), pa.array(sums)]
+    def values(self, keys: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """What every n-gram adds, the ``last`` of a text without bow, and whether it is there at all."""
+        if not len(self.keys):
+            return np.zeros(len(keys)), np.zeros(len(keys), bool)
+        at, end = self.begins[keys >> self.shift], len(self.keys) - 1
+        np.minimum(at, end, out=at)
+        behind = np.flatnonzero((self.keys[at] < keys) & (at < end))
+        while len(behind):
+            at[behind] += 1
+            behind = behind[(self.keys[at[behind]] < keys[behind]) & (at[behind] < end)]
+        there = self.keys[at] == keys
+        return np.where(there, self.gain[at] + np.where(last, 0.0, self.bow[at]), 0.0), there
+
+
+def _of_tables(tables: DataFrame, what, schema: str) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                yield what(Table.of({n: batch[n][k].as_py() for n in ("keys", "gain", "bow", "uses")}))
+
+    return tables.mapInArrow(run, schema)
 
 
-def _judged_schema(docs: DataFrame) -> StructType:
-    return StructType([*docs.schema.fields, *StructType.fromDDL(f"{WORDS} long, {LOGP} double").fields])
+def _head(model: Model, local_rows: int) -> tuple[int, Table, np.ndarray]:
+    """The n-grams that go to every task, those used ``least`` times and more, and a bitmap with the first bits of all keys.
 
+    ``least`` is chosen so that they are at most ``local_rows``; it is 0 if all are. The bitmap says of most others that they are in no table;
+    it has at most ``FILTER_BITS`` bits.
+    """
 
-def _local(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` with ``WORDS`` and ``LOGP``, looked up where the texts are."""
-    spark = docs.sparkSession
-    tables = [Table(t) for t in (model.one, model.two, model.three)]  # bounded by LOCAL_ROWS
-    shared, unknown = spark.sparkContext.broadcast(tables), model.unknown
+    def used(t: Table) -> pa.RecordBatch:
+        uses, n = np.unique(t.uses, return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(uses.astype(np.int64)), pa.array(n.astype(np.int64))], names=["uses", "n"])
+
+    # at most MOST_USES rows
+    found = sorted((r["uses"], r["n"]) for r in _of_tables(model.tables, used, "uses long, n long").groupBy("uses").agg(F.sum("n").alias("n")).collect())
+    rows = sum(n for _, n in found)
+    least, left = 0, rows
+    for uses, n in found:
+        if left <= local_rows:
+            break
+        least, left = uses + 1, left - n
+
+    def often(t: Table) -> pa.RecordBatch:
+        t = t.filter(t.uses >= least)
+        return pa.RecordBatch.from_arrays([_signed(t.keys), pa.array(t.gain), pa.array(t.bow)], names=["key", "gain", "bow"])
+
+    head = _of_tables(model.tables, often, "key long, gain double, bow double").toArrow()
+    keys = head["key"].to_numpy().view(np.uint64)
+    order = np.argsort(keys)
+    shift = 64 - int(min(FILTER_BITS, max(1 << 10, 16 * rows)).bit_length() - 1)
+
+    def bits(t: Table) -> pa.RecordBatch:
+        at = t.keys >> np.uint64(shift)
+        first = int(at[0]) >> 3 if len(at) else 0
+        flags = np.zeros((int(at[-1]) >> 3) - first + 1 << 3 if len(at) else 0, np.uint8)
+        flags[at - np.uint64(8 * first)] = 1
+        return pa.RecordBatch.from_arrays([pa.array([first], pa.int64()), pa.array([np.packbits(flags).tobytes()], pa.binary())], names=["first", "bits"])
+
+    bitmap = np.zeros(1 << 61 - shift, np.uint8)
+    for first, piece in zip(*(c.to_pylist() for c in _of_tables(model.tables, bits, "first long, bits binary").toArrow().columns)):
+        bitmap[first : first + len(piece)] |= np.frombuffer(piece, np.uint8)
+    return least, Table(keys[order], *(head[c].to_numpy()[order] for c in ("gain", "bow")), np.zeros(0, np.int32)), bitmap
+
+
+def _met(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Which keys may be in a table: places in ``keys``."""
+    at = keys >> np.uint64(61 - (len(bitmap).bit_length() - 1))
+    return np.flatnonzero(bitmap[at >> np.uint64(3)] & (np.uint8(128) >> (at & np.uint64(7)).astype(np.uint8)))
+
+
+def _grouped(asked: list[tuple], rows: list, counts: list, sums: list, shards: int) -> pa.RecordBatch:
+    """What texts ask of the shards, a row for each, and one with the texts themselves, what is known of them so far."""
+    rows, counts, sums = np.concatenate(rows), np.concatenate(counts), np.concatenate(sums)
+    keys, docs = (np.concatenate(x) for x in zip(*asked))
+    order = np.lexsort((docs, keys))
+    keys, docs = keys[order], docs[order].astype(np.int32)
+    home = _shard(keys, shards)
+    bounds = [*_starts(home).tolist(), len(home)]
+    group = int(np.uint64(xxhash.xxh3_64_intdigest(rows.tobytes())).view(np.int64))
+    parts = [(int(home[a]), False, _packed(np.diff(keys[a:b], prepend=np.uint64(0))), _packed(docs[a:b]), b"") for a, b in zip(bounds, bounds[1:])]
+    parts.append((group % shards, True, rows.tobytes(), counts.tobytes(), sums.tobytes()))
+    kinds = (pa.int64(), pa.bool_(), pa.binary(), pa.binary(), pa.binary())
+    columns = [pa.array(c, k) for c, k in zip(zip(*parts), kinds)]
+    return pa.RecordBatch.from_arrays([pa.array([group] * len(parts), pa.int64()), *columns], names=["group", "shard", "own", "keys", "docs", "sums"])
+
+
+ASKED = "group long, shard long, own boolean, keys binary, docs binary, sums binary"
+
+
+def _answered(least: int):
+    def answer(asked: pa.Table, tables: pa.Table) -> pa.Table:
+        """For every group what the shard's rows add to its texts; texts pass as they are."""
+        held = [Table.of({n: tables[n][k].as_py() for n in ("keys", "gain", "bow", "uses")}) for k in range(tables.num_rows)]
+        rare = [t.filter(t.uses < least) for t in held]
+        out = []
+        for k in range(asked.num_rows):
+            group, shard, own, keys, docs, sums = (asked[n][k].as_py() for n in ("group", "shard", "own", "keys", "docs", "sums"))
+            if own:
+                out.append((group, shard, own, keys, docs, sums))
+                continue
+            keys, docs = np.cumsum(_unpacked(keys, np.uint64), dtype=np.uint64), _unpacked(docs, np.int32)
+            for t in rare:
+                value, there = t.values(keys, docs & 1 > 0)
+                number, place = np.unique(docs[there] >> 1, return_inverse=True)
+                if len(number):
+                    out.append((group, shard, own, b"", _packed(number), np.bincount(place.ravel(), value[there]).tobytes()))
+        return pa.Table.from_pylist([dict(zip(("group", "shard", "own", "keys", "docs", "sums"), x)) for x in out], schema=_ASKED)
+
+    return answer
+
+
+_ASKED = pa.schema([("group", pa.int64()), ("shard", pa.int64()), ("own", pa.bool_()), ("keys", pa.binary()), ("docs", pa.binary()), ("sums", pa.binary())])
+
+
+def _told(table: pa.Table) -> pa.Table:
+    """The texts of a group with all their sums; a group that comes twice, as its texts do, counts once."""
+    table = table.sort_by([("own", "descending"), ("shard", "ascending")])
+    rows, counts, sums = (np.frombuffer(table[n][0].as_py(), k) for n, k in (("keys", np.int64), ("docs", np.int64), ("sums", np.float64)))
+    sums = sums.copy()
+    done = None
+    for k in range(table.num_rows):
+        shard, own = table["shard"][k].as_py(), table["own"][k].as_py()
+        if not own and shard != done:
+            sums[_unpacked(table["docs"][k].as_py(), np.int32)] += np.frombuffer(table["sums"][k].as_py(), np.float64)
+            done = shard
+    return pa.table({ROW: pa.array(rows), WORDS: pa.array(counts), LOGP: pa.array(sums)})
+
+
+def _row(text: str = "text") -> Column:
+    return F.xxhash64(F.coalesce(F.col(text).cast("string"), F.lit("")))
+
+
+def text_sums(docs: DataFrame, model: Model, local_rows: int = LOCAL_ROWS) -> DataFrame:
+    """``ROW`` (the hash of a text), ``WORDS`` and ``LOGP``, the sum of their log probabilities, of every different text of ``docs``."""
+    least, head, bitmap = _head(model, local_rows)
+    shared, unknown, start, shards = docs.sparkSession.sparkContext.broadcast((head, bitmap)), model.unknown, model.start, model.shards
+    summed = f"{ROW} long, {WORDS} long, {LOGP} double"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        one, two, three = shared.value
+        head, bitmap = shared.value
+        kept, held, texts = ([], [], [], []), 0, 0
         for batch in slices(batches, "text", SLICE_CHARS):
-            grams, counts = ngrams(batch["text"].to_pylist())
-            words, number = np.unique(np.concatenate([grams["w"], grams["v"]]), return_inverse=True)
-            w, v = np.split(number.ravel(), 2)
-            lower = unknown + one.get(words, "gain")[w] + one.get(words, "bow")[v]
-            lp = lower + two.get(grams["vw"], "gain") + two.get(grams["uv"], "bow") + three.get(grams["uvw"], "gain")
-            yield pa.RecordBatch.from_arrays(_with_sums(batch, counts, lp), schema=pa.schema([*batch.schema, (WORDS, pa.int64()), (LOGP, pa.float64())]))
-
-    return docs.mapInArrow(run, _judged_schema(docs))
-
-
-def _asked(shards: int):
-    def ask(table: pa.Table) -> pa.Table:
-        keys, _ = _distinct(ngrams(table["text"].to_pylist())[0])
-        home = _shard(keys, shards)
-        bounds = [*_starts(home).tolist(), len(home)]
-        sent = [bytewise(np.diff(keys[a:b], prepend=np.uint64(0))) for a, b in zip(bounds, bounds[1:])]
-        return pa.table({BATCH: pa.array([table[BATCH][0].as_py()] * len(sent), pa.int64()), "shard": pa.array(home[bounds[:-1]].astype(np.int64)), "keys": pa.array(sent, pa.binary())})
-
-    return ask
-
-
-def _distinct(grams: dict[str, np.ndarray]) -> tuple[np.ndarray, dict[str, np.ndarray]]:
-    """All different n-grams in order, and the place of every one among them."""
-    own = {g: np.unique(grams[g], return_inverse=True) for g in ("uvw", "uv", "vw", "v", "w")}
-    keys, place = np.unique(np.concatenate([x for x, _ in own.values()]), return_inverse=True)
-    parts = np.split(place.ravel(), np.cumsum([len(x) for x, _ in own.values()])[:-1])
-    return keys, {g: part[number.ravel()] for (g, (_, number)), part in zip(own.items(), parts)}
-
-
-def _answered(asked: pa.Table, rows: pa.Table) -> pa.Table:
-    """For every batch which of its keys the shard holds, and their values."""
-    held = np.sort(rows["key"].to_numpy().view(np.uint64))
-    order = np.argsort(rows["key"].to_numpy().view(np.uint64))
-    values = [np.nan_to_num(rows[c].to_numpy()[order].astype(np.float64)) for c in ("gain", "bow")]
-    out = {"found": [], "gain": [], "bow": []}
-    for sent in asked["keys"]:
-        keys = np.cumsum(whole(sent.as_py(), np.uint64), dtype=np.uint64)
-        at = np.minimum(np.searchsorted(held, keys), max(0, len(held) - 1))
-        found = held[at] == keys if len(held) else np.zeros(len(keys), bool)
-        out["found"].append(np.packbits(found).tobytes())
-        for name, x in zip(("gain", "bow"), values):
-            out[name].append(x[at[found]].tobytes())
-    return pa.table({BATCH: asked[BATCH], "shard": asked["shard"], **{c: pa.array(x, pa.binary()) for c, x in out.items()}})
-
-
-def _told(shards: int, unknown: float, columns: list[str]):
-    def score(docs: pa.Table, answers: pa.Table) -> pa.Table:
-        grams, counts = ngrams(docs["text"].to_pylist())
-        keys, place = _distinct(grams)
-        sizes = np.bincount(_shard(keys, shards).astype(np.int64), minlength=shards)
-        gain, bow = np.zeros(len(keys)), np.zeros(len(keys))
-        ends = np.cumsum(sizes)
-        for shard, found, g, b in zip(*(answers[c].to_pylist() for c in ("shard", "found", "gain", "bow"))):
-            there = ends[shard] - sizes[shard] + np.flatnonzero(np.unpackbits(np.frombuffer(found, np.uint8), count=sizes[shard]))
-            gain[there], bow[there] = np.frombuffer(g), np.frombuffer(b)
-        lp = unknown + gain[place["w"]] + bow[place["v"]] + gain[place["vw"]] + bow[place["uv"]] + gain[place["uvw"]]
-        return pa.Table.from_arrays(_with_sums(docs.select(columns), counts, lp), names=[*columns, WORDS, LOGP])
-
-    return score
-
-
-def _sharded(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` with ``WORDS`` and ``LOGP``; batches of texts ask the shards of the tables."""
-    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    batches, shards = max(1, -(-size // BATCH_BYTES)), max(1, -(-size // SHARD_BYTES))
-    identity = F.xxhash64(*(c for c in ("doc_id", "text") if c in docs.columns))
-    dealt = docs.withColumn(BATCH, F.pmod(identity, F.lit(batches))).repartition(batches, BATCH)
-    asked = dealt.groupBy(BATCH).applyInArrow(_asked(shards), f"{BATCH} long, shard long, keys binary")
-    # keys are hashes: those of different orders do not meet
-    rows = model.one.union(model.two).union(model.three.withColumn("bow", F.lit(None).cast("double")))
-    home = F.shiftright(F.shiftrightunsigned("key", 32) * F.lit(shards).cast("long"), 32)
-    answers = asked.groupBy("shard").cogroup(rows.withColumn("shard", home).groupBy("shard")).applyInArrow(_answered, f"{BATCH} long, shard long, found binary, gain binary, bow binary")
-    return dealt.groupBy(BATCH).cogroup(answers.groupBy(BATCH)).applyInArrow(_told(shards, model.unknown, docs.columns), _judged_schema(docs))
+            lie = laid(batch["text"].to_pylist())
+            n, row = len(lie.at), np.repeat(np.arange(len(lie.counts)), lie.counts)
+            pairs = chained(lie.flat[:-1], lie.flat[1:])
+            keys = np.concatenate([lie.flat[lie.at], pairs[lie.at - 1], chained(pairs[lie.at - 2], lie.flat[lie.at])])
+            met = _met(bitmap, keys)
+            keys, word = keys[met], met % max(n, 1)
+            value, there = head.values(keys, lie.last[word])
+            sums = lie.counts * unknown + (lie.counts > 0) * start + np.bincount(row[word], value, len(lie.counts))
+            if not least:
+                yield pa.RecordBatch.from_arrays([batch[ROW], pa.array(lie.counts), pa.array(sums)], names=[ROW, WORDS, LOGP])
+                continue
+            word = word[~there]
+            ask = keys[~there], (texts + row[word]) * 2 + lie.last[word]
+            for parts, x in zip(kept, (ask, batch[ROW].to_numpy(), lie.counts, sums)):
+                parts.append(x)
+            held, texts = held + len(word), texts + batch.num_rows
+            if held >= ASK_ROWS:
+                yield _grouped(*kept, shards)
+                kept, held, texts = ([], [], [], []), 0, 0
+        if texts:
+            yield _grouped(*kept, shards)
+
+    rows = docs.select(_row().alias(ROW), "text")
+    if not least:
+        return rows.mapInArrow(run, summed).dropDuplicates([ROW])
+    asked = rows.mapInArrow(run, ASKED)
+    answers = asked.groupBy("shard").cogroup(model.tables.groupBy("shard")).applyInArrow(_answered(least), ASKED)
+    return answers.groupBy("group").applyInArrow(_told, summed).dropDuplicates([ROW])
 
 
 def log_probabilities(docs: DataFrame, model: Model, local_rows: int = LOCAL_ROWS) -> DataFrame:
     """``docs`` (with a column text) and two more: ``WORDS``, and ``LOGP``, the sum of their log probabilities."""
-    rows = sum(t.count() for t in (model.one, model.two, model.three))
-    return _local(docs, model) if rows <= local_rows else _sharded(docs, model)
+    return docs.withColumn(ROW, _row()).join(store(text_sums(docs, model, local_rows)), ROW).drop(ROW)
 
 
 def trusted(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -397,15 +539,18 @@ def trusted(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def _judged(docs: DataFrame, labels: DataFrame, local_rows: int) -> DataFrame:
-    """``docs`` with ``WORDS``, ``LOSS`` (the logarithm of the perplexity), ``LIMIT`` and ``KEEP``."""
+    """``ROW`` and all columns but text of ``docs`` with ``WORDS``, ``LOSS`` (the logarithm of the perplexity), ``LIMIT`` and ``KEEP``."""
     base = few_at_once(docs).withColumn("lang", F.col("lang").cast("string")).withColumn("text", F.col("text").cast("string"))
     fit_on, set_by = trusted(base, labels)
     model = train(fit_on)
+    # texts stay where they are: their hashes are joined
+    narrow = base.withColumn(ROW, _row()).drop("text")
     if model is None:
         words = F.size(F.filter(F.split(F.coalesce("text", F.lit("")), r"[ \t-\r]+"), lambda w: w != "")).cast("long")
         unknown = F.lit(None).cast("double")
-        return base.withColumns({WORDS: words, LOSS: unknown, LIMIT: unknown}).withColumn(KEEP, F.col(WORDS) > 0)
-    sample = store(log_probabilities(set_by, model, local_rows).filter(F.col(WORDS) > 0).select("lang", WORDS, LOGP))
+        return base.withColumns({ROW: _row(), WORDS: words, LOSS: unknown, LIMIT: unknown}).withColumn(KEEP, F.col(WORDS) > 0).drop("text")
+    sums = store(text_sums(base, model, local_rows))
+    sample = store(set_by.select("lang", _row().alias(ROW)).join(sums, ROW).filter(F.col(WORDS) > 0).select("lang", WORDS, LOGP))
     average = F.sum(LOGP) / F.sum(WORDS)
     means = sample.groupBy("lang").agg(F.count("*").alias("n"), average.alias("mean")).collect()
     pooled = sample.agg(average).first()[0] or model.unknown
@@ -416,7 +561,7 @@ def _judged(docs: DataFrame, labels: DataFrame, local_rows: int) -> DataFrame:
     cut = F.percentile_approx(LOSS, QUANTILE, 10_000)
     limits = {lang: q + MARGIN + FEW / number[lang] for lang, q in sample.withColumn(LOSS, loss).groupBy("lang").agg(cut).collect()}
     limit = _by_language(limits, float("inf"))
-    out = log_probabilities(base, model, local_rows).withColumns({LOSS: F.when(F.col(WORDS) > 0, loss), LIMIT: limit})
+    out = narrow.join(sums, ROW).withColumns({LOSS: F.when(F.col(WORDS) > 0, loss), LIMIT: limit})
     return out.withColumn(KEEP, F.coalesce(F.col(LOSS) <= F.col(LIMIT), F.lit(False)))
 
 
@@ -433,6 +578,10 @@ def _by_language(values: dict[str, float], other: float) -> Column:
     return out
 
 
-def filtered(docs: DataFrame, labels: DataFrame) -> DataFrame:
+def filtered(docs: DataFrame, labels: DataFrame, local_rows: int = LOCAL_ROWS) -> DataFrame:
     """The rows of ``docs`` that are kept, with their columns."""
-    return _judged(docs, labels, LOCAL_ROWS).filter(F.col(KEEP)).select(*docs.columns)
+    judged = _judged(docs.select("doc_id", "text", "lang"), labels, local_rows)
+    dropped = store(judged.filter(~F.col(KEEP)).select(ROW, F.col("lang").alias(LANG)).distinct())
+    listed = F.broadcast(dropped) if dropped.count() <= BROADCAST_ROWS else dropped
+    same = (_row() == F.col(ROW)) & F.col("lang").cast("string").eqNullSafe(F.col(LANG))
+    return docs.join(listed, same, "left_anti")
