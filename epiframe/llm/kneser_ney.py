@@ -48,7 +48,7 @@ FIT_DOCUMENTS: int | None = None
 QUANTILE, MARGIN, FEW = 0.995, 0.05, 10
 PRIOR_WORDS = 20
 #: Rows of the tables that go to every task: those used most.
-LOCAL_ROWS = 3_000_000
+LOCAL_ROWS = 1_500_000
 #: Bits of the bitmap that tells most n-grams of no table, and a number of uses beyond which they are not told apart.
 FILTER_BITS, MOST_USES = 1 << 30, 4095
 #: Ids of trusted documents, or hashes of dropped texts, that may be broadcast.
@@ -56,7 +56,9 @@ BROADCAST_ROWS = 1_000_000
 #: Characters whose n-grams a task holds at once, and n-grams of texts that ask the shards together.
 SLICE_CHARS, ASK_ROWS = 2_000_000, 1_000_000
 #: Text bytes whose n-grams are counted together, and text bytes of a shard, on average.
-COUNT_BYTES, COUNT_SHARD = 4_000_000, 12_000_000
+COUNT_BYTES, COUNT_SHARD = 4_000_000, 6_000_000
+#: Rows that leave a task together: more would stand in the memory of both sides.
+ROWS_OUT = 50_000
 START = np.uint64(xxhash.xxh3_64_intdigest(b"<s>"))
 #: Names of added columns, beside which documents may have columns of any usual name.
 WORDS, LOGP, LOSS, LIMIT, KEEP, ROW, LANG = (f"_kn_{n}" for n in ("words", "logp", "loss", "limit", "keep", "row", "lang"))
@@ -179,6 +181,7 @@ def _summed(table: pa.Table) -> pa.Table:
     one = order[at]
     c3, ends = np.add.reduceat(count[order], at), np.add.reduceat(ends[order], at)
     vw, uv, uvw, v, w = (x[one] for x in (vw, uv, uvw, v, w))
+    del count, order, one
     at = _starts(vw)
     c2, n, after = np.diff(np.append(at, len(vw))), np.add.reduceat(c3, at), np.add.reduceat(c3 - ends, at)
     v, w, keys = v[at], w[at], vw[at]
@@ -195,7 +198,8 @@ def _summed(table: pa.Table) -> pa.Table:
     ]
     names = ["kind", "key", "a", "b", "c", "t"]
     nothing = lambda x, n: pa.nulls(n, pa.int64()) if x is None else _signed(x)
-    return pa.concat_tables([pa.table([pa.array([kind] * len(key), pa.int32()), *(nothing(x, len(key)) for x in (key, *rest))], names=names) for kind, key, *rest in parts])
+    tables = [pa.table([pa.array(np.full(len(key), kind, np.int32)), *(nothing(x, len(key)) for x in (key, *rest))], names=names) for kind, key, *rest in parts]
+    return pa.Table.from_batches(pa.concat_tables(tables).to_batches(max_chunksize=ROWS_OUT), tables[0].schema)
 
 
 def _counted(docs: DataFrame, shards: int) -> DataFrame:
@@ -390,6 +394,7 @@ def _head(model: Model, local_rows: int) -> tuple[int, Table, np.ndarray]:
         t = t.filter(t.uses >= least)
         return pa.RecordBatch.from_arrays([_signed(t.keys), pa.array(t.gain), pa.array(t.bow)], names=["key", "gain", "bow"])
 
+    # at most local_rows rows
     head = _of_tables(model.tables, often, "key long, gain double, bow double").toArrow()
     keys = head["key"].to_numpy().view(np.uint64)
     order = np.argsort(keys)
